@@ -15,14 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textkit import WORD
+from .textkit import WORD, materialize
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
 #: A source's target is at most so many times its size: no document is taken more often.
 MOST = 3
 #: Rows of a bucket, about.
-BUCKET = 50_000
+BUCKET = 4096
 #: Schedules by rank of the source, repeating: knots (time, weight relative to the source's mean). Early,
 #: even and late sources; each integrates to 1, so a schedule moves words in time and keeps the target.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
@@ -115,9 +115,10 @@ def plan(sized: DataFrame, weights=WEIGHTS, most: int = MOST, schedules=SCHEDULE
 
 
 def sized_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """(doc, source, size, copy) of every row, as a table: the texts are read once for planning."""
     rows = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
     same = Window.partitionBy("doc", "source", "size").orderBy("doc")
-    return rows.withColumn("copy", F.row_number().over(same))
+    return materialize(rows.withColumn("copy", F.row_number().over(same)), "mixing-sizes")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
