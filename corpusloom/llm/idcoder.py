@@ -26,13 +26,13 @@ MAGIC = b"CLI1"
 _HEAD = struct.Struct("<4sIQIII")
 #: Ids of a block at most, and blocks that are coded in step.
 BLOCK_IDS = 4096
-LANES = 2048
+LANES = 4096
 #: A segment is closed once it has so many ids.
-SEGMENT_IDS = 8 << 20
+SEGMENT_IDS = 16 << 20
 _NONE = 65535
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
 _M, _T0 = 22, 18
-_SLOTS1, _SLOTS2 = 2048, 4096
+_SLOTS1, _SLOTS2 = 1024, 2048
 
 
 class CorruptBlock(ValueError):
@@ -79,11 +79,9 @@ class _Model:
     def update(self, x: np.ndarray) -> None:
         self.t1[self.at1] = x
         self.t2[self.at2] = x
-        # the weights stay within 1/256 and 3/4, so the order-0 part keeps at least a sixteenth
-        self.hit1 += np.where(self.have1, ((self.p1 == x) * 49152 + 256 - self.hit1) >> 4, 0)
-        self.hit2 += np.where(self.have2, ((self.p2 == x) * 49152 - self.hit2 + 256) >> 4, 0)
-        self.hit1.clip(256, 49152, out=self.hit1)
-        self.hit2.clip(256, 49152, out=self.hit2)
+        # both follow their hits between 256 and 49152 of 65536, so the order-0 part keeps at least a sixteenth
+        self.hit1 += (((self.p1 == x) * 48896 + 256 - self.hit1) >> 4) * self.have1
+        self.hit2 += (((self.p2 == x) * 48896 + 256 - self.hit2) >> 4) * self.have2
         self.b, self.a = self.a, x
 
 

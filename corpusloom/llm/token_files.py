@@ -9,6 +9,7 @@ pyarrow's file systems. Only one manifest row for each file reaches the driver.
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -23,39 +24,75 @@ from pyspark.sql import functions as F
 from .idcoder import decode_segment, segments
 from .textkit import shared_folder
 
-#: Words whose ids a task remembers.
-MEMO = 200_000
+#: Words of each of two generations whose ids a worker remembers.
+MEMO = 400_000
+_PUNCT = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
 class WordTokenizer:
     """Ids of a ``tokenizers`` file whose pre-tokenizer never crosses ASCII white space.
 
-    Such a text's ids are those of its words in turn, so words are encoded once and remembered.
+    Such a text's ids are those of its words in turn, so words are encoded once and remembered; the least recent
+    generation is forgotten when the newer one is full. Letters and digits followed by punctuation (but for
+    apostrophes) are two pre-tokens, so a new word of that form is made of its two parts, lower-cased as the
+    tokenizer does.
     """
 
+    _open: dict[str, WordTokenizer] = {}
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordTokenizer:
+        """The worker's own, kept from task to task."""
+        if path not in cls._open:
+            cls._open[path] = cls(path)
+        return cls._open[path]
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.memo) > MEMO:
+            self.older, self.memo = self.memo, {}
+        memo, older = self.memo, self.older
+        whole, split = [], []
+        for w in words:
+            if w in memo:
+                continue
+            if w in older:
+                memo[w] = older[w]
+                continue
+            core = w.rstrip(_PUNCT)
+            if core and len(core) < len(w) and core.decode().isalnum():
+                low, tail = core.lower(), w[len(core) :]
+                split.append((w, low, tail))
+                whole += [low, tail]
+            else:
+                whole.append(w)
+        whole = [w for w in dict.fromkeys(whole) if w not in memo]
+        for w in [w for w in whole if w in older]:
+            memo[w] = older[w]
+        whole = [w for w in whole if w not in memo]
+        for lo in range(0, len(whole), 4096):
+            batch = whole[lo : lo + 4096]
+            for w, e in zip(batch, self.tokenizer.encode_batch_fast([w.decode() for w in batch], add_special_tokens=False), strict=True):
+                ids = e.ids
+                memo[w] = struct.pack(f"<{len(ids)}H", *ids)
+        for w, low, tail in split:
+            memo[w] = memo[low] + memo[tail]
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         words = (text or "").encode().split()
-        memo = self.memo
         try:
-            parts = [memo[w] for w in words]
+            raw = b"".join(map(self.memo.__getitem__, words))
         except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in memo]
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(dict.fromkeys(words))
-            for lo in range(0, len(new), 4096):
-                batch = new[lo : lo + 4096]
-                for w, e in zip(batch, self.tokenizer.encode_batch([w.decode() for w in batch], add_special_tokens=False), strict=True):
-                    memo[w] = np.array(e.ids, dtype="<u2").tobytes()
-            parts = [memo[w] for w in words]
-        return np.append(np.frombuffer(b"".join(parts), dtype="<u2"), np.uint16(end))
+            self._learn(list(dict.fromkeys(words)))
+            raw = b"".join(map(self.memo.__getitem__, words))
+        return np.append(np.frombuffer(raw, dtype="<u2"), np.uint16(end))
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -143,7 +180,7 @@ def encode_corpus(docs: DataFrame, tokenizer_path: str, end_id: int = 2, with_id
     folder = shared_folder(docs.sparkSession, "token-ids")
 
     def encoder():
-        words = WordTokenizer(tokenizer_path)
+        words = WordTokenizer.of(tokenizer_path)
         return lambda text: words.encode(text, end_id)
 
     return read_ids(docs.sparkSession, folder, write_ids(docs, encoder, folder, id_col, text_col), with_ids)
