@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a chunk.
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 #: Chunks whose matrices are multiplied in one task before blocks are.
 GROUP = 64
 SPACE = "\u2581"
@@ -44,6 +44,8 @@ State = tuple[int, int]  # (characters before the edge, characters after it) of
 class Lattice:
     """Pieces of a model, their compatibility and the segmentation of strings."""
 
+    _open: dict[str, Lattice] = {}
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -70,6 +72,14 @@ class Lattice:
         self.held = 0
         self.alone = {p for p in self.ids if self.merge(p) == [p]}
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Lattice:
+        """The worker's own, kept from task to task."""
+        if path not in cls._open:
+            cls._open[path] = cls(path)
+        return cls._open[path]
 
     def merge(self, text: str) -> list[str]:
         """Greedy merging of a short string: the best-scored neighbouring pair first, leftmost on ties."""
@@ -163,9 +173,12 @@ class Lattice:
         """Ids, as little-endian 32-bit integers, of a word that starts and ends at word edges."""
         got = self.memo.get(text)
         if got is None:
-            if len(self.memo) > _MEMO:
-                self.memo.clear()
-            got = self.memo[text] = self.to_ids(self.path(text, 0, len(text), None))
+            if len(self.memo) > _MEMO:  # the less recent generation is forgotten
+                self.older, self.memo = self.memo, {}
+            got = self.older.get(text)
+            if got is None:
+                got = self.to_ids(self.path(text, 0, len(text), None))
+            self.memo[text] = got
         return got
 
     def to_ids(self, parts: list[str]) -> bytes:
@@ -318,7 +331,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     giant = F.coalesce(F.length("text"), F.lit(0)) + 1 > chunk
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model_path)
+        lattice = Lattice.of(model_path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -347,7 +360,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     dump = lambda m: json.dumps([[k, v] for k, v in sorted(m.items())])
 
     def matrices(batches):
-        lattice = Lattice(model_path)
+        lattice = Lattice.of(model_path)
         for b in batches:
             b["m"] = [dump(transfer(lattice, s, lo, hi)) for s, lo, hi in zip(b["s"], b["lo"], b["hi"], strict=True)]
             yield b[["key", "k", "m"]]
@@ -384,7 +397,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     chains = grouped.join(ends, ["key", "g"]).groupBy("key", "g").applyInPandas(in_block, "key string, k int, x string")
 
     def trace(batches):
-        lattice = Lattice(model_path)
+        lattice = Lattice.of(model_path)
         for b in batches:
             ids = []
             for s, lo, hi, x in zip(b["s"], b["lo"], b["hi"], b["x"], strict=True):
@@ -411,7 +424,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     schema = f"doc_id {doc_type}, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model_path)
+        lattice = Lattice.of(model_path)
         for batch in batches:
             crc, chars, sha, count = [], [], [], []
             lists = batch.column(1)
