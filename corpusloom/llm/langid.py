@@ -25,7 +25,7 @@ from .textkit import mix64, random_words
 DIM = 4096
 ORDERS = (1, 2, 3)
 #: Labelled rows of a language that training reads, about.
-SAMPLE = 1500
+SAMPLE = 1000
 #: Centroids of a language.
 CLUSTERS = 4
 #: Factor on the largest training distance of a language.
@@ -101,12 +101,16 @@ def fit(langs: list[str], texts: list[str]) -> Model:
     rows = [(g, f.astype(np.float32)) for g, t in sorted(zip(langs, texts, strict=True)) if (f := features(t)) is not None]
     if not rows:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros(0), np.ones(DIM))
-    x = np.log1p(np.array([f for _, f in rows]))
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
-    x = _unit(x * idf.astype(np.float32))
+    named = [g for g, _ in rows]
+    x = np.array([f for _, f in rows])
+    del rows
+    np.log1p(x, out=x)
+    idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1
+    x *= idf.astype(np.float32)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     names, centroids, radii = [], [], []
-    for g in sorted({g for g, _ in rows}):
-        own = x[[i for i, (h, _) in enumerate(rows) if h == g]]
+    for g in sorted(set(named)):
+        own = x[[i for i, h in enumerate(named) if h == g]]
         c = _unit(own.mean(axis=0, keepdims=True))
         while len(c) < min(CLUSTERS, len(own)):  # farthest-first seeds
             c = np.vstack([c, own[[(own @ c.T).max(axis=1).argmin()]]])

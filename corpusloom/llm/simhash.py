@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,8 +30,8 @@ from pyspark.sql import functions as F
 from .textkit import materialize, mix64, random_words
 
 BITS = 64
-#: Most fingerprints that are compared in one bucket, about; 2**11, so a cut to 11 free bits always fits.
-BLOCK = 2048
+#: Most fingerprints that are compared in one bucket, about; 2**10, so a cut to 10 free bits always fits.
+BLOCK = 1024
 #: Of wide fingerprints: 64-bit words, tables and bits of a key.
 WIDE, TABLES, KEY_BITS = 4, 64, 24
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -80,15 +79,19 @@ def wide_fingerprint(text: str | None, words: int = 5) -> np.ndarray:
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, wide: bool) -> DataFrame:
     """(doc, fp) for every row, fp long or binary; null text counts as empty."""
 
-    @F.pandas_udf("binary" if wide else "long")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in texts:
-            if wide:
-                yield s.map(lambda t: wide_fingerprint(t, words).tobytes())
-            else:
-                yield pd.Series(np.array([fingerprint(t, words) for t in s], dtype=np.uint64).view(np.int64))
-
-    return docs.select(F.col(id_col).alias("doc"), of(F.col(text_col)).alias("fp"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                texts = part.column(1).to_pylist()
+                if wide:
+                    fps = pa.array([wide_fingerprint(t, words).tobytes() for t in texts], pa.binary())
+                else:
+                    fps = pa.array(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column(0), fps], names=["doc", "fp"])
+
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fp {'binary' if wide else 'long'}")
 
 
 def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
