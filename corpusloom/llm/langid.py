@@ -17,8 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .textkit import mix64, random_words
 
@@ -29,7 +31,7 @@ SAMPLE = 1000
 #: Centroids of a language.
 CLUSTERS = 4
 #: Factor on the largest training distance of a language.
-SLACK = 1.25
+SLACK = 1.5
 #: Languages that training accepts; the most frequent ones stay.
 LANGUAGES = 256
 UND = "und"
@@ -162,10 +164,17 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text", name: s
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most LANGUAGES * CLUSTERS vectors of DIM
 
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for s in texts:
-            yield pd.DataFrame([m.predict(t) for t in s], columns=["lang", "score", "rejected"])
-
-    return docs.withColumn(name, predict(F.col(text_col)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                got = [m.predict(t) for t in part.column(0).to_pylist()]
+                lang, score, gone = zip(*got, strict=True)
+                told = pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(gone, pa.bool_())], names=["lang", "score", "rejected"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], told], names=columns)
+
+    columns = [*docs.columns, name]
+    schema = StructType([*docs.schema.fields, StructField(name, StructType.fromDDL("lang string, score double, rejected boolean"))])
+    text = F.col(text_col).alias("_text")
+    return docs.select(text, *(F.col(f"`{c}`") for c in docs.columns)).mapInArrow(run, schema)
