@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .textkit import mix64, random_words
+from .textkit import mix64, random_words, worker_memory
 
 DIM = 4096
 ORDERS = (1, 2, 3)
@@ -166,6 +166,7 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text", name: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
+        worker_memory("langid")
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textkit import worker_memory
+
 #: Characters of a chunk.
 CHUNK = 1 << 16
 #: Chunks whose matrices are multiplied in one task before blocks are.
@@ -44,8 +46,6 @@ State = tuple[int, int]  # (characters before the edge, characters after it) of
 class Lattice:
     """Pieces of a model, their compatibility and the segmentation of strings."""
 
-    _open: dict[str, Lattice] = {}
-
     def __init__(self, path: str):
         import sentencepiece
 
@@ -77,9 +77,10 @@ class Lattice:
     @classmethod
     def of(cls, path: str) -> Lattice:
         """The worker's own, kept from task to task."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        kept = worker_memory("sentencepieces")
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def merge(self, text: str) -> list[str]:
         """Greedy merging of a short string: the best-scored neighbouring pair first, leftmost on ties."""

@@ -27,13 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import materialize, mix64, random_words
+from .textkit import materialize, mix64, random_words, worker_memory
 
 BITS = 64
 #: Most fingerprints that are compared in one bucket, about; 2**10, so a cut to 10 free bits always fits.
 BLOCK = 1024
 #: Of wide fingerprints: 64-bit words, tables and bits of a key.
-WIDE, TABLES, KEY_BITS = 4, 64, 24
+WIDE, TABLES, KEY_BITS = 4, 32, 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SALT = random_words(51, WIDE)
 #: The bits of each table's key, sampled by a fixed rule.
@@ -80,6 +80,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, w
     """(doc, fp) for every row, fp long or binary; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("simhash")
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

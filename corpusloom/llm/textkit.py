@@ -116,6 +116,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OWNED: dict[str, dict] = {}
+
+
+def worker_memory(owner: str) -> dict:
+    """What a Python worker keeps for an operator from task to task; what it kept for other operators goes."""
+    for other in [k for k in _OWNED if k != owner]:
+        del _OWNED[other]
+    return _OWNED.setdefault(owner, {})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .idcoder import decode_segment, segments
-from .textkit import shared_folder
+from .textkit import shared_folder, worker_memory
 
 #: Words of each of two generations whose ids a worker remembers.
 MEMO = 400_000
@@ -38,8 +38,6 @@ class WordTokenizer:
     tokenizer does.
     """
 
-    _open: dict[str, WordTokenizer] = {}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -51,9 +49,10 @@ class WordTokenizer:
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
         """The worker's own, kept from task to task."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        kept = worker_memory("token_files")
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def _learn(self, words: list[bytes]) -> None:
         if len(self.memo) > MEMO:
