@@ -43,14 +43,15 @@ def test_bit(df: DataFrame, bit: Column, table: DataFrame, name: str) -> DataFra
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, extra: list[Column]) -> tuple[DataFrame, DataFrame]:
     """Rows that are alone by length and prefix, and rows that need their full hash (with _sha)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *extra)
+    text = F.col("_text")
     length, prefix = F.octet_length(text), F.xxhash64(F.substring(text, 1, PREFIX))
     lengths = docs.select(length.alias("_len")).groupBy("_len").agg(F.count("*").alias("_n")).filter("_n > 1")
     second = docs.select(length.alias("_len"), prefix.alias("_pre")).groupBy("_len", "_pre").agg(F.count("*").alias("_n"))
     second = second.filter("_n > 1").join(lengths.select("_len"), "_len", "left_semi")
     table = bit_table(second, _bit(F.col("_len"), F.col("_pre")))
     flagged = test_bit(docs.withColumn("_len", length).withColumn("_pre", prefix), _bit(F.col("_len"), F.col("_pre")), table, "_maybe")
-    keep = [F.col(id_col).alias("_id"), F.col("_len"), *extra]
+    keep = ["_id", "_len", *docs.columns[2:]]
     alone = flagged.filter(~F.col("_maybe")).select(*keep)
     rest = flagged.filter("_maybe").select(*keep, F.sha2(text, 256).alias("_sha"))
     return alone, rest

@@ -130,13 +130,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     order = plan(sized_rows(docs, id_col, source_col, text_col), **options)
     times = order.groupBy("doc", "source", "size").agg(F.collect_list("position").alias("_at"), F.max("copy").alias("_copies"))
     times = times.select(F.col("doc").alias("_doc"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "_at", "_copies")
-    own = docs.withColumn("_size", size_of(F.col(text_col)))
-    on = F.col(id_col).eqNullSafe(F.col("_doc")) & F.col(source_col).eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_sz"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    own = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), size_of(F.col(text_col)).alias("_size"), row)
+    on = F.col("_id").eqNullSafe(F.col("_doc")) & F.col("_source").eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_sz"))
     rows = own.join(times, on)
-    rows = rows.filter("_copies = 1").unionByName(rows.filter("_copies > 1").dropDuplicates([id_col, source_col, "_size"]))
-    rows = rows.withColumn("_position", F.explode("_at"))
-    rows = rows.repartitionByRange(F.col("_position"), F.col(id_col)).sortWithinPartitions("_position", id_col)
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = rows.filter("_copies = 1").unionByName(rows.filter("_copies > 1").dropDuplicates(["_id", "_source", "_size"]))
+    rows = rows.select("_id", "_row", F.explode("_at").alias("_position"))
+    return rows.repartitionByRange("_position", "_id").sortWithinPartitions("_position", "_id").select("_row.*")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
