@@ -15,7 +15,10 @@ WORDS, RADIUS = 5, 46
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those the classifier rejects go."""
     model = langid.train(docs.select("doc_id", "text", "lang").filter(crc_bucket("doc_id", 5) != 0))
-    return langid.with_language(docs, model, name="_language").filter("NOT _language.rejected").drop("_language")
+    name = "language"
+    while name in docs.columns:
+        name += "_"
+    return langid.with_language(docs, model, name=name).filter(f"NOT `{name}`.rejected").drop(name)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
