@@ -6,8 +6,8 @@ Fingerprints come from word shingles; equal fingerprints collapse to one row. Ca
   the radius agree on at least two whole blocks, so there is one table for each pair of blocks. A bucket above ``BLOCK``
   fingerprints is cut again by further agreeing bits until it fits (``radius + 1`` sub-blocks of its free bits, of which
   one must agree), so no group is collected unbounded and no link is lost.
-* 256-bit fingerprints, wide radius (similarity 0.8 of texts is about 39 differing bits): ``TABLES`` tables of ``KEY_BITS``
-  sampled bits. A bucket above ``BLOCK`` is dealt to blocks by a hash that differs from table to table. Recall is measured
+* 256-bit fingerprints, wide radius (similarity 0.8 of texts is about 39 differing bits): ``TABLES`` tables of sampled bits,
+  as many as keep chance meetings in proportion to the input (four more than the logarithm of the fingerprints). A bucket above ``BLOCK`` is dealt to blocks by a hash that differs from table to table. Recall is measured
   in the tests; it isn't 1.
 
 In a bucket the fingerprints stand as bit planes; every fingerprint is compared with 64 others per machine word, distances
@@ -32,12 +32,12 @@ from .textkit import materialize, mix64, random_words, worker_memory
 BITS = 64
 #: Most fingerprints that are compared in one bucket, about; 2**10, so a cut to 10 free bits always fits.
 BLOCK = 1024
-#: Of wide fingerprints: 64-bit words, tables and bits of a key.
-WIDE, TABLES, KEY_BITS = 4, 32, 20
+#: Of wide fingerprints: 64-bit words, tables and most bits of a key.
+WIDE, TABLES, MOST_BITS = 4, 32, 40
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SALT = random_words(51, WIDE)
 #: The bits of each table's key, sampled by a fixed rule.
-_KEYS = np.array([np.argsort(random_words(61 + t, 64 * WIDE))[:KEY_BITS] for t in range(TABLES)])
+_KEYS = np.array([np.argsort(random_words(61 + t, 64 * WIDE))[:MOST_BITS] for t in range(TABLES)])
 
 
 def _shingles(text: str | None, words: int) -> np.ndarray:
@@ -250,13 +250,14 @@ def links(fps: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
 
 def wide_links(fps: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
     """Edges between nodes (node long, fp binary) within the radius that share a table's key."""
+    size = min(MOST_BITS, fps.count().bit_length() + 4)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = 1 << np.arange(KEY_BITS, dtype=np.int64)
+        weight = 1 << np.arange(size, dtype=np.int64)
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 8 * WIDE)
             bits = np.unpackbits(raw, axis=1, bitorder="little")
-            out = np.stack([bits[:, k].astype(np.int64) @ weight for k in _KEYS], axis=1)
+            out = np.stack([bits[:, k[:size]].astype(np.int64) @ weight for k in _KEYS], axis=1)
             node = np.repeat(batch.column(0).to_numpy(), TABLES)
             table = np.tile(np.arange(TABLES, dtype=np.int64), batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(table), pa.array(out.ravel()), pa.array(node)], names=["g1", "g2", "node"])
@@ -264,7 +265,7 @@ def wide_links(fps: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
     keyed = fps.select("node", "fp").mapInArrow(keys, "g1 long, g2 long, node long")
     joined = _crowded(keyed, "simhash-buckets")
     parts = F.ceil(F.col("n") / block)
-    salt = F.pmod(F.xxhash64("node", "g1"), parts) * (1 << KEY_BITS)
+    salt = F.pmod(F.xxhash64("node", "g1"), parts) * (1 << MOST_BITS)
     joined = joined.withColumn("g2", F.col("g2") + salt)
     prints = fps.select(F.col("node").alias("own"), "fp")
     return compared(joined.join(prints, F.col("node") == F.col("own")), radius).distinct()
