@@ -1,5 +1,6 @@
 """Operators against brute force, round trips and held-out accuracy; edge cases of every operator."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -45,6 +46,11 @@ def test_pieces_equal_library(spark, odd):
     want = {i: sp.encode(t or "") for i, t in enumerate(ODD)} | {None: sp.encode("null id")}
     assert all(list(r.ids) == want[r.doc] for r in got)
     assert all(sentencepieces.decode_ids(lattice, sp.encode(t)) == t for t in ODD if t)
+    for r in sentencepieces.round_trip(odd, PIECES, chunk=64).collect():
+        text = "null id" if r.doc_id is None else ODD[r.doc_id] or ""
+        raw = np.array(want[r.doc_id], "<u4").tobytes()
+        assert (r.n_tokens, r.ids_crc32, r.n_chars) == (len(want[r.doc_id]), zlib.crc32(raw), len(text))
+        assert r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_transfer_matrices_are_associative():
