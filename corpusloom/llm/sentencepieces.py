@@ -19,10 +19,12 @@ Ids equal those of the sentencepiece library. Decoding joins pieces, byte pieces
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,8 @@ class Lattice:
         usual = [not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)) for i in range(self.size)]
         self.ids = {p: i for i, p in enumerate(pieces) if usual[i]}
         self.rank = {p: (-self.model.get_score(i), i) for p, i in self.ids.items()}
+        #: The one string object of each piece that tables keep.
+        self.names = {p: p for p in self.ids}
         self.longest = max(map(len, self.ids))
         self.byte = {}
         for i, p in enumerate(pieces):
@@ -101,11 +105,11 @@ class Lattice:
             if self.held > 2 * _MEMO:
                 self.fits.clear()
                 self.held = 0
-            after = self.fits[a] = {}
+            after = self.fits[self.names.get(a, a)] = {}
         got = after.get(b)
         if got is None:
             self.held += 1
-            got = after[b] = self.merge(a + b) == [a, b]
+            got = after[self.names.get(b, b)] = self.merge(a + b) == [a, b]
         return got
 
     def whole(self, piece: str) -> bool:
@@ -319,30 +323,63 @@ def _lists(got: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*got, np.zeros(0, "<i4")]).astype(np.int32)))
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, ids array<int>) for every row.
+def _digests(lattice: Lattice, keys: pa.Array, got: list[np.ndarray]) -> pa.RecordBatch:
+    """Digests of each document's ids and of the text decoded from them."""
+    crc, chars, sha = [], [], []
+    for ids in got:
+        text = decode_ids(lattice, ids.tolist())
+        chars.append(len(text))
+        crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+        sha.append(hashlib.sha256(text.encode()).hexdigest())
+    count = pa.array([len(ids) for ids in got], pa.int64())
+    cols = [keys, count, pa.array(crc, pa.int64()), pa.array(chars, pa.int64()), pa.array(sha, pa.string())]
+    return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_crc32", "n_chars", "text_sha256"])
 
-    Null and empty texts have no ids. Documents of one chunk are encoded where they stand. Of giant ones, chunks
-    with their surroundings (the longest piece on both sides) are dealt out; matrices of ``GROUP`` chunks are
-    multiplied in a task, the products of a document in the next, and chunks are backtraced on their own.
-    Repeated rows and repeated ids stay apart by a row number drawn from the texts' order.
-    """
-    width = 16
-    base = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    giant = F.coalesce(F.length("text"), F.lit(0)) + 1 > chunk
 
-    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoder(model_path: str, chunk: int, out: Callable[[Lattice, pa.Array, list[np.ndarray]], pa.RecordBatch]):
+    """Encodes batches (doc, text) of documents of one chunk and hands keys and ids to ``out``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice.of(model_path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 got = [encode_text(lattice, t, chunk) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(got)], names=["doc", "ids"])
+                yield out(lattice, part.column(0), got)
+
+    return run
+
+
+def _divided(docs: DataFrame, id_col: str, text_col: str, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, text) of the documents of one chunk, and of giant ones."""
+    base = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    giant = F.coalesce(F.length("text"), F.lit(0)) + 1 > chunk
+    return base.filter(~giant), base.filter(giant)
+
 
-    doc_type = base.schema["doc"].dataType.simpleString()
-    few = base.filter(~giant).mapInArrow(small, f"doc {doc_type}, ids array<int>")
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """(doc, ids array<int>) for every row.
+
+    Null and empty texts have no ids. Documents of one chunk are encoded where they stand, giant ones by ``encode_giants``.
+    Repeated rows and repeated ids stay apart, for giant texts are encoded once for each different text.
+    """
+    few, giants = _divided(docs, id_col, text_col, chunk)
+
+    def listed(lattice: Lattice, keys: pa.Array, got: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys, _lists(got)], names=["doc", "ids"])
+
+    coded = few.mapInArrow(_encoder(model_path, chunk, listed), f"doc {few.schema['doc'].dataType.simpleString()}, ids array<int>")
+    return coded.unionByName(encode_giants(giants, model_path, chunk))
+
+
+def encode_giants(giants: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
+    """(doc, ids array<int>) of rows (doc, text), by the parallel scan.
 
-    big = base.filter(giant).withColumn("key", F.sha2(F.col("text"), 256))
+    Chunks with their surroundings (the longest piece on both sides) are dealt out; matrices of ``GROUP`` chunks are
+    multiplied in a task, the products of a document in the next, and chunks are backtraced on their own.
+    """
+    width = 16
+    big = giants.withColumn("key", F.sha2(F.col("text"), 256))
     once = big.groupBy("key").agg(F.first("text").alias("text"))
     s = F.concat(F.lit(SPACE), F.translate("text", " ", SPACE))
     cut = once.select("key", s.alias("s"), F.length(s).alias("n"))
@@ -355,8 +392,6 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     )
     cut = cut.withColumn("s", F.when(F.col("last"), F.substring(F.col("s"), F.lit(1), F.col("hi"))).otherwise(F.substring(F.col("s"), F.lit(1), F.col("hi") + width)))
     cut = cut.repartition("key", "k")
-    import json
-
     load = lambda x: {tuple(k): [tuple(e) for e in v] for k, v in json.loads(x)}
     dump = lambda m: json.dumps([[k, v] for k, v in sorted(m.items())])
 
@@ -409,34 +444,25 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
 
     traced = cut.join(chains, ["key", "k"]).mapInPandas(trace, "key string, k int, ids array<int>")
     whole = traced.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda c: c["ids"])).alias("ids"))
-    return few.unionByName(big.select("doc", "key").join(whole, "key").select("doc", "ids"))
+    return big.select("doc", "key").join(whole, "key").select("doc", "ids")
 
 
-def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, n_chars, text_sha256) of ids and of the text decoded from them.
 
     ids_crc32 is the unsigned CRC-32 of the ids as little-endian 32-bit integers. Null and empty texts have no ids
     and decode to the empty text; every other text decodes to itself, but that U+2581 becomes a space.
     """
-    import hashlib
-
-    coded = encode_documents(docs, model_path, id_col, text_col)
-    doc_type = coded.schema["doc"].dataType.simpleString()
-    schema = f"doc_id {doc_type}, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string"
+    few, giants = _divided(docs, id_col, text_col, chunk)
+    schema = f"doc_id {few.schema['doc'].dataType.simpleString()}, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice.of(model_path)
         for batch in batches:
-            crc, chars, sha, count = [], [], [], []
             lists = batch.column(1)
             ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            for a, b in zip(ends, ends[1:], strict=False):
-                values = flat[a:b]
-                text = decode_ids(lattice, values.tolist())
-                count.append(len(values)), chars.append(len(text))
-                crc.append(zlib.crc32(values.astype("<u4").tobytes()))
-                sha.append(hashlib.sha256(text.encode()).hexdigest())
-            cols = [batch.column(0), pa.array(count, pa.int64()), pa.array(crc, pa.int64()), pa.array(chars, pa.int64()), pa.array(sha, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_crc32", "n_chars", "text_sha256"])
-
-    return coded.mapInArrow(decode, schema)
+            yield _digests(lattice, batch.column(0), [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)])
+
+    # A worker that has a document's ids decodes them too: no second worker with a lattice of its own.
+    small = few.mapInArrow(_encoder(model_path, chunk, _digests), schema)
+    return small.unionByName(encode_giants(giants, model_path, chunk).mapInArrow(decode, schema))

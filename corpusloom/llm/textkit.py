@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -121,8 +122,12 @@ _OWNED: dict[str, dict] = {}
 
 def worker_memory(owner: str) -> dict:
     """What a Python worker keeps for an operator from task to task; what it kept for other operators goes."""
-    for other in [k for k in _OWNED if k != owner]:
+    others = [k for k in _OWNED if k != owner]
+    for other in others:
         del _OWNED[other]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     return _OWNED.setdefault(owner, {})
 
 
