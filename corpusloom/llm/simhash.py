@@ -6,9 +6,11 @@ Fingerprints come from word shingles; equal fingerprints collapse to one row. Ca
   the radius agree on at least two whole blocks, so there is one table for each pair of blocks. A bucket above ``BLOCK``
   fingerprints is cut again by further agreeing bits until it fits (``radius + 1`` sub-blocks of its free bits, of which
   one must agree), so no group is collected unbounded and no link is lost.
-* 256-bit fingerprints, wide radius (similarity 0.8 of texts is about 39 differing bits): ``TABLES`` tables of sampled bits,
-  as many as keep chance meetings in proportion to the input (four more than the logarithm of the fingerprints). A bucket above ``BLOCK`` is dealt to blocks by a hash that differs from table to table. Recall is measured
-  in the tests; it isn't 1.
+* 256-bit fingerprints, wide radius (similarity 0.8 of texts is about 39 differing bits): ``TABLES`` tables, each keyed by
+  ``KEY_BITS`` sampled bits, whatever the number of fingerprints. Two texts of similarity 0.8 agree on a bit with probability
+  0.85 and so meet in some table with probability 0.97; of those that meet the radius keeps nine in ten. A bucket above
+  ``BLOCK`` gets as many more bits of its table as should bring it under, which costs recall only there; what is still above
+  (copies that differ in few bits) is dealt to blocks by a hash that differs from table to table.
 
 In a bucket the fingerprints stand as bit planes; every fingerprint is compared with 64 others per machine word, distances
 are kept in carry-save bit counters, and a word of 64 is abandoned as soon as all of it is beyond the radius. Links leave
@@ -32,8 +34,10 @@ from .textkit import materialize, mix64, random_words, worker_memory
 BITS = 64
 #: Most fingerprints that are compared in one bucket, about; 2**10, so a cut to 10 free bits always fits.
 BLOCK = 1024
-#: Of wide fingerprints: 64-bit words, tables and most bits of a key.
-WIDE, TABLES, MOST_BITS = 4, 32, 40
+#: Of wide fingerprints: 64-bit words, tables, bits of a key and most bits of a crowded one.
+WIDE, TABLES, KEY_BITS, MOST_BITS = 4, 48, 16, 40
+#: So many crowded buckets (16 bytes each) are broadcast at most; more are joined by a shuffle.
+FEW_BUCKETS = 100_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SALT = random_words(51, WIDE)
 #: The bits of each table's key, sampled by a fixed rule.
@@ -96,7 +100,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, w
 
 
 def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of rows of one group within ``radius``; ``fps`` is n x words, groups begin at ``starts``.
+    """Pairs (i, j), i > j, of rows of one group within ``radius``; ``fps`` is n x words, groups begin at ``starts``.
 
     ``planes[b]`` holds bit b of all fingerprints, 64 to a word. A lane is a fingerprint against one word of its
     group. The counters are bit-sliced too: counter plane c has bit c of every running distance.
@@ -108,19 +112,21 @@ def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tupl
     pad[:n] = np.unpackbits(np.ascontiguousarray(fps).astype("<u8").view(np.uint8).reshape(n, 8 * wide), axis=1, bitorder="little")
     planes = np.ascontiguousarray(np.packbits(np.ascontiguousarray(pad.T), axis=1, bitorder="little")).view("<u8")
     group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
-    ends = np.append(starts[1:], n)
-    first, last = starts[group] // 64, (ends[group] - 1) // 64
+    begin, own = starts[group], np.arange(n)
+    first = begin // 64
+    words = np.where(own > begin, (own - 1) // 64 - first + 1, 0)  # those that hold earlier rows of the group
     depth = (radius + 1).bit_length()
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
     lo = 0
     while lo < n:
-        lanes = np.cumsum(last[lo:] - first[lo:] + 1)
-        hi = lo + max(1, int(np.searchsorted(lanes, 1 << 14)))
-        count = last[lo:hi] - first[lo:hi] + 1
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(words[lo:]), 1 << 14)))
+        count = words[lo:hi]
         r = np.repeat(np.arange(lo, hi), count)
         w = np.repeat(first[lo:hi], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         lo = hi
-        far = np.zeros(len(r), dtype=np.uint64)
+        below = np.maximum(begin[r] - 64 * w, 0).astype(np.uint64)
+        above = np.maximum(64 * w + 64 - r, 0).astype(np.uint64)
+        far = ~((full << below) & (full >> above))  # other groups' rows, the row itself and later ones
         counter = [np.zeros(len(r), dtype=np.uint64) for _ in range(depth)]
         for b in range(total):
             carry = planes[b][w] ^ (np.uint64(0) - pad[r, b].astype(np.uint64))
@@ -143,15 +149,13 @@ def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tupl
                     counter = [c[live] for c in counter]
         near = np.unpackbits((~far).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         k, bit = np.nonzero(near)
-        i, j = r[k], w[k] * 64 + bit
-        ok = (j < n) & (group[np.minimum(j, n - 1)] == group[i])
-        yield i[ok], j[ok]
+        yield r[k], w[k] * 64 + bit
 
 
 def components(fps: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
     """For each row the first row of its component: links join rows of one group."""
     label = np.arange(len(fps))
-    pairs = [(a[a > b], b[a > b]) for a, b in adjacency(fps, starts, radius)]
+    pairs = list(adjacency(fps, starts, radius))
     changed = bool(pairs)
     while changed:
         before = label.copy()
@@ -248,27 +252,42 @@ def links(fps: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
         rows = big.select("fp", "g1").join(F.broadcast(finer), "g1").select("fp", F.col("finer").alias("g1"))
 
 
+def _buckets(keyed: DataFrame, block: int) -> tuple[DataFrame, bool]:
+    """(g1, g2, n) of the buckets above ``block``, for a join; and whether there are any."""
+    crowded = materialize(keyed.groupBy("g1", "g2").agg(F.count("*").alias("n")).filter(F.col("n") > block), "simhash-crowded")
+    count = crowded.count()
+    return F.broadcast(crowded) if count <= FEW_BUCKETS else crowded, count > 0
+
+
 def wide_links(fps: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
     """Edges between nodes (node long, fp binary) within the radius that share a table's key."""
-    size = min(MOST_BITS, fps.count().bit_length() + 4)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = 1 << np.arange(size, dtype=np.int64)
+        weight = 1 << np.arange(MOST_BITS, dtype=np.int64)
         for batch in batches:
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 8 * WIDE)
-            bits = np.unpackbits(raw, axis=1, bitorder="little")
-            out = np.stack([bits[:, k[:size]].astype(np.int64) @ weight for k in _KEYS], axis=1)
-            node = np.repeat(batch.column(0).to_numpy(), TABLES)
-            table = np.tile(np.arange(TABLES, dtype=np.int64), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(table), pa.array(out.ravel()), pa.array(node)], names=["g1", "g2", "node"])
-
-    keyed = fps.select("node", "fp").mapInArrow(keys, "g1 long, g2 long, node long")
-    joined = _crowded(keyed, "simhash-buckets")
-    parts = F.ceil(F.col("n") / block)
-    salt = F.pmod(F.xxhash64("node", "g1"), parts) * (1 << MOST_BITS)
-    joined = joined.withColumn("g2", F.col("g2") + salt)
-    prints = fps.select(F.col("node").alias("own"), "fp")
-    return compared(joined.join(prints, F.col("node") == F.col("own")), radius).distinct()
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(part.num_rows, 8 * WIDE)
+                bits = np.unpackbits(raw, axis=1, bitorder="little")
+                table = np.repeat(np.arange(TABLES, dtype=np.int64), part.num_rows)
+                key = np.concatenate([bits[:, k].astype(np.int64) @ weight for k in _KEYS])
+                again = pa.array(np.tile(np.arange(part.num_rows), TABLES))
+                columns = [pa.array(table), pa.array(key), part.column(0).take(again), part.column(1).take(again)]
+                yield pa.RecordBatch.from_arrays(columns, names=["g1", "key", "node", "fp"])
+
+    keyed = fps.select("node", "fp").mapInArrow(keys, "g1 long, key long, node long, fp binary")
+    rows = keyed.withColumn("g2", F.col("key").bitwiseAND((1 << KEY_BITS) - 1))
+    crowded, some = _buckets(rows, block)
+    if some:
+        more = f"least({MOST_BITS - KEY_BITS}, cast(ceil(log2(2.0 * n / {block})) AS int))"
+        longer = F.expr(f"(key & (shiftleft(1L, {KEY_BITS} + {more}) - 1)) | shiftleft(cast({more} AS bigint), 48)")
+        deep = rows.join(crowded, ["g1", "g2"]).withColumn("g2", longer).drop("n")
+        rows = rows.join(crowded, ["g1", "g2"], "left").withColumn("g2", F.when(F.col("n").isNull(), F.col("g2")).otherwise(longer)).drop("n")
+        crowded, some = _buckets(deep, block)
+        if some:
+            salt = F.pmod(F.xxhash64("node", "g1"), F.ceil(F.col("n") / block))
+            rows = rows.join(crowded, ["g1", "g2"], "left").withColumn("g1", F.col("g1") + F.coalesce(salt, F.lit(0)) * TABLES)
+    return compared(rows, radius).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -308,6 +327,8 @@ def simhash_groups(
     classes = prints.groupBy("fp").agg(F.min("doc").alias("least"))
     node = F.xxhash64("fp") if wide else F.col("fp")
     classes = classes.withColumn("node", node)
+    if wide:
+        classes = materialize(classes, "simhash-classes")
     roots = connected(wide_links(classes, radius) if wide else links(classes.select("fp"), radius))
     roots = roots.withColumnRenamed("node", "of")
     named = classes.join(roots, F.col("node") == F.col("of"), "left")
