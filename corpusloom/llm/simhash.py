@@ -34,14 +34,16 @@ from .textkit import materialize, mix64, random_words, worker_memory
 BITS = 64
 #: Most fingerprints that are compared in one bucket, about; 2**10, so a cut to 10 free bits always fits.
 BLOCK = 1024
-#: Of wide fingerprints: 64-bit words, tables, bits of a key and most bits of a crowded one.
-WIDE, TABLES, KEY_BITS, MOST_BITS = 4, 48, 16, 40
+#: Of wide fingerprints: 64-bit words, tables and bits of a key.
+WIDE, TABLES, KEY_BITS = 4, 48, 16
+#: Wide fingerprints of a block of a crowded bucket, about.
+CELL = 2048
 #: So many crowded buckets (16 bytes each) are broadcast at most; more are joined by a shuffle.
 FEW_BUCKETS = 100_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SALT = random_words(51, WIDE)
 #: The bits of each table's key, sampled by a fixed rule.
-_KEYS = np.array([np.argsort(random_words(61 + t, 64 * WIDE))[:MOST_BITS] for t in range(TABLES)])
+_KEYS = np.array([np.argsort(random_words(61 + t, 64 * WIDE))[:KEY_BITS] for t in range(TABLES)])
 
 
 def _shingles(text: str | None, words: int) -> np.ndarray:
@@ -152,6 +154,35 @@ def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tupl
         yield r[k], w[k] * 64 + bit
 
 
+def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels after the links (a, b) join components, and the numbers of those links that joined two: a spanning forest."""
+    used = [np.zeros(0, dtype=np.int64)]
+    while True:
+        x, y = label[a], label[b]
+        apart = np.flatnonzero(x != y)
+        if not len(apart):
+            return label, np.concatenate(used)
+        high, low = np.maximum(x, y)[apart], np.minimum(x, y)[apart]
+        order = np.lexsort((low, high))
+        kinds, at = np.unique(high[order], return_index=True)
+        parent = np.arange(len(label))
+        parent[kinds] = low[order][at]
+        used.append(apart[order[at]])
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label = parent[label]
+
+
+def forest(fps: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) within ``radius`` that span each component of each group; memory doesn't grow with the number of links."""
+    label, links = np.arange(len(fps)), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for a, b in adjacency(fps, starts, radius):
+        label, at = _united(label, a, b)
+        links.append((a[at], b[at]))
+    a, b = (np.concatenate(x) for x in zip(*links, strict=True))
+    return a, b
+
+
 def components(fps: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
     """For each row the first row of its component: links join rows of one group."""
     label = np.arange(len(fps))
@@ -170,7 +201,8 @@ def components(fps: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
 def compared(rows: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) within the groups (g1, g2) of ``rows``, which also have node long and fp binary (the node if not).
 
-    A task streams its sorted groups and compares about 4096 rows of whole groups at a time.
+    A task streams its sorted groups and compares about 4096 rows of whole groups at a time. Edges of wide fingerprints are
+    links within the radius, those of others lead to the least member.
     """
     wide = "fp" in rows.columns
 
@@ -188,9 +220,13 @@ def compared(rows: DataFrame, radius: int) -> DataFrame:
                 return None
             starts = np.concatenate([[0], cut[cut < stop]]).astype(np.int64)
             node = node[:stop]
-            label = components(raw[:stop], starts, radius)
-            move = label != np.arange(stop)
-            return pa.RecordBatch.from_arrays([pa.array(node[move]), pa.array(node[label[move]])], names=["a", "b"])
+            if wide:
+                a, b = forest(raw[:stop], starts, radius)
+            else:
+                label = components(raw[:stop], starts, radius)
+                a = np.flatnonzero(label != np.arange(stop))
+                b = label[a]
+            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
@@ -259,11 +295,11 @@ def _buckets(keyed: DataFrame, block: int) -> tuple[DataFrame, bool]:
     return F.broadcast(crowded) if count <= FEW_BUCKETS else crowded, count > 0
 
 
-def wide_links(fps: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
-    """Edges between nodes (node long, fp binary) within the radius that share a table's key."""
+def wide_links(fps: DataFrame, radius: int, block: int = CELL) -> DataFrame:
+    """Edges that join all nodes (node long, fp binary) within the radius that share a table's key; each is such a link."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = 1 << np.arange(MOST_BITS, dtype=np.int64)
+        weight = 1 << np.arange(KEY_BITS, dtype=np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
@@ -273,20 +309,18 @@ def wide_links(fps: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
                 key = np.concatenate([bits[:, k].astype(np.int64) @ weight for k in _KEYS])
                 again = pa.array(np.tile(np.arange(part.num_rows), TABLES))
                 columns = [pa.array(table), pa.array(key), part.column(0).take(again), part.column(1).take(again)]
-                yield pa.RecordBatch.from_arrays(columns, names=["g1", "key", "node", "fp"])
+                yield pa.RecordBatch.from_arrays(columns, names=["g1", "g2", "node", "fp"])
 
-    keyed = fps.select("node", "fp").mapInArrow(keys, "g1 long, key long, node long, fp binary")
-    rows = keyed.withColumn("g2", F.col("key").bitwiseAND((1 << KEY_BITS) - 1))
+    rows = fps.select("node", "fp").mapInArrow(keys, "g1 long, g2 long, node long, fp binary")
     crowded, some = _buckets(rows, block)
     if some:
-        more = f"least({MOST_BITS - KEY_BITS}, cast(ceil(log2(2.0 * n / {block})) AS int))"
-        longer = F.expr(f"(key & (shiftleft(1L, {KEY_BITS} + {more}) - 1)) | shiftleft(cast({more} AS bigint), 48)")
-        deep = rows.join(crowded, ["g1", "g2"]).withColumn("g2", longer).drop("n")
-        rows = rows.join(crowded, ["g1", "g2"], "left").withColumn("g2", F.when(F.col("n").isNull(), F.col("g2")).otherwise(longer)).drop("n")
-        crowded, some = _buckets(deep, block)
-        if some:
-            salt = F.pmod(F.xxhash64("node", "g1"), F.ceil(F.col("n") / block))
-            rows = rows.join(crowded, ["g1", "g2"], "left").withColumn("g1", F.col("g1") + F.coalesce(salt, F.lit(0)) * TABLES)
+        blocks = F.ceil(F.col("n") / block)
+        own = F.pmod(F.xxhash64("node"), blocks)
+        cell = lambda j: F.col("g2") + F.shiftleft(F.least(own, j), KEY_BITS) + F.shiftleft(F.greatest(own, j), KEY_BITS + 24)
+        others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: j != own)
+        rows = rows.join(crowded, ["g1", "g2"], "left")
+        cells = F.when(F.col("n").isNull(), F.array("g2")).otherwise(F.transform(others, cell))
+        rows = rows.select("g1", F.explode(cells).alias("g2"), "node", "fp")
     return compared(rows, radius).distinct()
 
 

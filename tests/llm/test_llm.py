@@ -195,6 +195,22 @@ def test_wide_links(spark, block):
     assert all(root.get(i, i) == i % 12 for i in range(600))
 
 
+def test_crowded_bucket_loses_no_pair(spark):
+    """Texts in two halves of one bucket: a pair is found however many others share its keys."""
+    r = np.random.default_rng(6)
+    common = np.unique(simhash._KEYS[0][:16])
+    shared, rows, pairs = r.random(256) < 0.5, [], []
+    for i in range(400):  # all agree in table 0 only, pairs differ in 40 of the other bits
+        bits = r.random(256) < 0.5
+        bits[common] = shared[common]
+        other = bits.copy()
+        other[r.choice(np.setdiff1d(np.arange(256), common), 40, replace=False)] ^= True
+        rows += [(2 * i, bits), (2 * i + 1, other)]
+    rows = [(i, bytearray(np.packbits(b, bitorder="little").tobytes())) for i, b in rows]
+    edges = {(max(e), min(e)) for e in simhash.wide_links(spark.createDataFrame(rows, "node long, fp binary"), 46, 50).collect()}
+    assert edges == {(2 * i + 1, 2 * i) for i in range(400)}
+
+
 def test_wide_recall(spark):
     """Pairs of similarity 0.8 to 0.86, just over the threshold."""
     r, rows, pairs = random.Random(3), [], 0
