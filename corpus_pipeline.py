@@ -8,8 +8,9 @@ from corpusloom.llm import exact_dedup, langid, mixing, sentencepieces, simhash
 from corpusloom.llm.queries import PIECES, tokenizer_path
 from corpusloom.llm.textkit import crc_bucket, materialize, read_table
 
-#: Near duplicates of the pipeline: shingles of five words; 46 of 256 differing bits catch a similarity of 0.8.
-WORDS, RADIUS = 5, 46
+#: Near duplicates of the pipeline: shingles of five words; 56 of 256 differing bits are candidates, which an exact check
+#: of the shingles for a similarity of 0.8 joins or not.
+WORDS, RADIUS = 5, 56
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,11 @@ Fingerprints come from word shingles; equal fingerprints collapse to one row. Ca
 
 In a bucket the fingerprints stand as bit planes; every fingerprint is compared with 64 others per machine word, distances
 are kept in carry-save bit counters, and a word of 64 is abandoned as soon as all of it is beyond the radius. Links leave
-a bucket as one edge from each member to the least member of its component, never as all pairs. Components are then joined
-by alternating star contraction over edge tables in the shared folder.
+a bucket as one edge from each member to the least member of its component, never as all pairs; of wide fingerprints, as a
+spanning forest of links. These are checked on the texts: only a Jaccard similarity of the shingle sets of at least
+``similarity`` joins. Where a link of a component fails, its members are compared again and every link between parts that
+aren't joined yet is checked, so the result is that of checking all links. Components are then joined by alternating star
+contraction over edge tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -44,6 +47,7 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SALT = random_words(51, WIDE)
 #: The bits of each table's key, sampled by a fixed rule.
 _KEYS = np.array([np.argsort(random_words(61 + t, 64 * WIDE))[:KEY_BITS] for t in range(TABLES)])
+_KEY_MASKS = np.array([np.packbits(np.isin(np.arange(64 * WIDE), k), bitorder="little").view("<u8") for k in _KEYS])
 
 
 def _shingles(text: str | None, words: int) -> np.ndarray:
@@ -82,8 +86,13 @@ def wide_fingerprint(text: str | None, words: int = 5) -> np.ndarray:
     return np.concatenate([_majority(mix64(hashes ^ salt).astype("<u8")) for salt in _SALT])
 
 
+def _digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(np.unique(hashes).tobytes())
+
+
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, wide: bool) -> DataFrame:
-    """(doc, fp) for every row, fp long or binary; null text counts as empty."""
+    """(doc, fp) for every row; null text counts as empty. fp is long or, if wide, the fingerprint and a digest of the set of
+    shingles, as texts of one fingerprint may differ in these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_memory("simhash")
@@ -92,13 +101,14 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, w
                 part = batch.slice(lo, 256)
                 texts = part.column(1).to_pylist()
                 if wide:
-                    fps = pa.array([wide_fingerprint(t, words).tobytes() for t in texts], pa.binary())
+                    fps = pa.array([wide_fingerprint(t, words).tobytes() + _digest(_shingles(t, words)) for t in texts], pa.binary())
                 else:
                     fps = pa.array(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), fps], names=["doc", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), fps, *part.columns[2:]], names=["doc", "fp", *also])
 
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fp {'binary' if wide else 'long'}")
+    also = ["row"] if wide else []
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), *(F.xxhash64(F.col(text_col)).alias(c) for c in also))
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fp {'binary, row long' if wide else 'long'}")
 
 
 def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -198,35 +208,54 @@ def components(fps: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
     return label
 
 
+def _first_table(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The first table whose key two fingerprints share."""
+    out = np.full(len(x), TABLES)
+    for t in reversed(range(TABLES)):
+        out[(((x ^ y) & _KEY_MASKS[t]) == 0).all(axis=1)] = t
+    return out
+
+
 def compared(rows: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) within the groups (g1, g2) of ``rows``, which also have node long and fp binary (the node if not).
 
     A task streams its sorted groups and compares about 4096 rows of whole groups at a time. Edges of wide fingerprints are
-    links within the radius, those of others lead to the least member.
+    links within the radius, those of others lead to the least member. If ``rows`` have a root long, edges are all the links
+    between nodes of different roots, each from the first table where they meet.
     """
-    wide = "fp" in rows.columns
+    wide, every = "fp" in rows.columns, "root" in rows.columns
+
+    def all_links(fps: np.ndarray, starts: np.ndarray, node: np.ndarray, root: np.ndarray, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a, b in adjacency(fps, starts, radius):
+            apart = root[a] != root[b]
+            a, b = a[apart], b[apart]
+            own = _first_table(fps[a], fps[b]) == table[a]
+            yield pa.RecordBatch.from_arrays([pa.array(node[a[own]]), pa.array(node[b[own]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush(upto: bool):
-            group, node, raw = (np.concatenate(x) for x in zip(*held, strict=True))
+            group, node, raw, root = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             cut = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
             stop = len(node) if not upto else int(cut[-1]) if len(cut) else 0
             if stop < len(node):
-                held.append((group[stop:], node[stop:], raw[stop:]))
+                held.append((group[stop:], node[stop:], raw[stop:], root[stop:]))
             if not stop:
-                return None
+                return
             starts = np.concatenate([[0], cut[cut < stop]]).astype(np.int64)
             node = node[:stop]
+            if every:
+                yield from all_links(raw[:stop], starts, node, root, group[:, 0])
+                return
             if wide:
                 a, b = forest(raw[:stop], starts, radius)
             else:
                 label = components(raw[:stop], starts, radius)
                 a = np.flatnonzero(label != np.arange(stop))
                 b = label[a]
-            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
@@ -234,13 +263,13 @@ def compared(rows: DataFrame, radius: int) -> DataFrame:
                 g = np.stack([part.column(0).to_numpy(), part.column(1).to_numpy()], axis=1)
                 node = part.column(2).to_numpy()
                 raw = np.frombuffer(b"".join(part.column(3).to_pylist()), dtype="<u8") if wide else node.view("<u8")
-                held.append((g, node, raw.reshape(len(g), -1)))
-                if sum(len(h[1]) for h in held) >= 4096 and (out := flush(True)) is not None:
-                    yield out
-        if held and (out := flush(False)) is not None:
-            yield out
+                held.append((g, node, raw.reshape(len(g), -1), part.column(4).to_numpy() if every else node))
+                if sum(len(h[1]) for h in held) >= 4096:
+                    yield from flush(True)
+        if held:
+            yield from flush(False)
 
-    rows = rows.select("g1", "g2", "node", *(["fp"] if wide else [])).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "node")
+    rows = rows.select("g1", "g2", "node", *(["fp"] if wide else []), *(["root"] if every else [])).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "node")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -296,7 +325,9 @@ def _buckets(keyed: DataFrame, block: int) -> tuple[DataFrame, bool]:
 
 
 def wide_links(fps: DataFrame, radius: int, block: int = CELL) -> DataFrame:
-    """Edges that join all nodes (node long, fp binary) within the radius that share a table's key; each is such a link."""
+    """Edges that join all nodes (node long, fp binary) within the radius that share a table's key; each is such a link.
+    With a column root long: all such links between nodes of different roots."""
+    also = ["root"] if "root" in fps.columns else []
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = 1 << np.arange(KEY_BITS, dtype=np.int64)
@@ -308,10 +339,11 @@ def wide_links(fps: DataFrame, radius: int, block: int = CELL) -> DataFrame:
                 table = np.repeat(np.arange(TABLES, dtype=np.int64), part.num_rows)
                 key = np.concatenate([bits[:, k].astype(np.int64) @ weight for k in _KEYS])
                 again = pa.array(np.tile(np.arange(part.num_rows), TABLES))
-                columns = [pa.array(table), pa.array(key), part.column(0).take(again), part.column(1).take(again)]
-                yield pa.RecordBatch.from_arrays(columns, names=["g1", "g2", "node", "fp"])
+                columns = [pa.array(table), pa.array(key), *(c.take(again) for c in part.columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=["g1", "g2", "node", "fp", *also])
 
-    rows = fps.select("node", "fp").mapInArrow(keys, "g1 long, g2 long, node long, fp binary")
+    rows = fps.select("node", F.substring("fp", 1, 8 * WIDE).alias("fp"), *also)
+    rows = rows.mapInArrow(keys, "g1 long, g2 long, node long, fp binary" + "".join(f", {c} long" for c in also))
     crowded, some = _buckets(rows, block)
     if some:
         blocks = F.ceil(F.col("n") / block)
@@ -320,7 +352,7 @@ def wide_links(fps: DataFrame, radius: int, block: int = CELL) -> DataFrame:
         others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: j != own)
         rows = rows.join(crowded, ["g1", "g2"], "left")
         cells = F.when(F.col("n").isNull(), F.array("g2")).otherwise(F.transform(others, cell))
-        rows = rows.select("g1", F.explode(cells).alias("g2"), "node", "fp")
+        rows = rows.select("g1", F.explode(cells).alias("g2"), "node", "fp", *also)
     return compared(rows, radius).distinct()
 
 
@@ -348,22 +380,74 @@ def connected(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= FEW_BUCKETS else df
+
+
+def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, set array<long>) for the nodes of ``wanted`` (node, row): the shingles of the text whose xxhash64 is row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("simhash")
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                sets = [np.unique(_shingles(t, words)).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+
+    rows = docs.select(F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text")).join(_few(wanted), "row")
+    return materialize(rows.select("node", "text").mapInArrow(run, "node long, set array<long>").dropDuplicates(["node"]), "simhash-sets")
+
+
+def checked(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``edges`` (a, b) with ok: whether the Jaccard similarity of the two sets is at least ``similarity``."""
+    one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
+    both = F.size(F.array_intersect("x", "y"))
+    ok = both >= similarity * (F.size("x") + F.size("y") - both) - 1e-9
+    return materialize(edges.join(one, "a").join(two, "b").select("a", "b", ok.alias("ok")), "simhash-checked")
+
+
+def verified_links(classes: DataFrame, docs: DataFrame, text_col: str, words: int, radius: int, similarity: float) -> DataFrame:
+    """Edges that join all ``classes`` (node, fp, row) which share a table's key, are within the radius and of at least ``similarity``."""
+    first = materialize(wide_links(classes, radius), "simhash-candidates")
+    nodes = _few(first.select(F.col("a").alias("node")).union(first.select("b")).distinct())
+    sets = shingle_sets(docs, text_col, materialize(classes.join(nodes, "node").select("node", "row"), "simhash-wanted"), words)
+    found = checked(first, sets, similarity)
+    good = found.filter("ok").select("a", "b")
+    failed = found.filter("NOT ok").select("a").distinct()
+    if failed.isEmpty():
+        return good
+    candidates = connected(first)
+    torn = candidates.join(failed, candidates["node"] == failed["a"]).select(F.col("root").alias("torn")).distinct()
+    members = materialize(candidates.join(torn, candidates["root"] == torn["torn"]).select("node"), "simhash-torn")
+    parts = connected(good).toDF("of", "part")
+    again = members.join(parts, F.col("node") == F.col("of"), "left").select("node", F.coalesce("part", "node").alias("root"))
+    again = materialize(classes.join(_few(materialize(again, "simhash-torn")), "node").select("node", "fp", "root"), "simhash-torn")
+    found = checked(wide_links(again, radius), sets, similarity)
+    return good.union(found.filter("ok").select("a", "b"))
+
+
 def simhash_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2, wide: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2, wide: bool = False,
+    similarity: float = 0.8,
 ) -> DataFrame:
-    """(doc, fp, component) for every row of ``docs``.
+    """(doc, fp, component) for every row of ``docs``; if wide, links are of texts of at least ``similarity``.
 
     Defined results: null text and text without words get fingerprint 0 and link like any other; repeated rows and equal
     texts share a component; a null id takes part, but a component's name is its least non-null id (null if it has none);
     no rows give no rows. Only the two named columns are read, so other columns may have any names.
     """
     prints = materialize(with_fingerprints(docs, id_col, text_col, words, wide), "simhash-prints")
-    classes = prints.groupBy("fp").agg(F.min("doc").alias("least"))
+    classes = prints.groupBy("fp").agg(F.min("doc").alias("least"), *([F.min("row").alias("row")] if wide else []))
     node = F.xxhash64("fp") if wide else F.col("fp")
     classes = classes.withColumn("node", node)
     if wide:
         classes = materialize(classes, "simhash-classes")
-    roots = connected(wide_links(classes, radius) if wide else links(classes.select("fp"), radius))
+    if wide:
+        edges = verified_links(classes, docs, text_col, words, radius, similarity)
+    else:
+        edges = links(classes.select("fp"), radius)
+    roots = connected(edges)
     roots = roots.withColumnRenamed("node", "of")
     named = classes.join(roots, F.col("node") == F.col("of"), "left")
     named = materialize(named.select("fp", "least", F.coalesce("root", "node").alias("root")), "simhash-classes")
@@ -373,7 +457,7 @@ def simhash_groups(
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 46, wide: bool = True
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 56, wide: bool = True
 ) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group (of rows that repeat an id, all
     stay; rows with a null id stay only in components without any id)."""

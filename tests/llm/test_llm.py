@@ -229,6 +229,25 @@ def test_wide_recall(spark):
     assert len(set(component.values())) >= 150
 
 
+def test_wide_links_are_verified(spark):
+    """Links of under 0.8 don't join, be it by the radius, by equal fingerprints or through a chain; those of 0.8 do."""
+    rows, want, sets = [], [], []
+    for i in range(60):
+        w, k = prose(200, 3000 + i).split(), 2 + i % 5  # 2 to 6 changed words: similarity 0.90 to 0.73
+        v = [f"zz{j}" if j % 33 == 16 and j // 33 < k else x for j, x in enumerate(w)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    junk = " ".join(["spam"] * 3000)
+    rows += [(500, junk), (501, junk + " " + prose(60, 9)), (502, junk + " " + prose(60, 10))]
+    for i, t in rows:
+        w = t.split()
+        sets.append((i, {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
+    want = {(a, b) for a, x in sets for b, y in sets if a < b and 5 * len(x & y) >= 4 * len(x | y)}
+    groups = simhash.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string"), words=5, radius=56, wide=True).collect()
+    component = {x.doc: x.component for x in groups}
+    assert 0 < len(want) < 60
+    assert {(a, b) for a in component for b in component if a < b and component[a] == component[b]} == want
+
+
 def test_licenses(spark, odd):
     index = licenses.Index(licenses.TEMPLATES)
     noisy = licenses.TEMPLATES["mit"].replace("persons", "people").replace("deal in", "deal freely in")
