@@ -90,8 +90,8 @@ def _digest(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(np.unique(hashes).tobytes())
 
 
-def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, wide: bool) -> DataFrame:
-    """(doc, fp) for every row; null text counts as empty. fp is long or, if wide, the fingerprint and a digest of the set of
+def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, wide: bool, keyed: bool = False) -> DataFrame:
+    """(doc, fp) for every row, with row, the text's xxhash64, if wide or keyed; null text counts as empty. fp is long or, if wide, the fingerprint and a digest of the set of
     shingles, as texts of one fingerprint may differ in these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +106,9 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, w
                     fps = pa.array(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column(0), fps, *part.columns[2:]], names=["doc", "fp", *also])
 
-    also = ["row"] if wide else []
+    also = ["row"] if wide or keyed else []
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), *(F.xxhash64(F.col(text_col)).alias(c) for c in also))
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fp {'binary, row long' if wide else 'long'}")
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fp {'binary' if wide else 'long'}" + "".join(f", {c} long" for c in also))
 
 
 def adjacency(fps: np.ndarray, starts: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -429,15 +429,16 @@ def verified_links(classes: DataFrame, docs: DataFrame, text_col: str, words: in
 
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2, wide: bool = False,
-    similarity: float = 0.8,
+    similarity: float = 0.8, keyed: bool = False,
 ) -> DataFrame:
-    """(doc, fp, component) for every row of ``docs``; if wide, links are of texts of at least ``similarity``.
+    """(doc, fp, component) for every row of ``docs``; if wide, links are of texts of at least ``similarity``. If keyed, row (the
+    text's xxhash64) stands before the component.
 
     Defined results: null text and text without words get fingerprint 0 and link like any other; repeated rows and equal
     texts share a component; a null id takes part, but a component's name is its least non-null id (null if it has none);
     no rows give no rows. Only the two named columns are read, so other columns may have any names.
     """
-    prints = materialize(with_fingerprints(docs, id_col, text_col, words, wide), "simhash-prints")
+    prints = materialize(with_fingerprints(docs, id_col, text_col, words, wide, keyed), "simhash-prints")
     classes = prints.groupBy("fp").agg(F.min("doc").alias("least"), *([F.min("row").alias("row")] if wide else []))
     node = F.xxhash64("fp") if wide else F.col("fp")
     classes = classes.withColumn("node", node)
@@ -453,14 +454,15 @@ def simhash_groups(
     named = materialize(named.select("fp", "least", F.coalesce("root", "node").alias("root")), "simhash-classes")
     names = named.groupBy("root").agg(F.min("least").alias("component"))
     by_class = named.select("fp", "root").join(names, "root").select(F.col("fp").alias("class"), "component")
-    return prints.join(by_class, F.col("fp") == F.col("class")).select("doc", "fp", "component")
+    return prints.join(by_class, F.col("fp") == F.col("class")).select("doc", "fp", *(["row"] if keyed else []), "component")
 
 
 def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 56, wide: bool = True
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group (of rows that repeat an id, all
-    stay; rows with a null id stay only in components without any id)."""
-    groups = simhash_groups(docs, id_col, text_col, words, radius, wide)
-    gone = groups.filter(~F.col("doc").eqNullSafe(F.col("component"))).select(F.col("doc").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of ``docs`` whose id names their component: one document of each group (of rows of a group that
+    repeat its id, all stay; rows with a null id stay only in components without any id). Each row is judged by its own text,
+    whatever other rows have its id."""
+    groups = simhash_groups(docs, id_col, text_col, words, radius, wide, keyed=True)
+    gone = groups.filter(~F.col("doc").eqNullSafe(F.col("component"))).select(F.col("doc").alias("_gone"), F.col("row").alias("_row"))
+    return docs.join(gone.distinct(), docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_row"]), "left_anti")

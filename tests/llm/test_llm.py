@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -169,6 +170,15 @@ def test_near_duplicates(spark, odd):
     assert simhash.simhash_groups(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_by_row(spark):
+    """Rows with a null or repeated id stay or go by their own text."""
+    words = prose(300, 79).split()
+    a, b, near, other = prose(300, 80), " ".join(words), " ".join([*words[:150], "changed", *words[151:]]), prose(300, 81)
+    rows = [(3, near), (5, a), (5, b), (None, near + " more"), (None, other), (None, None)]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, got)) == sorted(str(Row(doc_id=i, text=t)) for i, t in (rows[0], rows[1], rows[4], rows[5]))
+
+
 def test_adjacency_equals_brute_force():
     r = np.random.default_rng(4)
     for n, groups, flips in ((1, 1, 0), (64, 1, 9), (65, 3, 40), (400, 30, 46), (300, 300, 0)):
