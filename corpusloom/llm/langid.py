@@ -3,8 +3,8 @@
 Texts become TF-IDF vectors of hashed character n-grams (1 to 3, lower-cased letters, words edged by a
 space), log-damped and L2-normalised. Each language has several centroids from spherical k-means, so
 distinct styles of one language don't blur. A text goes to the language of the most similar centroid by
-cosine; it is rejected if it is farther from that centroid than any training text of the language was from its
-own, times a slack.
+cosine; it is rejected if it is farther from that centroid than nearly all held-out texts of its length were,
+times a slack, and never accepted beyond ``CAP``.
 
 The classifier is fitted on a bounded sample: at most about ``SAMPLE`` labelled rows for each language,
 chosen by a hash of the id, by one task. Prediction reads every whole text.
@@ -30,8 +30,10 @@ ORDERS = (1, 2, 3)
 SAMPLE = 1000
 #: Centroids of a language.
 CLUSTERS = 4
-#: Factor on the largest training distance of a language.
-SLACK = 1.5
+#: Of held-out distances of a language: quantile, factor on it, most that a limit can be, and least texts for a limit of its own.
+QUANTILE, SLACK, CAP, LEAST = 0.98, 1.1, 0.8, 50
+#: Letters from which a limit of its own holds; shorter texts have ``CAP``.
+LENGTHS = (16, 64, 256, 1024)
 #: Languages that training accepts; the most frequent ones stay.
 LANGUAGES = 256
 UND = "und"
@@ -57,9 +59,9 @@ def _codes(text: str | None) -> np.ndarray:
     return out if out[0] == 0 else np.concatenate([np.zeros(1, np.uint64), out])
 
 
-def features(text: str | None) -> np.ndarray | None:
-    """Counts of hashed n-grams over the whole text; None without letters."""
-    codes = _codes(text)
+def features(text: str | None, most: int | None = None) -> np.ndarray | None:
+    """Counts of hashed n-grams over the whole text or its first ``most`` letters, about; None without letters."""
+    codes = _codes(text if most is None or not text else text[: 4 * most])[:most]
     if not len(codes):
         return None
     counts = np.zeros(DIM)
@@ -80,7 +82,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``langs[k]``, ``centroids[k]`` and ``radii[k]`` (cosine distance) of each centroid; idf weights."""
+    """``langs[k]``, ``centroids[k]`` and ``radii[k]`` (most cosine distance by length) of each centroid; idf weights."""
 
     langs: list[str]
     centroids: np.ndarray
@@ -95,34 +97,67 @@ class Model:
         near = self.centroids @ _unit(np.log1p(counts) * self.idf).astype(np.float32)
         k = int(near.argmax())
         score = min(1.0, max(0.0, float(near[k])))
-        return self.langs[k], score, bool(1 - score > self.radii[k] * SLACK)
+        return self.langs[k], score, bool(1 - score > self.radii[k][_length(counts)])
+
+
+def _length(counts: np.ndarray) -> int:
+    return int(np.searchsorted(LENGTHS, counts.sum() / len(ORDERS), side="right"))
+
+
+def _clusters(own: np.ndarray) -> np.ndarray:
+    """Centroids of the rows."""
+    c = _unit(own.mean(axis=0, keepdims=True))
+    while len(c) < min(CLUSTERS, len(own)):  # farthest-first seeds
+        c = np.vstack([c, own[[(own @ c.T).max(axis=1).argmin()]]])
+    for _ in range(10):
+        at = (own @ c.T).argmax(axis=1)
+        c = _unit(np.array([own[at == k].mean(axis=0) if (at == k).any() else c[k] for k in range(len(c))]))
+    return c
+
+
+def _limits(named: np.ndarray, x: np.ndarray, texts: list[str], weigh) -> dict[str, np.ndarray]:
+    """For each language the largest distance by length: from rows against centroids of the other half of the language,
+    cut to the least length; from all languages' rows where one has few."""
+    far: dict[str, list[list[float]]] = {}
+    for g in sorted(set(named)):
+        at, far[g] = np.flatnonzero(named == g), [[] for _ in LENGTHS]
+        if len(at) < 2:
+            continue
+        halves = [_clusters(x[at[k::2]]) for k in (0, 1)]
+        for i, row in enumerate(at[:400]):
+            for b, most in enumerate(LENGTHS):
+                f = features(texts[row], most + 1)
+                if f is not None and _length(f) > b:
+                    far[g][b].append(1 - float((halves[1 - i % 2] @ weigh(f)).max()))
+    out = {}
+    for g, own in far.items():
+        out[g] = np.full(len(LENGTHS) + 1, CAP)
+        for b in range(len(LENGTHS)):
+            pool = own[b] if len(own[b]) >= LEAST else [d for other in far.values() for d in other[b]]
+            # few texts say little: longer texts then have the limit of the length before
+            out[g][b + 1] = min(out[g][b], float(np.quantile(pool, QUANTILE)) * SLACK) if len(pool) >= LEAST else out[g][b]
+    return out
 
 
 def fit(langs: list[str], texts: list[str]) -> Model:
     """Deterministic in the set of rows: they are sorted first."""
-    rows = [(g, f.astype(np.float32)) for g, t in sorted(zip(langs, texts, strict=True)) if (f := features(t)) is not None]
+    rows = [(g, f.astype(np.float32), t) for g, t in sorted(zip(langs, texts, strict=True)) if (f := features(t)) is not None]
     if not rows:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros(0), np.ones(DIM))
-    named = [g for g, _ in rows]
-    x = np.array([f for _, f in rows])
+        return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, len(LENGTHS) + 1)), np.ones(DIM))
+    named, kept = np.array([g for g, _, _ in rows], dtype=object), [t for _, _, t in rows]
+    x = np.array([f for _, f, _ in rows])
     del rows
     np.log1p(x, out=x)
     idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1
     x *= idf.astype(np.float32)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    limits = _limits(named, x, kept, lambda f: _unit(np.log1p(f) * idf).astype(np.float32))
     names, centroids, radii = [], [], []
     for g in sorted(set(named)):
-        own = x[[i for i, h in enumerate(named) if h == g]]
-        c = _unit(own.mean(axis=0, keepdims=True))
-        while len(c) < min(CLUSTERS, len(own)):  # farthest-first seeds
-            c = np.vstack([c, own[[(own @ c.T).max(axis=1).argmin()]]])
-        for _ in range(10):
-            at = (own @ c.T).argmax(axis=1)
-            c = _unit(np.array([own[at == k].mean(axis=0) if (at == k).any() else c[k] for k in range(len(c))]))
-        far = float(1 - (own @ c.T).max(axis=1).min())
+        c = _clusters(x[named == g])
         names += [g] * len(c)
         centroids += list(c)
-        radii += [far] * len(c)
+        radii += [limits[g]] * len(c)
     return Model(names, np.array(centroids, dtype=np.float32), np.array(radii), idf)
 
 
@@ -143,12 +178,12 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         yield pd.DataFrame(
             {
                 "lang": ["", *m.langs],
-                "radius": [0.0, *m.radii],
+                "radius": [[], *(r.tolist() for r in m.radii)],
                 "vector": [m.idf.astype("<f4").tobytes(), *(c.astype("<f4").tobytes() for c in m.centroids)],
             }
         )
 
-    back = chosen.coalesce(1).mapInPandas(run, "lang string, radius double, vector binary").collect()
+    back = chosen.coalesce(1).mapInPandas(run, "lang string, radius array<double>, vector binary").collect()
     if not back:
         return fit([], [])
     vector = lambda r: np.frombuffer(r["vector"], dtype="<f4")

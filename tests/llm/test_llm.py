@@ -159,6 +159,22 @@ def test_links_equal_brute_force(spark, block):
     assert groups(got) == groups(label)
 
 
+def test_language_rejects_foreign():
+    """Limits stay well below 1 with outliers in training; foreign scripts and random letters go, short clean texts stay."""
+    r = random.Random(8)
+    lexicon = {g: ["".join(r.choice(s) for _ in range(r.randint(1, 3))) for _ in range(80)] for g, s in (("aa", ["ba", "mi", "tor", "en"]), ("zz", ["ku", "sha", "ly", "oo"]))}
+    text = lambda g, n: " ".join(r.choice(lexicon[g]) for _ in range(n))
+    noise = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 8))) for _ in range(n))
+    rows = [(g, text(g, r.randint(5, 300))) for g in lexicon for _ in range(300)] + [("aa", "日本語の文章" * 9), ("zz", "Ψευδής λόγος " * 9)]
+    model = langid.fit(*map(list, zip(*rows)))
+    assert model.radii.max() <= 0.8
+    foreign = ["这是一个中文句子它不应该被接受" * 4, "Это предложение написано по-русски " * 4, *(noise(n) for n in (30, 100, 300) for _ in range(20))]
+    assert sum(not model.predict(t)[2] for t in foreign[2:]) == 0 and model.predict(foreign[1])[2]
+    clean = [(g, text(g, n)) for g in lexicon for n in (8, 20, 200) for _ in range(50)]
+    found = [model.predict(t) for _, t in clean]
+    assert sum(p[0] == g and not p[2] for p, (g, _) in zip(found, clean)) >= 0.97 * len(clean)
+
+
 def test_near_duplicates(spark, odd):
     words = prose(300, 77).split()
     rows = [(0, " ".join(words)), (1, " ".join(words[:150] + ["changed"] + words[151:])), (2, prose(300, 78)), (3, None), (4, "")]
