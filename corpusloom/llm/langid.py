@@ -34,7 +34,7 @@ CLUSTERS = 4
 QUANTILE, SLACK, CAP, LEAST = 0.98, 1.1, 0.8, 50
 #: Letters from which a limit of its own holds; shorter texts have ``CAP``.
 LENGTHS = (16, 64, 256, 1024)
-#: Languages that training accepts; the most frequent ones stay.
+#: Languages that training accepts; more are an error.
 LANGUAGES = 256
 UND = "und"
 _TABLE = random_words(23, 4)
@@ -166,7 +166,9 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")
     )
-    counts = rows.groupBy("g").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "g").limit(LANGUAGES).collect()
+    counts = rows.groupBy("g").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "g").limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to train; raise langid.LANGUAGES")
     spark = labelled.sparkSession
     share = spark.createDataFrame([(r["g"], min(1.0, sample / r["n"])) for r in counts], "g string, share double")
     draw = F.pmod(F.xxhash64("i", "t"), F.lit(1 << 30)) / F.lit(float(1 << 30))

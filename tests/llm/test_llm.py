@@ -175,6 +175,13 @@ def test_language_rejects_foreign():
     assert sum(p[0] == g and not p[2] for p, (g, _) in zip(found, clean)) >= 0.97 * len(clean)
 
 
+def test_too_many_languages(spark, monkeypatch):
+    d = spark.createDataFrame([(i, prose(9, i), g) for i, g in enumerate("abc")], "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.train(d)
+
+
 def test_near_duplicates(spark, odd):
     words = prose(300, 77).split()
     rows = [(0, " ".join(words)), (1, " ".join(words[:150] + ["changed"] + words[151:])), (2, prose(300, 78)), (3, None), (4, "")]
