@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of bytes outside this class; ``bytes.split()`` splits at the same bytes.
@@ -67,38 +68,53 @@ class SpanHash:
         return mix64((self.sums[end] - self.sums[start]) * self._down[start])
 
 
-_BYTE_TABLE = random_words(11, 256)
+def bits_for(keys: int) -> int:
+    """Bits of a table of so many keys: a power of two, 16 to 32 bits a key."""
+    return 1 << max(20, (16 * max(1, keys) - 1).bit_length())
 
 
-class WordSpans:
-    """Word positions of a text and hashes of runs of its words (joined by one space)."""
+def collect_bits(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits as bytes, with the bit of every key (long) set. It is built by tasks, in slots of 4 KB."""
+    value = F.pmod(key, F.lit(bits)) + 1
+    slots = keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("slot"))
+    table = np.zeros(bits // 8, dtype=np.uint8)
+    for r in slots.agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("map")).collect():
+        table[4096 * (r["slot"] - 1) :][:4096] = np.frombuffer(r["map"], dtype=np.uint8)
+    return table
 
-    def __init__(self, text: str | None):
-        self.words = (text or "").encode().split()
-        self.n = len(self.words)
-        raw = np.frombuffer(b" ".join(self.words), dtype=np.uint8)
-        gaps = np.flatnonzero(raw == 32)
-        self.start = np.concatenate([np.zeros(min(self.n, 1), np.int64), gaps + 1])
-        self.end = np.concatenate([gaps, np.full(min(self.n, 1), len(raw), np.int64)])
-        self.hashes = SpanHash(_BYTE_TABLE[raw])
 
-    def runs(self, first: np.ndarray, length: int) -> np.ndarray:
-        """Hash of words ``first .. first + length - 1`` for each entry of ``first``."""
-        return self.hashes.spans(self.start[first], self.end[first + length - 1])
+def test_bits(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    at = keys.view(np.uint64) & np.uint64(8 * len(table) - 1)
+    return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+#: Folders that this process has made in the shared folder.
+_MADE: list[str] = []
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that all executors share.
 
-    ``spark.checkpoint.dir`` names it; only where that is unset (tests) a temporary one is made.
+    ``spark.checkpoint.dir`` names it. Only where that is unset and the session runs in one process (tests) a temporary
+    folder is made; on a cluster an unset folder is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="corpusloom-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Delete every folder this process has made in the shared folder; for when results that read them are written."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -303,8 +303,9 @@ def test_exact(spark, odd):
     assert exact_dedup.exact_duplicates(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [0, 1 << 28])  # without room for a table anchors are joined
 @pytest.mark.parametrize("window", [3, 9, 50])
-def test_substring(spark, window, odd):
+def test_substring(spark, window, bits, odd):
     r = random.Random(window)
     shared = [prose(window + 7, 500 + k).split() for k in range(3)]
     texts = []
@@ -327,9 +328,10 @@ def test_substring(spark, window, odd):
         for k in own:
             first.setdefault(k, i)
         want[i] = " ".join(x for p, x in enumerate(w) if p not in gone)
-    got = substring_dedup.remove_repeats(d, window=window).collect()
+    got = substring_dedup.remove_repeats(d, window=window, table_bits=bits).collect()
     assert {x.doc_id: x.kept_text for x in got} == want
-    assert substring_dedup.remove_repeats(odd, window=window).count() == odd.count()
+    assert substring_dedup.remove_repeats(odd, window=window, table_bits=bits).count() == odd.count()
+    assert substring_dedup.remove_repeats(odd.limit(0), window=window, table_bits=bits).count() == 0
 
 
 def test_words_rule():
