@@ -3,11 +3,13 @@
 Each source has a weight schedule over training time 0..1 (piecewise linear). Its integral up to t, scaled so
 that it ends at the source's target, is the source's cumulative token demand D(t). The source's documents stand
 in a fixed pseudo-random order, pass after pass until the target is met; a document that begins after c words
-gets the position t with D(t) = c, and the mix is range-sorted by position.
+gets the position t with D(t) = c, and the mix is range-sorted by position. The range-sorted plan is a table, whose
+rows are numbered by their partition's offset; ``mix`` and ``taken`` both read it.
 
-The order within a source is cut into buckets by a hash of the id (as many as its rows need), sums over buckets
-give each bucket's start, and only a bucket's rows meet in a window. A hot source is many buckets, so no task
-holds a source. Texts are never shuffled for planning: only ids, sources and sizes are.
+The order within a source is cut into buckets by a hash of the id (as many as its rows need), and ``FAN`` buckets make a
+stretch; sums over stretches, then over the buckets of a stretch, give each bucket's start, and only a bucket's rows meet
+in a window. A hot source is many buckets, so no task holds a source. Texts are never shuffled for planning: only ids,
+sources and sizes are.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Rows of a bucket, about.
 BUCKET = 4096
+#: Buckets of a stretch.
+FAN = 1024
 #: Schedules by rank of the source, repeating: knots (time, weight relative to the source's mean). Early,
 #: even and late sources; each integrates to 1, so a schedule moves words in time and keeps the target.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
@@ -96,11 +100,14 @@ def plan(sized: DataFrame, weights=WEIGHTS, most: int = MOST, schedules=SCHEDULE
     rows = rows.withColumn("draw", draw)
     first = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("bucket", F.shiftright(first * F.ceil(F.col("n") / bucket).cast("long"), 32))
-    sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("held"))
-    over = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        F.col("rank").alias("_rank"), F.col("bucket").alias("_bucket"), F.coalesce(F.sum("held").over(over), F.lit(0)).alias("base")
-    )
+    held = materialize(rows.groupBy("rank", "bucket").agg(F.sum("size").alias("held")), "mixing-buckets")
+    held = held.withColumn("stretch", F.floor(F.col("bucket") / FAN))
+    earlier = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    stretches = held.groupBy("rank", "stretch").agg(F.sum("held").alias("whole"))
+    before = F.coalesce(F.sum("whole").over(earlier("rank").orderBy("stretch")), F.lit(0))
+    sums = held.join(stretches.select("rank", "stretch", before.alias("before")), ["rank", "stretch"])
+    base = F.col("before") + F.coalesce(F.sum("held").over(earlier("rank", "stretch").orderBy("bucket")), F.lit(0))
+    sums = sums.select(F.col("rank").alias("_rank"), F.col("bucket").alias("_bucket"), base.alias("base"))
     rows = rows.join(sums, (F.col("rank") == F.col("_rank")) & (F.col("bucket") == F.col("_bucket"))).drop("_rank", "_bucket")
     within = Window.partitionBy("rank", "bucket").orderBy("draw", "doc", "size", "copy").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -121,31 +128,51 @@ def sized_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
     return materialize(rows.withColumn("copy", F.row_number().over(same)), "mixing-sizes")
 
 
+def ordered(sized: DataFrame, **options) -> DataFrame:
+    """``plan`` range-sorted by position (ties by doc, source, size, copy, pass) as a table, with place: 0 for the first of the mix.
+
+    A partition's first place is the number of rows before it; only one count for each partition reaches the driver.
+    """
+    keys = ["position", "doc", "source", "size", "copy", "pass"]
+    rows = plan(sized, **options).repartitionByRange(*(F.col(k).asc_nulls_first() for k in keys)).sortWithinPartitions(*(F.col(k).asc_nulls_first() for k in keys))
+    own = F.monotonically_increasing_id()
+    rows = materialize(rows.select("*", F.shiftright(own, 33).alias("_part"), own.bitwiseAND(F.lit((1 << 33) - 1)).alias("_own")), "mixing-order")
+    counts = {r["_part"]: r["n"] for r in rows.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    offsets, total = [], 0
+    for part in sorted(counts):
+        offsets.append((part, total))
+        total += counts[part]
+    offsets = sized.sparkSession.createDataFrame(offsets, "_of long, _offset long")
+    rows = rows.join(F.broadcast(offsets), F.col("_part") == F.col("_of"))  # a row for each partition
+    return rows.withColumn("place", F.col("_offset") + F.col("_own")).drop("_part", "_own", "_of", "_offset")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it is taken, range-sorted by training position.
 
     Null text has no words and is not taken. A null source is a source of its own, the last. Repeated rows (same
     id, source and size) are planned apart and one of them stands for all. No rows give no rows. Columns keep their names.
     """
-    order = plan(sized_rows(docs, id_col, source_col, text_col), **options)
-    times = order.groupBy("doc", "source", "size").agg(F.collect_list("position").alias("_at"), F.max("copy").alias("_copies"))
+    order = ordered(sized_rows(docs, id_col, source_col, text_col), **options)
+    times = order.groupBy("doc", "source", "size").agg(F.collect_list("place").alias("_at"), F.max("copy").alias("_copies"))
     times = times.select(F.col("doc").alias("_doc"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "_at", "_copies")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     own = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), size_of(F.col(text_col)).alias("_size"), row)
     on = F.col("_id").eqNullSafe(F.col("_doc")) & F.col("_source").eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_sz"))
     rows = own.join(times, on)
     rows = rows.filter("_copies = 1").unionByName(rows.filter("_copies > 1").dropDuplicates(["_id", "_source", "_size"]))
-    rows = rows.select("_id", "_row", F.explode("_at").alias("_position"))
-    return rows.repartitionByRange("_position", "_id").sortWithinPartitions("_position", "_id").select("_row.*")
+    rows = rows.select("_row", F.explode("_at").alias("_place"))
+    return rows.repartitionByRange("_place").sortWithinPartitions("_place").select("_row.*")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, times, first_position) for every row of ``docs``."""
+    """(doc_id, size, source_size, target, taken, times, first_place) for every row of ``docs``, from the range-sorted mix;
+    first_place is the place of its first copy in the mix, null if it isn't taken."""
     sized = sized_rows(docs)
-    order = plan(sized, **options)
-    sums = order.groupBy("doc", "source", "size", "copy").agg(F.count("*").alias("times"), F.min("position").alias("first_position"))
+    order = ordered(sized, **options)
+    sums = order.groupBy("doc", "source", "size", "copy").agg(F.count("*").alias("times"), F.min("place").alias("first_place"))
     sums = sums.select(
-        F.col("doc").alias("_doc"), F.col("source").alias("_src"), F.col("size").alias("_sz"), F.col("copy").alias("_c"), "times", "first_position"
+        F.col("doc").alias("_doc"), F.col("source").alias("_src"), F.col("size").alias("_sz"), F.col("copy").alias("_c"), "times", "first_place"
     )
     goal = targets(sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), **{k: v for k, v in options.items() if k in ("weights", "most")})
     goal = goal.select(F.col("source").alias("_s"), "source_size", "target")
@@ -155,5 +182,5 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     times = F.coalesce("times", F.lit(0))
     return out.select(
         F.col("doc").alias("doc_id"), "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"),
-        times.cast("long").alias("times"), "first_position",
+        times.cast("long").alias("times"), "first_place",
     )

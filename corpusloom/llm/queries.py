@@ -45,7 +45,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.taken(docs).drop("first_position")
+    return mixing.taken(docs)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,15 +96,22 @@ ORACLES = {
                      coalesce(sum(cap) OVER o, 0) AS cb, coalesce(sum(w) OVER o, 0) AS wb
               FROM w WINDOW o AS (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
         k AS (SELECT *, cap::DOUBLE / w <= (total - cb)::DOUBLE / (ws - wb)::DOUBLE AS capped FROM c),
-        t AS (SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE
+        t AS (SELECT source, source_size, rank, CASE WHEN capped THEN cap::DOUBLE ELSE
                  w::DOUBLE * (total - coalesce(sum(CASE WHEN capped THEN cap END) OVER (), 0))::DOUBLE
                  / (sum(CASE WHEN NOT capped THEN w END) OVER ())::DOUBLE END AS target FROM k),
-        p AS (SELECT d.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR)
+        p AS (SELECT d.*, source_size, rank, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR)
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
         n AS (SELECT *, CASE WHEN size = 0 THEN 0 ELSE
-                 least(greatest(floor((target - start - size / 2.0) / source_size) + 1, 0), 3) END::BIGINT AS times FROM p)
-        SELECT doc_id, size, source_size, target, (times * size)::BIGINT AS taken, times FROM n""",
+                 least(greatest(floor((target - start - size / 2.0) / source_size) + 1, 0), 3) END::BIGINT AS times FROM p),
+        e AS (SELECT *, unnest(range(times)) AS pass FROM n),
+        f AS (SELECT *, least((start + pass * source_size)::DOUBLE / target, 1.0::DOUBLE) AS x FROM e),
+        o AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN x >= 1.0::DOUBLE THEN 1.0::DOUBLE
+                 WHEN rank % 3 = 0 THEN (sqrt(greatest(0.0::DOUBLE, 2.25::DOUBLE - 2.0::DOUBLE * x)) - 1.5::DOUBLE) / -1.0::DOUBLE
+                 WHEN rank % 3 = 1 THEN x ELSE sqrt(greatest(0.0::DOUBLE, 0.25::DOUBLE + 2.0::DOUBLE * x)) - 0.5::DOUBLE END,
+                 doc_id, source COLLATE C NULLS FIRST, size, pass) - 1 AS place FROM f),
+        q AS (SELECT doc_id, min(place) AS first_place FROM o GROUP BY doc_id)
+        SELECT n.doc_id, size, source_size, target, (times * size)::BIGINT AS taken, times, first_place FROM n LEFT JOIN q USING (doc_id)""",
     "op10_substring_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
         p AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM d WHERE len(words) >= 50),
