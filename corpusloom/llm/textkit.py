@@ -73,9 +73,13 @@ def bits_for(keys: int) -> int:
     return 1 << max(20, (16 * max(1, keys) - 1).bit_length())
 
 
+#: A key sets a bit for each of these shifts; all are set for one key in some 600 that the table doesn't hold.
+PROBES = (0, 18, 36)
+
+
 def collect_bits(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
-    """A table of ``bits`` bits as bytes, with the bit of every key (long) set. It is built by tasks, in slots of 4 KB."""
-    value = F.pmod(key, F.lit(bits)) + 1
+    """A table of ``bits`` bits as bytes, with the bits of every key (long) set. It is built by tasks, in slots of 4 KB."""
+    value = F.explode(F.array(*(F.pmod(F.shiftrightunsigned(key, p), F.lit(bits)) + 1 for p in PROBES)))
     slots = keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("slot"))
     table = np.zeros(bits // 8, dtype=np.uint8)
     for r in slots.agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("map")).collect():
@@ -84,8 +88,11 @@ def collect_bits(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
 
 
 def test_bits(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
-    at = keys.view(np.uint64) & np.uint64(8 * len(table) - 1)
-    return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    found = np.ones(len(keys), dtype=bool)
+    for p in PROBES:
+        at = keys.view(np.uint64) >> np.uint64(p) & np.uint64(8 * len(table) - 1)
+        found &= (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    return found
 
 
 #: Folders that this process has made in the shared folder.
