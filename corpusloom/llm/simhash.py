@@ -8,17 +8,17 @@ Fingerprints come from word shingles; equal fingerprints collapse to one row. Ca
   one must agree), so no group is collected unbounded and no link is lost.
 * 256-bit fingerprints, wide radius (similarity 0.8 of texts is about 39 differing bits): ``TABLES`` tables, each keyed by
   ``KEY_BITS`` sampled bits, whatever the number of fingerprints. Two texts of similarity 0.8 agree on a bit with probability
-  0.85 and so meet in some table with probability 0.97; of those that meet the radius keeps nine in ten. A bucket above
-  ``BLOCK`` gets as many more bits of its table as should bring it under, which costs recall only there; what is still above
-  (copies that differ in few bits) is dealt to blocks by a hash that differs from table to table.
+  0.85 and so meet in some table with probability 0.97; of those that meet the radius keeps nearly all. A bucket above
+  ``CELL`` is compared block against block, so no pair that shares a key is skipped.
 
 In a bucket the fingerprints stand as bit planes; every fingerprint is compared with 64 others per machine word, distances
 are kept in carry-save bit counters, and a word of 64 is abandoned as soon as all of it is beyond the radius. Links leave
 a bucket as one edge from each member to the least member of its component, never as all pairs; of wide fingerprints, as a
 spanning forest of links. These are checked on the texts: only a Jaccard similarity of the shingle sets of at least
-``similarity`` joins. Where a link of a component fails, its members are compared again and every link between parts that
-aren't joined yet is checked, so the result is that of checking all links. Components are then joined by alternating star
-contraction over edge tables in the shared folder.
+``similarity`` joins. Where a link of a component fails, its members are compared again, now with their shingles beside them,
+and in the task every link between parts that aren't joined yet is checked, nearest first, so the result is that of checking
+all links, and only links that join leave the task. Components are then joined by alternating star contraction over edge
+tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .textkit import materialize, mix64, random_words, worker_memory
@@ -41,6 +41,8 @@ BLOCK = 1024
 WIDE, TABLES, KEY_BITS = 4, 48, 16
 #: Wide fingerprints of a block of a crowded bucket, about.
 CELL = 2048
+#: Shingles of a block of a component whose members are compared again, about (64 MB), and members above which its buckets are.
+CELL_SHINGLES, MEMBERS = 8 << 20, 16384
 #: So many crowded buckets (16 bytes each) are broadcast at most; more are joined by a shuffle.
 FEW_BUCKETS = 100_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -184,11 +186,15 @@ def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray
 
 
 def forest(fps: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (i, j) within ``radius`` that span each component of each group; memory doesn't grow with the number of links."""
+    """Links (i, j) within ``radius`` that span each component of each group, near ones rather than far ones; memory
+    doesn't grow with the number of links."""
     label, links = np.arange(len(fps)), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for a, b in adjacency(fps, starts, radius):
-        label, at = _united(label, a, b)
-        links.append((a[at], b[at]))
+        apart = np.bitwise_count(fps[a] ^ fps[b]).sum(axis=1)
+        for low, high in ((-1, radius // 2), (radius // 2, 3 * radius // 4), (3 * radius // 4, radius)):
+            own = np.flatnonzero((apart > low) & (apart <= high))
+            label, at = _united(label, a[own], b[own])
+            links.append((a[own][at], b[own][at]))
     a, b = (np.concatenate(x) for x in zip(*links, strict=True))
     return a, b
 
@@ -216,61 +222,108 @@ def _first_table(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def compared(rows: DataFrame, radius: int) -> DataFrame:
+def _shared(sets: list[np.ndarray], group: np.ndarray) -> np.ndarray:
+    """How many shingles of each row another row of its group has too."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    flat = np.concatenate(sets)
+    order = np.lexsort((flat, group[owner]))
+    same = (flat[order][1:] == flat[order][:-1]) & (group[owner[order]][1:] == group[owner[order]][:-1])
+    both = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    return np.bincount(owner[order][both], minlength=len(sets))
+
+
+def verified_forest(fps: np.ndarray, starts: np.ndarray, root: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> tuple[list[int], list[int]]:
+    """Links (i, j) of at least ``similarity`` that join rows of different ``root`` as far as any such links do.
+
+    Links are those of rows of one group that share a table's key, within the radius. A pair that can't reach the similarity,
+    by the rows' sizes and by how many of their shingles any other row has, isn't checked; nor is one that is joined by then.
+    """
+    kinds, part = np.unique(root, return_inverse=True)
+    parent = np.arange(len(kinds))
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(fps))))
+    size, shared = np.array([len(x) for x in sets]), _shared(sets, group)
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    one: list[int] = []
+    two: list[int] = []
+    for a, b in adjacency(fps, starts, radius):
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
+        may = (parent[part[a]] != parent[part[b]]) & (np.minimum(shared[a], shared[b]) >= similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9)
+        a, b = a[may], b[may]
+        meet = _first_table(fps[a], fps[b]) < TABLES
+        a, b = a[meet], b[meet]
+        order = np.argsort(np.bitwise_count(fps[a] ^ fps[b]).sum(axis=1), kind="stable")
+        for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
+            x, y = find(part[i]), find(part[j])
+            if x == y:
+                continue
+            at = np.searchsorted(sets[i], sets[j])
+            both = int((sets[i][np.minimum(at, size[i] - 1)] == sets[j]).sum()) if size[i] else 0
+            if both >= similarity * (size[i] + size[j] - both) - 1e-9:
+                parent[max(x, y)] = min(x, y)
+                one.append(i), two.append(j)
+    return one, two
+
+
+def compared(rows: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
     """Edges (a, b) within the groups (g1, g2) of ``rows``, which also have node long and fp binary (the node if not).
 
     A task streams its sorted groups and compares about 4096 rows of whole groups at a time. Edges of wide fingerprints are
-    links within the radius, those of others lead to the least member. If ``rows`` have a root long, edges are all the links
-    between nodes of different roots, each from the first table where they meet.
+    links within the radius that span their components, those of others lead to the least member. If ``rows`` have root and
+    set (array<long>, sorted), edges join nodes of different roots and are of at least ``similarity``.
     """
-    wide, every = "fp" in rows.columns, "root" in rows.columns
-
-    def all_links(fps: np.ndarray, starts: np.ndarray, node: np.ndarray, root: np.ndarray, table: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for a, b in adjacency(fps, starts, radius):
-            apart = root[a] != root[b]
-            a, b = a[apart], b[apart]
-            own = _first_table(fps[a], fps[b]) == table[a]
-            yield pa.RecordBatch.from_arrays([pa.array(node[a[own]]), pa.array(node[b[own]])], names=["a", "b"])
+    wide, checked = "fp" in rows.columns, "set" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple] = []
 
         def flush(upto: bool):
-            group, node, raw, root = (np.concatenate(x) for x in zip(*held, strict=True))
+            group, node, raw, root = (np.concatenate([h[k] for h in held]) for k in range(4))
+            sets = [x for h in held for x in h[4]]
             held.clear()
             cut = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
             stop = len(node) if not upto else int(cut[-1]) if len(cut) else 0
             if stop < len(node):
-                held.append((group[stop:], node[stop:], raw[stop:], root[stop:]))
+                held.append((group[stop:], node[stop:], raw[stop:], root[stop:], sets[stop:]))
             if not stop:
                 return
             starts = np.concatenate([[0], cut[cut < stop]]).astype(np.int64)
             node = node[:stop]
-            if every:
-                yield from all_links(raw[:stop], starts, node, root, group[:, 0])
-                return
-            if wide:
+            if checked:
+                a, b = verified_forest(raw[:stop], starts, root[:stop], sets[:stop], radius, similarity)
+            elif wide:
                 a, b = forest(raw[:stop], starts, radius)
             else:
                 label = components(raw[:stop], starts, radius)
                 a = np.flatnonzero(label != np.arange(stop))
                 b = label[a]
+            a, b = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
+            for lo in range(0, batch.num_rows, 1024 if checked else 4096):
+                part = batch.slice(lo, 1024 if checked else 4096)
                 g = np.stack([part.column(0).to_numpy(), part.column(1).to_numpy()], axis=1)
                 node = part.column(2).to_numpy()
                 raw = np.frombuffer(b"".join(part.column(3).to_pylist()), dtype="<u8") if wide else node.view("<u8")
-                held.append((g, node, raw.reshape(len(g), -1), part.column(4).to_numpy() if every else node))
-                if sum(len(h[1]) for h in held) >= 4096:
+                sets: list[np.ndarray] = []
+                if checked:
+                    ends, flat = part.column(5).offsets.to_numpy(), part.column(5).values.to_numpy()
+                    sets = [flat[x:y].copy() for x, y in zip(ends, ends[1:], strict=False)]
+                held.append((g, node, raw.reshape(len(g), -1), part.column(4).to_numpy() if checked else node, sets))
+                if sum(len(h[1]) for h in held) >= 4096 or sum(len(x) for h in held for x in h[4]) >= CELL_SHINGLES:
                     yield from flush(True)
         if held:
             yield from flush(False)
 
-    rows = rows.select("g1", "g2", "node", *(["fp"] if wide else []), *(["root"] if every else [])).repartition("g1", "g2").sortWithinPartitions("g1", "g2", "node")
-    return rows.mapInArrow(run, "a long, b long")
+    rows = rows.select("g1", "g2", "node", *(["fp"] if wide else []), *(["root", "set"] if checked else []))
+    return rows.repartition("g1", "g2").sortWithinPartitions("g1", "g2", "node").mapInArrow(run, "a long, b long")
 
 
 def _blocks(positions: list[int], parts: int) -> list[list[int]]:
@@ -324,16 +377,25 @@ def _buckets(keyed: DataFrame, block: int) -> tuple[DataFrame, bool]:
     return F.broadcast(crowded) if count <= FEW_BUCKETS else crowded, count > 0
 
 
-def wide_links(fps: DataFrame, radius: int, block: int = CELL) -> DataFrame:
+def _cells(rows: DataFrame, blocks: Column) -> DataFrame:
+    """``rows`` (g1, g2, node, ...) with groups of more than one block cut: each node stands in a cell with every other block."""
+    own = F.pmod(F.xxhash64("node"), blocks)
+    cell = lambda j: F.xxhash64("g2", F.least(own, j), F.greatest(own, j))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: j != own)
+    cells = F.when(F.coalesce(blocks, F.lit(1)) <= 1, F.array("g2")).otherwise(F.transform(others, cell))
+    return rows.select("g1", F.explode(cells).alias("g2"), *(c for c in rows.columns if c not in ("g1", "g2", "n")))
+
+
+def wide_links(fps: DataFrame, radius: int, block: int = CELL, similarity: float | None = None) -> DataFrame:
     """Edges that join all nodes (node long, fp binary) within the radius that share a table's key; each is such a link.
-    With a column root long: all such links between nodes of different roots."""
-    also = ["root"] if "root" in fps.columns else []
+    With columns root and set as for ``compared``, of at least ``similarity``."""
+    also = ["root", "set"] if "set" in fps.columns else []
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = 1 << np.arange(KEY_BITS, dtype=np.int64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for lo in range(0, batch.num_rows, 64 if also else 1024):
+                part = batch.slice(lo, 64 if also else 1024)
                 raw = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(part.num_rows, 8 * WIDE)
                 bits = np.unpackbits(raw, axis=1, bitorder="little")
                 table = np.repeat(np.arange(TABLES, dtype=np.int64), part.num_rows)
@@ -343,17 +405,11 @@ def wide_links(fps: DataFrame, radius: int, block: int = CELL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["g1", "g2", "node", "fp", *also])
 
     rows = fps.select("node", F.substring("fp", 1, 8 * WIDE).alias("fp"), *also)
-    rows = rows.mapInArrow(keys, "g1 long, g2 long, node long, fp binary" + "".join(f", {c} long" for c in also))
+    rows = rows.mapInArrow(keys, "g1 long, g2 long, node long, fp binary" + (", root long, set array<long>" if also else ""))
     crowded, some = _buckets(rows, block)
     if some:
-        blocks = F.ceil(F.col("n") / block)
-        own = F.pmod(F.xxhash64("node"), blocks)
-        cell = lambda j: F.col("g2") + F.shiftleft(F.least(own, j), KEY_BITS) + F.shiftleft(F.greatest(own, j), KEY_BITS + 24)
-        others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: j != own)
-        rows = rows.join(crowded, ["g1", "g2"], "left")
-        cells = F.when(F.col("n").isNull(), F.array("g2")).otherwise(F.transform(others, cell))
-        rows = rows.select("g1", F.explode(cells).alias("g2"), "node", "fp", *also)
-    return compared(rows, radius).distinct()
+        rows = _cells(rows.join(crowded, ["g1", "g2"], "left"), F.ceil(F.col("n") / block))
+    return compared(rows, radius, similarity).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -366,10 +422,11 @@ def connected(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        # read back, so that the join can split the edges of a node that has very many
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "simhash-least")
         large = both.join(least, both["a"] == least["u"]).filter("b > u").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        large = materialize(large.distinct(), "simhash-large")
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"), "simhash-low")
         small = large.join(low, large["a"] == low["u"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         edges = materialize(small.union(low.select(F.col("u"), F.col("m"))).distinct(), "simhash-edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -392,7 +449,7 @@ def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame, words: int)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                sets = [np.unique(_shingles(t, words)).view(np.int64) for t in part.column(1).to_pylist()]
+                sets = [np.unique(_shingles(t, words).view(np.int64)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
 
     rows = docs.select(F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text")).join(_few(wanted), "row")
@@ -419,12 +476,19 @@ def verified_links(classes: DataFrame, docs: DataFrame, text_col: str, words: in
         return good
     candidates = connected(first)
     torn = candidates.join(failed, candidates["node"] == failed["a"]).select(F.col("root").alias("torn")).distinct()
-    members = materialize(candidates.join(torn, candidates["root"] == torn["torn"]).select("node"), "simhash-torn")
+    members = materialize(candidates.join(torn, candidates["root"] == torn["torn"]).select("node", "torn"), "simhash-torn")
     parts = connected(good).toDF("of", "part")
-    again = members.join(parts, F.col("node") == F.col("of"), "left").select("node", F.coalesce("part", "node").alias("root"))
-    again = materialize(classes.join(_few(materialize(again, "simhash-torn")), "node").select("node", "fp", "root"), "simhash-torn")
-    found = checked(wide_links(again, radius), sets, similarity)
-    return good.union(found.filter("ok").select("a", "b"))
+    again = members.join(parts, F.col("node") == F.col("of"), "left").select("node", "torn", F.coalesce("part", "node").alias("root"))
+    again = again.join(sets, "node").join(classes.select(F.col("node").alias("of"), "fp"), F.col("node") == F.col("of"))
+    again = materialize(again.select("node", "torn", F.substring("fp", 1, 8 * WIDE).alias("fp"), "root", "set"), "simhash-again")
+    sizes = again.groupBy("torn").agg(F.count("*").alias("n"), F.sum(F.size("set")).alias("shingles"))
+    sizes = materialize(sizes.withColumnRenamed("torn", "of"), "simhash-sizes")
+    again = again.join(sizes, F.col("torn") == F.col("of"))
+    whole = again.filter(F.col("n") <= MEMBERS).select(F.lit(0).cast("long").alias("g1"), F.col("torn").alias("g2"), "node", "fp", "root", "set", "n", "shingles")
+    blocks = F.greatest(F.ceil(F.col("n") / CELL), F.ceil(F.col("shingles") / CELL_SHINGLES))
+    good = good.union(compared(_cells(whole, blocks).drop("shingles"), radius, similarity))
+    rest = again.filter(F.col("n") > MEMBERS).select("node", "fp", "root", "set")
+    return good if rest.isEmpty() else good.union(wide_links(rest, radius, similarity=similarity))
 
 
 def simhash_groups(
@@ -452,7 +516,7 @@ def simhash_groups(
     roots = roots.withColumnRenamed("node", "of")
     named = classes.join(roots, F.col("node") == F.col("of"), "left")
     named = materialize(named.select("fp", "least", F.coalesce("root", "node").alias("root")), "simhash-classes")
-    names = named.groupBy("root").agg(F.min("least").alias("component"))
+    names = materialize(named.groupBy("root").agg(F.min("least").alias("component")), "simhash-names")
     by_class = named.select("fp", "root").join(names, "root").select(F.col("fp").alias("class"), "component")
     return prints.join(by_class, F.col("fp") == F.col("class")).select("doc", "fp", *(["row"] if keyed else []), "component")
 
