@@ -9,13 +9,13 @@ pyarrow's file systems. Only one manifest row for each file reaches the driver.
 from __future__ import annotations
 
 import os
-import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -24,18 +24,22 @@ from pyspark.sql import functions as F
 from .idcoder import decode_segment, segments
 from .textkit import shared_folder, worker_memory
 
-#: Words of each of two generations whose ids a worker remembers.
-MEMO = 400_000
-_PUNCT = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+#: Bytes of text, about, that are tokenized at a time, and words of a text that is made of new words.
+BYTES, WORDS = 16 << 20, 500
+# RE2 patterns. One mark that ends a word of plain letters or digits; words of plain letters, whose case and normal form
+# stay single letters; capitals that a mark after them could change.
+_MARK = r"([A-Za-z0-9])([,.;:!?])([\t-\r ]|$)"
+_LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
+_MARKED = r"[A-Z]\pM"
 
 
 class WordTokenizer:
     """Ids of a ``tokenizers`` file whose pre-tokenizer never crosses ASCII white space.
 
-    Such a text's ids are those of its words in turn, so words are encoded once and remembered; the least recent
-    generation is forgotten when the newer one is full. Letters and digits followed by punctuation (but for
-    apostrophes) are two pre-tokens, so a new word of that form is made of its two parts, lower-cased as the
-    tokenizer does.
+    Such a text's ids are those of its words in turn, so of a batch of texts each different word is encoded once. If the file
+    has the needed rules, which is tried on samples, words are lower-cased first, a mark after a word is a word of its own, and
+    words of plain letters are encoded many at a time, as one text in which the ends of pre-tokens (an end-of-word suffix) tell
+    them apart. All other words are encoded alone.
     """
 
     def __init__(self, path: str):
@@ -43,8 +47,17 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(1 << 16, dtype=bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        #: Texts of added tokens are found before anything else is done.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        same = lambda x, y: np.array_equal(self._alone([x])[0], self._alone([y])[0])
+        self.lowers = all(same(x, x.lower()) for x in ("ABC", "Zebra", "McX3", "\u00dcBer"))
+        parted = all(same(x + y, f"{x} {y}") for x in ("ab", "Y2K", "3") for y in ",.;:!?")
+        self.parts = parted and not pc.any(pc.match_substring_regex(pa.array(self.added, pa.string()), r"[A-Za-z0-9][,.;:!?]")).as_py()
+        self.together = bool(suffix) and self._together(pa.array(["Stra\u00dfe", "ab", "\u00c9t\u00e9", "internationalisation"])) is not None
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -54,44 +67,71 @@ class WordTokenizer:
             kept[path] = cls(path)
         return kept[path]
 
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        memo, older = self.memo, self.older
-        whole, split = [], []
-        for w in words:
-            if w in memo:
-                continue
-            if w in older:
-                memo[w] = older[w]
-                continue
-            core = w.rstrip(_PUNCT)
-            if core and len(core) < len(w) and core.decode().isalnum():
-                low, tail = core.lower(), w[len(core) :]
-                split.append((w, low, tail))
-                whole += [low, tail]
-            else:
-                whole.append(w)
-        whole = [w for w in dict.fromkeys(whole) if w not in memo]
-        for w in [w for w in whole if w in older]:
-            memo[w] = older[w]
-        whole = [w for w in whole if w not in memo]
-        for lo in range(0, len(whole), 4096):
-            batch = whole[lo : lo + 4096]
-            for w, e in zip(batch, self.tokenizer.encode_batch_fast([w.decode() for w in batch], add_special_tokens=False), strict=True):
-                ids = e.ids
-                memo[w] = struct.pack(f"<{len(ids)}H", *ids)
-        for w, low, tail in split:
-            memo[w] = memo[low] + memo[tail]
-
-    def encode(self, text: str | None, end: int) -> np.ndarray:
-        words = (text or "").encode().split()
-        try:
-            raw = b"".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            self._learn(list(dict.fromkeys(words)))
-            raw = b"".join(map(self.memo.__getitem__, words))
-        return np.append(np.frombuffer(raw, dtype="<u2"), np.uint16(end))
+    def _ids(self, texts: list[str], step: int) -> Iterator[np.ndarray]:
+        for lo in range(0, len(texts), step):
+            for e in self.tokenizer.encode_batch_fast(texts[lo : lo + step], add_special_tokens=False):
+                yield np.array(e.ids, dtype=np.uint16)
+
+    def _alone(self, words: list[str]) -> list[np.ndarray]:
+        return list(self._ids(words, 4096))
+
+    def _together(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, number of each word's) of words of one pre-token each; None if the marks don't tell them apart."""
+        cuts = np.append(np.arange(0, len(words), WORDS), len(words)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words), " ").to_pylist()
+        ids = np.concatenate([np.zeros(0, np.uint16), *self._ids(texts, 16)])
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        return (ids, np.diff(stops, prepend=0)) if len(stops) == len(words) and (not len(ids) or stops[-1] == len(ids)) else None
+
+    def _words(self, texts: pa.Array) -> pa.ListArray:
+        if self.lowers:
+            low = pc.ascii_lower(texts)
+            keep = pc.match_substring_regex(texts, _MARKED)
+            for t in self.added:
+                keep = pc.or_(keep, pc.match_substring(low, t.lower()))
+            texts = pc.if_else(keep, texts, low)
+        if self.parts:
+            texts = pc.replace_substring_regex(texts, _MARK, r"\1 \2\3")
+        return pc.ascii_split_whitespace(texts)
+
+    def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
+        """Ids of each text, with ``end`` after them; null has none but ``end``."""
+        lists = self._words(pc.fill_null(texts, ""))
+        found = lists.flatten().dictionary_encode()
+        kinds, use = found.dictionary, found.indices.to_numpy().astype(np.int64)
+        plain = pc.match_substring_regex(kinds, _LETTERS).to_numpy(zero_copy_only=False) & self.together
+        first = self._together(kinds.filter(pa.array(plain)))
+        if first is None:
+            plain[:], first = False, (np.zeros(0, np.uint16), np.zeros(0, np.int64))
+        alone = self._alone(kinds.filter(pa.array(~plain)).to_pylist())
+        sizes = np.zeros(len(kinds) + 1, dtype=np.int64)
+        starts = np.zeros(len(kinds) + 1, dtype=np.int64)
+        for own, n, base in ((plain, first[1], 0), (~plain, np.array([len(x) for x in alone], dtype=np.int64), len(first[0]))):
+            sizes[:-1][own] = n
+            starts[:-1][own] = base + np.cumsum(n) - n
+        ids = np.concatenate([first[0], *alone, np.array([end], np.uint16)])
+        sizes[-1], starts[-1] = 1, len(ids) - 1
+        stops = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        use = np.insert(use, stops, len(kinds))  # the end of each text
+        n = sizes[use]
+        ends = np.cumsum(n)
+        out = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[use] - ends + n, n)]
+        return np.split(out, ends[stops + np.arange(len(stops))][:-1]) if len(stops) else []
+
+
+def batches_of(batches: Iterator[pa.RecordBatch], size: int = BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows (id, text) in batches of about ``size`` bytes of text."""
+    held, total = [], 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            held.append(part)
+            total += pc.sum(pc.binary_length(part.column(1))).as_py() or 0
+            if total >= size:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -99,10 +139,10 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def write_ids(docs: DataFrame, encoder: Callable[[], Callable[[str | None], np.ndarray]], folder: str, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
+def write_ids(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], list[np.ndarray]]], folder: str, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
     """Write files ``part-<n>.ids``; the manifest: one dict (part, name, docs, ids, sizes) a file, in order.
 
-    ``encoder`` is called once in a task and makes the function from text to ids.
+    ``encoder`` is called once in a task and makes the function from texts to their ids.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -116,10 +156,10 @@ def write_ids(docs: DataFrame, encoder: Callable[[], Callable[[str | None], np.n
         name, final = f"part-{part:06d}.ids", None
         system, root = open_folder(folder)
         temp = f"{root}/.{name}.{uuid.uuid4().hex}"
-        texts = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        coded = (r for x in batches_of(batches) for r in zip(x.column(0).to_pylist(), encode(x.column(1)), strict=True))
         at, total, docs_in, sizes = 0, 0, 0, []
         out = None
-        for data, n_docs, n_ids in segments((d, encode(t)) for d, t in texts):
+        for data, n_docs, n_ids in segments(coded):
             if out is None:
                 system.create_dir(root, recursive=True)
                 out = system.open_output_stream(temp)
@@ -180,6 +220,6 @@ def encode_corpus(docs: DataFrame, tokenizer_path: str, end_id: int = 2, with_id
 
     def encoder():
         words = WordTokenizer.of(tokenizer_path)
-        return lambda text: words.encode(text, end_id)
+        return lambda texts: words.encode(texts, end_id)
 
     return read_ids(docs.sparkSession, folder, write_ids(docs, encoder, folder, id_col, text_col), with_ids)

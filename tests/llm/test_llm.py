@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 
@@ -141,6 +142,35 @@ def test_token_files(spark, odd):
         idcoder.decode_segment(bytes(broken))
 
 
+def test_ids_equal_library():
+    """Random strings over letters that change under case or normal form, marks, added tokens and white space."""
+    from tokenizers import Tokenizer
+
+    points = [*range(32, 127), *range(0xA0, 0x180), 0x130, 0x131, 0x307, 0x301, 0x30C, 0x327, 0x331, 0x345, 0x1F0, 0x1E9E, 0x3A3, 0x3C2, 0x4E00, 0x661, 0x2028, 0x85, 0x1C, 0x200B, 0x1F600, 0xFB01, 0x3000]
+    letters = [*map(chr, points), "'s", "'t", "'re", "<|endoftext|>", "<|STARTOFTEXT|>", "J\u030c", "\t", "\n", ". ", ", "]
+    r = random.Random(12)
+    texts = ["\u0130|", "a. b, <|endoftext|>.", "J\u030c.", None, *("".join(r.choice(letters) for _ in range(r.randint(0, 9))) for _ in range(20_000))]
+    ours = token_files.WordTokenizer(WORDS)
+    assert ours.lowers and ours.parts and ours.together
+    want = [e.ids + [2] for e in Tokenizer.from_file(WORDS).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in ours.encode(pa.array(texts), 2)] == want
+    other = token_files.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))  # no marks of word ends, case matters
+    assert not other.lowers and not other.together
+
+
+def test_blocks_decode_and_compress():
+    """Predictable ids take fewer bits than their order-0 entropy, and every shape of segment comes back."""
+    r = np.random.default_rng(3)
+    motif = r.integers(0, 500, 300)
+    ids = np.concatenate([motif if k % 3 else r.integers(0, 500, 300) for k in range(400)]).astype(np.uint16)
+    data = idcoder.encode_segment([1], [ids])
+    p = np.bincount(ids) / len(ids)
+    assert (idcoder.decode_segment(data).ids == ids).all()
+    assert 8 * len(data) / len(ids) < 0.8 * -(p[p > 0] * np.log2(p[p > 0])).sum()
+    for n in (0, 1, 255, 256, 257, 5000):
+        assert (idcoder.decode_segment(idcoder.encode_segment([1], [ids[:n]])).ids == ids[:n]).all()
+
+
 @pytest.mark.parametrize("block", [4, 1024])  # small blocks make buckets be cut further
 def test_links_equal_brute_force(spark, block):
     r = random.Random(9)
