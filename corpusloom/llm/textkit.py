@@ -159,9 +159,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_rows(
-    df: DataFrame, columns: list[str], schema: str, rows: Callable[[list], list[tuple]]
+    df: DataFrame, columns: list[str], schema: str, rows: Callable[[list], list[tuple]], step: int = 256
 ) -> DataFrame:
-    """``mapInArrow`` over ``columns``: ``rows`` turns a list of input tuples into output tuples."""
+    """``mapInArrow`` over ``columns``: ``rows`` turns a list of at most ``step`` input tuples into output tuples."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -169,11 +169,12 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = rows(list(zip(*(c.to_pylist() for c in batch.columns), strict=True)))
-            cols = list(zip(*out, strict=True)) or [[] for _ in target]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), type=f.type) for c, f in zip(cols, target, strict=True)], schema=target
-            )
+            for lo in range(0, batch.num_rows, step):
+                out = rows(list(zip(*(c.to_pylist() for c in batch.slice(lo, step).columns), strict=True)))
+                cols = list(zip(*out, strict=True)) or [[] for _ in target]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), type=f.type) for c, f in zip(cols, target, strict=True)], schema=target
+                )
 
     return df.select(*columns).mapInArrow(run, schema)
 
