@@ -110,7 +110,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows, schema: str) ->
         F.lit(None).cast("long").alias("id"), "place", "text", F.col("to").alias("range"), F.lit(True).alias("guest")
     )
     run = placed.withColumn("guest", F.lit(False)).unionByName(guests)
-    run = run.repartition(parts, "range").sortWithinPartitions("range", "guest", "place", "text")
+    run = run.repartitionById(parts, F.col("range").cast("int")).sortWithinPartitions("range", "guest", "place", "text")
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)))
@@ -129,7 +129,8 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Fingerprints of every text and of its edited text, and their likeness.
 
     Next is the next row in ascending (id, text), after the last the first; null ids come first. A lone
-    document is its own next. Null text is the empty text. Repeated rows are rows of their own.
+    document is its own next. Null text is the empty text. Repeated rows are rows of their own. Ids are whole numbers
+    (anything that casts to long). No rows give no rows.
     """
     import hashlib
 
