@@ -7,7 +7,8 @@ cosine; it is rejected if it is farther from that centroid than nearly all held-
 times a slack, and never accepted beyond ``CAP``.
 
 The classifier is fitted on a bounded sample: at most about ``SAMPLE`` labelled rows for each language,
-chosen by a hash of the id, by one task. Prediction reads every whole text.
+chosen by a hash of the id. Document frequencies, then centroids and held-out distances are found by one task a
+language, so a task's memory doesn't grow with the number of languages. Prediction reads every whole text.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .textkit import mix64, random_words, worker_memory
+from .textkit import materialize, mix64, random_words, worker_memory
 
 DIM = 4096
 ORDERS = (1, 2, 3)
@@ -30,6 +31,8 @@ ORDERS = (1, 2, 3)
 SAMPLE = 1000
 #: Centroids of a language.
 CLUSTERS = 4
+#: Least share of a language's rows that a cluster has.
+LEAST_SHARE = 0.02
 #: Of held-out distances of a language: quantile, factor on it, most that a limit can be, and least texts for a limit of its own.
 QUANTILE, SLACK, CAP, LEAST = 0.98, 1.1, 0.8, 50
 #: Letters from which a limit of its own holds; shorter texts have ``CAP``.
@@ -105,64 +108,88 @@ def _length(counts: np.ndarray) -> int:
 
 
 def _clusters(own: np.ndarray) -> np.ndarray:
-    """Centroids of the rows."""
-    c = _unit(own.mean(axis=0, keepdims=True))
-    while len(c) < min(CLUSTERS, len(own)):  # farthest-first seeds
-        c = np.vstack([c, own[[(own @ c.T).max(axis=1).argmin()]]])
+    """Centroids of the rows by spherical k-means. Seeds are drawn with probability by squared distance (k-means++, a fixed
+    generator); clusters of fewer than ``LEAST_SHARE`` of the rows, which would be outliers, are given up."""
+    draw, c = np.random.default_rng(7), _unit(own.mean(axis=0, keepdims=True))
+    if len(own) > CLUSTERS:
+        c = own[[draw.integers(len(own))]]
+        while len(c) < CLUSTERS:
+            far = np.maximum(0.0, 1 - (own @ c.T).max(axis=1)).astype(float) ** 2
+            if far.sum() <= 1e-9:
+                break
+            c = np.vstack([c, own[[draw.choice(len(own), p=far / far.sum())]]])
     for _ in range(10):
         at = (own @ c.T).argmax(axis=1)
-        c = _unit(np.array([own[at == k].mean(axis=0) if (at == k).any() else c[k] for k in range(len(c))]))
+        held = np.bincount(at, minlength=len(c))
+        stay = np.flatnonzero(held >= max(1, LEAST_SHARE * len(own)))
+        c = _unit(np.array([own[at == k].mean(axis=0) for k in stay]))
     return c
 
 
-def _limits(named: np.ndarray, x: np.ndarray, texts: list[str], weigh) -> dict[str, np.ndarray]:
-    """For each language the largest distance by length: from rows against centroids of the other half of the language,
-    cut to the least length; from all languages' rows where one has few."""
-    far: dict[str, list[list[float]]] = {}
-    for g in sorted(set(named)):
-        at, far[g] = np.flatnonzero(named == g), [[] for _ in LENGTHS]
-        if len(at) < 2:
-            continue
-        halves = [_clusters(x[at[k::2]]) for k in (0, 1)]
-        for i, row in enumerate(at[:400]):
-            for b, most in enumerate(LENGTHS):
-                f = features(texts[row], most + 1)
-                if f is not None and _length(f) > b:
-                    far[g][b].append(1 - float((halves[1 - i % 2] @ weigh(f)).max()))
-    out = {}
-    for g, own in far.items():
-        out[g] = np.full(len(LENGTHS) + 1, CAP)
-        for b in range(len(LENGTHS)):
-            pool = own[b] if len(own[b]) >= LEAST else [d for other in far.values() for d in other[b]]
-            # few texts say little: longer texts then have the limit of the length before
-            out[g][b + 1] = min(out[g][b], float(np.quantile(pool, QUANTILE)) * SLACK) if len(pool) >= LEAST else out[g][b]
-    return out
+def _vectors(texts: list[str], idf: np.ndarray | None) -> tuple[np.ndarray, list[str]]:
+    """Unit vectors (counts damped only, if there is no idf yet) of the texts that have letters, and these texts, sorted."""
+    rows = [(f.astype(np.float32), t) for t in sorted(texts) if (f := features(t)) is not None]
+    x = np.log1p(np.array([f for f, _ in rows], dtype=np.float32).reshape(len(rows), DIM))
+    if idf is not None:
+        x *= idf.astype(np.float32)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    return x, [t for _, t in rows]
 
 
-def fit(langs: list[str], texts: list[str]) -> Model:
-    """Deterministic in the set of rows: they are sorted first."""
-    rows = [(g, f.astype(np.float32), t) for g, t in sorted(zip(langs, texts, strict=True)) if (f := features(t)) is not None]
-    if not rows:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, len(LENGTHS) + 1)), np.ones(DIM))
-    named, kept = np.array([g for g, _, _ in rows], dtype=object), [t for _, _, t in rows]
-    x = np.array([f for _, f, _ in rows])
-    del rows
-    np.log1p(x, out=x)
-    idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1
-    x *= idf.astype(np.float32)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    limits = _limits(named, x, kept, lambda f: _unit(np.log1p(f) * idf).astype(np.float32))
+def _frequencies(texts: list[str]) -> tuple[int, np.ndarray]:
+    """Texts with letters, and in how many of them each n-gram is."""
+    x, _ = _vectors(texts, None)
+    return len(x), np.count_nonzero(x, axis=0)
+
+
+def _idf(counts: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    n = sum(c for c, _ in counts)
+    return np.log((1 + n) / (1 + sum((d for _, d in counts), np.zeros(DIM)))) + 1
+
+
+def _language(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, list[list[float]]]:
+    """Centroids of a language, and held-out distances by length: of up to 400 rows, cut to the least length, from the
+    centroids of the other half of the rows."""
+    x, kept = _vectors(texts, idf)
+    far: list[list[float]] = [[] for _ in LENGTHS]
+    if len(x) < 2:
+        return (_clusters(x) if len(x) else np.zeros((0, DIM), np.float32)), far
+    halves = [_clusters(x[k::2]) for k in (0, 1)]
+    for i, text in enumerate(kept[:400]):
+        for b, most in enumerate(LENGTHS):
+            f = features(text, most + 1)
+            if f is not None and _length(f) > b:
+                far[b].append(1 - float((halves[1 - i % 2] @ _unit(np.log1p(f) * idf).astype(np.float32)).max()))
+    return _clusters(x), far
+
+
+def _model(idf: np.ndarray, found: dict[str, tuple[np.ndarray, list[list[float]]]]) -> Model:
+    """Limits by length from the held-out distances, from all languages' where one has few; longer texts without enough
+    have the limit of the length before."""
     names, centroids, radii = [], [], []
-    for g in sorted(set(named)):
-        c = _clusters(x[named == g])
+    for g, (c, own) in sorted(found.items()):
+        limit = np.full(len(LENGTHS) + 1, CAP)
+        for b in range(len(LENGTHS)):
+            pool = own[b] if len(own[b]) >= LEAST else [d for _, other in found.values() for d in other[b]]
+            limit[b + 1] = min(limit[b], float(np.quantile(pool, QUANTILE)) * SLACK) if len(pool) >= LEAST else limit[b]
         names += [g] * len(c)
         centroids += list(c)
-        radii += [limits[g]] * len(c)
-    return Model(names, np.array(centroids, dtype=np.float32), np.array(radii), idf)
+        radii += [limit] * len(c)
+    return Model(names, np.array(centroids, dtype=np.float32).reshape(-1, DIM), np.array(radii).reshape(-1, len(LENGTHS) + 1), idf)
+
+
+def fit(langs: list[str], texts: list[str]) -> Model:
+    """Deterministic in the set of rows."""
+    by: dict[str, list[str]] = {}
+    for g, t in zip(langs, texts, strict=True):
+        by.setdefault(g, []).append(t)
+    idf = _idf([_frequencies(t) for t in by.values()])
+    return _model(idf, {g: _language(t, idf) for g, t in by.items()})
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """Fit on rows with a non-null label; null or empty texts teach nothing."""
+    """Fit on rows with a non-null label; null or empty texts teach nothing. More than ``LANGUAGES`` labels are an error, as
+    the model is sent to every worker."""
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")
     )
@@ -173,31 +200,28 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     share = spark.createDataFrame([(r["g"], min(1.0, sample / r["n"])) for r in counts], "g string, share double")
     draw = F.pmod(F.xxhash64("i", "t"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = rows.join(F.broadcast(share), "g").filter(draw < F.col("share")).select("g", "t")
+    chosen = materialize(chosen, "langid-sample")  # some SAMPLE rows a language
+
+    def frequencies(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, held = _frequencies(pdf["t"].tolist())
+        return pd.DataFrame({"n": [n], "held": [held.astype("<f8").tobytes()]})
+
+    back = chosen.groupBy("g").applyInPandas(frequencies, "n long, held binary").collect()
+    idf = _idf([(r["n"], np.frombuffer(r["held"], dtype="<f8")) for r in back])
+
+    def language(pdf: pd.DataFrame) -> pd.DataFrame:
+        c, far = _language(pdf["t"].tolist(), idf)
+        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "c": [c.astype("<f4").tobytes()], "far": [far]})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = pd.concat([pd.DataFrame({"g": [], "t": []}), *batches])
-        m = fit(got["g"].tolist(), got["t"].tolist())
-        yield pd.DataFrame(
-            {
-                "lang": ["", *m.langs],
-                "radius": [[], *(r.tolist() for r in m.radii)],
-                "vector": [m.idf.astype("<f4").tobytes(), *(c.astype("<f4").tobytes() for c in m.centroids)],
-            }
-        )
-
-    back = chosen.coalesce(1).mapInPandas(run, "lang string, radius array<double>, vector binary").collect()
-    if not back:
-        return fit([], [])
-    vector = lambda r: np.frombuffer(r["vector"], dtype="<f4")
-    cents = np.array([vector(r) for r in back[1:]], dtype=np.float32).reshape(-1, DIM)
-    return Model([r["lang"] for r in back[1:]], cents, np.array([r["radius"] for r in back[1:]]), vector(back[0]).astype(float))
+    back = chosen.groupBy("g").applyInPandas(language, "g string, c binary, far array<array<double>>").collect()
+    return _model(idf, {r["g"]: (np.frombuffer(r["c"], dtype="<f4").reshape(-1, DIM), r["far"]) for r in back})
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text", name: str = "language") -> DataFrame:
     """``docs`` with a struct column ``name`` (lang, score, rejected).
 
     Null text or text without letters: und, 0.0, rejected. Equal texts get equal results; a model of no
-    languages answers und. Only the text is read.
+    languages answers und. Only the text is read; other columns pass, whatever their names. No rows give no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most LANGUAGES * CLUSTERS vectors of DIM
 
@@ -214,5 +238,5 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text", name: s
 
     columns = [*docs.columns, name]
     schema = StructType([*docs.schema.fields, StructField(name, StructType.fromDDL("lang string, score double, rejected boolean"))])
-    text = F.col(text_col).alias("_text")
+    text = F.col(text_col)
     return docs.select(text, *(F.col(f"`{c}`") for c in docs.columns)).mapInArrow(run, schema)
