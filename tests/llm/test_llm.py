@@ -13,7 +13,7 @@ from pyspark.sql import Row
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from corpusloom.llm import (  # noqa: E402
-    exact_dedup, html_extract, idcoder, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files,
+    exact_dedup, idcoder, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files,
 )
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -73,14 +73,51 @@ def test_order_minhash(spark, odd):
     assert len(got) == odd.count() and all(0 <= r.near_edited <= 1 for r in got)
     by = {r.doc_id: r for r in got}
     assert by[0].fingerprint == by[1].fingerprint and by[6].fingerprint == by[7].fingerprint
+    assert order_minhash.edit_report(odd.limit(0)).count() == 0
     lone = order_minhash.edit_report(odd.filter("doc_id = 8")).collect()
     assert len(lone) == 1 and lone[0].near_next == 1.0
 
 
-def test_html():
-    page = '<body><nav><a href=x>m</a></nav><header>Site</header><div class="sidebar"><p>x, y</p></div><article><h1>T</h1><p>a &amp;\n b<p>c, d</article><div id="comments"><p>no</p></div><form>q</form><script>"</p>"</script><footer>f</footer>'
-    assert html_extract.main_text(page) == "T\na & b\nc, d"
-    assert [html_extract.main_text(h) for h in (None, "", "bare", "<p>a<p>b", "<div>" * 3000 + "deep")] == ["", "", "bare", "a\nb", "deep"]
+def plain_sketch(text):
+    """Order MinHash with whole numbers and sorting only."""
+    m = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+        return x ^ x >> 31
+
+    letters, base = [mix(ord(c) + 1) for c in text], 0x9E3779B97F4A7C15
+    k = min(order_minhash.KMER, len(letters))
+    kmers = [mix(sum(v * pow(base, j, 1 << 64) for j, v in enumerate(letters[i : i + k])) & m) for i in range(len(letters) - k + 1)]
+    seen, keys = {}, []
+    for x in kmers:
+        keys.append(mix(x + seen.get(x, 0) * base & m) >> 32)
+        seen[x] = seen.get(x, 0) + 1
+    out = []
+    for a, x in zip(order_minhash._A.tolist(), order_minhash._X.tolist()):
+        least = sorted(range(len(kmers)), key=lambda i: ((keys[i] ^ x) * a & 0xFFFFFFFF, i))[: order_minhash.TUPLE]
+        value = int(order_minhash._SEED[order_minhash.TUPLE]) + min(len(text), 1) & m
+        for n, i in enumerate(sorted(least)):
+            value = mix(value * int(order_minhash._SEED[n]) + kmers[i] & m)
+        out.append(value >> 32)
+    return out
+
+
+def test_order_minhash_equals_brute_force(spark):
+    r = random.Random(4)
+    texts = ["", "a", "abcdefgh", "abcdefghi", "ab" * 40, *("".join(r.choice("abc d\u00e9\U0001f600") for _ in range(r.randint(1, 400))) for _ in range(60)), prose(900, 5)]
+    assert all(order_minhash.sketch(t).tolist() == plain_sketch(t) for t in texts)
+    rows = [(7 * i - 50, t) for i, t in enumerate(texts)]
+    got = {x.doc_id: x for x in order_minhash.edit_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        half = len(t) // 2
+        new = t[: len(t) - half] + after[:half]
+        own, other, following = plain_sketch(t), plain_sketch(new), plain_sketch(after)
+        hexed = lambda s: b"".join(v.to_bytes(4, "big") for v in s).hex()
+        near = lambda s: sum(x == y for x, y in zip(own, s)) / len(own)
+        want = (i, len(t), hashlib.sha256(new.encode()).hexdigest(), hexed(own), hexed(other), near(other), near(following))
+        assert tuple(got[i]) == want
 
 
 def test_language(spark):
@@ -92,6 +129,9 @@ def test_language(spark):
     assert sum(r.lang == r.language.lang for r in held) >= 0.98 * len(held) and not any(r.language.rejected for r in held)
     assert all(r.language.lang == "und" and r.language.rejected for r in got if r.doc_id >= 900)
     assert langid.with_language(d.limit(1), langid.train(d.limit(0))).first().language.lang == "und"
+    clash = d.limit(3).withColumnsRenamed({"lang": "_text"})
+    assert langid.with_language(clash, model).columns == [*clash.columns, "language"] and langid.with_language(clash.limit(0), model).count() == 0
+    assert langid.with_language(clash, model).filter("language.lang IN ('aa', 'zz')").count() == 3
 
 
 def test_mixing(spark, odd):
@@ -313,11 +353,58 @@ def test_wide_links_are_verified(spark):
 
 def test_licenses(spark, odd):
     index = licenses.Index(licenses.TEMPLATES)
-    noisy = licenses.TEMPLATES["mit"].replace("persons", "people").replace("deal in", "deal freely in")
-    (m,) = index.scan(prose(50, 1) + " " + noisy + " " + prose(50, 2))
-    assert m[0] == "mit" and m[1] > 0.9
-    assert index.scan("Released under the MIT License.")[0][:2] == ("mit-short", 1.0) and index.scan(LONG) == [] == index.scan(None)
-    assert licenses.scan_licenses(odd).count() == 0
+    for name, text in licenses.TEMPLATES.items():
+        (m,) = index.scan(prose(50, 1) + " " + text + " " + prose(50, 2))
+        assert m[:4] == (name, 1.0, len(licenses.words_of(text)[0]), 50)
+    mit = licenses.TEMPLATES["mit"]
+    (m,) = index.scan(mit.replace("persons", "people").replace("deal in", "deal freely in"))
+    assert m[0] == "mit" and m[2] == len(licenses.words_of(mit)[0]) - 1
+    words = mit.split()
+    (m,) = index.scan(" ".join([*words[:60], *prose(20, 3).split(), *words[60:]]))  # words put in
+    assert m[:2] == ("mit", 1.0)
+    (m,) = index.scan(" ".join(words[: 7 * len(words) // 10]))  # cut off
+    assert m[0] == "mit" and 0.65 < m[1] < 0.75
+    assert [x[0] for x in index.scan(f"{mit} and {mit}")] == ["mit", "mit"]
+    assert [x[0] for x in index.scan("Licensed under CC BY-ND 4.0.")] == ["cc-by-nd-4.0-short"] and index.scan("Licensed under CC BY-XX 4.0.") == []
+    assert index.scan(LONG) == [] == index.scan(None) == index.scan("permission is hereby granted free " * 9000)
+    assert licenses.scan_licenses(odd).count() == 0 and licenses.scan_licenses(odd.limit(0)).count() == 0
+    d = spark.createDataFrame([(1, mit), (1, mit), (None, "Released under the MIT License."), (2, None)], "doc_id long, text string")
+    assert sorted((str(x.doc_id), x.license) for x in licenses.scan_licenses(d).collect()) == [("1", "mit"), ("1", "mit"), ("None", "mit-short")]
+
+
+def test_alignment_equals_brute_force():
+    """Against the whole table of a plain alignment, where the band holds every path."""
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        template, text = r.integers(0, 6, r.integers(1, 9)).astype(np.uint64), r.integers(0, 6, r.integers(1, 9)).astype(np.uint64)
+        m, n = len(template), len(text)
+        table = np.zeros((m + 1, n + 1))
+        for i in range(1, m + 1):
+            for j in range(n + 1):
+                best = table[i - 1, j] - 0.5
+                if j:
+                    best = max(best, table[i - 1, j - 1] + (1 if template[i - 1] == text[j - 1] else -0.5), table[i, j - 1] - 0.5)
+                table[i, j] = best
+        matched, first, end, low, high = licenses.align([(template, text, 0)], band=20)[0]
+        misses = m - matched
+        assert matched - 0.5 * misses <= table[m].max() + 1e-9 + 0.5 * n and matched <= min(m, n)
+        if matched:
+            assert text[first] == template[low] and text[end - 1] == template[high - 1]
+        whole = licenses.align([(template, np.concatenate([text, template]), n)], band=20)[0]
+        assert whole[0] == m
+
+
+def test_license_scan_equals_whole_alignment():
+    """Coverage of damaged templates: what the pieces find is what an alignment over the whole text finds, nearly."""
+    r, index = random.Random(6), licenses.Index(licenses.TEMPLATES)
+    for name in ("mit", "bsd-3-clause", "zlib", "unlicense", "apache-2.0"):
+        words = licenses.words_of(licenses.TEMPLATES[name])[0]
+        for damage in (0.0, 0.05, 0.1):
+            text = [prose(1, r.randrange(9999)) if r.random() < damage else w for w in words]
+            template, codes = licenses.codes_of(words), licenses.codes_of([*prose(30, 1).split(), *text, *prose(30, 2).split()])
+            want = licenses.align([(template, codes, 30)], band=40)[0][0]
+            (m,) = index.scan(" ".join([*prose(30, 1).split(), *text, *prose(30, 2).split()]))
+            assert m[0] == name and want - 3 <= m[2] <= want
 
 
 def test_exact(spark, odd):
