@@ -26,10 +26,11 @@ from .textkit import shared_folder, worker_memory
 
 #: Bytes of text, about, that are tokenized at a time, and words of a text that is made of new words.
 BYTES, WORDS = 16 << 20, 500
-# RE2 patterns. One mark that ends a word of plain letters or digits; words of plain letters, whose case and normal form
-# stay single letters; capitals that a mark after them could change.
-_MARK = r"([A-Za-z0-9])([,.;:!?])([\t-\r ]|$)"
-_LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
+# RE2 patterns. ASCII marks but for apostrophes that end a word of plain letters or digits; words of plain letters, whose
+# case and normal form stay single letters; capitals that a mark after them could change.
+_PLAIN = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}"
+_MARK = rf"([0-9{_PLAIN}])([!-&(-/:-@\[-`{{-~]+)([\t-\r ]|$)"
+_LETTERS = rf"^[{_PLAIN}]+$"
 _MARKED = r"[A-Z]\pM"
 
 
@@ -55,8 +56,7 @@ class WordTokenizer:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         same = lambda x, y: np.array_equal(self._alone([x])[0], self._alone([y])[0])
         self.lowers = all(same(x, x.lower()) for x in ("ABC", "Zebra", "McX3", "\u00dcBer"))
-        parted = all(same(x + y, f"{x} {y}") for x in ("ab", "Y2K", "3") for y in ",.;:!?")
-        self.parts = parted and not pc.any(pc.match_substring_regex(pa.array(self.added, pa.string()), r"[A-Za-z0-9][,.;:!?]")).as_py()
+        self.parts = all(same(x + y, f"{x} {y}") for x in ("ab", "Y2K", "3", "\u00e9") for y in (*"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "...", "&&&", ">=$", "|!"))
         self.together = bool(suffix) and self._together(pa.array(["Stra\u00dfe", "ab", "\u00c9t\u00e9", "internationalisation"])) is not None
 
     @classmethod
@@ -84,14 +84,14 @@ class WordTokenizer:
         return (ids, np.diff(stops, prepend=0)) if len(stops) == len(words) and (not len(ids) or stops[-1] == len(ids)) else None
 
     def _words(self, texts: pa.Array) -> pa.ListArray:
+        low = pc.ascii_lower(texts)
+        keep = pc.equal(pc.binary_length(texts), -1)
+        for t in self.added:
+            keep = pc.or_(keep, pc.match_substring(low, t.lower()))
         if self.lowers:
-            low = pc.ascii_lower(texts)
-            keep = pc.match_substring_regex(texts, _MARKED)
-            for t in self.added:
-                keep = pc.or_(keep, pc.match_substring(low, t.lower()))
-            texts = pc.if_else(keep, texts, low)
+            texts = pc.if_else(pc.or_(keep, pc.match_substring_regex(texts, _MARKED)), texts, low)
         if self.parts:
-            texts = pc.replace_substring_regex(texts, _MARK, r"\1 \2\3")
+            texts = pc.if_else(keep, texts, pc.replace_substring_regex(texts, _MARK, r"\1 \2\3"))
         return pc.ascii_split_whitespace(texts)
 
     def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
