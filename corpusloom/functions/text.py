@@ -21,6 +21,7 @@ MONTHS = "january february march april may june july august september october no
 NUMBER_TOKENS = ("EXECUTIVE", "EMERGENCY", "ORDER", "ORDERS", "NO", "NOS")
 TRAILING_STOP = "which with and the to of for in on by as that from a an or at into under upon".split()
 MAX_HEADER, MARK_LENGTH, DATE_LINES = 900, 8, 12
+# Fixed value: characters that aren't junk.
 JUNK = r"""[\p{L}\p{N} \t\n.,;:'"()\-&/$%§#’“”]"""
 
 
@@ -35,11 +36,16 @@ def clean_text(c: Column) -> Column:
     return normalize_ws(F.regexp_replace(c, r"(?U)(\w)-\n([a-z])", "$1$2"))
 
 
+# One pattern each, so that no lambda runs for a word: ASCII runs of letters of two or more; those that are English-like.
+_RUN = r"(?<![A-Za-z])[A-Za-z]{2,}"
+_LIKE = r"(?<![A-Za-z])(?=[A-Za-z]{2,20}(?![A-Za-z]))(?=[B-DF-HJ-NP-TV-Zb-df-hj-np-tv-z]{0,19}[AEIOUaeiou])(?![A-Za-z]*[B-DF-HJ-NP-TV-Zb-df-hj-np-tv-z]{5})[A-Za-z]+"
+
+
 def word_ratio(c: Column) -> Column:
-    """Share of English-like words among those of two letters or more; 1.0 if none."""
-    words = F.filter(F.regexp_extract_all(c, F.lit("[A-Za-z]+"), F.lit(0)), lambda w: F.length(w) >= 2)
-    like = F.filter(words, lambda w: (F.length(w) <= 20) & F.lower(w).rlike("[aeiou]") & ~F.lower(w).rlike("[^aeiou]{5}"))
-    return F.when(F.size(words) == 0, F.lit(1.0)).otherwise(F.size(like) / F.size(words))
+    """Share of English-like words among those of two letters or more; 1.0 if none. English-like: at most 20 letters, a
+    vowel, and no five consonants in a row."""
+    every = F.regexp_count(c, F.lit(_RUN))
+    return F.when(every == 0, F.lit(1.0)).otherwise(F.regexp_count(c, F.lit(_LIKE)) / every)
 
 
 def junk_ratio(c: Column) -> Column:
@@ -70,6 +76,7 @@ def strip_file_marks(body: Column) -> Column:
     )
 
 
+# Date patterns.
 _SEP = r"""[ .,;'"“”‘’]+"""
 MONTH_DATE = rf"(?iU)\b(september|february|november|december|january|october|august|march|april|june|july|sept|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\b{_SEP}(\d{{1,2}}){_SEP}(\d{{4}})\b"
 NUMERIC_DATE = r"(?U)\b(\d{1,2})[/\-](\d{1,2})[/\-](\d{2,4})\b"
@@ -148,35 +155,48 @@ def label_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     return lines.join(labelled, F.col(column) == F.col("_line"), "left").drop("_line")
 
 
+# Fixed value: address lines of the letterhead.
 ADDRESS = r"(?iU)\b\d{5}\b|N\.?\s*Y\.?"
 
 
+def token_text(line: Column) -> Column:
+    """Upper-cased words of a line, joined by one space: all that its anchor and its kind of letterhead depend on."""
+    return F.trim(F.upper(F.regexp_replace(line, "[^A-Za-z]+", " ")))
+
+
+_STARTS = "^(?:" + "|".join(STARTERS) + ")(?: |$)"
+_NUMBERS = f"^(?:{'|'.join(NUMBER_TOKENS)})(?: (?:{'|'.join(NUMBER_TOKENS)}))*$"
+_MONTH_WORDS = f"(?:^| )(?:{'|'.join(m.upper() for m in MONTHS)})(?: |$)"
+
+
+def title_line(line: Column, anchored: Column) -> Column:
+    """What a stripped line is to the search for a title: s where the body starts, p if it is passed by, c for capitals,
+    t for other text."""
+    words = token_text(line)
+    few = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) < 6
+    letters = F.length(F.regexp_replace(line, r"[^\p{L}]", ""))
+    upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]", ""))
+    passed = line.rlike(ADDRESS) | words.rlike(_NUMBERS) | (few & (words != "") & anchored) | words.rlike(_MONTH_WORDS) | line.rlike(NUMERIC_DATE)
+    return (
+        F.when(line == "", "p").when(words.rlike(_STARTS), "s").when(passed | (letters < 4), "p")
+        .when(upper >= 0.8 * letters, "c").otherwise("t")
+    )
+
+
 def title_candidate(lines: Column) -> Column:
-    """All-caps subject from an array of struct(line, anchor): a fold over the lines; null if none.
+    """All-caps subject from an array of struct(line, anchor); null if none.
 
-    The state is (done, parts). Blank lines and furniture end a started title and are passed before one.
+    Lines that are passed by end a started title. So the title is the first run of capitals, if nothing but passed lines stands
+    before it: the kinds of lines, one letter each, tell where.
     """
-    zero = F.struct(F.lit(False).alias("done"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state, x):
-        s = strip(x["line"])
-        words = tokens(s)
-        number_only = (F.size(words) > 0) & F.forall(words, lambda w: w.isin(*NUMBER_TOKENS))
-        furniture = s.rlike(ADDRESS) | number_only | ((F.size(words) <= 6) & x["anchor"].isNotNull())
-        dated = F.exists(words, lambda w: F.lower(w).isin(*MONTHS)) | s.rlike(NUMERIC_DATE)
-        letters = F.length(F.regexp_replace(s, r"[^\p{L}]", ""))
-        upper = F.length(F.regexp_replace(s, r"[^\p{Lu}]", ""))
-        begun = F.size(state["parts"]) > 0
-        passed = (s == "") | furniture | dated | (letters < 4)
-        caps = upper >= 0.8 * letters
-        more = ~state["done"] & ~is_starter(s) & ~passed & caps
-        end = state["done"] | is_starter(s) | F.when(passed, begun).otherwise(~caps)
-        return F.struct(end.alias("done"), F.when(more, F.concat(state["parts"], F.array(s))).otherwise(state["parts"]).alias("parts"))
-
-    joined = F.aggregate(lines, zero, step, lambda st: F.array_join(st["parts"], " "))
+    marked = F.transform(lines, lambda x: title_line(strip(x["line"]), x["anchor"].isNotNull()))
+    kinds = F.array_join(marked, "")
+    first, many = F.length(F.regexp_extract(kinds, "^(p*)(c+)", 1)), F.length(F.regexp_extract(kinds, "^(p*)(c+)", 2))
+    joined = F.array_join(F.transform(F.slice(lines, first + 1, many), lambda x: strip(x["line"])), " ")
     return F.nullif(F.regexp_replace(joined, "^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", ""), F.lit(""))
 
 
+# Fixed value: Roman numerals.
 ROMAN = r"^m{0,4}(cm|cd|d?c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})$"
 # Suffixes and what replaces them, in order.
 STEMS = (("ies", "y"), ("es", ""), ("s", ""), ("ing", ""), ("ing", "e"), ("ed", ""), ("ed", "e"), ("ation", "ate"), ("ations", "ate"))
