@@ -68,7 +68,7 @@ def filename_identity(url: Column) -> Column:
     return F.when(
         s.rlike(rx),
         F.struct(
-            F.regexp_extract(s, rx, 1).cast("int").alias("year"),
+            F.regexp_extract(s, rx, 1).try_cast("int").alias("year"),
             F.regexp_extract(s, rx, 3).alias("number"),
             (F.upper(F.regexp_extract(s, rx, 2)) == "EEO").alias("emergency"),
         ),
@@ -76,7 +76,7 @@ def filename_identity(url: Column) -> Column:
 
 
 def path_year(url: Column) -> Column:
-    return found(F.regexp_replace(url, r"\?[\s\S]*", ""), r"(?iU)/executive-orders/(\d{4})/").cast("int")
+    return found(F.regexp_replace(url, r"\?[\s\S]*", ""), r"(?iU)/executive-orders/(\d{4})/").try_cast("int")
 
 
 def assets_identity(url: Column) -> Column:
@@ -106,6 +106,7 @@ def candidate_urls(source: Column, year: Column, number: Column, emergency: Colu
 
 def title_kind(title: Column) -> Column:
     """struct(kind, number): volume, eeo, eo or unparsed, by a fixed order of patterns."""
+    # The patterns of titles.
     t = F.coalesce(title, F.lit(""))
     num = r"(\d+(?:\.\d+)?)"
     short = rf"(?iU)^\s*(E?)EO\s+(?:No\.?\s*)?{num}\b"
@@ -140,8 +141,107 @@ def clean_title(title: Column) -> Column:
 
 
 def year_of(date: Column) -> Column:
-    return found(date, r"^(\d{4})").cast("int")
+    return found(date, r"^(\d{4})").try_cast("int")
 
 
 def fileset_ids(ids: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(ids, F.lit("")), ","), strip), lambda x: x != "")
+
+
+def id_year(eo_id: Column) -> Column:
+    """Year of an id; 0 if it has none."""
+    return F.coalesce(found(eo_id, r"^([0-9]{4})").try_cast("int"), F.lit(0))
+
+
+# The second source's addresses, folders and provenance tags.
+PORTAL = "https://a860-gpp.nyc.gov"
+LIVE, ARCHIVE, ARCHIVE_GAP, ARCHIVE_FOLDERS, SECOND = "live-nycgov", "wayback", "wayback-gap", "wayback-deblasio", "gpp"
+HISTORICAL_PREFIX = "nyc.gov/html/records/pdf/executive_orders/"
+FOLDERS_PREFIX = "www.nyc.gov/assets/home/downloads/pdf/executive-orders/"
+SEARCH = "/bin/nyc/articlesearch.json"
+
+
+def download_url(fileset: Column) -> Column:
+    return F.concat(F.lit(f"{PORTAL}/downloads/"), fileset)
+
+
+def match_key(mayor: Column, emergency: Column, number: Column) -> Column:
+    """struct(mayor, is_emergency, number): what a second source's order and a record share."""
+    return F.struct(mayor.alias("mayor"), emergency.alias("is_emergency"), norm_number(number).alias("number"))
+
+
+def mint_known_id(year: Column, number: Column, emergency: Column) -> Column:
+    """``mint_id``, null where year or number are unknown."""
+    return F.when(year.isNotNull() & number.isNotNull(), mint_id(year, number, emergency))
+
+
+# Periods of the sample.
+ERAS = (("1974-2001", 1974, 2001), ("2002-2021", 2002, 2021), ("2022-2026", 2022, 2026))
+
+
+def era(year: Column) -> Column:
+    out = F.lit("other")
+    for name, lo, hi in reversed(ERAS):
+        out = F.when(year.between(lo, hi), F.lit(name)).otherwise(out)
+    return out
+
+
+def pdf_dest(folder: str, year: Column, eo_id: Column) -> Column:
+    """``<folder>/<year>/<eo_id>.pdf``."""
+    return F.concat(F.lit(f"{folder.rstrip('/')}/"), year.cast("string"), F.lit("/"), eo_id, F.lit(".pdf"))
+
+
+def dual_dest(folder: str, year: Column, eo_id: Column, fileset: Column) -> Column:
+    return F.concat(F.lit(f"{folder.rstrip('/')}/"), year.cast("string"), F.lit("/"), eo_id, F.lit("--"), fileset, F.lit(".pdf"))
+
+
+def volume_dest(folder: str, fileset: Column) -> Column:
+    return F.concat(F.lit(f"{folder.rstrip('/')}/volumes/"), fileset, F.lit(".pdf"))
+
+
+def relative(path: Column, root: str) -> Column:
+    """The path from ``root`` on, or as it is."""
+    base = root.rstrip("/") + "/"
+    return F.when(path.startswith(base), F.substring(path, F.lit(len(base) + 1), F.length(path))).otherwise(path)
+
+
+def resolved(path: Column, root: str) -> Column:
+    """Absolute paths kept, others under ``root``; null or empty is null."""
+    return F.when(F.coalesce(path, F.lit("")) != "", F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path)))
+
+
+def search_url(from_date: Column, to_date: Column, size: Column, page: Column) -> Column:
+    """Address of one page of the site's search."""
+    pair = lambda k, v: F.concat(F.lit(f"{k}="), F.url_encode(v.cast("string")))
+    query = F.concat_ws("&", F.lit("types=executive-orders"), pair("fromDate", from_date), pair("toDate", to_date), pair("pageSize", size), pair("currentPage", page))
+    return F.concat(F.lit(f"{ORIGIN}{SEARCH}?"), query)
+
+
+def first_pdf_href(html: Column) -> Column:
+    """Address of the first link to an order's PDF in a page, in document order; links in comments don't count. Null without one."""
+    bare = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    tag = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+    hrefs = F.transform(F.regexp_extract_all(bare, F.lit(tag), F.lit(1)), lambda h: strip(F.replace(F.regexp_replace(h, r"^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&"))))
+    wanted = F.filter(hrefs, lambda h: h.rlike(r"(?i)executive-orders/.*\.pdf(?:[?#].*)?$"))
+    return absolute(F.try_element_at(wanted, F.lit(1)))
+
+
+def fold(name: Column) -> Column:
+    """Compatibility-decomposed text without combining marks (an Arrow UDF; give it distinct names)."""
+    import unicodedata
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def run(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bare = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+        for s in names:
+            yield s.map(lambda t: t if t is None or t.isascii() else bare(t))
+
+    return F.pandas_udf(run, "string")(name)
+
+
+def norm_entity(folded: Column) -> Column:
+    """Match key of a folded name: lower case, one leading article off, anything but letters and digits one space."""
+    bare = F.regexp_replace(F.lower(folded), r"^\s*(the|a|an)\s+", "")
+    return F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " "))

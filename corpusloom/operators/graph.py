@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ident import mint_id
+from ..functions.ident import fold, mint_id, norm_entity
 from ..functions.spans import spans
 
 # Months, verbs, limits and patterns of the citation rules.
@@ -44,7 +44,7 @@ def governed(text: Column) -> Column:
         def row(c):
             before = F.greatest(c["start"] - SCOPE_BACK, F.lit(0))
             near = F.substring(text, before + 1, c["start"] - before)
-            year = F.coalesce(F.nullif(c["dated"], F.lit("")), F.nullif(c["of"], F.lit(""))).cast("int")
+            year = F.coalesce(F.nullif(c["dated"], F.lit("")), F.nullif(c["of"], F.lit(""))).try_cast("int")
             return F.struct(
                 F.lower(v["verb"]).alias("verb"), (c["emg"] != "").alias("emergency"), c["num"].alias("number"), year.alias("year"),
                 near.rlike(SCOPE).alias("partial"),
@@ -81,7 +81,7 @@ def header_citations(docs: DataFrame) -> DataFrame:
     known = docs.select(F.col("eo_id").alias("_id")).distinct()
     found = F.inline(spans(F.coalesce("dropped_header", F.lit("")), XREF, {"verb": 1, "num": 2, "year": 3}))
     rows = docs.select(F.col("eo_id").alias("target"), found)
-    actor = mint_id(F.col("year").cast("int"), F.regexp_replace("num", r"^0+(?=\d)", ""), F.lit(False))
+    actor = mint_id(F.col("year").try_cast("int"), F.regexp_replace("num", r"^0+(?=\d)", ""), F.lit(False))
     rows = rows.withColumn("actor", actor).filter("actor <> target").join(known, F.col("actor") == F.col("_id"), "left")
     outcome = F.when(F.col("_id").isNull(), "not-in-corpus").otherwise("edge")
     return rows.select("actor", "target", F.lower("verb").alias("verb"), F.lit(False).alias("partial"), outcome.alias("outcome"))
@@ -116,3 +116,24 @@ def established_entities(docs: DataFrame) -> DataFrame:
     rows = docs.filter(~F.col("is_emergency")).select("eo_id", F.inline(found))
     name = F.trim(F.regexp_replace("name", r"(?U)\s+", " "))
     return rows.select("eo_id", F.regexp_replace(name, r"(?i)\s+(?:of|for|on|in|to|within|and|the|a|an)$", "").alias("raw_name"))
+
+
+def match_entities(found: DataFrame, registry: DataFrame) -> DataFrame:
+    """(eo_id, raw_name, status, registry_id) of established names against the registry (id, name): match, ambiguous or no-match.
+
+    Names are folded once each. A key with several ids is ambiguous and never written.
+    """
+    keyed = lambda d, c: d.select(F.col(c).alias("_n")).distinct().withColumn("_key", norm_entity(fold(F.col("_n"))))
+    listed = registry.join(keyed(registry, "name"), F.col("name") == F.col("_n")).filter("_key <> ''")
+    index = listed.groupBy("_key").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    asked = keyed(found, "raw_name").join(index, "_key", "left")
+    status = F.when(F.col("ids").isNull(), "no-match").when(F.size("ids") > 1, "ambiguous").otherwise("match")
+    rows = found.filter("raw_name <> ''").join(asked, F.col("raw_name") == F.col("_n"))
+    return rows.select("eo_id", "raw_name", status.alias("status"), F.when(status == "match", F.element_at("ids", 1)).alias("registry_id"))
+
+
+def with_entity(docs: DataFrame, matches: DataFrame) -> DataFrame:
+    """``docs`` with establishes_entity: the registry id where exactly one name of the order matched, else null."""
+    only = matches.filter("status = 'match'").groupBy(F.col("eo_id").alias("_e")).agg(F.count("*").alias("_m"), F.min("registry_id").alias("_id"))
+    rows = docs.drop("establishes_entity").join(only, F.col("eo_id") == F.col("_e"), "left")
+    return rows.withColumn("establishes_entity", F.when(F.col("_m") == 1, F.col("_id"))).drop("_e", "_m", "_id")

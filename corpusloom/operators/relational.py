@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import ident
+
+#: Numbers of a slice of a gap, and slices that a row is cut into at a time.
+SLICE, MANY = 1 << 16, 1 << 16
 
 def latest(df: DataFrame, keys: list[str], newest: str, seq: str) -> DataFrame:
     """The newest row of each key, ties to the earliest seen. One shuffle on the keys, rows pre-aggregated."""
@@ -43,11 +47,19 @@ def prefer_first(live: DataFrame, other: DataFrame, key: str) -> tuple[DataFrame
 def missing_numbers(df: DataFrame, keys: list[str], number: Column) -> DataFrame:
     """(keys, missing): each number between a group's least and largest that it lacks. Labels that aren't all
     digits don't count. Gaps are found between neighbours, so no group's numbers meet in one row."""
-    rows = df.withColumn("_n", F.when(number.cast("string").rlike(r"^\d+$"), number.cast("string").cast("long")))
+    label = ident.strip(number.cast("string"))
+    rows = df.withColumn("_n", F.when(label.rlike(r"^\d+$"), label.try_cast("long")))
     rows = rows.filter("_n IS NOT NULL").select(*keys, "_n").distinct()
     after = F.lead("_n").over(Window.partitionBy(*keys).orderBy("_n"))
     gaps = rows.withColumn("_next", after).filter("_next > _n + 1")
-    return gaps.select(*keys, F.explode(F.sequence(F.col("_n") + 1, F.col("_next") - 1)).alias("missing"))
+    # a wide gap is cut into slices, so that no row holds more than SLICE numbers
+    slices = gaps.select(*keys, "_n", "_next", F.explode(F.sequence(F.lit(0), F.least(F.floor((F.col("_next") - F.col("_n") - 2) / SLICE), F.lit(MANY)).cast("int"))).alias("_s"))
+    slices = slices.withColumn("_s", F.col("_s").cast("long"))
+    # past MANY slices, each of them takes every MANY + 1st one more
+    further = F.sequence(F.col("_s"), F.floor((F.col("_next") - F.col("_n") - 2) / SLICE), F.lit(MANY + 1).cast("long"))
+    slices = slices.select(*keys, "_n", "_next", F.explode(further).alias("_s"))
+    low = F.col("_n") + 1 + F.col("_s") * SLICE
+    return slices.select(*keys, F.explode(F.sequence(low, F.least(low + SLICE - 1, F.col("_next") - 1))).alias("missing"))
 
 
 def in_range(df: DataFrame, value: Column, ranges: list[tuple[int, int, str]], name: str) -> DataFrame:
@@ -74,6 +86,20 @@ def reconcile(expected: DataFrame, present: DataFrame, key: str, valid: str) ->
     return e.join(p, key, "full_outer").select(key, state.alias("state"))
 
 
+def first_hit(rows: DataFrame, key: str, candidates: Column, hits: DataFrame) -> DataFrame:
+    """``first_candidate`` over archive captures: PDFs answered with 200 only, the newest of the first candidate that has one,
+    ties to the earliest in order of digest; adds candidate, timestamp and original."""
+    good = hits.filter((F.col("mimetype") == "application/pdf") & (F.col("statuscode") == 200))
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, "^[A-Za-z]+://", ""), r"^www\d*\.", "")
+    best = good.groupBy(bare(F.col("original")).alias("_h")).agg(F.max(F.struct("timestamp", "original")).alias("_b"))
+    asked = rows.select(key, F.posexplode(candidates).alias("_pos", "_c"))
+    got = asked.join(best, bare(F.col("_c")) == F.col("_h"))
+    pick = got.groupBy(key).agg(F.min(F.struct("_pos", F.col("_c").alias("candidate"), "_b")).alias("_p"))
+    return rows.join(pick, key, "left").select(
+        *rows.columns, F.col("_p.candidate").alias("candidate"), F.col("_p._b.timestamp").alias("timestamp"), F.col("_p._b.original").alias("original")
+    )
+
+
 def first_candidate(rows: DataFrame, key: str, candidates: Column, hits: DataFrame, hit_key: str, newest: str) -> DataFrame:
     """For each key the first of its ordered candidates that has a hit, and that candidate's newest hit."""
     asked = rows.select(key, F.posexplode(candidates).alias("_pos", "_c"))

@@ -81,10 +81,14 @@ def query(name: str, oracle: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import jobs  # noqa: F401 - its queries are kept here
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import jobs  # noqa: F401
+
     return dict(ORACLES)
 
 
