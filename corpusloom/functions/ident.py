@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -228,11 +232,6 @@ def first_pdf_href(html: Column) -> Column:
 
 def fold(name: Column) -> Column:
     """Compatibility-decomposed text without combining marks (an Arrow UDF; give it distinct names)."""
-    import unicodedata
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     def run(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bare = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
         for s in names:

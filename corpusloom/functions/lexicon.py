@@ -63,7 +63,8 @@ def trusted(titles: DataFrame, column: str, lexicon: DataFrame) -> DataFrame:
     trailing function word."""
     from .text import TRAILING_STOP
 
-    distinct = titles.select(F.col(column).alias("title")).filter("title IS NOT NULL").distinct()
+    # kept, or else the filters below are pushed into what finds the titles and each repeats that work
+    distinct = titles.select(F.col(column).alias("title")).distinct().persist().filter("title IS NOT NULL")
     own = F.filter(F.regexp_extract_all("title", F.lit("[A-Za-z]+"), F.lit(0)), lambda w: F.length(w) >= 2)
     listed = distinct.withColumn("own", own)
     shaped = listed.withColumn("shaped", (F.size("own") >= 2) & ~F.lower(F.try_element_at("own", F.lit(-1))).isin(*TRAILING_STOP))

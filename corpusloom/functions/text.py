@@ -145,7 +145,8 @@ def anchor_label(line: Column | str) -> Column:
             seen = {x: _label(x) for x in s.dropna().unique()}
             yield s.map(lambda x: seen.get(x))
 
-    return F.pandas_udf(label, "string")(line)
+    # or else a filter on the label is pushed below what makes lines distinct, and every line is labelled
+    return F.pandas_udf(label, "string").asNondeterministic()(line)
 
 
 def label_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -169,31 +170,40 @@ _NUMBERS = f"^(?:{'|'.join(NUMBER_TOKENS)})(?: (?:{'|'.join(NUMBER_TOKENS)}))*$"
 _MONTH_WORDS = f"(?:^| )(?:{'|'.join(m.upper() for m in MONTHS)})(?: |$)"
 
 
-def title_line(line: Column, anchored: Column) -> Column:
-    """What a stripped line is to the search for a title: s where the body starts, p if it is passed by, c for capitals,
-    t for other text."""
-    words = token_text(line)
+def title_line(line: Column, words: Column, anchored: Column) -> Column:
+    """What a stripped line, of which ``words`` is the ``token_text``, is to the search for a title: s where the body starts, p if
+    it is passed by, c for capitals, t for other text."""
     few = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) < 6
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}]", ""))
-    upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]", ""))
-    passed = line.rlike(ADDRESS) | words.rlike(_NUMBERS) | (few & (words != "") & anchored) | words.rlike(_MONTH_WORDS) | line.rlike(NUMERIC_DATE)
+    letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
+    upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
     return (
-        F.when(line == "", "p").when(words.rlike(_STARTS), "s").when(passed | (letters < 4), "p")
-        .when(upper >= 0.8 * letters, "c").otherwise("t")
+        F.when(line == "", "p").when(words.rlike(_STARTS), "s").when(words.rlike(_NUMBERS) | (few & (words != "") & anchored) | words.rlike(_MONTH_WORDS), "p")
+        .when(line.rlike(ADDRESS), "p").when(line.rlike(NUMERIC_DATE), "p").when(letters < 4, "p").when(upper >= 0.8 * letters, "c").otherwise("t")
     )
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def title_candidate(lines: Column) -> Column:
     """All-caps subject from an array of struct(line, anchor); null if none.
 
     Lines that are passed by end a started title. So the title is the first run of capitals, if nothing but passed lines stands
     before it: the kinds of lines, one letter each, tell where.
     """
-    marked = F.transform(lines, lambda x: title_line(strip(x["line"]), x["anchor"].isNotNull()))
-    kinds = F.array_join(marked, "")
-    first, many = F.length(F.regexp_extract(kinds, "^(p*)(c+)", 1)), F.length(F.regexp_extract(kinds, "^(p*)(c+)", 2))
-    joined = F.array_join(F.transform(F.slice(lines, first + 1, many), lambda x: strip(x["line"])), " ")
-    return F.nullif(F.regexp_replace(joined, "^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", ""), F.lit(""))
+    marked = F.transform(lines, lambda x: F.struct(strip(x["line"]).alias("s"), token_text(x["line"]).alias("w"), x["anchor"].isNotNull().alias("a")))
+
+    def title(v: Column) -> Column:
+        def joined(kinds: Column) -> Column:
+            first, many = F.length(F.regexp_extract(kinds, "^(p*)(c+)", 1)), F.length(F.regexp_extract(kinds, "^(p*)(c+)", 2))
+            return F.array_join(F.transform(F.slice(v, first + 1, many), lambda x: x["s"]), " ")
+
+        return let(F.array_join(F.transform(v, lambda x: title_line(x["s"], x["w"], x["a"])), ""), joined)
+
+    bare = F.regexp_replace(let(marked, title), "^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "")
+    return let(bare, lambda t: F.nullif(t, F.lit("")))
 
 
 # Fixed value: Roman numerals.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +46,13 @@ def clean_counts(cleaned: DataFrame) -> DataFrame:
 
 
 def _flagged(*names: str) -> Column:
-    out = F.lit(False)
-    for n in names:
-        out = out | F.exists("clean.flags", lambda f, n=n: f.startswith(n))
-    return out
+    def begins(f: Column) -> Column:
+        out = F.lit(False)
+        for n in names:
+            out = out | f.startswith(n)
+        return out
+
+    return F.exists("clean.flags", begins)
 
 
 def sample(cleaned: DataFrame, listed: list[tuple[str, list[str]]] | None = None, heavy: int = 25, few: int = 10, eras: dict[str, int] | None = None) -> DataFrame:
@@ -59,6 +65,7 @@ def sample(cleaned: DataFrame, listed: list[tuple[str, list[str]]] | None = None
         "eo_id", era(F.col("year").cast("int")).alias("era"), "text_source", F.length("clean.dropped_header").alias("noise"), (F.trim(F.coalesce("title", F.lit(""))) == "").alias("untitled"),
         _flagged("anchor-after-body-start", "large-header-trim-skipped").alias("ambiguous"),
     )
+    rows = rows.persist()  # a short row a record, read by every stratum
     ocr = rows.filter("text_source = 'ocr'")
     worst = [F.desc("noise"), F.col("eo_id")]
     strata = [(name, rows.filter(F.col("eo_id").isin(*ids))) for name, ids in listed or []]
@@ -86,10 +93,6 @@ def sample_counts(cleaned: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def body_diff(raw: Column, clean: Column, most: int = 100) -> Column:
     """Unified diff of two bodies, at most ``most`` lines and a note that more were left out (an Arrow UDF; a report's feature)."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         import difflib
 

@@ -387,10 +387,10 @@ def staging_summary(spark, sf_dir):
     return integrate.staging_summary(integrate.staging(integrate.orders(parsed), parsed, _staged(spark, sf_dir)))
 
 
-_FILES_SQL = f"""{_PLAN_SQL}, {_STAGED}, fo AS (SELECT p.eo_id, p.disposition, p.year, i.gpp_id, unnest(['f' || k::VARCHAR, 'g' || o_custkey::VARCHAR]) AS fs, unnest([0, 1]) AS at FROM p JOIN i ON i.route = 'order' AND i.files
+_FILES_SQL = f"""{_PLAN_SQL}, {_STAGED}, fo AS (SELECT p.eo_id, p.disposition, p.year, i.gpp_id, unnest(['f' || k::VARCHAR, 'g' || o_custkey::VARCHAR]) AS fs, unnest([0, 1]) AS pos FROM p JOIN i ON i.route = 'order' AND i.files
    AND p.mayor IS NOT DISTINCT FROM i.mayor AND p.is_emergency = i.is_emergency AND p.number = i.number),
   fv AS (SELECT fo.*, coalesce(s.ok, false) AS ok FROM fo LEFT JOIN s ON fo.fs = s.fs),
-  pr AS (SELECT eo_id, first(fs ORDER BY gpp_id COLLATE C, at) AS primary_fs FROM fv WHERE ok AND disposition <> 'dual' AND eo_id IS NOT NULL GROUP BY 1)"""
+  pr AS (SELECT eo_id, first(fs ORDER BY gpp_id COLLATE C, pos) AS primary_fs FROM fv WHERE ok AND disposition <> 'dual' AND eo_id IS NOT NULL GROUP BY 1)"""
 
 
 @query("mint_rows", f"""WITH {_FILES_SQL} SELECT p.eo_id, p.year, p.is_emergency, 'https://a860-gpp.nyc.gov/downloads/' || primary_fs AS source_pdf_url, 'pdfs/' || CASE WHEN p.prior_id IS NOT NULL THEN '1981' ELSE p.year::VARCHAR END || '/' || p.eo_id || '.pdf' AS pdf_path
