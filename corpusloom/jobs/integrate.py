@@ -185,7 +185,7 @@ def provenance(planned: DataFrame, placed: DataFrame) -> DataFrame:
     file = F.struct("gpp_id", "fileset_id", "download_url", F.col("dest").alias("local_path"), F.col("src").isNotNull().alias("staged"))
     files = each.groupBy(F.col("eo_id").alias("_e")).agg(F.array_sort(F.collect_list(file)).alias("files"), F.min(F.when(F.col("role") == "primary", F.col("dest"))).alias("primary_pdf"))
     placed_at_all = (F.col("disposition") == "dual") | F.col("primary_pdf").isNotNull() | F.col("already_integrated")
-    return planned.join(files, F.col("eo_id") == F.col("_e")).filter(placed_at_all).select("eo_id", "disposition", "corpus_eo_ids", "gpp_ids", "primary_pdf", "files")
+    return planned.drop("files").join(files, F.col("eo_id") == F.col("_e")).filter(placed_at_all).select("eo_id", "disposition", "corpus_eo_ids", "gpp_ids", "primary_pdf", "files")
 
 
 def volumes(parsed: DataFrame, placed: DataFrame) -> DataFrame:
@@ -216,7 +216,8 @@ class Integration:
 def integrate(parsed: DataFrame, corpus: DataFrame, staged: DataFrame, parse: Callable[[DataFrame], DataFrame], ledger: DataFrame | None = None,
               known_missing: list[tuple[str, bool, str]] | None = None, check: bool = True) -> Integration:
     """Fold the second source into the corpus: orders that close a gap get their file and are parsed again in place, minted ones
-    are appended, all others pass unchanged. ``parse`` makes corpus records of index rows. Never fewer records (``check``)."""
+    are appended, all others pass unchanged. ``parse`` makes corpus records of index rows. Never fewer records (``check``). Each
+    result reads the tables given anew, so hand it tables that are written."""
     planned = plan(parsed, corpus, ledger, known_missing)
     placed = placements(planned, parsed, staged, corpus)
     primary = placed.filter("role = 'primary'").groupBy(F.col("eo_id").alias("_e")).agg(F.min("dest").alias("_d"))

@@ -70,6 +70,24 @@ class FallbackFetcher:
         return self._try("get_bytes", url)
 
 
+class SavedFetcher:
+    """Answers saved by address, for runs without a network; an exception among them is raised."""
+
+    def __init__(self, answers: dict[str, bytes | Exception]):
+        self.answers = answers
+
+    def get_bytes(self, url: str) -> bytes:
+        if url not in self.answers:
+            raise FetchError(f"nothing saved for {url}")
+        got = self.answers[url]
+        if isinstance(got, Exception):
+            raise got
+        return got
+
+    def get_text(self, url: str) -> str:
+        return self.get_bytes(url).decode("utf-8", "replace")
+
+
 def delayed(fetcher: Fetcher, seconds: float) -> Fetcher:
     """A fetcher that waits after each request; none if ``seconds`` isn't positive."""
     if seconds <= 0:

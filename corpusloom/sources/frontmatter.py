@@ -28,6 +28,7 @@ def _scalar(lines: list[str]) -> str | None:
     for i, line in enumerate(lines):
         line = line.strip()
         text += line if not i else "\n" if not line else line if text.endswith("\n") else " " + line
+    text = text.rstrip("\n")
     if text[:1] == "'":
         return text[1:-1].replace("''", "'")
     if text[:1] == '"':

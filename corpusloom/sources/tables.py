@@ -150,8 +150,15 @@ def staged_files(spark: SparkSession, folder: str) -> DataFrame:
     """(fileset_id, path, valid) of the staged files ``gpp-<id>.pdf`` of a folder; none if the folder isn't there."""
     if not _there(spark, folder):
         return spark.createDataFrame([], "fileset_id string, path string, valid boolean")
+    name = r"(?i)/gpp-([^/]+)\.pdf$"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "gpp-*.pdf").load(folder)
-    return files.select(ident.found(F.col("path"), r"(?i)/gpp-([^/]+)\.pdf$").alias("fileset_id"), "path", is_pdf(F.col("content")).alias("valid"))
+    read = files.select(ident.found(F.col("path"), name).alias("fileset_id"), "path", is_pdf(F.col("content")).alias("valid"))
+    # a scan leaves out empty files, which are there but no PDFs; a folder's listing is the driver's anyway
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    empty = [(x.getPath().toString(),) for x in listed if x.getLen() == 0 and x.getPath().getName().startswith("gpp-") and x.getPath().getName().endswith(".pdf")]
+    rows = spark.createDataFrame(empty, "path string").select(ident.found(F.col("path"), name).alias("fileset_id"), "path", F.lit(False).alias("valid"))
+    return read.unionByName(rows)
 
 
 def probe_class(pages: Column, chars: Column, threshold: int = PAGE_CHARS) -> Column:
