@@ -154,7 +154,20 @@ def worker_memory(owner: str) -> dict:
     return _OWNED.setdefault(owner, {})
 
 
+#: Rows of an Arrow batch at most: texts are long, and both a task's JVM side and its worker hold whole batches.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_ROWS``, if they may be larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver's table, for queries of this subpackage: its session then has small Arrow batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
