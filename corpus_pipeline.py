@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import exact_dedup, langid, mixing, sentencepieces, simhash
 from corpusloom.llm.queries import PIECES, tokenizer_path
-from corpusloom.llm.textkit import crc_bucket, materialize, read_table
+from corpusloom.llm.textkit import crc_bucket, materialize, read_table, small_batches
 
 #: Near duplicates of the pipeline: shingles of five words; 56 of 256 differing bits are candidates, which an exact check
 #: of the shingles for a similarity of 0.8 joins or not.
@@ -15,6 +15,7 @@ WORDS, RADIUS = 5, 56
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those the classifier rejects go."""
+    small_batches(spark)
     model = langid.train(docs.select("doc_id", "text", "lang").filter(crc_bucket("doc_id", 5) != 0))
     name = "language"
     while name in docs.columns:
@@ -29,6 +30,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return simhash.drop_near_duplicates(docs, words=WORDS, radius=RADIUS)
 
 
@@ -39,6 +41,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digest of ids and of the text decoded from them, for every document of the mix."""
+    small_batches(spark)
     return sentencepieces.round_trip(docs, tokenizer_path(PIECES))
 
 
