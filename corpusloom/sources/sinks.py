@@ -3,6 +3,7 @@ by the file system, so the driver holds no rows."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,27 +32,27 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def write_file(spark: SparkSession, path: str, lines: DataFrame, head: str = "", between: str = "\n", tail: str = "\n") -> None:
-    """One file at ``path`` of the strings ``value`` of ``lines``, by ``_order``: written in range-sorted parts beside it, then
-    joined in order, a buffer at a time. The old file stands until the new one is whole."""
-    parts = f"{path}.parts"
-    only = lines.select("_order", "value").repartitionByRange("_order").sortWithinPartitions("_order").select("value")
-    only.write.mode("overwrite").option("lineSep", between).text(parts)
+def write_file(spark: SparkSession, path: str, sections: list[tuple[str, DataFrame, str, str]]) -> None:
+    """One file at ``path`` of sections (head, lines, between, tail): a section's lines are strings ``value`` in ``_order``, written in
+    range-sorted parts beside the file, then joined in order, a buffer at a time. The old file stands until the new one is whole."""
     fs, target = _fs(spark, path)
     _, temp = _fs(spark, f"{path}.tmp")
-    _, folder = _fs(spark, parts)
-    files = [x for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-") and x.getLen() > 0]
-    files.sort(key=lambda x: x.getPath().getName())
     out = fs.create(temp, True)
-    out.write(bytearray(head.encode()))
-    for i, x in enumerate(files):
-        length = x.getLen() - (len(between.encode()) if i == len(files) - 1 else 0)  # no separator after the last
-        source = fs.open(x.getPath())
-        spark._jvm.org.apache.commons.io.IOUtils.copyLarge(source, out, 0, length)
-        source.close()
-    out.write(bytearray(tail.encode()))
+    for head, lines, between, tail in sections:
+        only = lines.select("_order", "value").repartitionByRange("_order").sortWithinPartitions("_order").select("value")
+        only.write.mode("overwrite").option("lineSep", between).text(f"{path}.parts")
+        _, folder = _fs(spark, f"{path}.parts")
+        files = [x for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-") and x.getLen() > 0]
+        files.sort(key=lambda x: x.getPath().getName())
+        out.write(bytearray(head.encode()))
+        for i, x in enumerate(files):
+            length = x.getLen() - (len(between.encode()) if i == len(files) - 1 else 0)  # no separator after the last
+            source = fs.open(x.getPath())
+            spark._jvm.org.apache.commons.io.IOUtils.copyLarge(source, out, 0, length)
+            source.close()
+        out.write(bytearray(tail.encode()))
+        fs.delete(folder, True)
     out.close()
-    fs.delete(folder, True)
     fs.delete(target, False)
     if not fs.rename(temp, target):
         raise OSError(path)
@@ -68,7 +69,25 @@ def write_json_array(df: DataFrame, path: str, order: list[str], existing: DataF
     """The published JSON: one array of indented objects with every field, null ones too, in order. Refuses to shrink."""
     guard_shrink(df, existing, path, allow_shrink)
     rows = df.select(F.struct(*order).alias("_order"), _pretty(F.struct(*df.columns)).alias("value"))
-    write_file(df.sparkSession, path, rows, "[\n", ",\n", "\n]\n")
+    write_file(df.sparkSession, path, [("[\n", rows, ",\n", "\n]\n")])
+
+
+def write_json_object(spark: SparkSession, path: str, lists: dict[str, tuple[DataFrame, list[str]]], values: dict[str, object] | None = None) -> None:
+    """One JSON object: ``values`` first, then each list of rows in order (edges and dangles of the graph, a probe's records, the
+    volumes)."""
+    sections, head = [], "{\n" + "".join(f"  {json.dumps(k)}: {json.dumps(v, ensure_ascii=False)},\n" for k, v in (values or {}).items())
+    for i, (name, (df, order)) in enumerate(lists.items()):
+        rows = df.select(F.struct(*order).alias("_order"), F.regexp_replace(_pretty(F.struct(*df.columns)), "(?m)^", "  ").alias("value"))
+        sections.append((f"{head if not i else ''}  {json.dumps(name)}: [\n", rows, ",\n", "\n  ]\n}\n" if i == len(lists) - 1 else "\n  ],\n"))
+    write_file(spark, path, sections)
+
+
+def write_ledger(provenance: DataFrame, path: str, values: dict[str, object] | None = None) -> None:
+    """The provenance file: ``values``, then orders by id, each with its entry. ``tables.read_ledger`` reads it back."""
+    head = "{\n" + "".join(f"  {json.dumps(k)}: {json.dumps(v, ensure_ascii=False)},\n" for k, v in (values or {}).items()) + '  "orders": {\n'
+    entry = F.regexp_replace(F.regexp_replace(_pretty(F.struct(*provenance.columns)), "(?m)^", "  "), r"^\s+", "")
+    rows = provenance.select(F.col("eo_id").alias("_order"), F.concat(F.lit('    "'), "eo_id", F.lit('": '), entry).alias("value"))
+    write_file(provenance.sparkSession, path, [(head, rows, ",\n", "\n  }\n}\n")])
 
 
 def write_json(df: DataFrame, path: str, existing: DataFrame | None = None, allow_shrink: bool = False) -> None:
@@ -96,7 +115,7 @@ def write_csv_file(df: DataFrame, path: str, order: list[str]) -> None:
     cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     line = F.concat_ws(",", *(said(cell(c)) for c in df.columns))
     rows = df.select(F.struct(*order).alias("_order"), line.alias("value"))
-    write_file(df.sparkSession, path, rows, ",".join(df.columns) + "\r\n", "\r\n", "\r\n" if not rows.isEmpty() else "")
+    write_file(df.sparkSession, path, [(",".join(df.columns) + "\r\n", rows, "\r\n", "\r\n" if not rows.isEmpty() else "")])
 
 
 def write_markdown(df: DataFrame, folder: str, body: str = "full_text") -> DataFrame:

@@ -114,6 +114,20 @@ def test_published_json_and_csv(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/parts", header=True).filter("is_emergency = 'true'").count() == 1
 
 
+def test_json_objects(spark, tmp_path):
+    edges = spark.createDataFrame([("b", "x", True), ("a", "y", False)], "actor string, target string, partial boolean")
+    sinks.write_json_object(spark, f"{tmp_path}/g.json", {"edges": (edges, ["actor"]), "dangles": (edges.union(edges), ["actor"]), "none": (edges.limit(0), ["actor"])}, {"records": 3, "by": "é"})
+    got = json.load(open(f"{tmp_path}/g.json", encoding="utf-8"))
+    assert list(got) == ["records", "by", "edges", "dangles", "none"] and [e["actor"] for e in got["edges"]] == ["a", "b"] and len(got["dangles"]) == 4 and got["none"] == []
+    told = spark.createDataFrame([("2020-EO-002", "dual", [("g", None)]), ("2020-EO-001", "net-new", [])], "eo_id string, disposition string, files array<struct<gpp_id: string, local_path: string>>")
+    sinks.write_ledger(told, f"{tmp_path}/p.json", {"source": "s"})
+    got = json.load(open(f"{tmp_path}/p.json"))
+    assert list(got["orders"]) == ["2020-EO-001", "2020-EO-002"] and got["orders"]["2020-EO-002"]["files"] == [{"gpp_id": "g", "local_path": None}]
+    assert {tuple(r) for r in tables.read_ledger(spark, f"{tmp_path}/p.json").collect()} == {("2020-EO-001", "net-new"), ("2020-EO-002", "dual")}
+    sinks.write_text(spark, f"{tmp_path}/r.md", "# é\n")
+    assert open(f"{tmp_path}/r.md", encoding="utf-8").read() == "# é\n"
+
+
 def test_record_files(spark, tmp_path):
     def put(name, value):
         (tmp_path / name).write_text(json.dumps(value) if not isinstance(value, str) else value)
