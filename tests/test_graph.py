@@ -21,3 +21,63 @@ def test_graph(spark):
     notes = {r.eo_id: r for r in graph.annotate(docs, graph.edges(docs)).collect()}
     assert notes["2018-EO-031"].in_effect is False and notes["2007-EO-102"].in_effect is None and notes["2022-EEO-50"].in_effect is None
     assert notes["1977-EO-091"].superseded_by == ["1978-EO-018"]
+
+
+def plain(actor, text, ids):
+    """The rules one by one: verbs, what each governs, where it leads."""
+    import re
+
+    def rx(pattern):
+        return re.compile(re.sub(r"^\(\?i?U\)", "", pattern), re.I if pattern.startswith("(?i") else 0)
+
+    cite, verb, bound, scope = map(rx, (graph.CITE, graph.VERB, graph.BOUNDARY, graph.SCOPE))
+    out = []
+    for v in verb.finditer(text):
+        low = max(0, v.start() - 400)
+        ends = [b.end() for b in bound.finditer(text) if b.start() >= low and b.end() <= v.start()]
+        floor = max([low, *ends])
+        for c in cite.finditer(text):
+            if not floor <= c.start() < v.start():
+                continue
+            year = c[3] or c[4]
+            emergency, number = bool(c[1]), c[2]
+            label = f"{'EEO' if emergency else 'EO'}-{number}"
+            target = f"{year}-EEO-{int(number)}" if emergency else f"{year}-EO-{int(number):03d}"
+            if v[1].lower() == "extended":
+                outcome = "extension"
+            elif not year:
+                outcome = "no-year"
+            elif not 1950 <= int(year) <= 2099:
+                outcome = "implausible-year"
+            else:
+                outcome = "self" if target == actor else "edge" if target in ids else "not-in-corpus"
+            known = year and 1950 <= int(year) <= 2099
+            partial = bool(scope.search(text[max(0, c.start() - 60) : c.start()]))
+            out.append((actor, target if known else label, v[1].lower(), partial, outcome))
+    return out
+
+
+def test_citations_equal_plain_rules(spark):
+    """Random bodies of several verbs, lists of citations, clause boundaries, sections and long stretches of text."""
+    import random
+
+    r = random.Random(11)
+
+    def cite():
+        n, y = r.choice([1, 2, 31, 102]), r.choice([1990, 2007, 2018, 1474])
+        return r.choice(["Emergency ", ""]) + "Executive Order " + r.choice(["No. ", "", "Number "]) + f"{n}" + r.choice([f", dated March 7, {y}", f" of {y}", ""])
+
+    def piece():
+        return r.choice([
+            cite, cite, cite, lambda: " and ", lambda: ", ", lambda: r.choice([" is hereby revoked", " are amended", " is REPEALED", " hereby is extended", " is superseded"]), lambda: ". § 2. ", lambda: " Section 3. ",
+            lambda: "section 8 of ", lambda: "subdivision a. of ", lambda: " word" * r.choice([1, 20, 90]), lambda: "Sections ", lambda: "\n",
+        ])()
+
+    bodies = ["".join(piece() for _ in range(r.randint(1, 25))) for _ in range(1500)]
+    ids = [f"2018-EO-{n:03d}" for n in (1, 2, 31)] + ["2007-EO-102", "1990-EEO-2"]
+    rows = [(ids[i] if i < len(ids) else f"x{i}", False, b, "") for i, b in enumerate(bodies)]
+    docs = spark.createDataFrame(rows, "eo_id string, is_emergency boolean, full_text string, dropped_header string")
+    got = sorted(map(tuple, graph.body_citations(docs).collect()))
+    known = {row[0] for row in rows}
+    want = sorted(x for i, _, b, _ in rows for x in plain(i, b, known))
+    assert got == want and len(want) > 400 and {x[4] for x in want} >= {"edge", "extension", "no-year", "implausible-year", "not-in-corpus"}
