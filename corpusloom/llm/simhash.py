@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import materialize, mix64, random_words, worker_memory
+from .textkit import materialize, mix64, random_words, release_memory, worker_memory
 
 BITS = 64
 #: Most fingerprints that are compared in one bucket, about; 2**10, so a cut to 10 free bits always fits.
@@ -107,6 +107,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, w
                 else:
                     fps = pa.array(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column(0), fps, *part.columns[2:]], names=["doc", "fp", *also])
+        release_memory()
 
     also = ["row"] if wide or keyed else []
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), *(F.xxhash64(F.col(text_col)).alias(c) for c in also))
@@ -200,17 +201,10 @@ def forest(fps: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray
 
 
 def components(fps: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
-    """For each row the first row of its component: links join rows of one group."""
+    """For each row the first row of its component: links join rows of one group. Memory doesn't grow with the links."""
     label = np.arange(len(fps))
-    pairs = list(adjacency(fps, starts, radius))
-    changed = bool(pairs)
-    while changed:
-        before = label.copy()
-        for a, b in pairs:
-            np.minimum.at(label, a, label[b])
-            np.minimum.at(label, b, label[a])
-        label = label[label]
-        changed = bool((label != before).any())
+    for a, b in adjacency(fps, starts, radius):
+        label, _ = _united(label, a, b)
     return label
 
 
@@ -321,6 +315,7 @@ def compared(rows: DataFrame, radius: int, similarity: float | None = None) -> D
                     yield from flush(True)
         if held:
             yield from flush(False)
+        release_memory()
 
     rows = rows.select("g1", "g2", "node", *(["fp"] if wide else []), *(["root", "set"] if checked else []))
     return rows.repartition("g1", "g2").sortWithinPartitions("g1", "g2", "node").mapInArrow(run, "a long, b long")
@@ -403,6 +398,7 @@ def wide_links(fps: DataFrame, radius: int, block: int = CELL, similarity: float
                 again = pa.array(np.tile(np.arange(part.num_rows), TABLES))
                 columns = [pa.array(table), pa.array(key), *(c.take(again) for c in part.columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=["g1", "g2", "node", "fp", *also])
+        release_memory()
 
     rows = fps.select("node", F.substring("fp", 1, 8 * WIDE).alias("fp"), *also)
     rows = rows.mapInArrow(keys, "g1 long, g2 long, node long, fp binary" + (", root long, set array<long>" if also else ""))
@@ -451,6 +447,7 @@ def shingle_sets(docs: DataFrame, text_col: str, wanted: DataFrame, words: int)
                 part = batch.slice(lo, 256)
                 sets = [np.unique(_shingles(t, words).view(np.int64)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+        release_memory()
 
     rows = docs.select(F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text")).join(_few(wanted), "row")
     return materialize(rows.select("node", "text").mapInArrow(run, "node long, set array<long>").dropDuplicates(["node"]), "simhash-sets")

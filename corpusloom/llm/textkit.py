@@ -154,6 +154,17 @@ def worker_memory(owner: str) -> dict:
     return _OWNED.setdefault(owner, {})
 
 
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the system, at the end of a task; it stays for later tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 #: Rows of an Arrow batch at most: texts are long, and both a task's JVM side and its worker hold whole batches.
 BATCH_ROWS = 1000
 
