@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import ident, text
 from ..operators import graph
 from ..operators import relational as rel
+from ..sources.tables import probe_class as probe
 
 # Terms of office.
 TERMS = [
@@ -298,7 +299,7 @@ _NORM = "trim(regexp_replace(regexp_replace(lower({0}), '^\\s*(the|a|an)\\s+', '
   n AS (SELECT p_partkey, {_NORM.format("'The ' || upper(p_name) || CASE WHEN p_partkey % 9 = 0 THEN ' x' ELSE '' END")} AS k FROM part)
   SELECT p_partkey, CASE WHEN i.k IS NULL THEN 'no-match' WHEN many THEN 'ambiguous' ELSE 'match' END AS status, CASE WHEN NOT many THEN id END AS match_id FROM n LEFT JOIN i USING (k)""")
 def registry_ambiguity(spark, sf_dir):
-    norm = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"^\s*(the|a|an)\s+", ""), "[^a-z0-9]+", " "))
+    norm = ident.norm_entity
     part = read(spark, sf_dir, "part")
     reg = part.select(norm(F.col("p_name")).alias("reg"), F.col("p_brand").alias("id"))
     names = part.select("p_partkey", norm(F.expr("concat('The ', upper(p_name), CASE WHEN p_partkey % 9 = 0 THEN ' x' ELSE '' END)")).alias("name"))
@@ -384,13 +385,13 @@ _HEAD = """CASE o_orderkey % 6 WHEN 0 THEN 'RXECUTIVE ORDER NO. ' || o_orderkey
   WHEN 3 THEN 'WHEREAS, the agency' WHEN 4 THEN 'VOTER ASSISTANCE PROGRAM' ELSE 'OFFICE OF THE MAY0R' END"""
 
 
-@query("anchor_label")
+@query("anchor_label", f"""SELECT o_orderkey, {_HEAD} AS line, CASE o_orderkey % 6 WHEN 0 THEN 'executive-order' WHEN 1 THEN 'office-of-the-mayor' WHEN 2 THEN 'city-of-new-york' WHEN 5 THEN 'office-of-the-mayor' END AS anchor FROM orders""")
 def anchor_label(spark, sf_dir):
     d = read(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_HEAD} AS line")
     return text.label_lines(d).select("o_orderkey", "line", "anchor")
 
 
-@query("extract_title")
+@query("extract_title", """SELECT o_orderkey, CASE o_orderkey % 6 WHEN 3 THEN NULL WHEN 4 THEN 'VOTER ASSISTANCE PROGRAM' ELSE upper('program of ' || o_orderpriority) END AS title FROM orders""")
 def extract_title(spark, sf_dir):
     d = read(spark, sf_dir, "orders").selectExpr("o_orderkey", f"explode(array({_HEAD}, 'April 1, 1974', upper(concat('program of ', o_orderpriority)), 'By virtue of')) AS line", "monotonically_increasing_id() AS seq")
     rows = text.label_lines(d).groupBy("o_orderkey").agg(F.array_sort(F.collect_list(F.struct("seq", "line", "anchor"))).alias("lines"))
@@ -457,7 +458,7 @@ def verb_source_crosstab(spark, sf_dir):
     return d.withColumn("verb", F.coalesce("verb", F.lit("total")))
 
 
-@query("entities")
+@query("entities", """SELECT p_partkey::VARCHAR AS eo_id, 'Office of ' || p_brand || ' ' || p_name AS raw_name FROM part WHERE p_partkey % 4 <> 0""")
 def entities(spark, sf_dir):
     d = read(spark, sf_dir, "part").selectExpr("CAST(p_partkey AS STRING) AS eo_id", "p_partkey % 4 = 0 AS is_emergency",
         "concat('There is hereby established, within the office, the Office of ', p_brand, ' ', p_name, ' which shall report.') AS full_text")
@@ -485,10 +486,8 @@ def stratified_sample(spark, sf_dir):
   a AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(h, '(?i)<a\\s[^>]*?href="([^"]*)"', 1), lambda x: trim(x)), lambda x: regexp_matches(x, '(?i)executive-orders/.*\\.pdf(?:[?#].*)?$'))[1] AS u FROM d)
   SELECT page_id, CASE WHEN u LIKE 'http%' THEN u WHEN u LIKE '/%' THEN 'https://www.nyc.gov' || u ELSE 'https://www.nyc.gov/' || u END AS pdf_url FROM a""")
 def first_pdf_href(spark, sf_dir):
-    d = read(spark, sf_dir, "pages").select("page_id", F.expr("""concat(regexp_replace(html, '(?s)<!--.*?-->', ''), CASE WHEN page_id % 2 = 0 THEN concat('<a href=" executive-orders/', page_id, '.PDF?x ">') ELSE '' END)""").alias("h"))
-    hrefs = F.transform(F.regexp_extract_all("h", F.lit(r'(?i)<a\s[^>]*?href="([^"]*)"'), F.lit(1)), ident.strip)
-    first = F.try_element_at(F.filter(hrefs, lambda x: x.rlike(r"(?i)executive-orders/.*\.pdf(?:[?#].*)?$")), F.lit(1))
-    return d.select("page_id", ident.absolute(first).alias("pdf_url"))
+    d = read(spark, sf_dir, "pages").select("page_id", F.expr("""concat(html, CASE WHEN page_id % 2 = 0 THEN concat('<a href=" executive-orders/', page_id, '.PDF?x ">') ELSE '' END)""").alias("h"))
+    return d.select("page_id", ident.first_pdf_href(F.col("h")).alias("pdf_url"))
 
 
 @query("json_props", "SELECT event_id, array_to_string(list_sort(json_keys(props)), ',') AS keys FROM events")
@@ -501,5 +500,4 @@ def json_props(spark, sf_dir):
   SELECT class, count(*)::BIGINT AS n, sum(n_chars)::BIGINT AS chars FROM c GROUP BY 1""")
 def probe_class(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("n_chars", (F.col("doc_id") % 40).alias("pages"))
-    name = F.when(F.col("pages") == 0, "error").when(F.try_divide("n_chars", "pages") > 100, "text").otherwise("scanned")
-    return d.groupBy(name.alias("class")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    return d.groupBy(probe(F.col("pages"), F.col("n_chars")).alias("class")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))

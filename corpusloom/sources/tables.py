@@ -163,7 +163,7 @@ def staged_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def probe_class(pages: Column, chars: Column, threshold: int = PAGE_CHARS) -> Column:
     """text, scanned or error of a PDF: its mean characters a page against the threshold; no pages are an error."""
-    return F.when(F.coalesce(pages, F.lit(0)) == 0, "error").when(chars / pages > threshold, "text").otherwise("scanned")
+    return F.when(F.coalesce(pages, F.lit(0)) == 0, "error").when(F.try_divide(chars, pages) > threshold, "text").otherwise("scanned")
 
 
 def probe_pdfs(files: DataFrame, extract: Callable[[bytes], list[str]] | None = None) -> DataFrame:
