@@ -373,25 +373,36 @@ def test_licenses(spark, odd):
 
 
 def test_alignment_equals_brute_force():
-    """Against the whole table of a plain alignment, where the band holds every path."""
+    """Cell by cell: the band's states after each word of the template, one path each."""
     r = np.random.default_rng(2)
-    for _ in range(200):
-        template, text = r.integers(0, 6, r.integers(1, 9)).astype(np.uint64), r.integers(0, 6, r.integers(1, 9)).astype(np.uint64)
-        m, n = len(template), len(text)
-        table = np.zeros((m + 1, n + 1))
-        for i in range(1, m + 1):
-            for j in range(n + 1):
-                best = table[i - 1, j] - 0.5
-                if j:
-                    best = max(best, table[i - 1, j - 1] + (1 if template[i - 1] == text[j - 1] else -0.5), table[i, j - 1] - 0.5)
-                table[i, j] = best
-        matched, first, end, low, high = licenses.align([(template, text, 0)], band=20)[0]
-        misses = m - matched
-        assert matched - 0.5 * misses <= table[m].max() + 1e-9 + 0.5 * n and matched <= min(m, n)
-        if matched:
-            assert text[first] == template[low] and text[end - 1] == template[high - 1]
-        whole = licenses.align([(template, np.concatenate([text, template]), n)], band=20)[0]
-        assert whole[0] == m
+
+    def plain(template, text, shift, band):
+        base = shift - band
+        cells = [(0.0, (0, base + j, base + j, 0, 0)) for j in range(2 * band + 1)]
+        cells = [(s, (0, 0, 0, 0, 0)) for s, _ in cells]
+        for i, word in enumerate(template):
+            new = []
+            for j in range(2 * band + 1):
+                at, (s, (k, a, b, c, d)) = base + i + j, cells[j]
+                took = (-1e9, (k, a, b, c, d))
+                if 0 <= at < len(text):
+                    hit = text[at] == word
+                    took = (s + 1, (k + 1, a if k else at, at + 1, c if k else i, i + 1)) if hit else (s - 0.5, (k, a, b, c, d))
+                skip = (cells[j + 1][0] - 0.5, cells[j + 1][1]) if j < 2 * band else (-1e9 - 0.5, took[1])
+                best = skip if skip[0] > took[0] else took
+                if new and new[-1][0] - 0.5 > best[0]:
+                    best = (new[-1][0] - 0.5, new[-1][1])
+                new.append(best)
+            cells = new
+        return max(range(len(cells)), key=lambda j: (cells[j][1][0], cells[j][0], j)), cells
+
+    for _ in range(300):
+        template, text = (r.integers(0, 5, r.integers(1, 12)).astype(np.uint64) for _ in range(2))
+        shift, band = int(r.integers(-3, 6)), int(r.integers(1, 5))
+        at, cells = plain(template.tolist(), text.tolist(), shift, band)
+        assert licenses.align([(template, text, shift)], band)[0] == cells[at][1]
+    many = [(r.integers(0, 5, n).astype(np.uint64), r.integers(0, 5, 30).astype(np.uint64), n % 4) for n in range(1, 40)]
+    assert licenses.align(many, 4) == [licenses.align([x], 4)[0] for x in many]  # pieces of a batch don't mix
 
 
 def test_license_scan_equals_whole_alignment():
