@@ -119,8 +119,8 @@ def write_csv_file(df: DataFrame, path: str, order: list[str]) -> None:
 
 
 def write_markdown(df: DataFrame, folder: str, body: str = "full_text") -> DataFrame:
-    """One file ``<year>/<eo_id>.md`` a record, written by the tasks; (eo_id, md_path) of what was written. A repeated task
-    writes the same bytes."""
+    """One file ``<year>/<eo_id>.md`` a record, written by the tasks; (eo_id, md_path) of what was written, which is a table
+    ``_paths`` in the folder. A repeated task writes the same bytes."""
     from pyarrow import fs
 
     fields = [f for f in FRONTMATTER if f in df.columns]
@@ -139,13 +139,13 @@ def write_markdown(df: DataFrame, folder: str, body: str = "full_text") -> DataF
             yield pa.RecordBatch.from_arrays([pa.array([r["eo_id"] for r in rows], pa.string()), pa.array(paths, pa.string())], names=["eo_id", "md_path"])
 
     wanted = list(dict.fromkeys([*fields, "eo_id", "year", body]))
-    rows = df.select(*wanted).mapInArrow(run, "eo_id string, md_path string").collect()  # two short strings a record
-    return df.sparkSession.createDataFrame(rows, "eo_id string, md_path string")
+    df.select(*wanted).mapInArrow(run, "eo_id string, md_path string").write.mode("overwrite").parquet(f"{folder}/_paths")
+    return df.sparkSession.read.parquet(f"{folder}/_paths")
 
 
-def place_files(plan: DataFrame, write: bool = False) -> DataFrame:
-    """(src, dest, written) of a plan (src, dest) of files: copied only where the destination differs in size or bytes, by
-    the tasks. Without ``write`` nothing is changed and written tells what would be."""
+def place_files(plan: DataFrame, log: str, write: bool = False) -> DataFrame:
+    """(src, dest, written) of a plan (src, dest) of files, as a table at ``log``: copied only where the destination differs in
+    size or bytes, by the tasks. Without ``write`` nothing is changed and written tells what would be."""
     from pyarrow import fs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,8 +165,8 @@ def place_files(plan: DataFrame, write: bool = False) -> DataFrame:
                 done.append(not same)
             yield pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dest"), pa.array(done)], names=["src", "dest", "written"])
 
-    rows = plan.select("src", "dest").mapInArrow(run, "src string, dest string, written boolean").collect()  # one row a file
-    return plan.sparkSession.createDataFrame(rows, "src string, dest string, written boolean")
+    plan.select("src", "dest").mapInArrow(run, "src string, dest string, written boolean").write.mode("overwrite").parquet(log)
+    return plan.sparkSession.read.parquet(log)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

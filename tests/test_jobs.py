@@ -168,11 +168,11 @@ def test_pdfs(spark, tmp_path):
 def test_place_files(spark, tmp_path):
     for name in "ab":
         (tmp_path / name).write_bytes(name.encode() * 3)
-    plan = spark.createDataFrame([(f"{tmp_path}/{n}", f"{tmp_path}/out/{n}") for n in "ab"], "src string, dest string")
-    assert [r.written for r in sinks.place_files(plan).collect()] == [True, True] and not os.path.exists(f"{tmp_path}/out")
-    assert all(r.written for r in sinks.place_files(plan, write=True).collect()) and (tmp_path / "out/a").read_bytes() == b"aaa"
+    log, plan = f"{tmp_path}/log", spark.createDataFrame([(f"{tmp_path}/{n}", f"{tmp_path}/out/{n}") for n in "ab"], "src string, dest string")
+    assert [r.written for r in sinks.place_files(plan, log).collect()] == [True, True] and not os.path.exists(f"{tmp_path}/out")
+    assert all(r.written for r in sinks.place_files(plan, log, write=True).collect()) and (tmp_path / "out/a").read_bytes() == b"aaa"
     (tmp_path / "out/b").write_bytes(b"xyz")
-    assert sorted((r.src[-1], r.written) for r in sinks.place_files(plan, write=True).collect()) == [("a", False), ("b", True)]
+    assert sorted((r.src[-1], r.written) for r in sinks.place_files(plan, log, write=True).collect()) == [("a", False), ("b", True)]
 
 
 def test_harvest_and_download(spark, tmp_path):
