@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import worker_memory
+from .textkit import materialize, worker_memory
 
 #: Characters of a chunk.
 CHUNK = 1 << 16
@@ -372,14 +372,21 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     return coded.unionByName(encode_giants(giants, model_path, chunk))
 
 
+def longest_piece(model_path: str) -> int:
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    return max(len(model.id_to_piece(i)) for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i)))
+
+
 def encode_giants(giants: DataFrame, model_path: str, chunk: int = CHUNK) -> DataFrame:
     """(doc, ids array<int>) of rows (doc, text), by the parallel scan.
 
-    Chunks with their surroundings (the longest piece on both sides) are dealt out; matrices of ``GROUP`` chunks are
+    Chunks with their surroundings (the longest piece on both sides) are dealt out as a table; matrices of ``GROUP`` chunks are
     multiplied in a task, the products of a document in the next, and chunks are backtraced on their own.
     """
-    width = 16
-    big = giants.withColumn("key", F.sha2(F.col("text"), 256))
+    width = longest_piece(model_path)
+    big = materialize(giants.withColumn("key", F.sha2(F.col("text"), 256)), "pieces-giants")
     once = big.groupBy("key").agg(F.first("text").alias("text"))
     s = F.concat(F.lit(SPACE), F.translate("text", " ", SPACE))
     cut = once.select("key", s.alias("s"), F.length(s).alias("n"))
@@ -391,7 +398,7 @@ def encode_giants(giants: DataFrame, model_path: str, chunk: int = CHUNK) -> Dat
         F.substring(F.col("s"), left + 1, F.lit(chunk + 2 * width)).alias("s"), (lo + chunk >= F.col("n")).alias("last"),
     )
     cut = cut.withColumn("s", F.when(F.col("last"), F.substring(F.col("s"), F.lit(1), F.col("hi"))).otherwise(F.substring(F.col("s"), F.lit(1), F.col("hi") + width)))
-    cut = cut.repartition("key", "k")
+    cut = materialize(cut, "pieces-chunks").repartition("key", "k")
     load = lambda x: {tuple(k): [tuple(e) for e in v] for k, v in json.loads(x)}
     dump = lambda m: json.dumps([[k, v] for k, v in sorted(m.items())])
 
