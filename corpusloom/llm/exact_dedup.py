@@ -71,15 +71,15 @@ def _refined(docs: DataFrame, id_col: str, text_col: str, extra: list[Column], d
     return rows.withColumn("_sha", sha if digest else F.when(F.col("_maybe"), sha)).drop("_text", "_pre")
 
 
-def _groups(rest: DataFrame) -> DataFrame:
-    """(_glen, _gsha, keep_id, group_size, _same) of the texts that two rows have; _same is how many of them have keep_id."""
+def _groups(rest: DataFrame, least: int = 2) -> DataFrame:
+    """(_glen, _gsha, keep_id, group_size, _same) of the texts that ``least`` rows have; _same is how many of them have keep_id."""
     by_id = rest.groupBy("_len", "_sha", "_id").agg(F.count("*").alias("_n"))
     groups = by_id.groupBy(F.col("_len").alias("_glen"), F.col("_sha").alias("_gsha")).agg(
         F.max("_id").alias("keep_id"),
         F.sum("_n").alias("group_size"),
         F.coalesce(F.max_by("_n", "_id"), F.sum("_n")).alias("_same"),
     )
-    return materialize(groups.filter("group_size > 1"), "exact-groups")
+    return materialize(groups.filter(F.col("group_size") >= least), "exact-groups")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, table_bits: int = TABLE_BITS) -> DataFrame:
@@ -110,14 +110,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     refined = _refined(docs, id_col, text_col, [row], False, table_bits)
     rest = materialize(refined.filter("_maybe").select("_id", "_len", "_sha"), "exact-rows")
-    groups = rest.join(_groups(rest), (F.col("_len") == F.col("_glen")) & (F.col("_sha") == F.col("_gsha")), "left")
-    stays = groups.filter(F.col("group_size").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
-    stays = stays.groupBy(F.col("_len").alias("_glen"), F.col("_sha").alias("_gsha"), F.col("_id").alias("_gid")).agg(F.max("_same").alias("_same"))
-    stays = materialize(stays, "exact-stays")
+    stays = _groups(rest, 1).select("_glen", "_gsha", F.col("keep_id").alias("_gid"), "_same")
     table, bits = _table(stays, ["_glen", "_gsha", "_gid"], table_bits)
     found = test_bit(refined.filter("_maybe"), _slot(bits, F.col("_len"), F.col("_sha"), F.col("_id")), table, "_stays").filter("_stays")
     on = (F.col("_len") == F.col("_glen")) & (F.col("_sha") == F.col("_gsha")) & F.col("_id").eqNullSafe(F.col("_gid"))
     found = found.join(stays, on)
-    once = found.filter("coalesce(_same, 1) = 1").select("_row")
+    once = found.filter("_same = 1").select("_row")
     repeated = found.filter("_same > 1").dropDuplicates(["_glen", "_gsha"]).select("_row")
     return refined.filter("NOT _maybe").select("_row").unionByName(once).unionByName(repeated).select("_row.*")
