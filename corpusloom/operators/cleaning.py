@@ -41,7 +41,9 @@ def clean_records(records: DataFrame, lexicon: DataFrame, key: str = "eo_id", bo
     keys keep their own rows. full_text_raw holds the body as it came.
     """
     raw = F.coalesce(F.col(body), F.lit(""))
-    rows = records.join(anchored_words(records, key, body), key, "left").withColumn("_raw", raw)
+    # the join's own shuffle, but its partitions aren't merged by their size: cleaning is much work for few bytes
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = records.repartition(parts, key).join(anchored_words(records, key, body), key, "left").withColumn("_raw", raw)
     lines = F.split("_raw", "\n", -1)
     own = F.transform(lines, text.token_text)
     rows = rows.withColumn("_lines", lines).withColumn("_words", own)
