@@ -5,10 +5,11 @@ neighbouring ones the least (the last of equals) is kept, so a template and a te
 words share a fingerprint. The templates' fingerprints form an inverted index to (template, place).
 
 A text's hits are cut into stretches where they lie more than ``GAP`` words apart; a stretch with at least ``SHARE`` of a
-template's fingerprints is a candidate. Its hits are gathered into pieces by diagonal, each piece's part of the template
-is aligned with the text around it in a band, all pieces of a batch of texts at once, and pieces are chained in the order of
-both. So text that is inserted, left out or cut off costs only its own words, and a phrase that is merely repeated is no
-candidate. A match is reported from ``COVERAGE`` of the template on, with its coverage and span; a template of fewer than
+template's fingerprints is a candidate. Its hits are gathered into pieces by diagonal. Each piece is aligned in a band twice,
+all pieces of a batch of texts at once: its part of the template with the text around it, and the whole template. Parts are
+chained in the order of text and template, a whole template is a match as it is. So text that is inserted, left out or cut off
+costs only its own words, a phrase that is merely repeated is no candidate, and no piece is aligned otherwise for what
+else the text holds. A match is reported from ``COVERAGE`` of the template on, with its coverage and span; a template of fewer than
 ``SHORT`` words must be there word for word, as one word tells it from another. Of overlapping matches the one with more
 matched words stays, of equals the one with more coverage.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -238,9 +240,9 @@ class Index:
         for k in np.unique(kinds).tolist():
             own = np.flatnonzero(kinds == k)
             p, t = places[own], at[own]
-            stretch = np.cumsum(np.diff(t, prepend=t[0]) > GAP)
-            for s in range(int(stretch[-1]) + 1):
-                inside = stretch == s
+            ends = [*(np.flatnonzero(np.diff(t) > GAP) + 1).tolist(), len(t)]
+            for s, (lo, hi) in enumerate(zip([0, *ends], ends, strict=False)):
+                inside = slice(lo, hi)
                 if len(np.unique(p[inside])) < max(1.0, SHARE * self.prints[k]):
                     continue
                 order = np.lexsort((p[inside], t[inside] - p[inside]))
@@ -260,31 +262,38 @@ class Index:
             if not words:
                 continue
             codes = codes_of(words)
-            found = list(self.pieces(codes))
-            alone = {(k, s) for k, s, *_ in found}
-            alone = {x for x in alone if sum(f[:2] == x for f in found) == 1} if len(found) < 64 else set()
-            for k, s, a, b, shift in found:
-                # a piece reaches over the words beside its hits; the only piece of a candidate over the whole template
-                a, b = (0, len(self.words[k])) if (k, s) in alone else (max(0, a - GRAM - SPAN), min(len(self.words[k]), b + GRAM + SPAN))
+            for k, s, a, b, shift in self.pieces(codes):
+                # a piece's part reaches over the words beside its hits
+                size, a, b = len(self.words[k]), max(0, a - GRAM - SPAN), min(len(self.words[k]), b + GRAM + SPAN)
                 parts.append((self.words[k][a:b], codes, shift + a))
-                which.append((i, k, s, a, b))
+                which.append((i, k, s, a, True))
+                if b - a < size:
+                    parts.append((self.words[k], codes, shift))
+                    which.append((i, k, s, 0, False))
         chains: dict[tuple[int, int, int], list[tuple[int, int, int, int, int]]] = {}
-        for (i, k, s, a, b), (matched, first, end, low, high) in zip(which, align(parts), strict=True):
-            if matched:
-                chains.setdefault((i, k, s), []).append((first, end, a + low, a + high, matched))
         found: list[list[tuple]] = [[] for _ in texts]
-        for (i, k, _), pieces in chains.items():
+
+        def match(i: int, k: int, matched: int, first: int, end: int) -> None:
             size = len(self.words[k])
-            for matched, first, end in _chains(pieces):
-                if matched == size == end - first if size < SHORT else matched >= coverage * size:
-                    found[i].append((-matched, -matched / size, first, end, self.names[k]))
+            if matched == size == end - first if size < SHORT else matched >= coverage * size:
+                found[i].append((-matched, -matched / size, first, end, self.names[k]))
+
+        for (i, k, s, a, part), (matched, first, end, low, high) in zip(which, align(parts), strict=True):
+            if matched and part:
+                chains.setdefault((i, k, s), []).append((first, end, a + low, a + high, matched))
+            elif matched:
+                match(i, k, matched, first, end)
+        for (i, k, _), pieces in chains.items():
+            for chain in _chains(pieces):
+                match(i, k, *chain)
         out: list[list[tuple]] = []
         for own, where in zip(found, spans, strict=True):
-            kept: list[tuple] = []
+            kept: list[tuple] = []  # in text order, none overlaps another
             for m, share, a, b, name in sorted(own):
-                if all(b <= x[3] or a >= x[4] for x in kept):
-                    kept.append((name, -share, -m, a, b, where[a][0], where[b - 1][1]))
-            out.append(sorted(kept, key=lambda x: x[3]))
+                at = bisect_left(kept, a, key=lambda x: x[3])
+                if (at == 0 or kept[at - 1][4] <= a) and (at == len(kept) or kept[at][3] >= b):
+                    kept.insert(at, (name, -share, -m, a, b, where[a][0], where[b - 1][1]))
+            out.append(kept)
         return out
 
     def scan(self, text: str | None, coverage: float = COVERAGE) -> list[tuple[str, float, int, int, int, int, int]]:

@@ -418,6 +418,28 @@ def test_license_scan_equals_whole_alignment():
             assert m[0] == name and want - 3 <= m[2] <= want
 
 
+def test_license_matches_do_not_depend_on_other_text():
+    """A damaged notice has the same match in a text of its own, among some hundred others, and beside a copy."""
+    r, index = random.Random(7), licenses.Index(licenses.TEMPLATES)
+    around = prose(licenses.GAP + 10, 1, "xyz")
+    texts = []
+    for name, template in licenses.TEMPLATES.items():
+        for damage in (0.0, 0.1, 0.2, 0.3):
+            words = [prose(1, r.randrange(9999), "xyz") if r.random() < damage else w for w in licenses.words_of(template)[0]]
+            texts.append(" ".join([around, *words, around]))
+    alone, want, at, chars = [index.scan(t) for t in texts], [], 0, 0
+    for text, found in zip(texts, alone, strict=True):
+        want += [(*m[:3], m[3] + at, m[4] + at, m[5] + chars, m[6] + chars) for m in found]
+        at, chars = at + len(text.split()), chars + len(text) + 1
+    assert index.scan(" ".join(texts)) == want and len(want) > 64
+    assert index.scan_all(texts) == alone
+    r = random.Random(2)
+    isc = " ".join(w if r.random() > 0.1 else "zz" for w in licenses.words_of(licenses.TEMPLATES["isc"])[0])
+    (m,) = index.scan(f"{around} {isc} {around}")
+    for copies in (2, 70):
+        assert [x[:3] for x in index.scan(" ".join([around, *[isc, prose(10, 3, "xyz")] * copies, around]))] == [m[:3]] * copies
+
+
 def test_exact(spark, odd):
     got = exact_dedup.exact_duplicates(odd, digest=True).collect()
     assert len(got) == odd.count()
