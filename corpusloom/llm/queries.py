@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as queries over the driver's tables: thin digests of their results."""
+"""The operators and the pipeline as queries over the driver's tables: thin digests of their results."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extract, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files
+from . import byte_bpe, exact_dedup, html_extract, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files
 from .textkit import crc_bucket, read_table
 
 #: Names of the public tokenizer files; a parameter of the operators, never part of this repository.
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str) -> str:
@@ -69,10 +70,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTES), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f.__name__: f for f in (
         op1_sentencepiece, op2_order_minhash, op3_html_extraction, op4_language_id, op5_mixing, op6_token_files,
-        op7_simhash, op8_licenses, op9_exact_dedup, op10_substring_dedup,
+        op7_simhash, op8_licenses, op9_exact_dedup, op10_substring_dedup, op11_byte_bpe,
     )}
     import corpus_pipeline
 
