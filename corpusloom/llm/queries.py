@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, html_extract, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files
+from . import byte_bpe, centroids, exact_dedup, html_extract, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files
 from .textkit import crc_bucket, read_table
 
 #: Names of the public tokenizer files; a parameter of the operators, never part of this repository.
@@ -76,10 +76,14 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTES), public_tokenizers.PATTERN)
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f.__name__: f for f in (
         op1_sentencepiece, op2_order_minhash, op3_html_extraction, op4_language_id, op5_mixing, op6_token_files,
-        op7_simhash, op8_licenses, op9_exact_dedup, op10_substring_dedup, op11_byte_bpe,
+        op7_simhash, op8_licenses, op9_exact_dedup, op10_substring_dedup, op11_byte_bpe, op13_centroids,
     )}
     import corpus_pipeline
 
@@ -89,7 +93,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+#: A round of clustering in SQL: assignments to centroids i, as 64 * distance + centroid, and centroids i + 1.
+_ROUND = """
+        a{i} AS MATERIALIZED (SELECT q.v, q.id, min(64 * list_sum(list_transform(range(1, 65), lambda j: (q.v[j] - c.v[j]) * (q.v[j] - c.v[j])))::HUGEINT + c) AS m
+              FROM q, c{i} AS c GROUP BY q.id, q.v),
+        s{i} AS (SELECT m % 64 AS c, j, sum(v[j])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{i}, range(1, 65) AS t(j) GROUP BY ALL),
+        l{i} AS (SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY j) AS v FROM s{i} GROUP BY c),
+        c{n} AS MATERIALIZED (SELECT c.c, coalesce(l.v, c.v) AS v FROM c{i} AS c LEFT JOIN l{i} AS l ON c.c = l.c),"""
+
 ORACLES = {
+    "op13_centroids": """
+        WITH q AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+              FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM q QUALIFY c < 40),"""
+    + "".join(_ROUND.format(i=i, n=i + 1) for i in range(6))
+    + """
+        f AS (SELECT id, (m % 64)::INT AS cluster, (m // 64)::BIGINT AS distance FROM a5)
+        SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+        FROM f JOIN q USING (id) JOIN c5 ON c5.c = f.cluster""",
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

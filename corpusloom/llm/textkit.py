@@ -203,6 +203,22 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+#: A key is heavy if it has more than one in so many of all rows: there are always fewer heavy keys than this.
+HEAVY = 256
+
+
+def join_weighted(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, heavy: int = HEAVY) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row for each value of ``keys`` (not null) and its number of ``rows`` in ``weight``.
+
+    Heavy keys, fewer than ``heavy``, are broadcast, so their rows stay where they are; the others are shuffled.
+    """
+    hot = F.col(weight) > total // heavy
+    few = F.broadcast(table.filter(hot))
+    near = rows.join(few, keys)
+    far = rows.join(F.broadcast(table.filter(hot).select(*keys)), keys, "left_anti").join(table.filter(~hot).hint("merge"), keys)
+    return near.unionByName(far)
+
+
 def crc_bucket(column: str, modulus: int):
     """crc32 of a number written as text, modulo ``modulus``."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
