@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, centroids, exact_dedup, html_extract, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files
+from . import byte_bpe, centroids, collocations, exact_dedup, html_extract, langid, licenses, mixing, order_minhash, sentencepieces, simhash, substring_dedup, token_files
 from .textkit import crc_bucket, read_table
 
 #: Names of the public tokenizer files; a parameter of the operators, never part of this repository.
@@ -76,6 +76,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path(BYTES), public_tokenizers.PATTERN)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_report(read_table(spark, sf_dir, "embeddings"))
 
@@ -83,7 +87,7 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f.__name__: f for f in (
         op1_sentencepiece, op2_order_minhash, op3_html_extraction, op4_language_id, op5_mixing, op6_token_files,
-        op7_simhash, op8_licenses, op9_exact_dedup, op10_substring_dedup, op11_byte_bpe, op13_centroids,
+        op7_simhash, op8_licenses, op9_exact_dedup, op10_substring_dedup, op11_byte_bpe, op12_collocations, op13_centroids,
     )}
     import corpus_pipeline
 
@@ -102,6 +106,23 @@ _ROUND = """
         c{n} AS MATERIALIZED (SELECT c.c, coalesce(l.v, c.v) AS v FROM c{i} AS c LEFT JOIN l{i} AS l ON c.c = l.c),"""
 
 ORACLES = {
+    "op12_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+        e AS (SELECT lang, w, words, unnest(range(1, len(w) - words + 2)) AS i FROM p, range(1, 4) AS t(words)),
+        f AS MATERIALIZED (SELECT lang, words, array_to_string(w[i:i + words - 1], ' ') AS phrase, count(*) AS a FROM e GROUP BY ALL),
+        c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words >= 2 AND a >= 10),
+        k AS (SELECT c.*, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail FROM c, range(1, 3) AS t(k) WHERE k < words),
+        s AS (SELECT k.lang, k.words, k.phrase, k.w, k.k, k.a, h.a AS l, t.a AS r, (1000000::HUGEINT * k.a * k.a) // (h.a::HUGEINT * t.a) AS score
+              FROM k JOIN f AS h ON h.lang = k.lang AND h.phrase = head JOIN f AS t ON t.lang = k.lang AND t.phrase = tail),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        o AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+              FROM c WHERE words = 3) GROUP BY lang, phrase),
+        n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score::BIGINT AS score
+        FROM b JOIN n ON n.lang = b.lang LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase
+        WHERE most IS NULL OR 100 * most < 50 * a QUALIFY rank <= 2000""",
     "op13_centroids": """
         WITH q AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
               FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
