@@ -1,25 +1,20 @@
-"""Offsets of regex matches as native arrays."""
+"""Matches of a regex as native arrays, and their offsets."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
-def spans(text: Column, pattern: str, groups: dict[str, int] | None = None) -> Column:
-    """array<struct<start, end, match, ...>>: every match, 0-based, with named groups ('' where a group is absent)."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    sizes = F.transform(whole, F.length)
-    arrays = {k: F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for k, g in (groups or {}).items()}
+def matches(text: Column, pattern: str, groups: dict[str, int] | None = None) -> Column:
+    """array<struct<gap, match, ...>>: every match with the text between it and the one before, and named groups ('' where a group is
+    absent). A last element, whose match is null, has the text after the last match."""
+    found = [F.split(text, pattern, -1), *(F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, *(groups or {}).values()))]
+    return F.arrays_zip(*(c.alias(k) for c, k in zip(found, ["gap", "match", *(groups or {})], strict=True)))
 
-    def before(i):  # gaps 0..i and matches 0..i-1
-        gap = F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x)
-        return gap + F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda a, x: a + x)
 
-    def one(m, i):
-        start = before(i)
-        own = [F.element_at(a, i + 1).alias(k) for k, a in arrays.items()]
-        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"), *own)
-
-    return F.transform(whole, one)
+def start_of(keys: list[str], order: str, gap: Column, size: Column) -> Column:
+    """0-based offset of each match among rows, one a match: all gaps up to it and all matches before it, as running sums."""
+    upto = Window.partitionBy(*keys).orderBy(order)
+    before = F.sum(size).over(upto.rowsBetween(Window.unboundedPreceding, -1))
+    return F.sum(gap).over(upto.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(before, F.lit(0))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import spans
 from ..functions.ident import fold, mint_id, norm_entity
-from ..functions.spans import spans
 
 # Months, verbs, limits and patterns of the citation rules.
 MONTH = "January|February|March|April|May|June|July|August|September|October|November|December"
@@ -26,40 +26,58 @@ ESTABLISH = (
 )
 
 
-def governed(text: Column) -> Column:
-    """array<struct<verb, emergency, number, year, partial>>: the citations each operative verb governs.
+def governed(docs: DataFrame) -> DataFrame:
+    """(actor, verb, emergency, number, year, partial) of ``docs`` (eo_id, full_text): the citations each operative verb governs.
 
-    A verb governs the citations that start after the last clause boundary of the 400 characters before it. All of
-    it stays within the row, so documents are never joined with themselves.
+    A verb governs the citations that start after the last clause boundary of the ``LOOKBACK`` characters before it. Matches of
+    the three patterns are rows, so their offsets are running sums, a verb's boundary is a running maximum and its citations are
+    those of a frame of ``LOOKBACK`` characters: linear in a text's matches. Only matches are shuffled, once, by their text.
+    Texts that repeat under one id are resolved once and counted.
     """
-    cites = spans(text, CITE, {"emg": 1, "num": 2, "dated": 3, "of": 4})
-    bounds = spans(text, BOUNDARY)
-
-    def of(v):
-        low = F.greatest(v["start"] - LOOKBACK, F.lit(0))
-        last = F.array_max(F.transform(F.filter(bounds, lambda b: (b["start"] >= low) & (b["end"] <= v["start"])), lambda b: b["end"]))
-        floor = F.greatest(low, F.coalesce(last, F.lit(0)))
-        own = F.filter(cites, lambda c: (c["start"] >= floor) & (c["start"] < v["start"]))
-
-        def row(c):
-            before = F.greatest(c["start"] - SCOPE_BACK, F.lit(0))
-            near = F.substring(text, before + 1, c["start"] - before)
-            year = F.coalesce(F.nullif(c["dated"], F.lit("")), F.nullif(c["of"], F.lit(""))).try_cast("int")
-            return F.struct(
-                F.lower(v["verb"]).alias("verb"), (c["emg"] != "").alias("emergency"), c["num"].alias("number"), year.alias("year"),
-                near.rlike(SCOPE).alias("partial"),
-            )
-
-        return F.transform(own, row)
-
-    return F.flatten(F.transform(spans(text, VERB, {"verb": 1}), of))
+    text = F.coalesce("full_text", F.lit(""))
+    none = F.lit(None).cast("string")
+
+    def events(kind: str, pattern: str, groups: dict[str, int]) -> Column:
+        own = lambda x, k: x[k] if k in groups else none
+        return F.transform(spans.matches(text, pattern, groups), lambda x: F.struct(
+            F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("size"),
+            F.right(x["gap"], F.lit(SCOPE_BACK)).alias("tail"), x["match"].alias("match"), *(own(x, k).alias(k) for k in ("verb", "emg", "num", "dated", "of")),
+        ))
+
+    every = F.concat(events("cite", CITE, {"emg": 1, "num": 2, "dated": 3, "of": 4}), events("bound", BOUNDARY, {}), events("verb", VERB, {"verb": 1}))
+    # the digest first: in the select of the explosion the text would go along with each match
+    rows = docs.select(F.col("eo_id").alias("actor"), F.sha2(text, 256).alias("text"), every.alias("every"))
+    rows = rows.select("actor", "text", F.posexplode("every").alias("at", "e"))
+    key = ["actor", "text"]
+    rows = rows.filter("e.match IS NOT NULL").select(*key, "at", "e.*").repartition(*key)
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))  # a text's repeats are one, in the same partition
+    rows = rows.withColumn("start", spans.start_of([*key, "kind"], "at", F.col("gap"), F.col("size")))
+    # the text before a citation, from its gap and earlier citations and theirs, which are 16 characters long at least
+    same = Window.partitionBy(*key, "kind").orderBy("at")
+    earlier = [F.coalesce(F.lag(F.concat("tail", "match"), i).over(same), F.lit("")) for i in range(SCOPE_BACK // 16 + 1, 0, -1)]
+    near = F.right(F.concat(*earlier, "tail"), F.lit(SCOPE_BACK))
+    end = F.col("start") + F.col("size")
+    rows = rows.withColumn("near", near).withColumn("place", F.when(F.col("kind") == "bound", end).otherwise(F.col("start")))
+    along = Window.partitionBy(*key).orderBy("place")
+    bound = F.max(F.when(F.col("kind") == "bound", F.struct(end.alias("end"), "start"))).over(along.rangeBetween(Window.unboundedPreceding, 0))
+    cite = F.when(F.col("kind") == "cite", F.struct("start", "emg", "num", "dated", "of", "near"))
+    verbs = rows.withColumn("bound", bound).withColumn("cites", F.collect_list(cite).over(along.rangeBetween(-LOOKBACK, -1))).filter("kind = 'verb'")
+    low = F.greatest(F.col("start") - LOOKBACK, F.lit(0))
+    floor = F.when(F.col("bound.start") >= low, F.col("bound.end")).otherwise(low)
+    found = verbs.select("actor", "verb", "copies", floor.alias("floor"), F.explode("cites").alias("c")).filter("c.start >= floor")
+    found = found.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    year = F.coalesce(F.nullif("c.dated", F.lit("")), F.nullif("c.of", F.lit(""))).try_cast("int")
+    return found.select(
+        "actor", F.lower("verb").alias("verb"), (F.col("c.emg") != "").alias("emergency"), F.col("c.num").alias("number"), year.alias("year"),
+        F.col("c.near").rlike(SCOPE).alias("partial"),
+    )
 
 
 def body_citations(docs: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
     """(actor, target, verb, partial, outcome) of ``docs`` (eo_id, full_text): outcome edge, extension, self or why the
     citation dangles. ``corpus`` (eo_id) is what may be cited; by default the documents themselves."""
     known = (docs if corpus is None else corpus).select(F.col("eo_id").alias("_id")).distinct()
-    rows = docs.select(F.col("eo_id").alias("actor"), F.inline(governed(F.coalesce("full_text", F.lit("")))))
+    rows = governed(docs)
     bare = F.regexp_replace("number", r"^0+(?=\d)", "")
     minted = mint_id(F.col("year"), bare, F.col("emergency"))
     label = F.concat(F.when(F.col("emergency"), "EEO-").otherwise("EO-"), "number")
@@ -79,8 +97,8 @@ def body_citations(docs: DataFrame, corpus: DataFrame | None = None) -> DataFram
 def header_citations(docs: DataFrame) -> DataFrame:
     """The same for archival stamps in ``dropped_header``: the stamped order is the target."""
     known = docs.select(F.col("eo_id").alias("_id")).distinct()
-    found = F.inline(spans(F.coalesce("dropped_header", F.lit("")), XREF, {"verb": 1, "num": 2, "year": 3}))
-    rows = docs.select(F.col("eo_id").alias("target"), found)
+    found = F.inline(spans.matches(F.coalesce("dropped_header", F.lit("")), XREF, {"verb": 1, "num": 2, "year": 3}))
+    rows = docs.select(F.col("eo_id").alias("target"), found).filter("match IS NOT NULL")
     actor = mint_id(F.col("year").try_cast("int"), F.regexp_replace("num", r"^0+(?=\d)", ""), F.lit(False))
     rows = rows.withColumn("actor", actor).filter("actor <> target").join(known, F.col("actor") == F.col("_id"), "left")
     outcome = F.when(F.col("_id").isNull(), "not-in-corpus").otherwise("edge")
@@ -112,8 +130,8 @@ def annotate(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def established_entities(docs: DataFrame) -> DataFrame:
     """(eo_id, raw_name): bodies that regular orders say they establish."""
-    found = spans(F.coalesce("full_text", F.lit("")), ESTABLISH, {"name": 2})
-    rows = docs.filter(~F.col("is_emergency")).select("eo_id", F.inline(found))
+    found = spans.matches(F.coalesce("full_text", F.lit("")), ESTABLISH, {"name": 2})
+    rows = docs.filter(~F.col("is_emergency")).select("eo_id", F.inline(found)).filter("match IS NOT NULL")
     name = F.trim(F.regexp_replace("name", r"(?U)\s+", " "))
     return rows.select("eo_id", F.regexp_replace(name, r"(?i)\s+(?:of|for|on|in|to|within|and|the|a|an)$", "").alias("raw_name"))
 
