@@ -5,8 +5,9 @@ character (``byte_chars``); the vocabulary and its merges are written in those.
 an entry into two entries is one, by the entry's rank, and a piece that is an entry as a whole is not merged at all. The
 pattern's matches are the pieces.
 
-Long texts are cut where a printable ASCII character meets a space or a line end. The pattern must end a match there and must
-not look back, as patterns of this kind do; then the ids are those of the whole text. A batch of the library holds about ``BATCH`` characters.
+Texts are cut where a character that is no white space meets a space or a line end. The pattern must end a match there and must
+not look back, as patterns of this kind do; then the ids are those of the whole text. Most parts are single words, so a worker
+keeps the ids of short ones and the library encodes each but once, with others in a batch of about ``BATCH`` characters.
 
 Offsets are in characters. They come from the byte lengths of the ids and the place of each byte's character; a token that
 holds part of a character has that character in its span, as its neighbour has. Decoding turns an id's characters back into
@@ -20,16 +21,15 @@ import codecs
 import hashlib
 import os
 import re
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from .textkit import map_rows, worker_memory
 
-#: Characters of a part of a text, about, and of a batch of the library.
-PART, BATCH = 1 << 16, 1 << 19
-_CUT = re.compile(r"(?<=[!-~])(?=[ \n])")
+#: Characters of a batch of the library, about; parts that a worker keeps, and how long they are at most.
+BATCH, KEPT, SHORT = 1 << 19, 1 << 19, 64
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Bytes of an id that the table doesn't have: the replacement character.
 UNKNOWN = "�".encode()
 
@@ -41,18 +41,6 @@ def byte_chars() -> list[str]:
     return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
-def parts_of(text: str, size: int = PART) -> Iterator[str]:
-    """``text`` in parts of ``size`` characters or a little more, cut where no match of the pattern can reach across."""
-    at = 0
-    while len(text) - at > size:
-        cut = _CUT.search(text, at + size)
-        if cut is None:
-            break
-        yield text[at : cut.start()]
-        at = cut.start()
-    yield text[at:] if at else text
-
-
 class ByteBPE:
     """A rank file (base64 bytes, a space, the rank, a line each) with the pattern that splits text before merging."""
 
@@ -78,6 +66,7 @@ class ByteBPE:
             self.bytes[i] = bytes(back[c] for c in token)
         self.sizes = np.array([len(b) for b in self.bytes], dtype=np.int64)
         self.shown = [str(i) for i in range(len(self.bytes))]
+        self.kept: dict[str, list[int]] = {}
 
     @classmethod
     def of(cls, path: str, pattern: str) -> ByteBPE:
@@ -89,27 +78,25 @@ class ByteBPE:
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text; null has none."""
-        out: list[list[int]] = [[] for _ in texts]
-        held: list[str] = []
-        whose: list[int] = []
-
-        def flush() -> None:
-            for i, e in zip(whose, self.tokenizer.encode_batch_fast(held, add_special_tokens=False), strict=True):
-                out[i] += e.ids
-            held.clear()
-            whose.clear()
-
-        size = 0
-        for i, text in enumerate(texts):
-            for part in parts_of(text or ""):
-                held.append(part)
-                whose.append(i)
-                size += len(part)
-                if size >= BATCH:
-                    flush()
-                    size = 0
-        flush()
-        return out
+        parts = [_CUT.split(t) if t else [] for t in texts]
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        known, long = self.kept, {}
+        held, size = [], 0
+        for part in set().union(*parts).difference(known):
+            held.append(part)
+            size += len(part)
+            if size >= BATCH:
+                self._learn(held, long)
+                held, size = [], 0
+        self._learn(held, long)
+        if not long:
+            return [[i for part in own for i in known[part]] for own in parts]
+        return [[i for part in own for i in (known[part] if len(part) <= SHORT else long[part])] for own in parts]
+
+    def _learn(self, parts: list[str], long: dict[str, list[int]]) -> None:
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+            (self.kept if len(part) <= SHORT else long)[part] = e.ids
 
     def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray, int]:
         """(first character, end character) of each id's span, and how many ids begin within a character."""
