@@ -6,8 +6,12 @@ density. The best container wins; if it lies in an ``article`` or ``main``, that
 siblings those are kept that score like it or are the same kind of element, that stand between kept ones with few links, that are headings before it,
 or that are plain text blocks beside it. Menus, page headers and footers, sidebars, notices, adverts, forms and reader
 comments are cut off before scoring. Outside an article they are told by element, role or the words of a class or id, unless
-the words are parts of longer names and it holds most of the page's unlinked text; inside one only by element, role or a whole class name (reader comments also by
-id), so that a heading or section that merely speaks of "related" or "social" things stays.
+the words are parts of longer names and it holds most of the page's unlinked text. Inside one they are told by element, role or a class
+name all of whose words speak of such parts ("post-comments", "ad_box-2"), or one of whose words does while most of the element's text is links; reader
+comments and adverts also by such an id. So a heading or section that merely speaks of "related" or "social" things stays ("related-work").
+
+Comments, declarations, marked sections and processing instructions are no text, up to their end or that of the page. Markup that is
+malformed in any other way is read as it comes, and none is an error.
 
 Every step is linear in the page: the parser counts the open elements of each scope and looks for one to close only if it
 is open, and all measures of an element are sums over its children.
@@ -61,6 +65,23 @@ INSIDE = frozenset(
     " disqus share sharing share-buttons social social-share social-links related related-posts related-articles related-links"
     " recommended recommendations newsletter newsletter-signup subscribe signup login skip-link".split()
 )
+#: Words of the class of a reader's comment or an advert, of other parts that aren't the article's, and words that say nothing beside them.
+FOREIGN = frozenset(
+    "comment comments commentlist commenting disqus respond reply replies ad ads adbox adslot adunit advert adverts advertisement advertisements"
+    " advertising adsense sponsor sponsors sponsored sponsorship".split()
+)
+FURNITURE = frozenset(
+    "nav navbar navigation menu menus submenu breadcrumb breadcrumbs pagination pager footer sidebar promo promos promotion widget widgets toolbar"
+    " topbar masthead newsletter subscribe subscription signup login popup modal overlay share sharing social cookie cookies consent gdpr notice".split()
+)
+NEUTRAL = frozenset(
+    "post posts user users reader readers article articles entry page pages site main primary secondary global local top bottom left right upper lower"
+    " inner outer side box boxes banner slot container wrapper wrap area areas section sections block blocks list lists item items bar bars link links unit"
+    " group holder zone space row col column grid card panel header body title label form thread threads tree count mobile desktop tablet sticky fixed inline"
+    " native text image google in the of js small large mini big new all more content node module component".split()
+)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_PARTS = re.compile(r"[^A-Za-z]+")
 COMMENT_IDS = frozenset("comments comment-list comment-section respond disqus_thread".split())
 ROLES = frozenset("navigation complementary contentinfo banner search dialog alertdialog alert".split())
 PAGE_HEADER = re.compile(r"(?:^|[^a-z])(?:site-?header|page-?header|header|banner)(?:$|[^a-z])", re.I)
@@ -143,6 +164,22 @@ class _Tree(HTMLParser):
             node = node.parent
         self._leave(node)
 
+    def parse_html_declaration(self, i):
+        return self.parse_comment(i) if self.rawdata.startswith("<!--", i) else self.parse_bogus_comment(i)
+
+    def parse_comment(self, i, report=1):
+        return self._whole(super().parse_comment(i, report))
+
+    def parse_bogus_comment(self, i, report=1):
+        return self._whole(super().parse_bogus_comment(i, report))
+
+    def parse_pi(self, i):
+        return self._whole(self.rawdata.find(">", i) + 1 or -1)
+
+    def _whole(self, end: int) -> int:
+        """The page is fed at once, so what has no end ends with it."""
+        return len(self.rawdata) if end < 0 else end
+
     def handle_data(self, data):
         if self.at.children and isinstance(self.at.children[-1], str):
             self.at.children[-1] += data
@@ -190,6 +227,22 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
+def named_other(name: str, words: frozenset[str]) -> bool | None:
+    """Whether a class name or id speaks of ``words`` and of nothing else; None if of other things too."""
+    parts = {w.lower() for w in _PARTS.split(_CAMEL.sub("-", name)) if w}
+    if parts.isdisjoint(words):
+        return False
+    return True if parts <= FOREIGN | FURNITURE | NEUTRAL else None
+
+
+def foreign_block(node: Node) -> bool:
+    """Whether a block inside an article is a reader's comment, an advert, a menu or the like by its class or id."""
+    told = [named_other(name, FOREIGN | FURNITURE) for name in node.attrs.get("class", "").split()]
+    if True in told or named_other(node.attrs.get("id", ""), FOREIGN):
+        return True
+    return None in told and 2 * node.link_len > node.text_len
+
+
 def unwanted(node: Node, most: float) -> bool:
     """Whether an element isn't the article's; ``most`` is the unlinked text that makes a container more than a name."""
     if node.tag in DROPPED:
@@ -205,7 +258,9 @@ def unwanted(node: Node, most: float) -> bool:
     if node.held:
         if node.tag in HEADINGS:
             return False
-        return not INSIDE.isdisjoint(names) or a.get("id", "").lower() in COMMENT_IDS
+        if not INSIDE.isdisjoint(names) or a.get("id", "").lower() in COMMENT_IDS:
+            return True
+        return node.tag in BLOCKS and foreign_block(node)
     if node.tag == "header":
         return True
     told = f"{a.get('class', '')} {a.get('id', '')}"
