@@ -1,17 +1,17 @@
 """License scans: winnowed fingerprints, an inverted index, banded alignment.
 
-Templates and texts are lower-cased alphanumeric words. Hashes of ``GRAM`` words are winnowed: of any ``SPAN``
-neighbouring ones the least (the last of equals) is kept, so a template and a text that share ``GRAM + SPAN - 1``
-words share a fingerprint. The templates' fingerprints form an inverted index to (template, place).
-
-A text's hits are cut into stretches where they lie more than ``GAP`` words apart; a stretch with at least ``SHARE`` of a
-template's fingerprints is a candidate. Its hits are gathered into pieces by diagonal. Each piece is aligned in a band twice,
-all pieces of a batch of texts at once: its part of the template with the text around it, and the whole template. Parts are
-chained in the order of text and template, a whole template is a match as it is. So text that is inserted, left out or cut off
-costs only its own words, a phrase that is merely repeated is no candidate, and no piece is aligned otherwise for what
-else the text holds. A match is reported from ``COVERAGE`` of the template on, with its coverage and span; a template of fewer than
-``SHORT`` words must be there word for word, as one word tells it from another. Of overlapping matches the one with more
-matched words stays, of equals the one with more coverage.
+Templates and texts are lower-cased alphanumeric words. Hashes of ``GRAM`` words of a template are winnowed: of any ``SPAN``
+neighbouring ones the least (the last of equals) is kept; a template of fewer than ``SMALL`` words keeps all its pairs of words. They
+form an inverted index to (template, place), in which all grams and pairs of a text are looked up.
+
+A text's hits on a template are gathered into pieces by diagonal, wherever they lie, and each piece is a candidate. One hit is enough, and
+for a small template two, as a notice that keeps ``COVERAGE`` of N words keeps (2 COVERAGE - 1) N - 1 pairs of neighbours at least. A longer notice fails
+only if none of its kept grams is intact. A piece is aligned in a band, all pieces of a batch of texts at once: its part of the template with the text around it, and,
+if enough of the template's words occur near their places, the whole template. Parts are chained in the order of text and template, and each word by which a chain
+changes its diagonal counts against it, half as much as a matched one counts for it; a whole template is a match as it is. So text that is inserted, left out or cut off
+costs its own words, and no piece is aligned or chained otherwise for what else the text holds. A match is reported from ``COVERAGE`` of the
+template on, with its coverage and span; a template of fewer than ``SHORT`` words must be there word for word, as one word tells it from
+another. Of overlapping matches the one with more matched words stays, of equals the one with more coverage.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ GRAM = 3
 SPAN = 3
 BAND = 8
 GAP = 60
-SHARE = 0.3
 COVERAGE = 0.6
 SHORT = 20
+SMALL = 60
 _WORD = re.compile(r"[A-Za-z0-9]+")
 
 # Public license notices.
@@ -209,49 +209,71 @@ def align(parts: list[tuple[np.ndarray, np.ndarray, int]], band: int = BAND) ->
     return out
 
 
+def grams(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words."""
+    at = np.arange(max(0, len(codes) - size + 1))
+    return SpanHash(codes | np.uint64(1)).spans(at, at + size)
+
+
 class Index:
     """Inverted index of the templates' fingerprints."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         self.words = [codes_of(words_of(t)[0]) for t in templates.values()]
-        self.prints = []
         table: list[tuple[int, int, int]] = []
         for k, w in enumerate(self.words):
-            hashes, places = winnow(w)
-            self.prints.append(len(hashes))
+            if len(w) < SMALL:
+                hashes = grams(w, min(2, len(w)))
+                places = np.arange(len(hashes))
+            else:
+                hashes, places = winnow(w)
             table += [(h, k, at) for h, at in zip(hashes.tolist(), places.tolist(), strict=True)]
         table.sort()
         self.hashes = np.array([h for h, _, _ in table], dtype=np.uint64)
         self.kinds = np.array([k for _, k, _ in table], dtype=np.int64)
         self.places = np.array([at for _, _, at in table], dtype=np.int64)
+        #: Sizes of the indexed grams.
+        self.sizes = sorted({min(2, len(w)) if len(w) < SMALL else GRAM for w in self.words if len(w)})
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(template, place in it, place in the text) of every fingerprint of the text that a template has."""
-        hashes, at = winnow(codes)
-        lo, hi = np.searchsorted(self.hashes, hashes, "left"), np.searchsorted(self.hashes, hashes, "right")
-        n = hi - lo
-        entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return self.kinds[entry], self.places[entry], np.repeat(at, n)
-
-    def pieces(self, codes: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        """(template, stretch, first and end word of the template's part, shift) of each piece of each candidate."""
+        """(template, place in it, place in the text) of every gram of the text that a template's index has."""
+        out = []
+        for size in self.sizes:
+            hashes = grams(codes, size)
+            lo = np.searchsorted(self.hashes, hashes, "left")
+            at = np.flatnonzero(self.hashes[np.minimum(lo, len(self.hashes) - 1)] == hashes) if len(hashes) else lo
+            lo, hi = lo[at], np.searchsorted(self.hashes, hashes[at], "right")
+            n = hi - lo
+            entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            out.append((self.kinds[entry], self.places[entry], np.repeat(at, n)))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+
+    def pieces(self, codes: np.ndarray, coverage: float = COVERAGE) -> Iterator[tuple[int, int, int, int]]:
+        """(template, first and end word of the template's part, shift) of each piece of each candidate."""
         kinds, places, at = self.hits(codes)
         for k in np.unique(kinds).tolist():
             own = np.flatnonzero(kinds == k)
-            p, t = places[own], at[own]
-            ends = [*(np.flatnonzero(np.diff(t) > GAP) + 1).tolist(), len(t)]
-            for s, (lo, hi) in enumerate(zip([0, *ends], ends, strict=False)):
-                inside = slice(lo, hi)
-                if len(np.unique(p[inside])) < max(1.0, SHARE * self.prints[k]):
-                    continue
-                order = np.lexsort((p[inside], t[inside] - p[inside]))
-                sp, shift = p[inside][order], (t[inside] - p[inside])[order]
-                begin = 0
-                for i in range(1, len(sp) + 1):
-                    if i == len(sp) or shift[i] - shift[begin] > BAND // 2:
-                        yield k, s, int(sp[begin:i].min()), int(sp[begin:i].max()) + GRAM, int(shift[begin])
-                        begin = i
+            size = len(self.words[k])
+            least = 1 if size >= SMALL or coverage < COVERAGE else min(2, size - 1) if size > 1 else 1
+            order = np.lexsort((places[own], at[own] - places[own]))
+            p, shift = places[own][order], (at[own] - places[own])[order]
+            begin = 0
+            for i in range(1, len(p) + 1):
+                if i == len(p) or shift[i] - shift[begin] > BAND // 2:
+                    if i - begin >= least:
+                        yield k, int(p[begin:i].min()), min(size, int(p[begin:i].max()) + GRAM), int(shift[begin])
+                    begin = i
+
+    def possible(self, k: int, codes: np.ndarray, shift: int) -> int:
+        """Words of a template that occur in the text within the band around their places: no alignment there matches more."""
+        size = len(self.words[k])
+        around = np.zeros(size + 2 * BAND, dtype=np.uint64)
+        lo, hi = max(0, shift - BAND), min(len(codes), shift + size + BAND)
+        if hi > lo:
+            around[lo - shift + BAND : hi - shift + BAND] = codes[lo:hi]
+        view = np.lib.stride_tricks.sliding_window_view(around, 2 * BAND + 1)
+        return int((view == self.words[k][:, None]).any(axis=1).sum())
 
     def scan_all(self, texts: list[str | None], coverage: float = COVERAGE) -> list[list[tuple[str, float, int, int, int, int, int]]]:
         """For each text (license, coverage, matched, first word, end word, first char, end char) of each match, in text order."""
@@ -262,15 +284,15 @@ class Index:
             if not words:
                 continue
             codes = codes_of(words)
-            for k, s, a, b, shift in self.pieces(codes):
+            for k, a, b, shift in self.pieces(codes, coverage):
                 # a piece's part reaches over the words beside its hits
                 size, a, b = len(self.words[k]), max(0, a - GRAM - SPAN), min(len(self.words[k]), b + GRAM + SPAN)
                 parts.append((self.words[k][a:b], codes, shift + a))
-                which.append((i, k, s, a, True))
-                if b - a < size:
+                which.append((i, k, a, True))
+                if b - a < size and self.possible(k, codes, shift) >= coverage * size:
                     parts.append((self.words[k], codes, shift))
-                    which.append((i, k, s, 0, False))
-        chains: dict[tuple[int, int, int], list[tuple[int, int, int, int, int]]] = {}
+                    which.append((i, k, 0, False))
+        chains: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
         found: list[list[tuple]] = [[] for _ in texts]
 
         def match(i: int, k: int, matched: int, first: int, end: int) -> None:
@@ -278,12 +300,12 @@ class Index:
             if matched == size == end - first if size < SHORT else matched >= coverage * size:
                 found[i].append((-matched, -matched / size, first, end, self.names[k]))
 
-        for (i, k, s, a, part), (matched, first, end, low, high) in zip(which, align(parts), strict=True):
+        for (i, k, a, part), (matched, first, end, low, high) in zip(which, align(parts), strict=True):
             if matched and part:
-                chains.setdefault((i, k, s), []).append((first, end, a + low, a + high, matched))
+                chains.setdefault((i, k), []).append((first, end, a + low, a + high, matched))
             elif matched:
                 match(i, k, matched, first, end)
-        for (i, k, _), pieces in chains.items():
+        for (i, k), pieces in chains.items():
             for chain in _chains(pieces):
                 match(i, k, *chain)
         out: list[list[tuple]] = []
@@ -302,28 +324,30 @@ class Index:
 
 def _chains(pieces: list[tuple[int, int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """(matched, first, end) of chains of pieces (first, end, template first, template end, matched) that advance in text and
-    template alike, at most ``GAP`` words of the text apart; best ones first, no piece in two. An overlap counts once."""
+    template alike, at most ``GAP`` words of the text apart; best ones first, no piece in two. An overlap counts once, and a change of
+    diagonal counts against a chain by half its words, so that no chain goes over to another copy for a notice's damaged part."""
     pieces = sorted(pieces)
-    best: list[tuple[int, int]] = []  # matched, piece before
+    best: list[tuple[float, int, int]] = []  # score, matched, piece before
     at = 0
     for i, (first, end, a, b, matched) in enumerate(pieces):
-        held = (matched, -1)
+        held = (float(matched), matched, -1)
         while at < i and pieces[at][1] + GAP < first:
             at += 1
         for x in range(at, i):
             _, pe, pa, pb, _ = pieces[x]
             if pa < a and pb < b and pe < end and first - pe <= GAP:
-                over = max(0, pb - a, pe - first)
-                if best[x][0] + matched - over > held[0]:
-                    held = (best[x][0] + matched - over, x)
+                new = matched - max(0, pb - a, pe - first)
+                score = best[x][0] + new - 0.5 * abs((first - a) - (pe - pb))
+                if score > held[0]:
+                    held = (score, best[x][1] + new, x)
         best.append(held)
     used: set[int] = set()
     for i in sorted(range(len(pieces)), key=lambda i: (-best[i][0], i)):
         chain = [i]
-        while chain[-1] not in used and best[chain[-1]][1] >= 0:
-            chain.append(best[chain[-1]][1])
+        while chain[-1] not in used and best[chain[-1]][2] >= 0:
+            chain.append(best[chain[-1]][2])
         if used.isdisjoint(chain):
-            yield best[i][0], pieces[chain[-1]][0], pieces[i][1]
+            yield best[i][1], pieces[chain[-1]][0], pieces[i][1]
         used.update(chain)
 
 
