@@ -91,16 +91,18 @@ def plan(sized: DataFrame, weights=WEIGHTS, most: int = MOST, schedules=SCHEDULE
 
     A whole document is taken in the last, partial pass if the target reaches at
     least half of it, so a source ends within half a document of its target. Documents without words take no part
-    in the mix (no row). ``sized`` also has copy, which tells rows that repeat (doc, source, size) apart.
+    in the mix (no row). Rows of ``sized`` stand for copies that are the same in all columns; each copy is planned apart, one after
+    the other, with a number from 1.
     """
-    sources = sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
+    sources = source_sizes(sized)
     goal = targets(sources, weights, most).withColumnRenamed("source", "_source")
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").filter("size > 0")
     draw = F.md5(F.coalesce(F.col("doc").cast("string"), F.lit("")).cast("binary"))
     rows = rows.withColumn("draw", draw)
     first = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("bucket", F.shiftright(first * F.ceil(F.col("n") / bucket).cast("long"), 32))
-    held = materialize(rows.groupBy("rank", "bucket").agg(F.sum("size").alias("held")), "mixing-buckets")
+    words = F.col("size") * F.col("copies")
+    held = materialize(rows.groupBy("rank", "bucket").agg(F.sum(words).alias("held")), "mixing-buckets")
     held = held.withColumn("stretch", F.floor(F.col("bucket") / FAN))
     earlier = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     stretches = held.groupBy("rank", "stretch").agg(F.sum("held").alias("whole"))
@@ -109,8 +111,9 @@ def plan(sized: DataFrame, weights=WEIGHTS, most: int = MOST, schedules=SCHEDULE
     base = F.col("before") + F.coalesce(F.sum("held").over(earlier("rank", "stretch").orderBy("bucket")), F.lit(0))
     sums = sums.select(F.col("rank").alias("_rank"), F.col("bucket").alias("_bucket"), base.alias("base"))
     rows = rows.join(sums, (F.col("rank") == F.col("_rank")) & (F.col("bucket") == F.col("_bucket"))).drop("_rank", "_bucket")
-    within = Window.partitionBy("rank", "bucket").orderBy("draw", "doc", "size", "copy").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+    within = Window.partitionBy("rank", "bucket").orderBy("draw", "doc", "size", "mark").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.col("base") + F.coalesce(F.sum(words).over(within), F.lit(0)))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).withColumn("start", F.col("start") + (F.col("copy") - 1) * F.col("size"))
     passes = F.floor((F.col("target") - F.col("start") - F.col("size") / 2.0) / F.col("source_size")) + 1
     rows = rows.withColumn("passes", F.least(F.greatest(passes, F.lit(0)), F.lit(most)).cast("int")).filter("passes > 0")
     rows = rows.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
@@ -118,22 +121,32 @@ def plan(sized: DataFrame, weights=WEIGHTS, most: int = MOST, schedules=SCHEDULE
     position = inverse_demand(share, schedules[0])
     for i in range(1, len(schedules)):
         position = F.when(F.col("rank") % len(schedules) == i, inverse_demand(share, schedules[i])).otherwise(position)
-    return rows.select("doc", "source", "size", "copy", "source_size", "target", "pass", position.alias("position"))
+    return rows.select("doc", "source", "size", "mark", "copies", "copy", "source_size", "target", "pass", position.alias("position"))
+
+
+def _mark(docs: DataFrame) -> Column:
+    """96 bits of hashes of a row's columns (but for maps, which have no hash): rows with the same mark are copies."""
+    own = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    return F.concat_ws(":", F.xxhash64(*own).cast("string"), F.hash(*own).cast("string"))
 
 
 def sized_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc, source, size, copy) of every row, as a table: the texts are read once for planning."""
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
-    same = Window.partitionBy("doc", "source", "size").orderBy("doc")
-    return materialize(rows.withColumn("copy", F.row_number().over(same)), "mixing-sizes")
+    """(doc, source, size, mark, copies) of the different rows, as a table: the texts are read once for planning."""
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), _mark(docs).alias("mark"))
+    return materialize(rows.groupBy("doc", "source", "size", "mark").agg(F.count("*").alias("copies")), "mixing-sizes")
+
+
+def source_sizes(sized: DataFrame) -> DataFrame:
+    """(source, n, source_size) of ``sized``."""
+    return sized.groupBy("source").agg(F.sum("copies").alias("n"), F.sum(F.col("size") * F.col("copies")).alias("source_size"))
 
 
 def ordered(sized: DataFrame, **options) -> DataFrame:
-    """``plan`` range-sorted by position (ties by doc, source, size, copy, pass) as a table, with place: 0 for the first of the mix.
+    """``plan`` range-sorted by position (ties by doc, source, size, mark, copy, pass) as a table, with place: 0 for the first of the mix.
 
     A partition's first place is the number of rows before it; only one count for each partition reaches the driver.
     """
-    keys = ["position", "doc", "source", "size", "copy", "pass"]
+    keys = ["position", "doc", "source", "size", "mark", "copy", "pass"]
     rows = plan(sized, **options).repartitionByRange(*(F.col(k).asc_nulls_first() for k in keys)).sortWithinPartitions(*(F.col(k).asc_nulls_first() for k in keys))
     own = F.monotonically_increasing_id()
     rows = materialize(rows.select("*", F.shiftright(own, 33).alias("_part"), own.bitwiseAND(F.lit((1 << 33) - 1)).alias("_own")), "mixing-order")
@@ -147,38 +160,55 @@ def ordered(sized: DataFrame, **options) -> DataFrame:
     return rows.withColumn("place", F.col("_offset") + F.col("_own")).drop("_part", "_own", "_of", "_offset")
 
 
+def _same(names: list[str], prefix: str = "_") -> Column:
+    """Rows whose columns equal those of the same names behind ``prefix``, nulls equal."""
+    on = F.lit(True)
+    for c in names:
+        on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return on
+
+
+KEY = ["doc", "source", "size", "mark"]
+#: Copies whose places stand in one cell.
+TOGETHER = 1024
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it is taken, range-sorted by training position.
 
-    Null text has no words and is not taken. A null source is a source of its own, the last. Repeated rows (same
-    id, source and size) are planned apart and one of them stands for all. No rows give no rows. Columns keep their names.
+    Null text has no words and is not taken. A null source is a source of its own, the last. Rows that repeat an id, null ones too,
+    are rows of their own, whatever their texts; copies that are the same in all columns are planned apart and one of them is put
+    wherever one is taken. No rows give no rows. Columns keep their names.
     """
-    order = ordered(sized_rows(docs, id_col, source_col, text_col), **options)
-    times = order.groupBy("doc", "source", "size").agg(F.collect_list("place").alias("_at"), F.max("copy").alias("_copies"))
-    times = times.select(F.col("doc").alias("_doc"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "_at", "_copies")
+    sized = sized_rows(docs, id_col, source_col, text_col)
+    order = ordered(sized, **options)
+    places = order.groupBy(*KEY, F.floor(F.col("copy") / TOGETHER).alias("_part")).agg(F.collect_list("place").alias("_at"), F.max("copies").alias("_copies"))
+    places = places.select(*(F.col(c).alias(f"_{c}") for c in KEY), "_at", "_copies")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    own = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), size_of(F.col(text_col)).alias("_size"), row)
-    on = F.col("_id").eqNullSafe(F.col("_doc")) & F.col("_source").eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_sz"))
-    rows = own.join(times, on)
-    rows = rows.filter("_copies = 1").unionByName(rows.filter("_copies > 1").dropDuplicates(["_id", "_source", "_size"]))
+    own = docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), _mark(docs).alias("mark"), row)
+    lone = own.join(places.filter("_copies = 1"), _same(KEY))
+    many = sized.filter("copies > 1").select(*(F.col(c).alias(f"_{c}") for c in KEY))
+    first = own.join(many, _same(KEY), "left_semi").dropDuplicates(KEY)
+    rows = lone.unionByName(first.join(places.filter("_copies > 1"), _same(KEY)))
     rows = rows.select("_row", F.explode("_at").alias("_place"))
     return rows.repartitionByRange("_place").sortWithinPartitions("_place").select("_row.*")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken, times, first_place) for every row of ``docs``, from the range-sorted mix;
-    first_place is the place of its first copy in the mix, null if it isn't taken."""
+    first_place is the place of its first copy in the mix, null if it isn't taken.
+
+    Null text has size 0 and is not taken; a null source is a source of its own; rows that repeat, in their id or in all columns,
+    have rows of their own; other columns only tell rows apart; no rows give no rows.
+    """
     sized = sized_rows(docs)
     order = ordered(sized, **options)
-    sums = order.groupBy("doc", "source", "size", "copy").agg(F.count("*").alias("times"), F.min("place").alias("first_place"))
-    sums = sums.select(
-        F.col("doc").alias("_doc"), F.col("source").alias("_src"), F.col("size").alias("_sz"), F.col("copy").alias("_c"), "times", "first_place"
-    )
-    goal = targets(sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), **{k: v for k, v in options.items() if k in ("weights", "most")})
+    sums = order.groupBy(*KEY, "copy").agg(F.count("*").alias("times"), F.min("place").alias("first_place"))
+    sums = sums.select(*(F.col(c).alias(f"_{c}") for c in (*KEY, "copy")), "times", "first_place")
+    goal = targets(source_sizes(sized), **{k: v for k, v in options.items() if k in ("weights", "most")})
     goal = goal.select(F.col("source").alias("_s"), "source_size", "target")
-    out = sized.join(goal, F.col("source").eqNullSafe(F.col("_s")))
-    on = F.col("doc").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("size") == F.col("_sz")) & (F.col("copy") == F.col("_c"))
-    out = out.join(sums, on, "left")
+    out = sized.join(goal, F.col("source").eqNullSafe(F.col("_s"))).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    out = out.join(sums, _same([*KEY, "copy"]), "left")
     times = F.coalesce("times", F.lit(0))
     return out.select(
         F.col("doc").alias("doc_id"), "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"),

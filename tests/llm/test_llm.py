@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -134,6 +135,27 @@ def test_language(spark):
     assert langid.with_language(clash, model).filter("language.lang IN ('aa', 'zz')").count() == 3
 
 
+def test_mix_loses_no_row(spark):
+    """Null and repeated ids with different texts of equal size, rows that differ in another column only, and whole copies."""
+    texts = ["aa bb cc", "dd ee ff", "gg hh ii", "jj kk ll", "mm nn oo"]
+    rows = [(None, t, "s", "x", 1, None) for t in texts[:3]] + [(7, t, "s", "x", 1, None) for t in texts[3:]]
+    rows += [(8, "one two", None, "x", 1, "p"), (8, "one two", None, "x", 2, "p")] + [(9, "pp qq rr", "s", "x", 1, None)] * 2100 + [(None, None, "s", "x", 1, None), (1, "", "t", "x", 1, None)]
+    schema = "doc_id long, text string, source string, mark string, copies int, size string"
+    d = spark.createDataFrame(rows, schema).repartition(3)
+    want = Counter()
+    for r in mixing.taken(d).collect():
+        want[r.doc_id, r["size"]] += r.times
+    assert sum(1 for _ in mixing.taken(d).collect()) == len(rows)
+    got = Counter(tuple(r) for r in mixing.mix(d).collect())
+    by_id = Counter()
+    for r, n in got.items():
+        assert r in set(rows) and n <= 3 * rows.count(r)
+        by_id[r[0], len((r[1] or "").split())] += n
+    assert by_id == +want
+    even = spark.createDataFrame([r for r in rows if r[3] == "x" and r[1] and r[0] != 9], schema)  # one source each, all taken once
+    assert Counter(tuple(r) for r in mixing.mix(even, weights=(5, 1)).collect()).keys() >= {r for r in rows if r[1] in texts or r[4] == 2}
+
+
 def test_mixing(spark, odd):
     rows = [(i, prose(1 + i % 50, i), ["a", "b", "c", "d", None][min(4, i % 9)]) for i in range(900)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -440,6 +462,31 @@ def test_license_matches_do_not_depend_on_other_text():
         assert [x[:3] for x in index.scan(" ".join([around, *[isc, prose(10, 3, "xyz")] * copies, around]))] == [m[:3]] * copies
 
 
+def test_damaged_licenses_alone_and_beside_copies():
+    """Up to 40 % of a notice's words replaced, at least COVERAGE of them kept: it is found, with the same match alone, beside an intact copy and
+    beside half a copy. Where siblings differ by a word or two, one of them may stand for the other."""
+    r, index = random.Random(3), licenses.Index(licenses.TEMPLATES)
+    noise = lambda n: [prose(1, r.randrange(1 << 30), "xyzq") for _ in range(n)]
+    family = lambda name: name.split("-")[0].lstrip("al")
+    for name, template in licenses.TEMPLATES.items():
+        words = licenses.words_of(template)[0]
+        n = len(words)
+        if n < licenses.SHORT:
+            continue
+        for damage in (0.0, 0.1, 0.2, 0.3, 0.36, 0.36, 0.4, 0.4):
+            kept = []
+            while sum(a == b for a, b in zip(kept, words, strict=False)) < licenses.COVERAGE * n:
+                kept = [w if r.random() >= damage else noise(1)[0] for w in words]
+            before, between, after = noise(80), noise(20), noise(80)
+            alone = [m[:5] for m in index.scan(" ".join(before + kept + after))]
+            assert len(alone) == 1 and family(alone[0][0]) == family(name) and alone[0][3] < 80 + n and alone[0][4] > 80
+            beside = index.scan(" ".join(before + kept + between + words + after))
+            assert [m[:5] for m in beside if m[3] < 80 + n + 10] == alone and beside[-1][:3] == (name, 1.0, n)
+            off = n // 2 + 20
+            half = index.scan(" ".join(before + words[: n // 2] + between + kept + after))
+            assert [(*m[:3], m[3] - off, m[4] - off) for m in half if m[4] - off > 80] == alone
+
+
 def test_exact(spark, odd):
     got = exact_dedup.exact_duplicates(odd, digest=True).collect()
     assert len(got) == odd.count()
