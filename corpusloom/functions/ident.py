@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -157,6 +158,29 @@ def id_year(eo_id: Column) -> Column:
     return F.coalesce(found(eo_id, r"^([0-9]{4})").try_cast("int"), F.lit(0))
 
 
+def url_key(url: Column) -> Column:
+    """Key under which an archive files an address: host labels from the last on, ``)``, path, sorted query; all lower case, without
+    scheme, user, default port, ``www`` host, fragment and closing slashes. So addresses of one page share a key, and a
+    site's or folder's are neighbours (``key_range``)."""
+    bare = F.regexp_replace(F.regexp_replace(strip(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://", ""), r"#[\s\S]*\z", "")
+    host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^[^/?]*", 0)), r"^.*@", "")
+    host = F.regexp_replace(F.regexp_replace(host, r"\.*(?::(?:80|443)?)?\z", ""), r"^www\d*\.", "")
+    labels = F.when(host.rlike(r"^[\d.]+\z"), host).otherwise(F.array_join(F.reverse(F.split(host, r"\.")), ","))
+    rest = F.lower(F.regexp_replace(bare, r"^[^/?]*", ""))
+    path = F.regexp_replace(F.regexp_extract(rest, r"^[^?]*", 0), r"/+\z", "")
+    args = F.filter(F.split(F.regexp_extract(rest, r"^[^?]*\?([\s\S]*)\z", 1), "&"), lambda a: a != "")
+    query = F.when(F.size(args) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(args), "&"))).otherwise("")
+    return F.concat(labels, F.lit(")"), F.when(path == "", "/").otherwise(path), query)
+
+
+def key_range(prefix: str) -> tuple[str, str]:
+    """(first key, key after the last) of the addresses that begin with ``prefix``, scheme and ``www`` host left out."""
+    host, _, path = re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*://", "", prefix.strip()).lower().partition("/")
+    host = re.sub(r"^www\d*\.", "", re.sub(r"\.*(?::(?:80|443)?)?\Z", "", host))
+    low = ",".join(reversed(host.split("."))) + ")/" + path
+    return low, low[:-1] + chr(ord(low[-1]) + 1)
+
+
 # The second source's addresses, folders and provenance tags.
 PORTAL = "https://a860-gpp.nyc.gov"
 LIVE, ARCHIVE, ARCHIVE_GAP, ARCHIVE_FOLDERS, SECOND = "live-nycgov", "wayback", "wayback-gap", "wayback-deblasio", "gpp"

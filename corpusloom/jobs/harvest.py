@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ident
 from ..operators import relational as rel
-from ..sources.tables import captures, is_pdf, playback
+from ..sources.tables import captures, playback
 
 INDEX_FIELDS = "eo_id number year is_emergency date_signed title source_pdf_url pdf_path source".split()
 MANIFEST_FIELDS = "eo_id number year is_emergency date_signed title article_url source_pdf_url pdf_path pdf_resolved download_status download_error".split()
@@ -93,7 +93,8 @@ def process_entries(entries: DataFrame, downloads: DataFrame | None = None, pdf_
     nothing = F.lit(None).cast("string")
     if downloads is None:
         return rows.withColumns({"download_status": F.lit("skipped"), "download_error": nothing, "pdf_path": nothing})
-    done = downloads.select(F.col("eo_id").alias("_e"), F.col("source_pdf_url").alias("_u"), F.col("status").alias("_s"), F.col("error").alias("_x")).distinct()
+    best = F.min(F.struct("status", "error")).alias("_b")  # cached, then downloaded, then error
+    done = downloads.groupBy(F.col("eo_id").alias("_e"), F.col("source_pdf_url").alias("_u")).agg(best).select("_e", "_u", F.col("_b.status").alias("_s"), F.col("_b.error").alias("_x"))
     rows = rows.join(done, (F.col("eo_id") == F.col("_e")) & (F.col("source_pdf_url") == F.col("_u")), "left")
     missing = ~F.col("pdf_resolved")
     status = F.when(missing, "error").otherwise(F.coalesce("_s", F.lit("error")))
@@ -107,8 +108,8 @@ def index_of(rows: DataFrame) -> DataFrame:
     return rows.select(*INDEX_FIELDS)
 
 
-def manifest_of(rows: DataFrame) -> DataFrame:
-    """The manifest columns of wide rows; of index rows, those that can be told: cached where there is a file, else skipped, and
+def manifest_of(rows: DataFrame, *more: str) -> DataFrame:
+    """The manifest columns of wide rows, and ``more``; of index rows, those that can be told: cached where there is a file, else skipped, and
     resolved where there is an address."""
     add = {}
     if "article_url" not in rows.columns:
@@ -119,7 +120,7 @@ def manifest_of(rows: DataFrame) -> DataFrame:
         add["pdf_resolved"] = F.col("source_pdf_url").isNotNull()
     if "download_error" not in rows.columns:
         add["download_error"] = F.lit(None).cast("string")
-    return rows.withColumns(add).select(*MANIFEST_FIELDS)
+    return rows.withColumns(add).select(*MANIFEST_FIELDS, *more)
 
 
 def index_from_corpus(corpus: DataFrame) -> DataFrame:
@@ -166,7 +167,8 @@ def archive_rows(found: DataFrame, identity: Callable[[Column], Column], source:
     good = good.withColumns({"date_signed": nothing, "title": F.lit(""), "article_url": F.lit(""), "pdf_resolved": F.lit(True), "source": F.lit(source)})
     if statuses is None:
         return good.withColumns({"download_status": F.lit("skipped"), "download_error": nothing, "pdf_path": nothing}), flagged
-    done = statuses.select(F.col("eo_id").alias("_e"), F.col("status").alias("_s"), F.col("error").alias("_x"))
+    best = F.min(F.struct("status", "error")).alias("_b")
+    done = statuses.groupBy(F.col("eo_id").alias("_e")).agg(best).select("_e", F.col("_b.status").alias("_s"), F.col("_b.error").alias("_x"))
     good = good.join(done, F.col("eo_id") == F.col("_e"), "left")
     status = F.coalesce("_s", F.lit("error"))
     path = F.when(status.isin("downloaded", "cached"), ident.pdf_dest(pdf_dir, F.col("year"), F.col("eo_id")))
@@ -189,8 +191,7 @@ def _archive(found: DataFrame, identity, source: str, live: DataFrame, statuses:
     rows, flagged = archive_rows(found, identity, source, statuses, pdf_dir)
     kept, conflicts = rel.collapse_duplicates(rows, "eo_id", "source_pdf_url", order)
     wide = [*MANIFEST_FIELDS, "source"]
-    own = manifest_of(live).withColumn("_s", F.lit(0)).join(live.select(F.col("eo_id").alias("_e"), F.col("source").alias("source")).distinct(), F.col("eo_id") == F.col("_e")).select(*wide)
-    merged, dropped = rel.prefer_first(own, kept.select(*wide), "eo_id")
+    merged, dropped = rel.prefer_first(manifest_of(live, "source"), kept.select(*wide), "eo_id")
     if present is not None:
         merged = reconcile_paths(merged, present, pdf_dir)
     return Harvest(merged, conflicts, status_counts(rows), flagged, dropped)
@@ -220,46 +221,87 @@ def gaps(index: DataFrame, present: DataFrame, pdf_dir: str = "pdfs") -> DataFra
     return index.join(held, ident.pdf_dest(pdf_dir, F.col("year"), F.col("eo_id")) == F.col("_p"), "left_anti")
 
 
-def recover(index: DataFrame, rows: DataFrame, present: DataFrame, make: Callable | None = None, pdf_dir: str = "pdfs") -> tuple[DataFrame, DataFrame]:
-    """(outcomes, index): each gap's outcome (eo_id, year, candidate_url, status, wayback_url, pdf_path, reason), and the index with
-    what was recovered.
+def fetch_pdfs(rows: DataFrame, url: str, dest: str, order: list[str], make: Callable) -> DataFrame:
+    """``rows`` with fetched (recovered, cached, not-a-pdf or error) and fetch_error: PDFs from ``url`` written to ``dest`` by the tasks,
+    under another name first. Rows of one file come to one task in ``order``; once it is there, the others are cached, without a request. A null
+    address isn't asked."""
+    from pyarrow import fs
+    from pyspark import TaskContext
+
+    columns = rows.columns
+
+    def get(fetcher, address: str, at: str) -> tuple[str, str | None]:
+        try:
+            content = fetcher.get_bytes(address)
+        except Exception as e:
+            return "error", f"{type(e).__name__}: {e}"
+        if content[:4] != b"%PDF":
+            return "not-a-pdf", None
+        system, place = fs.FileSystem.from_uri(at if "://" in at else f"file://{at}")
+        system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+        temp = f"{place}.{TaskContext.get().taskAttemptId()}"
+        with system.open_output_stream(temp) as out:
+            out.write(content)
+        system.move(temp, place)
+        return "recovered", None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fetcher, last, there = make(), None, False
+        for batch in batches:
+            told = []
+            for address, at in zip(batch.column(url).to_pylist(), batch.column(dest).to_pylist(), strict=True):
+                last, there = at, there and at == last
+                told.append((None, None) if address is None or at is None else ("cached", None) if there else get(fetcher, address, at))
+                there = there or told[-1][0] == "recovered"
+            status, errors = zip(*told, strict=True) if told else ((), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(status, pa.string()), pa.array(errors, pa.string())], names=[*columns, "fetched", "fetch_error"])
+
+    schema = rows.withColumn("fetched", F.lit(None).cast("string")).withColumn("fetch_error", F.lit(None).cast("string")).schema
+    return rows.repartition(dest).sortWithinPartitions(dest, *order).mapInArrow(run, schema)
+
+
+def recover(index: DataFrame, rows: DataFrame, present: DataFrame, make: Callable | None = None, pdf_dir: str = "pdfs", order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(outcomes, index): each gap's outcome (eo_id, year, candidate_url, status, wayback_url, pdf_path, reason, source_pdf_url), and the
+    index with what was recovered; rows that share an id have outcomes of their own.
 
     A gap's candidate addresses are looked up in order; the first with a usable capture wins, by its newest. Without ``make`` (a
-    fetcher) nothing is fetched and the status is would-recover. What is fetched must be a PDF by its first bytes.
+    fetcher) nothing is fetched and the status is would-recover. What is fetched must be a PDF by its first bytes. Of rows with
+    the same file the first in ``order`` (address) whose fetch gives a PDF is recovered, those after it are cached.
     """
     index = reconcile_paths(index, present, pdf_dir)
     asked = gaps(index, present, pdf_dir).withColumn("_c", ident.candidate_urls(F.col("source_pdf_url"), F.col("year"), F.col("number"), F.col("is_emergency")))
-    found = rel.first_hit(asked, "eo_id", F.col("_c"), rows).withColumn("wayback_url", playback(F.col("timestamp"), F.col("original")))
+    found = rel.first_hit(asked, F.col("_c"), rows).withColumn("wayback_url", playback(F.col("timestamp"), F.col("original")))
     found = found.withColumn("dest", ident.pdf_dest(pdf_dir, F.col("year"), F.col("eo_id")))
     status = F.when(F.size("_c") == 0, "no-candidate-url").when(F.col("candidate").isNull(), "no-snapshot")
     if make is None:
         found = found.withColumn("status", F.coalesce(status, F.lit("would-recover"))).withColumn("fetch_error", F.lit(None).cast("string"))
     else:
-        got = fetch_bytes(found, "wayback_url", make)
-        told = F.when(F.col("fetch_error").isNotNull(), "error").when(is_pdf(F.col("content")), "recovered").otherwise("not-a-pdf")
-        got = got.withColumn("status", F.coalesce(status, told))
-        found = store(got.withColumn("content", F.when(F.col("status") == "recovered", F.col("content"))))
+        found = fetch_pdfs(found, "wayback_url", "dest", order or ["source_pdf_url"], make).withColumn("status", F.coalesce(status, "fetched"))
     reason = (
         F.when(F.col("status") == "no-candidate-url", "no recorded address and no number to build one from")
         .when(F.col("status") == "no-snapshot", "the archive has no PDF answered with 200 under either address")
         .when(F.col("status") == "not-a-pdf", "what the archive holds isn't a PDF").when(F.col("status") == "error", F.col("fetch_error"))
     )
-    path = F.when(F.col("status") == "recovered", F.col("dest"))
+    path = F.when(F.col("status").isin("recovered", "cached"), F.col("dest"))
+    played = F.when(F.col("status") != "cached", F.col("wayback_url"))
     outcomes = found.select(
-        "eo_id", "year", F.coalesce("candidate", F.try_element_at("_c", F.lit(1))).alias("candidate_url"), "status", "wayback_url", path.alias("pdf_path"), reason.alias("reason")
-    )
+        "eo_id", "year", F.coalesce("candidate", F.try_element_at("_c", F.lit(1))).alias("candidate_url"), "status", played.alias("wayback_url"), path.alias("pdf_path"),
+        reason.alias("reason"), "source_pdf_url",
+    )
     return outcomes, apply_outcomes(index, outcomes)
 
 
 def apply_outcomes(index: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """``index`` with the path and source of what was recovered or is cached; an address is filled only where there was none."""
-    done = outcomes.filter(F.col("status").isin("recovered", "cached")).select(F.col("eo_id").alias("_e"), F.col("pdf_path").alias("_p"), F.col("wayback_url").alias("_w"))
-    rows = index.join(done, F.col("eo_id") == F.col("_e"), "left")
-    hit = F.col("_e").isNotNull()
+    """``index`` with the path and source of what was recovered or is cached; an address is filled only where there was none. A row
+    has the outcome of its id and address, and rows stay as many as they are."""
+    done = outcomes.filter(F.col("status").isin("recovered", "cached")).groupBy(F.col("eo_id").alias("_e"), F.col("source_pdf_url").alias("_u"))
+    done = done.agg(F.min("pdf_path").alias("_p"), F.min("wayback_url").alias("_w")).withColumn("_hit", F.lit(True))
+    rows = index.join(done, F.col("eo_id").eqNullSafe(F.col("_e")) & F.col("source_pdf_url").eqNullSafe(F.col("_u")), "left")
+    hit = F.coalesce("_hit", F.lit(False))
     url = F.when(hit & (F.coalesce("source_pdf_url", F.lit("")) == ""), F.coalesce("_w", "source_pdf_url")).otherwise(F.col("source_pdf_url"))
     return rows.withColumns({
         "pdf_path": F.when(hit, F.col("_p")).otherwise(F.col("pdf_path")), "source": F.when(hit, ident.ARCHIVE_GAP).otherwise(F.col("source")), "source_pdf_url": url,
-    }).drop("_e", "_p", "_w")
+    }).drop("_e", "_u", "_p", "_w", "_hit")
 
 
 def recovery_counts(outcomes: DataFrame) -> DataFrame:

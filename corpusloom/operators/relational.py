@@ -86,29 +86,33 @@ def reconcile(expected: DataFrame, present: DataFrame, key: str, valid: str) ->
     return e.join(p, key, "full_outer").select(key, state.alias("state"))
 
 
-def first_hit(rows: DataFrame, key: str, candidates: Column, hits: DataFrame) -> DataFrame:
+def _first_of(rows: DataFrame, candidates: Column, best: DataFrame, on: Column, found: list[str]) -> DataFrame:
+    """``rows`` with candidate and ``found`` of the first of its candidates for which ``on`` finds a row of ``best``, one a key.
+
+    Each different list of candidates is looked up once and joined back by the list, so rows need no identity and stay as many as
+    they are, repeated and null ids too. A list that is empty or null has no hit.
+    """
+    asked = rows.withColumn("_c", candidates)
+    lists = asked.filter(F.size("_c") > 0).select(F.col("_c").alias("_l")).distinct()
+    got = lists.select("_l", F.posexplode("_l").alias("_pos", "candidate")).join(best, on)
+    pick = got.groupBy("_l").agg(F.min(F.struct("_pos", "candidate", *found)).alias("_p"))
+    return asked.join(pick, F.col("_c") == F.col("_l"), "left").select(*rows.columns, "_p.candidate", *(f"_p.{c}" for c in found))
+
+
+def first_hit(rows: DataFrame, candidates: Column, hits: DataFrame) -> DataFrame:
     """``first_candidate`` over archive captures: PDFs answered with 200 only, the newest of the first candidate that has one,
-    ties to the earliest in order of digest; adds candidate, timestamp and original."""
+    ties to the least address, then digest; adds candidate, timestamp and original. An address and a candidate are the same if
+    their archive keys are."""
     good = hits.filter((F.col("mimetype") == "application/pdf") & (F.col("statuscode") == 200))
-    bare = lambda c: F.regexp_replace(F.regexp_replace(c, "^[A-Za-z]+://", ""), r"^www\d*\.", "")
-    best = good.groupBy(bare(F.col("original")).alias("_h")).agg(F.max(F.struct("timestamp", "original")).alias("_b"))
-    asked = rows.select(key, F.posexplode(candidates).alias("_pos", "_c"))
-    got = asked.join(best, bare(F.col("_c")) == F.col("_h"))
-    pick = got.groupBy(key).agg(F.min(F.struct("_pos", F.col("_c").alias("candidate"), "_b")).alias("_p"))
-    return rows.join(pick, key, "left").select(
-        *rows.columns, F.col("_p.candidate").alias("candidate"), F.col("_p._b.timestamp").alias("timestamp"), F.col("_p._b.original").alias("original")
-    )
+    newest = F.struct((-F.unix_micros("timestamp")).alias("_age"), "original", "digest", "timestamp")
+    best = good.groupBy(ident.url_key(F.col("original")).alias("_h")).agg(F.min(newest).alias("_b")).select("_h", "_b.timestamp", "_b.original")
+    return _first_of(rows, candidates, best, ident.url_key(F.col("candidate")) == F.col("_h"), ["timestamp", "original"])
 
 
-def first_candidate(rows: DataFrame, key: str, candidates: Column, hits: DataFrame, hit_key: str, newest: str) -> DataFrame:
-    """For each key the first of its ordered candidates that has a hit, and that candidate's newest hit."""
-    asked = rows.select(key, F.posexplode(candidates).alias("_pos", "_c"))
+def first_candidate(rows: DataFrame, candidates: Column, hits: DataFrame, hit_key: str, newest: str) -> DataFrame:
+    """``rows`` with the first of its ordered candidates that has a hit, and that candidate's newest hit."""
     best = hits.groupBy(F.col(hit_key).alias("_h")).agg(F.max(newest).alias(newest))
-    got = asked.join(best, F.col("_c") == F.col("_h"))
-    pick = F.min(F.struct("_pos", F.col("_c").alias("candidate"), F.col(newest))).alias("_p")
-    return rows.join(got.groupBy(key).agg(pick), key, "left").select(
-        *(c for c in rows.columns), F.col("_p.candidate").alias("candidate"), F.col(f"_p.{newest}").alias(newest)
-    )
+    return _first_of(rows, candidates, best, F.col("candidate") == F.col("_h"), [newest])
 
 
 def lookup_unique(names: DataFrame, name: str, registry: DataFrame, reg_name: str, reg_id: str) -> DataFrame:
@@ -139,8 +143,8 @@ def classify(groups: DataFrame, corpus: DataFrame, ledger: DataFrame, keys: list
 
 
 def backfill(df: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:
-    """``column`` filled from ``updates`` (key, column) where it is null or empty."""
-    new = updates.select(F.col(key).alias("_k"), F.col(column).alias("_v"))
+    """``column`` filled from ``updates`` (key, column) where it is null or empty; of several updates of a key the least counts."""
+    new = updates.groupBy(F.col(key).alias("_k")).agg(F.min(column).alias("_v"))
     kept = F.when(F.coalesce(F.col(column), F.lit("")) == "", F.coalesce("_v", F.col(column))).otherwise(F.col(column))
     return df.join(new, F.col(key) == F.col("_k"), "left").withColumn(column, kept).drop("_k", "_v")
 

@@ -60,6 +60,24 @@ def archive_scan(spark, sf_dir):
     return found.select("original", F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
 
 
+_ADDRESS = """CASE o_orderkey % 5 WHEN 0 THEN 'HTTP://WWW' || CAST(o_orderkey % 4 AS {text}) || '.NYC.gov:80/html/Records/' || CAST(o_custkey AS {text}) || '.PDF' WHEN 1 THEN 'https://nyc.gov/html/records/' || CAST(o_custkey AS {text}) || '/?b=2&a=' || CAST(o_orderkey AS {text}) || '#top'
+  WHEN 2 THEN 'http://www.nyc.gov/html/recordsets/' || CAST(o_custkey AS {text}) WHEN 3 THEN 'https://me@a.nyc.gov/html/records/' || CAST(o_custkey AS {text}) ELSE 'www1.nyc.gov./html/records/' END"""
+
+
+@query("archive_keys", f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'gov,nyc)/html/records/' || o_custkey::VARCHAR || '.pdf' WHEN 1 THEN 'gov,nyc)/html/records/' || o_custkey::VARCHAR || '?a=' || o_orderkey::VARCHAR || '&b=2'
+  WHEN 2 THEN 'gov,nyc)/html/recordsets/' || o_custkey::VARCHAR WHEN 3 THEN 'gov,nyc,a)/html/records/' || o_custkey::VARCHAR ELSE 'gov,nyc)/html/records' END AS urlkey FROM orders""")
+def archive_keys(spark, sf_dir):
+    return _orders(spark, sf_dir, "o_orderkey", f"{_ADDRESS.format(text='STRING')} AS u").select("o_orderkey", ident.url_key(F.col("u")).alias("urlkey"))
+
+
+@query("archive_prefix", f"""SELECT {_ADDRESS.format(text='VARCHAR')} AS original, count(*)::BIGINT AS n FROM orders WHERE o_orderkey % 5 < 2 AND year(o_orderdate) >= 1994 GROUP BY 1""")
+def archive_prefix(spark, sf_dir):
+    rows = _orders(
+        spark, sf_dir, "CAST(o_orderdate AS TIMESTAMP) AS timestamp", f"{_ADDRESS.format(text='STRING')} AS original", "'application/pdf' AS mimetype", "200 AS statuscode",
+    ).withColumn("urlkey", ident.url_key(F.col("original")))
+    return tables.captures(rows, "https://www.nyc.gov/html/records/", from_year=1994, keyed=True).groupBy("original").agg(F.count("*").alias("n"))
+
+
 @query("archive_rows", f"""WITH {_CAP_SQL}, b AS (SELECT *, regexp_replace(regexp_extract(regexp_replace(regexp_replace(original, '[?#].*$', ''), '/+$', ''), '[^/]*$'), '(?i)\\.pdf$', '') AS s FROM c),
   m AS (SELECT *, '(?i)(\\d{{4}})[-_ ]?(EEO|EO)[-_ ]?(\\d+(?:\\.\\d+)?)' AS rx, regexp_extract(s, '(?i)(\\d{{4}})[-_ ]?(EEO|EO)[-_ ]?(\\d+(?:\\.\\d+)?)', 3) AS n FROM b)
   SELECT original, CASE WHEN regexp_matches(s, rx) THEN 'row' ELSE 'flagged' END AS fate, CASE WHEN regexp_matches(s, rx) THEN regexp_extract(s, '(?i)(\\d{{4}})[-_ ]?(EEO|EO)[-_ ]?(\\d+(?:\\.\\d+)?)', 1)
@@ -164,6 +182,35 @@ def recovery_counts(spark, sf_dir):
     return harvest.recovery_counts(_recover(spark, sf_dir))
 
 
+_REPEATS = (
+    "CAST(1990 + o_custkey % 20 AS INT) AS year", "CAST(o_custkey AS {text}) AS number",
+    "CASE WHEN o_orderkey % 3 > 0 THEN 'https://h.example/F-' || CAST(o_orderkey % 4 AS {text}) || '-' || CAST(o_custkey AS {text}) || '.pdf?v=1' END AS u",
+    "'http://WWW1.nyc.gov:80/f-' || CAST(o_orderkey % 4 AS {text}) || '-' || CAST(o_custkey AS {text}) || '.PDF' AS original",
+    "o_orderkey % 3 > 0 AND (o_custkey + o_orderkey % 4) % 2 = 0 AS archived",
+)
+
+
+@query("recovery_repeats", f"""WITH d AS (SELECT {', '.join(_REPEATS).format(text='VARCHAR')} FROM orders)
+  SELECT year::VARCHAR || '-EO-' || {_PAD.format('number')} AS eo_id, u AS source_pdf_url, CASE WHEN archived THEN year::VARCHAR || '-EO-' || {_PAD.format('number')} || ' from ' || original END AS pdf_path,
+  CASE WHEN archived THEN 'wayback-gap' ELSE 'live-nycgov' END AS source FROM d""")
+def recovery_repeats(spark, sf_dir):
+    """Many rows of one id, each recovered from its own address and none multiplied."""
+    d = _orders(spark, sf_dir, *(c.format(text="STRING") for c in _REPEATS))
+    none = F.lit(None).cast("string")
+    index = d.select(
+        ident.mint_id(F.col("year"), F.col("number"), F.lit(False)).alias("eo_id"), "number", "year", F.lit(False).alias("is_emergency"), none.alias("date_signed"), F.lit("t").alias("title"),
+        F.col("u").alias("source_pdf_url"), none.alias("pdf_path"), F.lit(ident.LIVE).alias("source"),
+    )
+    hits = d.filter("archived").select(
+        F.lit("k").alias("urlkey"), F.expr("TIMESTAMP '2020-01-01 00:00:00'").alias("timestamp"), "original", F.lit("application/pdf").alias("mimetype"), F.lit(200).alias("statuscode"),
+        F.lit("d").alias("digest"), F.lit(1).cast("long").alias("length"),
+    )
+    outcomes = harvest.recover(index, hits, spark.createDataFrame([], "path string"))[0]
+    said = F.when(F.col("status") == "would-recover", F.concat("eo_id", F.lit(" from "), F.regexp_extract("wayback_url", "http://.*$", 0)))
+    done = outcomes.withColumn("pdf_path", said).withColumn("status", F.when(F.col("status") == "would-recover", "recovered").otherwise(F.col("status")))
+    return harvest.apply_outcomes(index, done).select("eo_id", "source_pdf_url", "pdf_path", "source")
+
+
 # Corpus ------------------------------------------------------------------------------------------------------------
 
 _DISPATCH = """CASE WHEN doc_id % 9 = 0 THEN 'none' WHEN doc_id % 9 = 1 THEN 'unreadable' WHEN doc_id % 9 < 5 THEN CASE WHEN trim(coalesce(text, '')) = '' THEN 'unreadable' ELSE 'born-digital' END

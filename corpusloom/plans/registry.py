@@ -284,7 +284,7 @@ def staging_reconcile(spark, sf_dir):
 def priority_fallback(spark, sf_dir):
     asked = read(spark, sf_dir, "customer").select("c_custkey")
     hits = read(spark, sf_dir, "events").filter("event_id % 3 = 0").select("user_id", "event_id")
-    return rel.first_candidate(asked, "c_custkey", F.array("c_custkey", F.col("c_custkey") + 1), hits, "user_id", "event_id")
+    return rel.first_candidate(asked, F.array("c_custkey", F.col("c_custkey") + 1), hits, "user_id", "event_id")
 
 
 @query("presence_gap", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -428,6 +428,28 @@ def body_edges(spark, sf_dir):
     return graph.body_citations(corpus(spark, sf_dir)).filter("outcome = 'edge'").select("actor", "target", "verb", "partial")
 
 
+_CLAUSE = """CASE l_linenumber % 4 WHEN 0 THEN '§ 1. Executive Order No. ' || n || ', dated March 7, ' || y || ', is hereby REVOKED. '
+  WHEN 1 THEN '§ 2. Section 4 of Executive Order ' || n || ' of ' || y || ' and Executive Order ' || m || ' of ' || y || ' are amended. '
+  WHEN 2 THEN '§ 3. Emergency Executive Order ' || n || ' of ' || y || ' is extended. ' ELSE '§ 4. Executive Order ' || n || ' is repealed. ' END"""
+
+
+@query("long_order_citations", f"""WITH {_DOCS}, l AS (SELECT 'S' || l_suppkey::VARCHAR AS actor, l_linenumber % 4 AS k, (l_partkey % 300)::VARCHAR AS n, (l_partkey % 300 + 1)::VARCHAR AS m, (1990 + l_partkey % 20)::VARCHAR AS y FROM lineitem),
+  c AS (SELECT actor, 'revoked' AS verb, false AS partial, n, y FROM l WHERE k = 0 UNION ALL SELECT actor, 'amended', true, n, y FROM l WHERE k = 1 UNION ALL SELECT actor, 'amended', false, m, y FROM l WHERE k = 1
+   UNION ALL SELECT actor, 'extended', false, n, y FROM l WHERE k = 2 UNION ALL SELECT actor, 'repealed', false, n, NULL FROM l WHERE k = 3),
+  t AS (SELECT *, CASE WHEN y IS NULL THEN 'EO-' || n WHEN verb = 'extended' THEN y || '-EEO-' || n ELSE y || '-EO-' || {_PAD.format('n')} END AS target FROM c)
+  SELECT actor, verb, partial, target, CASE WHEN verb = 'extended' THEN 'extension' WHEN y IS NULL THEN 'no-year' WHEN target IN (SELECT eo_id FROM docs) THEN 'edge' ELSE 'not-in-corpus' END AS outcome, count(*)::BIGINT AS n
+  FROM t GROUP BY ALL""")
+def long_order_citations(spark, sf_dir):
+    """A supplier's items as the clauses of one long order."""
+    items = read(spark, sf_dir, "lineitem").selectExpr(
+        "concat('S', l_suppkey) AS eo_id", "l_orderkey", "l_linenumber", "CAST(l_partkey % 300 AS STRING) AS n", "CAST(l_partkey % 300 + 1 AS STRING) AS m", "CAST(1990 + l_partkey % 20 AS STRING) AS y"
+    ).selectExpr("eo_id", "l_orderkey", "l_linenumber", f"{_CLAUSE} AS clause")
+    clauses = F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "clause")))
+    docs = items.groupBy("eo_id").agg(F.array_join(F.transform(clauses, lambda c: c["clause"]), "").alias("full_text"))
+    rows = graph.body_citations(docs, corpus(spark, sf_dir))
+    return rows.groupBy("actor", "verb", "partial", "target", "outcome").agg(F.count("*").alias("n"))
+
+
 @query("dangles", f"{_CITED} SELECT outcome AS reason, verb, count(*)::BIGINT AS n, count(DISTINCT target)::BIGINT AS targets FROM r WHERE outcome NOT IN ('edge', 'self') GROUP BY ALL")
 def dangles(spark, sf_dir):
     d = graph.body_citations(corpus(spark, sf_dir)).filter("outcome NOT IN ('edge', 'self')")

@@ -222,17 +222,28 @@ def ocr_pdfs(files: DataFrame, recognize: Callable[[bytes], list[str]]) -> DataF
     return rows.select("path", text.alias("text"), F.when(good, F.col("page_count")).otherwise(F.lit(0)).alias("page_count"), source.alias("text_source"))
 
 
-def captures(rows: DataFrame, prefix: str, from_year: int | None = None, to_year: int | None = None, limit: int | None = None) -> DataFrame:
-    """Archive captures (CAPTURE) under an address prefix, scheme left out: PDFs answered with 200, of a window of capture years if
-    there is one. A limit keeps the first in order of address and time."""
-    bare = F.regexp_replace("original", "^[A-Za-z]+://", "")
-    hosts = F.regexp_replace(bare, r"^www\d*\.", "")
-    out = rows.filter(hosts.startswith(prefix.removeprefix("www.")) & (F.col("mimetype") == "application/pdf") & (F.col("statuscode") == 200))
+def captures(rows: DataFrame, prefix: str, from_year: int | None = None, to_year: int | None = None, limit: int | None = None, keyed: bool = False) -> DataFrame:
+    """Archive captures (CAPTURE) under an address prefix, scheme, ``www`` host and case left out: PDFs answered with 200, of a window of
+    capture years if there is one. A limit keeps the first in order of key and time.
+
+    The prefix is a range of archive keys. ``keyed`` tells that urlkey is ``ident.url_key`` (``write_captures``); then the range is a plain
+    comparison with the column, which a sorted table's files are pruned by. Else the keys are made from the addresses.
+    """
+    low, high = ident.key_range(prefix)
+    key = F.col("urlkey") if keyed else ident.url_key(F.col("original"))
+    out = rows.filter((key >= low) & (key < high) & (F.col("mimetype") == "application/pdf") & (F.col("statuscode") == 200))
     if from_year is not None:
-        out = out.filter(F.year("timestamp") >= from_year)
+        out = out.filter(F.col("timestamp") >= F.make_timestamp(F.lit(from_year), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
     if to_year is not None:
-        out = out.filter(F.year("timestamp") <= to_year)
-    return out if limit is None else out.orderBy("urlkey", "timestamp", "original").limit(limit)
+        out = out.filter(F.col("timestamp") < F.make_timestamp(F.lit(to_year + 1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    return out if limit is None else out.orderBy(key, "timestamp", "original").limit(limit)
+
+
+def write_captures(rows: DataFrame, path: str) -> None:
+    """Captures (CAPTURE) as a table range-sorted by archive key and time, for ``captures(..., keyed=True)``."""
+    order = ["urlkey", "timestamp", "original"]
+    keyed = rows.withColumn("urlkey", ident.url_key(F.col("original")))
+    keyed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def playback(capture_time: Column, original: Column) -> Column:

@@ -247,6 +247,66 @@ def test_recovery(spark, archive, tmp_path):
     assert "| 2022 | regular | 2 |" in text and "## Unrecoverable" in text and "2022-EO-003" in text
 
 
+def test_rows_that_share_an_id_stay_as_many(spark, archive, tmp_path):
+    """Two addresses of one id, a repeated row and a null id: each row has its own outcome, none is multiplied."""
+    rows = [
+        ("2022-EO-001", "1", 2022, False, None, "t", "http://x/EO-1.pdf", None, "live-nycgov"), ("2022-EO-001", "1", 2022, False, None, "t", "http://y/nothing.pdf", None, "live-nycgov"),
+        ("2022-EO-001", "1", 2022, False, None, "t", "http://z/other/eo-1.pdf", None, "other"), ("2022-EO-001", "1", 2022, False, None, "t", "http://x/EO-1.pdf", None, "live-nycgov"),
+        (None, None, 2022, False, None, "t", None, None, "live-nycgov"), (None, None, 2022, False, None, "t", None, None, "live-nycgov"),
+    ]
+    index = spark.createDataFrame(rows, tables.INDEX)
+    nothing = spark.createDataFrame([], "path string")
+    dry, same = harvest.recover(index, archive, nothing, None, str(tmp_path))
+    assert sorted(r.status for r in dry.collect()) == ["no-candidate-url"] * 2 + ["no-snapshot"] + ["would-recover"] * 3 and same.count() == len(rows)
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    class Counting:
+        def get_bytes(self, url):
+            (asked / str(len(list(asked.iterdir())))).write_text(url)
+            return b"%PDF-1"
+
+    outcomes, _ = harvest.recover(index, archive, nothing, Counting, f"{tmp_path}/out")
+    path = f"{tmp_path}/outcomes"
+    outcomes.write.parquet(path)
+    got = spark.read.parquet(path)
+    assert sorted(r.status for r in got.collect()) == ["cached"] * 2 + ["no-candidate-url"] * 2 + ["no-snapshot", "recovered"] and len(list(asked.iterdir())) == 1
+    after = harvest.apply_outcomes(index, got)
+    assert sorted((str(r.source_pdf_url), r.source) for r in after.collect()) == sorted((str(r[6]), "wayback-gap" if r[6] and "1.pdf" in r[6] else r[8]) for r in rows)
+    merged = harvest.run_archive(archive, index)
+    assert merged.rows.count() == len(rows) + 1 and merged.rows.filter("source = 'other'").count() == 1  # the archive's own row is another id
+    entries = index.select("number", "is_emergency", "year", "date_signed", "title", F.lit("a").alias("article_url"), "source_pdf_url").filter("number IS NOT NULL")
+    done = spark.createDataFrame([("2022-EO-001", "http://x/EO-1.pdf", s, None) for s in ("error", "cached", "downloaded")], "eo_id string, source_pdf_url string, status string, error string")
+    assert [r.download_status for r in harvest.process_entries(entries, done).collect()].count("cached") == 2 and harvest.process_entries(entries, done).count() == 4
+
+
+def test_archive_keys_and_pruned_prefix(spark, tmp_path):
+    from corpusloom.functions import ident
+
+    cases = {
+        "http://www1.nyc.gov:80/A/B.pdf": "gov,nyc)/a/b.pdf", "https://NYC.gov": "gov,nyc)/", "nyc.gov/?": "gov,nyc)/", "http://u:p@x.org/a//?z=1&&b#f?g": "org,x)/a?b&z=1",
+        "http://h.org:8080/x/": "org:8080,h)/x", "http://10.0.0.1/x": "10.0.0.1)/x", "": ")/", " HTTPS://wwwx.A.b/C ": "b,a,wwwx)/c",
+    }
+    d = spark.createDataFrame([(k, v) for k, v in cases.items()] + [(None, None)], "u string, k string")
+    assert [(r.u, r[2]) for r in d.select("u", "k", ident.url_key(F.col("u"))).collect()] == [*cases.items(), (None, None)]
+    assert ident.key_range("https://www.nyc.gov/Assets/") == ("gov,nyc)/assets/", "gov,nyc)/assets0") and ident.key_range("nyc.gov")[0] == "gov,nyc)/"
+    urls = [f"http://www{i % 3 or ''}.{h}/{p}/{i}.pdf" for i in range(300) for h, p in (("nyc.gov", "html/records"), ("nyc.gov", "html/recordsets"), ("a.org", "x"), ("z.gov", "y"))]
+    rows = spark.createDataFrame([("k", f"{2000 + i % 20}-06-01 00:00:00", u, "application/pdf", 200, str(i), 1) for i, u in enumerate(urls)], "urlkey string, t string, original string, mimetype string, statuscode int, digest string, length long")
+    rows = rows.withColumn("timestamp", F.to_timestamp("t")).drop("t")
+    tables.write_captures(rows.repartition(8), f"{tmp_path}/captures")
+    table = spark.read.parquet(f"{tmp_path}/captures")
+    kept = tables.captures(table, "http://WWW.nyc.gov/html/records/", 2005, 2010, keyed=True)
+    want = tables.captures(rows, "nyc.gov/html/records/", 2005, 2010)
+    assert sorted(r.original for r in kept.collect()) == sorted(r.original for r in want.collect()) and kept.count() > 50
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    plan = tables.captures(table, "http://WWW.nyc.gov/html/records/", 2005, 2010, keyed=True)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(urlkey,gov,nyc)/html/records/)" in pushed and "LessThan(urlkey,gov,nyc)/html/records0)" in pushed and "GreaterThanOrEqual(timestamp" in pushed
+    first = tables.captures(table, "nyc.gov/html/records/", limit=3, keyed=True)
+    assert first.count() == 3
+
+
 BODY = "x7\nRXECUTIVE ORDER NO. 5\nMarch 7, 1974\n\nVOTER ASSISTANCE PROGRAM\nBy virtue of the power"
 
 
