@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ident
 from ..operators import relational as rel
+from ..sources.state import State, merged
 
 # Items whose titles defeat the parser (id: kind, number); items that are no orders; orders known to be missing.
 RESCUED = {"f1881n57p": ("eeo", "99"), "jw827d19v": ("eo", "55"), "3b591d01g": ("eeo", "526")}
@@ -237,3 +238,26 @@ def integrate(parsed: DataFrame, corpus: DataFrame, staged: DataFrame, parse: Ca
         fresh.agg(F.count("*").alias("minted"))).crossJoin(closing.agg(F.count("*").alias("gap_closed"))).crossJoin(placed.agg(
             F.count_if((F.col("role") == "dual") & F.col("src").isNotNull()).alias("dual_files"), F.count_if((F.col("role") == "volume") & F.col("src").isNotNull()).alias("volume_files")))
     return Integration(merged, planned, placed, deferred(planned, placed), provenance(planned, placed), volumes(parsed, placed), counts)
+
+
+LEDGER = "eo_id string, disposition string"
+
+
+def integrate_kept(state: State, parsed: DataFrame, corpus: DataFrame, staged: DataFrame, parse: Callable[[DataFrame], DataFrame],
+                   known_missing: list[tuple[str, bool, str]] | None = None, allow_shrink: bool = False) -> Integration:
+    """A run of ``integrate`` over kept state: tables records, ledger, deferred and waiting of ``state``, a new version of all four.
+
+    The items that a run defers wait, and the next run takes them up together with its own (an item that is given again replaces
+    the waiting one), so a file that is staged later completes its order. Decisions of earlier runs stand. The first run starts from ``corpus``, later
+    ones from the kept records. Fewer records than before are an error and leave the old version.
+    """
+    known = state.pointer()["version"] > 0
+    items = merged(state.read("waiting", parsed.schema), parsed, ["gpp_id"])
+    ledger = state.read("ledger", LEDGER)
+    done = integrate(items, state.read("records", corpus.schema) if known else corpus, staged, parse, ledger, known_missing, check=False)
+    late = done.deferred.select("gpp_id").distinct()
+    own = done.plan.select(F.explode("gpp_ids").alias("gpp_id"), F.col("gpp_ids").alias("_all")).join(late, "gpp_id").select(F.explode("_all").alias("gpp_id"))
+    waiting = items.join(late.union(own).distinct(), "gpp_id", "left_semi")
+    decided = merged(ledger, done.provenance.select("eo_id", "disposition"), ["eo_id"])
+    state.save({"records": done.records, "ledger": decided, "deferred": done.deferred, "waiting": waiting}, ("records",) if known else (), allow_shrink)
+    return done

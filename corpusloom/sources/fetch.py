@@ -121,18 +121,28 @@ class _Page(InputPartition):
 
 def feed_source(make: Callable[[], Fetcher], from_year: int, to_year: int, page_size: int = 100) -> type[DataSource]:
     """A data source ``order_feed`` of (window_year, page, body): the first page of each year tells how many there are, and each
-    further page is a partition that its task fetches. ``make`` makes a fetcher where it is needed."""
+    further page is a partition that its task fetches. ``make`` makes a fetcher where it is needed. Bounds on window_year reach
+    the source, and other years aren't asked for."""
+    from .archive import Years
 
     class Reader(DataSourceReader):
+        def __init__(self) -> None:
+            self.years = Years(from_year, to_year)
+
+        def pushFilters(self, filters):
+            return [f for f in filters if f.attribute != ("window_year",) or not self.years.narrow(f)]
+
         def partitions(self) -> list[InputPartition]:
             fetcher, out = make(), []
-            for year in range(from_year, to_year + 1):
+            for year in self.years:
                 body = fetcher.get_text(search_address(year, page_size, 1))
                 out.append(_Page(year, 1, body))
                 out += [_Page(year, p, None) for p in range(2, int(json.loads(body).get("totalPages") or 0) + 1)]
             return out
 
-        def read(self, partition: InputPartition) -> Iterator[tuple]:
+        def read(self, partition: InputPartition | None) -> Iterator[tuple]:
+            if partition is None:  # no year is left
+                return
             body = partition.body if partition.body is not None else make().get_text(search_address(partition.year, page_size, partition.page))
             yield partition.year, partition.page, body
 
@@ -151,11 +161,15 @@ def feed_source(make: Callable[[], Fetcher], from_year: int, to_year: int, page_
 
 
 def feed_pages(spark: SparkSession, make: Callable[[], Fetcher], from_year: int, to_year: int, page_size: int = 100) -> DataFrame:
-    """(window_year, page, results ...) of the feed over an inclusive range of years."""
+    """(window_year, page, results ...) of the feed over an inclusive range of years. Turns the session's filter pushdown for such
+    sources on, so that a filter on window_year decides which pages are fetched."""
     from pyspark.sql import functions as F
 
+    from .archive import PUSHDOWN
     from .tables import FEED
 
+    spark.conf.set(PUSHDOWN, "true")
+
     spark.dataSource.register(feed_source(make, from_year, to_year, page_size))
     pages = spark.read.format("order_feed").load()
     return pages.withColumn("p", F.from_json("body", F.lit(f"struct<{FEED.replace(' int', ': int').replace('results array', 'results: array').replace('link string', 'link: string').replace('title string', 'title: string').replace('articleDate string', 'articleDate: string')}>"))).select("window_year", "page", "p.*")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import frontmatter
@@ -19,12 +19,25 @@ class ShrinkError(RuntimeError):
     """A write would leave fewer records than there are."""
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows, as ``rows`` of the observation, while an action runs over it."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _least(existing: DataFrame | None, allow: bool) -> int:
+    return 0 if existing is None or allow else existing.count()
+
+
+def _check(new: int, least: int, name: str) -> None:
+    if new < least:
+        raise ShrinkError(f"{name}: {new} records would replace {least}")
+
+
 def guard_shrink(df: DataFrame, existing: DataFrame | None, name: str, allow: bool = False) -> None:
     """Raise if ``df`` has fewer rows than ``existing``, unless that is allowed."""
     if existing is not None and not allow:
-        new, old = df.count(), existing.count()
-        if new < old:
-            raise ShrinkError(f"{name}: {new} records would replace {old}")
+        _check(df.count(), existing.count(), name)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -32,14 +45,15 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def write_file(spark: SparkSession, path: str, sections: list[tuple[str, DataFrame, str, str]]) -> None:
+def write_file(spark: SparkSession, path: str, sections: list[tuple[str, DataFrame, str, str]], least: int = 0) -> int:
     """One file at ``path`` of sections (head, lines, between, tail): a section's lines are strings ``value`` in ``_order``, written in
-    range-sorted parts beside the file, then joined in order, a buffer at a time. The old file stands until the new one is whole."""
+    range-sorted parts beside the file, then joined in order, a buffer at a time; the number of lines, which the writes count. The old
+    file stands until the new one is whole, and stays if that has fewer than ``least`` lines (``ShrinkError``)."""
     fs, target = _fs(spark, path)
     _, temp = _fs(spark, f"{path}.tmp")
-    out = fs.create(temp, True)
+    out, total = fs.create(temp, True), 0
     for head, lines, between, tail in sections:
-        only = lines.select("_order", "value").repartitionByRange("_order").sortWithinPartitions("_order").select("value")
+        only, seen = counted(lines.select("_order", "value").repartitionByRange("_order").sortWithinPartitions("_order").select("value"))
         only.write.mode("overwrite").option("lineSep", between).text(f"{path}.parts")
         _, folder = _fs(spark, f"{path}.parts")
         files = [x for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-") and x.getLen() > 0]
@@ -52,10 +66,15 @@ def write_file(spark: SparkSession, path: str, sections: list[tuple[str, DataFra
             source.close()
         out.write(bytearray(tail.encode()))
         fs.delete(folder, True)
+        total += seen.get["rows"]
     out.close()
+    if total < least:
+        fs.delete(temp, False)
+    _check(total, least, path)
     fs.delete(target, False)
     if not fs.rename(temp, target):
         raise OSError(path)
+    return total
 
 
 def _pretty(row: Column) -> Column:
@@ -67,9 +86,8 @@ def _pretty(row: Column) -> Column:
 
 def write_json_array(df: DataFrame, path: str, order: list[str], existing: DataFrame | None = None, allow_shrink: bool = False) -> None:
     """The published JSON: one array of indented objects with every field, null ones too, in order. Refuses to shrink."""
-    guard_shrink(df, existing, path, allow_shrink)
     rows = df.select(F.struct(*order).alias("_order"), _pretty(F.struct(*df.columns)).alias("value"))
-    write_file(df.sparkSession, path, [("[\n", rows, ",\n", "\n]\n")])
+    write_file(df.sparkSession, path, [("[\n", rows, ",\n", "\n]\n")], _least(existing, allow_shrink))
 
 
 def write_json_object(spark: SparkSession, path: str, lists: dict[str, tuple[DataFrame, list[str]]], values: dict[str, object] | None = None) -> None:
@@ -91,12 +109,19 @@ def write_ledger(provenance: DataFrame, path: str, values: dict[str, object] | N
 
 
 def write_json(df: DataFrame, path: str, existing: DataFrame | None = None, allow_shrink: bool = False) -> None:
-    """JSON lines in parts, null fields kept. Refuses to shrink. ``existing`` may be read from ``path`` itself."""
-    if existing is not None:
-        df = df.persist()
-        guard_shrink(df, existing, path, allow_shrink)
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    df.unpersist()
+    """JSON lines in parts, null fields kept, written beside ``path`` and then put in its place. Refuses to shrink, by the count of the
+    write itself. ``existing`` and ``df`` may be read from ``path``."""
+    least, new = _least(existing, allow_shrink), f"{path.rstrip('/')}.new"
+    rows, seen = counted(df)
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(new)
+    fs, temp = _fs(df.sparkSession, new)
+    if seen.get["rows"] < least:
+        fs.delete(temp, True)
+    _check(seen.get["rows"], least, path)
+    _, target = _fs(df.sparkSession, path)
+    fs.delete(target, True)
+    if not fs.rename(temp, target):
+        raise OSError(path)
 
 
 def csv_cells(df: DataFrame) -> DataFrame:
@@ -119,27 +144,23 @@ def write_csv_file(df: DataFrame, path: str, order: list[str]) -> None:
 
 
 def write_markdown(df: DataFrame, folder: str, body: str = "full_text") -> DataFrame:
-    """One file ``<year>/<eo_id>.md`` a record, written by the tasks; (eo_id, md_path) of what was written, which is a table
-    ``_paths`` in the folder. A repeated task writes the same bytes."""
-    from pyarrow import fs
+    """One file ``<year>/<eo_id>.md`` a record; (eo_id, md_path) of what was written, which is a table ``_paths`` in the folder. All
+    files appear, or none does (``commit``)."""
+    from .commit import write_files
 
     fields = [f for f in FRONTMATTER if f in df.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
         for batch in batches:
             rows = batch.to_pylist()
-            for r in rows:
-                system.create_dir(f"{root}/{r['year']}", recursive=True)
-                temp = f"{root}/{r['year']}/.{r['eo_id']}.{TaskContext.get().taskAttemptId()}"
-                with system.open_output_stream(temp) as out:
-                    out.write(frontmatter.render(fields, r, r[body] or "").encode())
-                system.move(temp, f"{root}/{r['year']}/{r['eo_id']}.md")
             paths = [f"{r['year']}/{r['eo_id']}.md" for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["eo_id"] for r in rows], pa.string()), pa.array(paths, pa.string())], names=["eo_id", "md_path"])
+            texts = [frontmatter.render(fields, r, r[body] or "").encode() for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], names=["path", "content"])
 
     wanted = list(dict.fromkeys([*fields, "eo_id", "year", body]))
-    df.select(*wanted).mapInArrow(run, "eo_id string, md_path string").write.mode("overwrite").parquet(f"{folder}/_paths")
+    write_files(df.select(*wanted).mapInArrow(run, "path string, content binary"), folder)
+    path = F.concat(F.col("year").cast("string"), F.lit("/"), "eo_id", F.lit(".md"))
+    df.select("eo_id", path.alias("md_path")).write.mode("overwrite").parquet(f"{folder}/_paths")
     return df.sparkSession.read.parquet(f"{folder}/_paths")
 
 
