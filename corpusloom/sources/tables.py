@@ -38,10 +38,15 @@ def _there(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of index rows; unknown keys are ignored, a null title is empty. A path that isn't there has no rows."""
+def read_index(spark: SparkSession, path: str, split: int | None = None) -> DataFrame:
+    """A JSON array of index rows; unknown keys are ignored, a null title is empty. A path that isn't there has no rows. With ``split``
+    a file is read by ranges of so many bytes, each a task (``json_splits``); else a file is one task."""
     if not _there(spark, path):
         return spark.createDataFrame([], INDEX)
+    if split:
+        from .json_splits import read_json_array
+
+        return read_json_array(spark, path, INDEX, split).withColumn("title", F.coalesce("title", F.lit("")))
     return spark.read.schema(INDEX).json(path, multiLine=True).withColumn("title", F.coalesce("title", F.lit("")))
 
 
@@ -71,8 +76,13 @@ def excluded_results(spark: SparkSession, path: str) -> DataFrame:
     return feed_results(spark.read.schema(FEED).json(path, multiLine=True)).filter("NOT is_order")
 
 
-def read_records(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
-    """Rows (``schema``) of a JSON file that is a list or an object with the list under ``key``; anything else is an error."""
+def read_records(spark: SparkSession, path: str, schema: str, key: str, split: int | None = None) -> DataFrame:
+    """Rows (``schema``) of a JSON file that is a list or an object with the list under ``key``; anything else is an error. With ``split``
+    the file must be a list, which is read by ranges of so many bytes."""
+    if split:
+        from .json_splits import read_json_array
+
+        return read_json_array(spark, path, schema, split)
     raw = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
     listed = F.when(F.col("v").startswith("["), F.from_json("v", f"array<struct<{schema}>>")).otherwise(
         F.from_json("v", f"struct<{key}: array<struct<{schema}>>>")[key]
@@ -81,9 +91,9 @@ def read_records(spark: SparkSession, path: str, schema: str, key: str) -> DataF
     return raw.select(F.explode(F.coalesce(listed, bad.cast(f"array<struct<{schema}>>"))).alias("r")).select("r.*")
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
+def read_inventory(spark: SparkSession, path: str, split: int | None = None) -> DataFrame:
     """Second source's items (id, t, dp, cr, fs, desc)."""
-    return read_records(spark, path, INVENTORY, "records")
+    return read_records(spark, path, INVENTORY, "records", split)
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
