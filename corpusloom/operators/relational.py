@@ -12,6 +12,9 @@ from ..functions import ident
 
 #: Numbers of a slice of a gap, and slices that a row is cut into at a time.
 SLICE, MANY = 1 << 16, 1 << 16
+#: Bits of a number's place in its slot.
+SLOT = 15
+
 
 def latest(df: DataFrame, keys: list[str], newest: str, seq: str) -> DataFrame:
     """The newest row of each key, ties to the earliest seen. One shuffle on the keys, rows pre-aggregated."""
@@ -46,12 +49,24 @@ def prefer_first(live: DataFrame, other: DataFrame, key: str) -> tuple[DataFrame
 
 def missing_numbers(df: DataFrame, keys: list[str], number: Column) -> DataFrame:
     """(keys, missing): each number between a group's least and largest that it lacks. Labels that aren't all
-    digits don't count. Gaps are found between neighbours, so no group's numbers meet in one row."""
+    digits don't count.
+
+    A group's numbers are bits of slots, added up before they are shuffled, so a long or hot series is as many rows as it has slots. The zero bits
+    between a slot's least and largest number are missing, and what lies between neighbouring slots.
+    """
     label = ident.strip(number.cast("string"))
-    rows = df.withColumn("_n", F.when(label.rlike(r"^\d+$"), label.try_cast("long")))
-    rows = rows.filter("_n IS NOT NULL").select(*keys, "_n").distinct()
-    after = F.lead("_n").over(Window.partitionBy(*keys).orderBy("_n"))
-    gaps = rows.withColumn("_next", after).filter("_next > _n + 1")
+    rows = df.withColumn("_n", F.when(label.rlike(r"^\d+$"), label.try_cast("long"))).filter("_n IS NOT NULL")
+    bit = F.col("_n").bitwiseAND(F.lit((1 << SLOT) - 1))
+    slots = rows.groupBy(*keys, F.shiftright("_n", SLOT).alias("_slot")).agg(
+        F.bitmap_construct_agg(bit).alias("_map"), F.min("_n").alias("_lo"), F.max("_n").alias("_hi")
+    )
+    base = F.shiftleft("_slot", SLOT)
+    byte = lambda i: F.conv(F.hex(F.substring("_map", F.floor(i / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    zero = lambda i: F.floor(byte(i) / F.element_at(F.array(*(F.lit(1 << k) for k in range(8))), (i % 8).cast("int") + 1)) % 2 == 0
+    inner = slots.select(*keys, base.alias("_base"), F.explode(F.filter(F.sequence(F.col("_lo") - base, F.col("_hi") - base), zero)).alias("_i"))
+    inner = inner.select(*keys, (F.col("_base") + F.col("_i")).alias("missing"))
+    after = F.lead("_lo").over(Window.partitionBy(*keys).orderBy("_slot"))  # a row a slot
+    gaps = slots.select(*keys, F.col("_hi").alias("_n"), after.alias("_next")).filter("_next > _n + 1")
     # a wide gap is cut into slices, so that no row holds more than SLICE numbers
     slices = gaps.select(*keys, "_n", "_next", F.explode(F.sequence(F.lit(0), F.least(F.floor((F.col("_next") - F.col("_n") - 2) / SLICE), F.lit(MANY)).cast("int"))).alias("_s"))
     slices = slices.withColumn("_s", F.col("_s").cast("long"))
@@ -59,7 +74,7 @@ def missing_numbers(df: DataFrame, keys: list[str], number: Column) -> DataFrame
     further = F.sequence(F.col("_s"), F.floor((F.col("_next") - F.col("_n") - 2) / SLICE), F.lit(MANY + 1).cast("long"))
     slices = slices.select(*keys, "_n", "_next", F.explode(further).alias("_s"))
     low = F.col("_n") + 1 + F.col("_s") * SLICE
-    return slices.select(*keys, F.explode(F.sequence(low, F.least(low + SLICE - 1, F.col("_next") - 1))).alias("missing"))
+    return inner.unionByName(slices.select(*keys, F.explode(F.sequence(low, F.least(low + SLICE - 1, F.col("_next") - 1))).alias("missing")))
 
 
 def in_range(df: DataFrame, value: Column, ranges: list[tuple[int, int, str]], name: str) -> DataFrame:

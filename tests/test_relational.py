@@ -35,3 +35,22 @@ def test_intake_is_incremental(spark, tmp_path):
     (tmp_path / "in/b.json").write_text(row % "2" + row % "3")
     follow(spark, f"{tmp_path}/in", f"{tmp_path}/table", f"{tmp_path}/ck").awaitTermination()
     assert sorted(r.eo_id for r in spark.read.parquet(f"{tmp_path}/table").collect()) == ["1", "2", "3"]
+
+
+def test_missing_numbers_by_slots(spark):
+    """A hot series over many slots, gaps within and between slots, slot ends, repeats, null and odd labels."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators import relational as rel
+
+    r = random.Random(4)
+    own = {"hot": r.sample(range(100_000, 300_000), 150_000), "ends": [0, 1, 32767, 32768, 65535, 65537, 131071], "one": [7], "two": [32767, 32769], None: [3, 6]}
+    rows = [(k, str(n)) for k, numbers in own.items() for n in numbers] + [("hot", "100000")] * 5 + [("two", None), ("two", "x1"), ("two", " 032770 "), ("none", "1.5")]
+    own["hot"].append(100_000)
+    own["two"].append(32770)
+    got = rel.missing_numbers(spark.createDataFrame(rows, "s string, n string"), ["s"], F.col("n"))
+    want = {(k, n) for k, numbers in own.items() for n in set(range(min(numbers), max(numbers))) - set(numbers)}
+    found = [tuple(x) for x in got.collect()]
+    assert len(found) == len(want) and set(found) == want
