@@ -1,14 +1,16 @@
-"""Numbers of the reports as tables, and their Markdown. Only aggregates and the short lists of a report reach the driver."""
+"""Numbers of the reports as tables, and their Markdown. Rendered texts are the driver's, so they are for reports that fit there; long
+ones are written by the tasks (``write_gaps``)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import relational as rel
+from ..sources.sinks import write_file
 
 
 def force_counts(corpus: DataFrame) -> DataFrame:
@@ -106,16 +108,47 @@ def body_diff(raw: Column, clean: Column, most: int = 100) -> Column:
     return F.pandas_udf(run, "string")(raw, clean)
 
 
+#: Numbers of a line of a report at most.
+LINE = 1000
+
+
 def gap_tables(manifest: DataFrame) -> dict[str, DataFrame]:
-    """missing (year, series, numbers), unparsed, unresolved and errors of a manifest."""
+    """missing (year, series, part, numbers), unparsed, unresolved and errors of a manifest; a series has a row for every ``LINE`` numbers."""
     series = F.when(F.coalesce("is_emergency", F.lit(False)), "emergency").otherwise("regular")
     missing = rel.missing_numbers(manifest.withColumn("series", series), ["year", "series"], F.col("number"))
+    missing = missing.groupBy("year", "series", F.floor(F.col("missing") / LINE).alias("part"))
     return {
-        "missing": missing.groupBy("year", "series").agg(F.array_join(F.array_sort(F.collect_list("missing")), ", ").alias("numbers")),
+        "missing": missing.agg(F.array_join(F.array_sort(F.collect_list("missing")), ", ").alias("numbers")),
         "unparsed": manifest.filter("number IS NULL"), "unresolved": manifest.filter(~F.coalesce("pdf_resolved", F.lit(False))), "errors": manifest.filter("download_status = 'error'"),
     }
 
 
+def _gap_sections(manifest: DataFrame, outcomes: DataFrame | None) -> list[tuple[str, list[str], DataFrame]]:
+    """(title, table head, lines as value in _order) of each section of the gaps' report."""
+    t = gap_tables(manifest)
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    table = lambda df, order, *cells: df.select(F.struct(*order).alias("_order"), F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, cells)), F.lit(" |")).alias("value"))
+    item = F.concat(F.lit("- "), cell("eo_id"), F.lit(" — "), cell("title"), F.lit(" ("), cell("article_url"), F.lit(")"))
+    listed = lambda df: df.select(F.struct("eo_id", "title", "article_url").alias("_order"), item.alias("value"))
+    out = [
+        ("Missing numbers within a year's sequence", ["year", "series", "missing numbers"], table(t["missing"], ["year", "series", "part"], "year", "series", "numbers")),
+        ("Orders with an unparsed EO number", [], listed(t["unparsed"])), ("Orders whose PDF URL could not be resolved", [], listed(t["unresolved"])),
+        ("Download errors", ["eo_id", "source_pdf_url", "error"], table(t["errors"], ["eo_id", "source_pdf_url"], "eo_id", "source_pdf_url", "download_error")),
+    ]
+    if outcomes is not None:
+        from .harvest import UNRECOVERABLE
+
+        good = outcomes.filter(F.col("status").isin("recovered", "cached")).withColumn("wayback_url", F.coalesce("wayback_url", F.lit("(on disk)")))
+        bad = outcomes.filter(F.col("status").isin(*UNRECOVERABLE)).withColumn("reason", F.coalesce("reason", "status"))
+        out.append(("Recovered via the archive", ["eo_id", "archive address", "pdf_path"], table(good, ["eo_id", "wayback_url"], "eo_id", "wayback_url", "pdf_path")))
+        out.append(("Unrecoverable", ["eo_id", "candidate_url", "reason"], table(bad, ["eo_id", "candidate_url"], "eo_id", "candidate_url", "reason")))
+    return out
+
+
+def _head(head: list[str]) -> list[str]:
+    return [f"| {' | '.join(head)} |", "|" + "---|" * len(head)] if head else []
+
+
 def _table(head: list[str], rows: list[tuple], none: str = "_None._") -> list[str]:
     if not rows:
         return [none, ""]
@@ -123,26 +156,29 @@ def _table(head: list[str], rows: list[tuple], none: str = "_None._") -> list[st
     return [f"| {' | '.join(head)} |", "|" + "---|" * len(head), *(f"| {' | '.join(map(cell, r))} |" for r in rows), ""]
 
 
+TITLE = "# Harvest gaps & errors"
+
+
 def render_gaps(manifest: DataFrame, outcomes: DataFrame | None = None) -> str:
     """Markdown of a manifest's gaps: missing numbers, rows without number, without address, with errors; and, with
-    ``outcomes`` of a recovery, what it recovered and what it couldn't."""
-    t = gap_tables(manifest)
-    lines = ["# Harvest gaps & errors", "", "## Missing numbers within a year's sequence", ""]
-    lines += _table(["year", "series", "missing numbers"], [tuple(r) for r in t["missing"].orderBy("year", "series").collect()])
-    for name, title in (("unparsed", "Orders with an unparsed EO number"), ("unresolved", "Orders whose PDF URL could not be resolved")):
-        own = t[name].orderBy("eo_id").select("eo_id", "title", "article_url").collect()
-        lines += [f"## {title}", "", *([f"- {r.eo_id} — {r.title} ({r.article_url})" for r in own] or ["_None._"]), ""]
-    lines += ["## Download errors", "", *_table(["eo_id", "source_pdf_url", "error"], [tuple(r) for r in t["errors"].orderBy("eo_id").select("eo_id", "source_pdf_url", "download_error").collect()])]
-    if outcomes is not None:
-        from .harvest import UNRECOVERABLE
-
-        good = outcomes.filter(F.col("status").isin("recovered", "cached")).orderBy("eo_id").select("eo_id", F.coalesce("wayback_url", F.lit("(on disk)")), "pdf_path")
-        bad = outcomes.filter(F.col("status").isin(*UNRECOVERABLE)).orderBy("eo_id").select("eo_id", "candidate_url", F.coalesce("reason", "status"))
-        lines += ["## Recovered via the archive", "", *_table(["eo_id", "archive address", "pdf_path"], [tuple(r) for r in good.collect()])]
-        lines += ["## Unrecoverable", "", *_table(["eo_id", "candidate_url", "reason"], [tuple(r) for r in bad.collect()])]
+    ``outcomes`` of a recovery, what it recovered and what it couldn't. The text is the driver's: ``write_gaps`` writes it at any size."""
+    lines = [TITLE, ""]
+    for title, head, rows in _gap_sections(manifest, outcomes):
+        own = [r.value for r in rows.orderBy("_order").select("value").collect()]
+        lines += [f"## {title}", "", *([*_head(head), *own] if own else ["_None._"]), ""]
     return "\n".join(lines)
 
 
+def write_gaps(spark: SparkSession, path: str, manifest: DataFrame, outcomes: DataFrame | None = None) -> None:
+    """The report of ``render_gaps`` as a file, whose lines are written in parts by the tasks."""
+    sections, before = [], f"{TITLE}\n\n"
+    for title, head, rows in _gap_sections(manifest, outcomes):
+        none = rows.isEmpty()
+        sections.append(("\n".join([f"{before}## {title}", "", *([] if none else _head(head)), ""]), rows, "\n", "_None._\n\n" if none else "\n\n"))
+        before = ""
+    write_file(spark, path, [(*s[:3], s[3].removesuffix("\n") if i == len(sections) - 1 else s[3]) for i, s in enumerate(sections)])
+
+
 def render_graph(corpus: DataFrame, edges: DataFrame, dangles: DataFrame, extensions: int, matches: DataFrame, order: str = "target") -> str:
     """Markdown of the graph: edges by verb and source, in_effect, dangles, entities."""
     cross = edges.groupBy("verb").agg(F.count_if(F.col("source") == "body-citation").alias("b"), F.count_if(F.col("source") == "header-xref").alias("x"), F.count("*").alias("n"), F.count_if("partial").alias("p")).orderBy("verb").collect()

@@ -245,6 +245,12 @@ def test_recovery(spark, archive, tmp_path):
     assert fixed["2022-EO-001"].source == "wayback-gap" and fixed["2022-EO-001"].source_pdf_url == rows[0][6] and fixed["2022-EO-003"].source == "live-nycgov"
     text = reports.render_gaps(harvest.manifest_of(index), done)
     assert "| 2022 | regular | 2 |" in text and "## Unrecoverable" in text and "2022-EO-003" in text
+    for outcome in (done, None):
+        reports.write_gaps(spark, f"{tmp_path}/gaps.md", harvest.manifest_of(index), outcome)
+        assert open(f"{tmp_path}/gaps.md", encoding="utf-8").read() == reports.render_gaps(harvest.manifest_of(index), outcome)
+    many = harvest.manifest_of(spark.createDataFrame([(f"e{i}", str(n), 2000, False, None, "t", "u", None, "s") for i, n in enumerate((1, 2500))], tables.INDEX))
+    rows = [x for x in reports.render_gaps(many).split("\n") if x.startswith("| 2000 | regular |")]
+    assert len(rows) == 3 and sum(len(x.split(", ")) for x in rows) == 2498 and rows[1].startswith("| 2000 | regular | 1000, 1001")
 
 
 def test_rows_that_share_an_id_stay_as_many(spark, archive, tmp_path):
