@@ -115,6 +115,10 @@ def is_starter(line: Column) -> Column:
     return out
 
 
+_TARGETS = ("EXECUTIVE", *(phrase.replace(" ", "") for _, phrase in ANCHORS))
+_COUNTS = {t: [(c, t.count(c)) for c in sorted(set(t))] for t in _TARGETS}
+
+
 def _label(line: str) -> str | None:
     from difflib import SequenceMatcher
 
@@ -123,8 +127,9 @@ def _label(line: str) -> str | None:
         return None
 
     def ratio(a: str, b: str, least: float) -> float:
-        if not a or 2 * min(len(a), len(b)) < least * (len(a) + len(b)):
-            return 0.0
+        need = least * (len(a) + len(b)) - 1e-9
+        if not a or 2 * min(len(a), len(b)) < need or 2 * sum(min(a.count(c), n) for c, n in _COUNTS[b]) < need:
+            return 0.0  # no blocks match more letters than both have
         return SequenceMatcher(None, a, b).ratio()
 
     if any(len(w) >= 7 and ratio(w, "EXECUTIVE", TOKEN_RATIO) >= TOKEN_RATIO for w in words):
@@ -138,7 +143,9 @@ def _label(line: str) -> str | None:
 
 
 def anchor_label(line: Column | str) -> Column:
-    """Header anchor of a line, tolerant of recognition errors."""
+    """Header anchor of a line, tolerant of recognition errors. Give it distinct lines.
+
+    The ratio is found only where the letters that both have, counted, leave it possible: a bound that no match fails."""
 
     def label(lines: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in lines:

@@ -153,3 +153,41 @@ def test_anchor_labels_equal_plain(spark):
     got = {x.line: x.anchor for x in text.label_lines(d).collect()}
     assert got == {x: anchor(x) for x in lines}
     assert {x.l for x in d.filter(F.col("line") != "").select(text.is_starter(F.col("line")).alias("l")).collect()} <= {True, False}
+
+
+def test_anchor_bound_loses_nothing(spark):
+    """Labels with the bound equal those of the ratio alone, on damaged anchors and random lines."""
+    import random
+    import re
+    from difflib import SequenceMatcher
+
+    from pyspark.sql import functions as F
+
+    from corpusloom.functions import text
+
+    def plain(line):
+        words = re.sub("[^A-Za-z ]+", " ", line).upper().split()
+        near = lambda a, b: SequenceMatcher(None, a, b).ratio()
+        if any(len(w) >= 7 and near(w, "EXECUTIVE") >= text.TOKEN_RATIO for w in words):
+            return "executive-order"
+        for name, phrase in text.ANCHORS:
+            k, target = len(phrase.split()), phrase.replace(" ", "")
+            if words and any(near("".join(words[i : i + k]), target) >= text.PHRASE_RATIO for i in range(max(1, len(words) - k + 1))):
+                return name
+        return None
+
+    r = random.Random(9)
+    common = "the order of this city shall be effective immediately and executive office new york mayor agencies department year thereof hereby committee".split()
+    lines = {"", " ", "1234", "Exec", "EXECUTIVE", "executlve 0rder", "OFFICEOFTHEMAYOR", "the city of new york"}
+    for _ in range(4000):
+        base = r.choice([p for _, p in text.ANCHORS] + ["EXECUTIVE", " ".join(r.choices(common, k=r.randint(1, 9)))])
+        chars = list(r.choice(["", "xx ", "No. "]) + base + r.choice(["", " yy", " 12"]))
+        for _ in range(r.randint(0, 9)):
+            at = r.randrange(len(chars))
+            chars[at : at + r.choice([0, 1])] = r.choice(["", "O", "e", " ", "1", "C", "."])
+            chars = chars or ["a"]
+        lines.add("".join(chars))
+    df = spark.createDataFrame([(x,) for x in lines], "line string").repartition(4)
+    want = {x: plain(x) for x in lines}
+    assert {x.line: x.anchor for x in text.label_lines(df).collect()} == want and len({*want.values()}) == 4
+    assert {x.line: x.a for x in df.select("line", text.anchor_label("line").alias("a")).collect()} == want
