@@ -104,7 +104,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bits: int = TABLE_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, one for each distinct text, with all their columns.
 
-    Which stays is decided on the narrow rows. Of the texts that may have an equal only those that stay are shuffled, to be
+    Null and empty texts are one text; the row with the largest id stays (null is less than any), one of them if several have it. No rows
+    give no rows; extra columns, whatever their names, stay with their row. Which stays is decided on the narrow rows. Of the texts that may have an equal only those that stay are shuffled, to be
     joined with that decision: other copies are left out where they are read, by a bit table of (length, hash, id).
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")

@@ -130,7 +130,7 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Next is the next row in ascending (id, text), after the last the first; null ids come first. A lone
     document is its own next. Null text is the empty text. Repeated rows are rows of their own. Ids are whole numbers
-    (anything that casts to long). No rows give no rows.
+    (anything that casts to long). No rows give no rows; other columns, whatever their names, are not read.
     """
     import hashlib
 

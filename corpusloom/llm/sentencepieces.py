@@ -458,7 +458,8 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     """(doc_id, n_tokens, ids_crc32, n_chars, text_sha256) of ids and of the text decoded from them.
 
     ids_crc32 is the unsigned CRC-32 of the ids as little-endian 32-bit integers. Null and empty texts have no ids
-    and decode to the empty text; every other text decodes to itself, but that U+2581 becomes a space.
+    and decode to the empty text; every other text decodes to itself, but that U+2581 becomes a space. Rows that repeat give rows that
+    repeat; null ids pass; other columns are not read; no rows give no rows.
     """
     few, giants = _divided(docs, id_col, text_col, chunk)
     schema = f"doc_id {few.schema['doc'].dataType.simpleString()}, n_tokens long, ids_crc32 long, n_chars long, text_sha256 string"

@@ -523,7 +523,8 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group (of rows of a group that
     repeat its id, all stay; rows with a null id stay only in components without any id). Each row is judged by its own text,
-    whatever other rows have its id."""
+    whatever other rows have its id. Null, empty and wordless texts are near each other; no rows give no rows; columns, extra ones too,
+    keep their names."""
     groups = simhash_groups(docs, id_col, text_col, words, radius, wide, keyed=True)
     gone = groups.filter(~F.col("doc").eqNullSafe(F.col("component"))).select(F.col("doc").alias("_gone"), F.col("row").alias("_row"))
     return docs.join(gone.distinct(), docs[id_col].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_row"]), "left_anti")
