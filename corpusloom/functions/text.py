@@ -61,19 +61,25 @@ def tier(born_digital: Column, anchored: Column, noise: Column, words: Column, j
 
 
 def is_file_mark(line: Column) -> Column:
-    s = strip(F.regexp_replace(strip(line), r"^[\[\]()]+|[\[\]()]+$", ""))
-    listed = s.rlike(r"(?i)^\(?[a-z0-9]{1,3}\)?[.)]?$") | s.startswith("§")
-    shape = s.rlike(r"^\d{1,3}-\d{1,3}$") | s.rlike(r"(?iU)^[a-z]{1,3}[ \-]\d{1,3}[ \-]?[&\w]{0,2}$")
-    return (s != "") & (F.length(s) <= MARK_LENGTH) & s.rlike(r"(?U)\d") & ~listed & shape
+    def mark(s: Column) -> Column:
+        listed = s.rlike(r"(?i)^\(?[a-z0-9]{1,3}\)?[.)]?$") | s.startswith("§")
+        shape = s.rlike(r"^\d{1,3}-\d{1,3}$") | s.rlike(r"(?iU)^[a-z]{1,3}[ \-]\d{1,3}[ \-]?[&\w]{0,2}$")
+        return (s != "") & (F.length(s) <= MARK_LENGTH) & s.rlike(r"(?U)\d") & ~listed & shape
+
+    return let(strip(F.regexp_replace(strip(line), r"^[\[\]()]+|[\[\]()]+$", "")), mark)
 
 
 def strip_file_marks(body: Column) -> Column:
     """struct(text, dropped): the body without its isolated marks, and the marks in order."""
-    lines = F.split(body, "\n", -1)
-    return F.struct(
-        F.array_join(F.filter(lines, lambda x: ~is_file_mark(x)), "\n").alias("text"),
-        F.transform(F.filter(lines, is_file_mark), strip).alias("dropped"),
-    )
+
+    def split(told: Column) -> Column:
+        line = lambda x: x["line"]
+        return F.struct(
+            F.array_join(F.transform(F.filter(told, lambda x: ~x["mark"]), line), "\n").alias("text"),
+            F.transform(F.filter(told, lambda x: x["mark"]), lambda x: strip(x["line"])).alias("dropped"),
+        )
+
+    return let(F.transform(F.split(body, "\n", -1), lambda x: F.struct(x.alias("line"), is_file_mark(x).alias("mark"))), split)
 
 
 # Date patterns.
