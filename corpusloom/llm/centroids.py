@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import HEAVY, join_weighted, materialize
+from .textkit import HEAVY, heavy_keys, join_heavy, materialize
 
 #: Quantised components beyond these count as these: squared distances of 64 components then fit in 64 bits.
 LEAST, MOST = -(1 << 27), (1 << 27) - 1
@@ -113,7 +113,7 @@ def cluster(
         for i, c in enumerate(centroids)
     ]
     total = sum(c["size"] for c in found)
-    out = join_weighted(rows, assigned, ["q"], "n", total, heavy)
+    out = join_heavy(rows, assigned, ["q"], heavy_keys(assigned, "n", total, heavy))
     return out.select("vec_id", "cluster", "distance"), found
 
 

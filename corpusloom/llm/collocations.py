@@ -1,8 +1,8 @@
 """Phrase collocations of each language: merged count-min sketches, exact counts of survivors, scores, subsumption.
 
-First pass: every task adds the hashes of its words and phrases to count-min rows whose cells stop at ``FULL``; the rows of all
-tasks are added up, and a cell that holds at least the least count is one bit of the merged table. A sum that stops at ``FULL`` is never
-below the least count where the true one isn't, so a phrase whose bits aren't all set is not frequent: nothing frequent is
+First pass: every task adds the hashes of its words and phrases to count-min rows whose cells stop at the least count; the rows of all
+tasks are added up, and a cell that has reached the least count is one bit of the merged table. A sum that stops there is never
+below it where the true one isn't, so a phrase whose bits aren't all set is not frequent: nothing frequent is
 lost. The table has a fixed size (``ROWS`` times ``CELLS`` bits, 8 MB), which is all that is sent to the driver and broadcast.
 
 Second pass: words and phrases whose bits are set are counted exactly, by their text: each task adds up its own, then they are
@@ -23,11 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import HEAVY, join_weighted, materialize, mix64, release_memory
+from .textkit import HEAVY, heavy_keys, join_heavy, materialize, mix64, release_memory
 
-#: Count-min rows, cells of a row (a power of two) and the count at which a cell stops.
+#: Count-min rows, cells of a row (a power of two), and the largest least count: a cell is a byte, and so is a sum of two.
 ROWS, CELLS, FULL = 2, 1 << 25, 127
-#: Cells of a block of a row, the unit in which tasks' rows are added up; 65536 at most.
+#: Cells of a block of a row, the unit in which tasks' rows are added up.
 BLOCK = 1 << 15
 #: Words of phrases.
 SHORTEST, LONGEST = 2, 3
@@ -118,31 +118,27 @@ def cells_of(hashes: np.ndarray, row: int, cells: int = CELLS) -> np.ndarray:
     return (mix64(hashes + np.uint64(row)) & np.uint64(cells - 1)).astype(np.uint32)
 
 
-def add_cells(counts: np.ndarray, cells: np.ndarray) -> None:
-    """Add one to a cell for each time it is named; cells stop at ``FULL``, also within a call."""
+def add_cells(counts: np.ndarray, cells: np.ndarray, full: int) -> None:
+    """Add one to a cell for each time it is named; cells stop at ``full``, also within a call."""
     cells = np.sort(cells)
     at = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
     times = np.diff(np.append(at, len(cells)))
     own = cells[at]
-    counts[own] = np.minimum(counts[own] + np.minimum(times, FULL), FULL)
+    counts[own] = np.minimum(counts[own] + np.minimum(times, full), full)
 
 
 def pack(counts: np.ndarray) -> bytes:
-    """A block of cells: all of them, or places and counts of those that aren't 0 where few are."""
-    at = np.flatnonzero(counts)
-    if len(at) > len(counts) // 4:
-        return b"\x00" + counts.tobytes()
-    return b"\x01" + at.astype("<u2").tobytes() + counts[at].tobytes()
+    """A block of cells, compressed: how many aren't 0, a bit for each of the cells, and the counts of those."""
+    some = counts > 0
+    return int(some.sum()).to_bytes(4, "little") + pa.compress(np.packbits(some).tobytes() + counts[some].tobytes(), codec="zstd", asbytes=True)
 
 
-def add_packed(counts: np.ndarray, packed: bytes) -> None:
-    """Add a packed block to ``counts``, which stop at ``FULL``."""
-    if packed[0] == 0:
-        at, own = slice(None), np.frombuffer(packed, dtype=np.uint8, offset=1)
-    else:
-        n = (len(packed) - 1) // 3
-        at, own = np.frombuffer(packed, dtype="<u2", count=n, offset=1), np.frombuffer(packed, dtype=np.uint8, offset=1 + 2 * n)
-    counts[at] = np.minimum(counts[at] + own, FULL)  # a sum of two is below 255
+def add_packed(counts: np.ndarray, packed: bytes, full: int) -> None:
+    """Add a packed block to ``counts``, which stop at ``full``."""
+    bits = -(-len(counts) // 8)
+    raw = np.frombuffer(pa.decompress(packed[4:], bits + int.from_bytes(packed[:4], "little"), codec="zstd"), dtype=np.uint8)
+    at = np.flatnonzero(np.unpackbits(raw[:bits], count=len(counts)))
+    counts[at] = np.minimum(counts[at] + raw[bits:], full)
 
 
 def sketch(texts: DataFrame, least: int, rows: int = ROWS, cells: int = CELLS) -> np.ndarray:
@@ -157,7 +153,7 @@ def sketch(texts: DataFrame, least: int, rows: int = ROWS, cells: int = CELLS) -
                 for lo in range(0, len(packed), HELD):
                     h = reader.hashes(lang, packed[lo : lo + HELD], size)
                     for row in range(rows):
-                        add_cells(counts[row], cells_of(h, row, cells))
+                        add_cells(counts[row], cells_of(h, row, cells), least)
             return iter(())
 
         for _ in _read(batches, use):
@@ -178,7 +174,7 @@ def sketch(texts: DataFrame, least: int, rows: int = ROWS, cells: int = CELLS) -
             for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if i not in sums:
                     sums[i] = np.zeros(block, dtype=np.uint8)
-                add_packed(sums[i], counts)
+                add_packed(sums[i], counts, least)
         for i, own in sums.items():
             bits = np.packbits(own >= least, bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"])
@@ -240,12 +236,12 @@ def scored(counts: DataFrame, heavy: int = HEAVY) -> DataFrame:
     part = lambda lo, n: F.array_join(F.slice(word, lo, n), " ")
     cuts = phrases.select("lang", "words", "phrase", F.col("count").alias("a"), F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
     cuts = cuts.select("*", part(F.lit(1), F.col("k")).alias("head"), part(F.col("k") + 1, F.col("words") - F.col("k")).alias("tail"))
-    cuts = materialize(cuts, "collocations-cuts")
-    total = cuts.count()
+    total = phrases.agg(F.coalesce(F.sum(F.col("words") - 1), F.lit(0))).first()[0]
     for side, name in (("head", "l"), ("tail", "r")):
         own = counts.filter("words > 0").select("lang", F.col("phrase").alias(side), F.col("count").alias(name))
-        own = materialize(own.join(cuts.groupBy("lang", side).agg(F.count("*").alias("uses")), ["lang", side]), f"collocations-{side}")
-        cuts = join_weighted(cuts, own, ["lang", side], "uses", total, heavy).drop("uses")
+        uses = cuts.groupBy("lang", side).agg(F.count("*").alias("uses"))
+        hot = materialize(own.join(heavy_keys(uses, "uses", total, heavy).drop("uses"), ["lang", side]), f"collocations-{side}")
+        cuts = join_heavy(cuts, own, ["lang", side], hot)
     exact = lambda c: F.col(c).cast("decimal(16,0)")
     million = F.lit(1000000).cast("decimal(7,0)")
     least = (million * (exact("a") * exact("a")).cast("decimal(31,0)")).cast("decimal(38,0)")

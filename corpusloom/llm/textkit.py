@@ -207,15 +207,18 @@ def map_rows(
 HEAVY = 256
 
 
-def join_weighted(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, heavy: int = HEAVY) -> DataFrame:
-    """``rows`` joined with ``table``, which has one row for each value of ``keys`` (not null) and its number of ``rows`` in ``weight``.
+def heavy_keys(counts: DataFrame, weight: str, total: int, heavy: int = HEAVY) -> DataFrame:
+    """Rows of ``counts``, one a key, whose ``weight`` is more than one in ``heavy`` of the total: fewer than ``heavy``."""
+    return counts.filter(F.col(weight) > total // heavy)
 
-    Heavy keys, fewer than ``heavy``, are broadcast, so their rows stay where they are; the others are shuffled.
+
+def join_heavy(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row for each value of ``keys`` (not null); ``hot`` is its rows of heavy keys.
+
+    Heavy keys are few and broadcast, so their rows stay where they are; the others are shuffled.
     """
-    hot = F.col(weight) > total // heavy
-    few = F.broadcast(table.filter(hot))
-    near = rows.join(few, keys)
-    far = rows.join(F.broadcast(table.filter(hot).select(*keys)), keys, "left_anti").join(table.filter(~hot).hint("merge"), keys)
+    near = rows.join(F.broadcast(hot), keys)
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.hint("merge"), keys)
     return near.unionByName(far)
 
 

@@ -109,13 +109,13 @@ def test_sketch_never_loses(spark):
     true = np.zeros(64, dtype=np.int64)
     for _ in range(30):
         cells = r.integers(0, 64, 500).astype(np.uint32) ** 2 // 64
-        c.add_cells(counts, cells)
+        c.add_cells(counts, cells, 100)
         np.add.at(true, cells, 1)
-    assert np.array_equal(counts, np.minimum(true, c.FULL))
+    assert np.array_equal(counts, np.minimum(true, 100))
     for share in (0.02, 0.9):
         a, b = (np.where(r.random(1000) < share, r.integers(0, 128, 1000), 0).astype(np.uint8) for _ in range(2))
         held = a.copy()
-        c.add_packed(held, c.pack(b))
+        c.add_packed(held, c.pack(b), c.FULL)
         assert np.array_equal(held, np.minimum(a.astype(int) + b, c.FULL))
 
 
