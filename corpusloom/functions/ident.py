@@ -162,15 +162,24 @@ def url_key(url: Column) -> Column:
     """Key under which an archive files an address: host labels from the last on, ``)``, path, sorted query; all lower case, without
     scheme, user, default port, ``www`` host, fragment and closing slashes. So addresses of one page share a key, and a
     site's or folder's are neighbours (``key_range``)."""
-    bare = F.regexp_replace(F.regexp_replace(strip(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://", ""), r"#[\s\S]*\z", "")
-    host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^[^/?]*", 0)), r"^.*@", "")
-    host = F.regexp_replace(F.regexp_replace(host, r"\.*(?::(?:80|443)?)?\z", ""), r"^www\d*\.", "")
-    labels = F.when(host.rlike(r"^[\d.]+\z"), host).otherwise(F.array_join(F.reverse(F.split(host, r"\.")), ","))
-    rest = F.lower(F.regexp_replace(bare, r"^[^/?]*", ""))
-    path = F.regexp_replace(F.regexp_extract(rest, r"^[^?]*", 0), r"/+\z", "")
-    args = F.filter(F.split(F.regexp_extract(rest, r"^[^?]*\?([\s\S]*)\z", 1), "&"), lambda a: a != "")
-    query = F.when(F.size(args) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(args), "&"))).otherwise("")
-    return F.concat(labels, F.lit(")"), F.when(path == "", "/").otherwise(path), query)
+    let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)  # noqa: E731 - each part is worked out once
+
+    def of_parts(bare: Column) -> Column:
+        name = F.lower(F.regexp_extract(bare, r"^[^/?]*", 0))
+        name = F.when(name.contains("@"), F.regexp_replace(name, r"^.*@", "")).otherwise(name)
+        name = F.regexp_replace(name, r"\.*(?::(?:80|443)?)?\z", "")
+        name = F.regexp_replace(name, r"^www\d*\.", "")
+        labels = let(name, lambda host: F.when(host.rlike(r"^[\d.]+\z"), host).otherwise(F.array_join(F.reverse(F.split(host, r"\.")), ",")))
+        return F.concat(labels, F.lit(")"), let(F.lower(F.regexp_replace(bare, r"^[^/?]*", "")), of_rest))
+
+    def of_rest(rest: Column) -> Column:
+        path = let(F.regexp_replace(F.substring_index(rest, "?", 1), r"/+\z", ""), lambda p: F.when(p == "", "/").otherwise(p))
+        args = F.filter(F.split(F.regexp_extract(rest, r"^[^?]*\?([\s\S]*)\z", 1), "&"), lambda a: a != "")
+        query = let(args, lambda q: F.when(F.size(q) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(q), "&"))).otherwise(""))
+        return F.concat(path, F.when(rest.contains("?"), query).otherwise(""))
+
+    bare = F.regexp_replace(strip(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://", "")
+    return let(let(bare, lambda b: F.when(b.contains("#"), F.regexp_replace(b, r"#[\s\S]*\z", "")).otherwise(b)), of_parts)
 
 
 def key_range(prefix: str) -> tuple[str, str]:

@@ -217,8 +217,9 @@ def run_archive_folders(rows: DataFrame, live: DataFrame, low: int = 2014, high:
 
 def gaps(index: DataFrame, present: DataFrame, pdf_dir: str = "pdfs") -> DataFrame:
     """Index rows whose file isn't there, whatever path they record."""
-    held = present.select(F.col("path").alias("_p")).distinct()
-    return index.join(held, ident.pdf_dest(pdf_dir, F.col("year"), F.col("eo_id")) == F.col("_p"), "left_anti")
+    held = present.select(F.col("path").alias("_p")).distinct().select("_p", F.xxhash64("_p").alias("_px"))
+    rows = index.withColumn("_d", ident.pdf_dest(pdf_dir, F.col("year"), F.col("eo_id"))).withColumn("_dx", F.xxhash64("_d"))
+    return rows.join(held, (F.col("_dx") == F.col("_px")) & (F.col("_d") == F.col("_p")), "left_anti").drop("_d", "_dx")
 
 
 def fetch_pdfs(rows: DataFrame, url: str, dest: str, order: list[str], make: Callable) -> DataFrame:

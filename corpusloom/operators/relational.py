@@ -5,6 +5,8 @@ Where "first seen" decides, the caller names the ordering columns: Spark rows ha
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,17 +103,26 @@ def reconcile(expected: DataFrame, present: DataFrame, key: str, valid: str) ->
     return e.join(p, key, "full_outer").select(key, state.alias("state"))
 
 
-def _first_of(rows: DataFrame, candidates: Column, best: DataFrame, on: Column, found: list[str]) -> DataFrame:
-    """``rows`` with candidate and ``found`` of the first of its candidates for which ``on`` finds a row of ``best``, one a key.
+def _first_of(rows: DataFrame, candidates: Column, best: DataFrame, key: Callable[[Column], Column], found: list[str]) -> DataFrame:
+    """``rows`` with candidate and ``found`` of the first of its candidates whose ``key`` is an ``_h`` of ``best``, one row a key.
 
     Each different list of candidates is looked up once and joined back by the list, so rows need no identity and stay as many as
     they are, repeated and null ids too. A list that is empty or null has no hit.
+
+    Keys come out of an explosion: as expressions of a join's condition they would be worked out again for every comparison of its sort, and as plain
+    columns by each filter that is pushed to them. Keys, and lists, begin alike, so a hash goes before each, by which most comparisons are settled.
     """
+    hashed = lambda name: F.xxhash64(name).alias(f"{name}x")
     asked = rows.withColumn("_c", candidates)
-    lists = asked.filter(F.size("_c") > 0).select(F.col("_c").alias("_l")).distinct()
-    got = lists.select("_l", F.posexplode("_l").alias("_pos", "candidate")).join(best, on)
-    pick = got.groupBy("_l").agg(F.min(F.struct("_pos", "candidate", *found)).alias("_p"))
-    return asked.join(pick, F.col("_c") == F.col("_l"), "left").select(*rows.columns, "_p.candidate", *(f"_p.{c}" for c in found))
+    asked = asked.select("*", hashed("_c"))
+    lists = asked.select(F.col("_cx").alias("_lx"), F.col("_c").alias("_l")).distinct()  # an empty one gives no candidate
+    each = lists.select("_lx", "_l", F.posexplode(F.transform("_l", lambda c: F.struct(c.alias("candidate"), key(c).alias("_k")))).alias("_pos", "_e"))
+    each = each.select("_lx", "_l", "_pos", "_e.*")
+    each, best = each.select("*", hashed("_k")), best.select("*", hashed("_h"))
+    got = each.join(best, (F.col("_kx") == F.col("_hx")) & (F.col("_k") == F.col("_h")))
+    pick = got.groupBy("_lx", "_l").agg(F.min(F.struct("_pos", "candidate", *found)).alias("_p"))
+    back = (F.col("_cx") == F.col("_lx")) & (F.col("_c") == F.col("_l"))
+    return asked.join(pick, back, "left").select(*rows.columns, "_p.candidate", *(f"_p.{c}" for c in found))
 
 
 def first_hit(rows: DataFrame, candidates: Column, hits: DataFrame) -> DataFrame:
@@ -119,15 +130,16 @@ def first_hit(rows: DataFrame, candidates: Column, hits: DataFrame) -> DataFrame
     ties to the least address, then digest; adds candidate, timestamp and original. An address and a candidate are the same if
     their archive keys are."""
     good = hits.filter((F.col("mimetype") == "application/pdf") & (F.col("statuscode") == 200))
+    good = good.select("timestamp", "original", "digest", F.explode(F.array(ident.url_key(F.col("original")))).alias("_h"))
     newest = F.struct((-F.unix_micros("timestamp")).alias("_age"), "original", "digest", "timestamp")
-    best = good.groupBy(ident.url_key(F.col("original")).alias("_h")).agg(F.min(newest).alias("_b")).select("_h", "_b.timestamp", "_b.original")
-    return _first_of(rows, candidates, best, ident.url_key(F.col("candidate")) == F.col("_h"), ["timestamp", "original"])
+    best = good.groupBy(F.xxhash64("_h").alias("_x"), "_h").agg(F.min(newest).alias("_b")).select("_h", "_b.timestamp", "_b.original")
+    return _first_of(rows, candidates, best, ident.url_key, ["timestamp", "original"])
 
 
 def first_candidate(rows: DataFrame, candidates: Column, hits: DataFrame, hit_key: str, newest: str) -> DataFrame:
     """``rows`` with the first of its ordered candidates that has a hit, and that candidate's newest hit."""
     best = hits.groupBy(F.col(hit_key).alias("_h")).agg(F.max(newest).alias(newest))
-    return _first_of(rows, candidates, best, F.col("candidate") == F.col("_h"), [newest])
+    return _first_of(rows, candidates, best, lambda c: c, [newest])
 
 
 def lookup_unique(names: DataFrame, name: str, registry: DataFrame, reg_name: str, reg_id: str) -> DataFrame:

@@ -54,3 +54,22 @@ def test_missing_numbers_by_slots(spark):
     want = {(k, n) for k, numbers in own.items() for n in set(range(min(numbers), max(numbers))) - set(numbers)}
     found = [tuple(x) for x in got.collect()]
     assert len(found) == len(want) and set(found) == want
+
+
+def test_lookup_of_keys_is_not_in_its_sorts(spark):
+    """A key is worked out once a row: none of its regular expressions stands in a sort or a join, which would run them for every comparison."""
+    hits = spark.createDataFrame([(f"http://WWW1.nyc.gov:80/{i}.PDF", 2 * i) for i in range(6)], "original string, n int")
+    hits = hits.selectExpr("original", "TIMESTAMP '2020-01-01 00:00:00' AS timestamp", "'application/pdf' AS mimetype", "200 AS statuscode", "'d' AS digest")
+    rows = spark.createDataFrame([(1, ["https://nyc.gov/9.pdf", "https://nyc.gov/4.pdf"]), (1, []), (None, None), (2, ["https://nyc.gov/5.pdf"])], "id int, c array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rel.first_hit(rows, F.col("c"), hits)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and not [x for x in plan.splitlines() if ("Sort [" in x or "SortMergeJoin" in x) and "regexp" in x]
+        got = [(r.id, r.candidate, r.original) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(got, key=str) == sorted([
+        (1, "https://nyc.gov/4.pdf", "http://WWW1.nyc.gov:80/4.PDF"), (1, None, None), (None, None, None), (2, "https://nyc.gov/5.pdf", "http://WWW1.nyc.gov:80/5.PDF"),
+    ], key=str)
