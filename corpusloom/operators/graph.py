@@ -38,8 +38,10 @@ def governed(docs: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
 
     def events(kind: str, pattern: str, groups: dict[str, int]) -> Column:
-        own = lambda x, k: x[k] if k in groups else none
-        return F.transform(spans.matches(text, pattern, groups), lambda x: F.struct(
+        # of the match, not of the text: a pass over all of it for each group costs more than all else
+        own = lambda x, k: F.regexp_extract(x["match"], pattern, groups[k]) if k in groups else none
+        found = F.filter(spans.matches(text, pattern), lambda x: x["match"].isNotNull())
+        return F.transform(found, lambda x: F.struct(
             F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("size"),
             F.right(x["gap"], F.lit(SCOPE_BACK)).alias("tail"), x["match"].alias("match"), *(own(x, k).alias(k) for k in ("verb", "emg", "num", "dated", "of")),
         ))
@@ -47,9 +49,10 @@ def governed(docs: DataFrame) -> DataFrame:
     every = F.concat(events("cite", CITE, {"emg": 1, "num": 2, "dated": 3, "of": 4}), events("bound", BOUNDARY, {}), events("verb", VERB, {"verb": 1}))
     # the digest first: in the select of the explosion the text would go along with each match
     rows = docs.select(F.col("eo_id").alias("actor"), F.sha2(text, 256).alias("text"), every.alias("every"))
-    rows = rows.select("actor", "text", F.posexplode("every").alias("at", "e"))
+    # not the bare column, for which Spark adds a filter on its size that finds every match once more
+    rows = rows.select("actor", "text", F.posexplode(F.filter("every", lambda e: e["match"].isNotNull())).alias("at", "e"))
     key = ["actor", "text"]
-    rows = rows.filter("e.match IS NOT NULL").select(*key, "at", "e.*").repartition(*key)
+    rows = rows.select(*key, "at", "e.*").repartition(*key)
     rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))  # a text's repeats are one, in the same partition
     rows = rows.withColumn("start", spans.start_of([*key, "kind"], "at", F.col("gap"), F.col("size")))
     # the text before a citation, from its gap and earlier citations and theirs, which are 16 characters long at least

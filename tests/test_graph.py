@@ -112,3 +112,12 @@ def test_lists_of_citations_and_repeats(spark):
     ids = {i for i, _ in rows}
     got = sorted(map(str, (tuple(r) for r in graph.body_citations(docs).collect())))
     assert got == sorted(str(x) for i, b in rows for x in plain(i, b or "", ids)) and len(got) > 150
+
+
+def test_texts_are_matched_once(spark):
+    """No filter below the explosion of the matches finds them a second time, and a text is gone over for a pattern's matches and gaps only, not for its groups."""
+    d = spark.createDataFrame([("1", "Executive Order 5 of 1990 is revoked.")], "eo_id string, full_text string")
+    plan = graph.governed(d)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    assert not [x for x in lines if "Filter" in x and ("split(" in x or "regexp" in x)]
+    assert max(x.count("regexp_extract_all(") for x in lines) == 3
