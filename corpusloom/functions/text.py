@@ -149,7 +149,7 @@ def _label(line: str) -> str | None:
 
 
 def anchor_label(line: Column | str) -> Column:
-    """Header anchor of a line, tolerant of recognition errors. Give it distinct lines.
+    """Header anchor of a line, tolerant of recognition errors; lines that are equal within a batch are looked at once.
 
     The ratio is found only where the letters that both have, counted, leave it possible: a bound that no match fails."""
 
@@ -158,15 +158,26 @@ def anchor_label(line: Column | str) -> Column:
             seen = {x: _label(x) for x in s.dropna().unique()}
             yield s.map(lambda x: seen.get(x))
 
-    # or else a filter on the label is pushed below what makes lines distinct, and every line is labelled
+    # or else a filter on the label would find it twice
     return F.pandas_udf(label, "string").asNondeterministic()(line)
 
 
 def label_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """``lines`` with ``anchor``: the fuzzy match runs once for each distinct line that could pass."""
-    distinct = lines.select(F.col(column).alias("_line")).distinct()
-    labelled = distinct.withColumn("anchor", anchor_label("_line")).filter("anchor IS NOT NULL")
-    return lines.join(labelled, F.col(column) == F.col("_line"), "left").drop("_line")
+    """``lines`` with ``anchor``, found where the lines are, once for each that differs in a batch: joined by the line, rows of a common one would all
+    come to one task."""
+    return lines.withColumn("anchor", anchor_label(column))
+
+
+def anchors_of(words: Column) -> Column:
+    """map<words, anchor> of those in an array of lines' words that have an anchor; null without one."""
+
+    def found(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in rows:
+            seen = {x: _label(x) for x in {w for own in s.dropna() for w in own if w}}
+            # the words that have one are few; None and an empty list have none
+            yield s.map(lambda own: {w: seen[w] for w in own if w and seen[w]} or None, na_action="ignore")
+
+    return F.pandas_udf(found, "map<string,string>").asNondeterministic()(words)
 
 
 # Fixed value: address lines of the letterhead.

@@ -191,3 +191,10 @@ def test_anchor_bound_loses_nothing(spark):
     want = {x: plain(x) for x in lines}
     assert {x.line: x.anchor for x in text.label_lines(df).collect()} == want and len({*want.values()}) == 4
     assert {x.line: x.a for x in df.select("line", text.anchor_label("line").alias("a")).collect()} == want
+
+
+def test_lines_are_labelled_without_a_shuffle(spark):
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(["EXECUTIVE ORDER", "By virtue of", "By virtue of", None, ""])], "i int, line string")
+    out = text.label_lines(d)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [r.anchor for r in out.orderBy("i").collect()] == ["executive-order", None, None, None, None]
