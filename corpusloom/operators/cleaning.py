@@ -1,7 +1,7 @@
 """The cleaning record: header trim, file marks, title and date gaps filled, quality tier. Nothing is dropped but relocated.
 
-A line's fuzzy anchor depends on its words only, so it is found once for each distinct line; per record just the anchored
-lines' words come back, as a map, and all else is decided within the row.
+A line's fuzzy anchor depends on its words only, so it is found once for each different line of a batch of records; per record just the
+anchored lines' words come back, as a map, and all else is decided within the row, so lines are neither shuffled nor joined.
 """
 
 from __future__ import annotations
@@ -16,15 +16,6 @@ from ..functions.ident import strip
 OCR, BORN_DIGITAL = "ocr", "born-digital"
 
 
-def anchored_words(records: DataFrame, key: str, body: str) -> DataFrame:
-    """(key, anchors map<words, label>) of the records that have lines with an anchor."""
-    lines = records.select(F.col(key).alias("_k"), F.explode(F.split(F.coalesce(F.col(body), F.lit("")), "\n", -1)).alias("_l"))
-    lines = lines.select("_k", text.token_text(F.col("_l")).alias("words")).filter("words <> ''")
-    labelled = lines.select("words").distinct().withColumn("anchor", text.anchor_label("words")).filter("anchor IS NOT NULL")
-    found = lines.join(labelled, "words").groupBy("_k").agg(F.map_from_entries(F.collect_set(F.struct("words", "anchor"))).alias("anchors"))
-    return found.withColumnRenamed("_k", key)
-
-
 def _first(flags: Column) -> Column:
     """Place of the first true, 0-based; null without one."""
     at = F.array_position(flags, F.lit(True))
@@ -41,12 +32,12 @@ def clean_records(records: DataFrame, lexicon: DataFrame, key: str = "eo_id", bo
     keys keep their own rows. full_text_raw holds the body as it came.
     """
     raw = F.coalesce(F.col(body), F.lit(""))
-    # the join's own shuffle, but its partitions aren't merged by their size: cleaning is much work for few bytes
+    # partitions aren't merged by their size: cleaning is much work for few bytes
     parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = records.repartition(parts, key).join(anchored_words(records, key, body), key, "left").withColumn("_raw", raw)
+    rows = records.repartition(parts, key).withColumn("_raw", raw)
     lines = F.split("_raw", "\n", -1)
-    own = F.transform(lines, text.token_text)
-    rows = rows.withColumn("_lines", lines).withColumn("_words", own)
+    rows = rows.withColumn("_lines", lines).withColumn("_words", F.transform(lines, text.token_text))
+    rows = rows.withColumn("anchors", text.anchors_of(F.col("_words")))
     label = lambda w: F.try_element_at(F.col("anchors"), w)
     rows = rows.withColumn("_at", _first(F.transform("_words", lambda w: F.coalesce(label(w), F.lit("")) != "")))
     rows = rows.withColumn("_start", _first(F.transform("_words", lambda w: w.rlike(text._STARTS))))

@@ -198,3 +198,9 @@ def test_lines_are_labelled_without_a_shuffle(spark):
     out = text.label_lines(d)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert [r.anchor for r in out.orderBy("i").collect()] == ["executive-order", None, None, None, None]
+
+
+def test_cleaning_joins_no_lines(spark, records):
+    """Anchors come with the record: but for the titles' gate nothing is joined, and lines aren't exploded."""
+    plan = clean_records(records, lexicon.words(spark))._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    assert plan.count("Join ") <= 2 and "explode(split(" not in plan and "collect_set" not in plan
