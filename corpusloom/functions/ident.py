@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,16 +22,30 @@ def found(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
+#: White space of Unicode, and the four separators of ASCII.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def only(c: Column, characters: str) -> Column:
+    """A text that isn't empty and has no other characters."""
+    return (c != "") & (F.ltrim(c, F.lit(characters)) == "")
 
 
 def mint_id(year: Column, number: Column, emergency: Column) -> Column:
     """``{year}-{EO|EEO}-{label}``; regular all-digit labels are padded to at least three digits."""
     n = strip(number)
-    bare = F.regexp_replace(n, r"^0+(?=\d)", "")
+    bare = F.ltrim(n, F.lit("0"))
     padded = F.when(F.length(bare) >= 3, bare).otherwise(F.lpad(bare, 3, "0"))
-    label = F.when(number.isNull(), F.lit("UNK")).when(emergency, n).when(n.rlike(r"^\d+$"), padded).otherwise(n)
+    label = F.when(number.isNull(), F.lit("UNK")).when(emergency, n).when(only(n, "0123456789"), padded).otherwise(n)
     return F.concat_ws("-", year.cast("string"), F.when(emergency, F.lit("EEO")).otherwise(F.lit("EO")), label)
 
 
@@ -100,13 +114,17 @@ def assets_identity(url: Column) -> Column:
 
 def candidate_urls(source: Column, year: Column, number: Column, emergency: Column) -> Column:
     """[public address, legacy address] to look for, or an empty array."""
-    path = F.coalesce(found(source, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"), F.lit(""))
+    path = F.coalesce(F.regexp_extract(source, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1), F.lit(""))
     series = F.when(emergency, F.lit("eeo")).otherwise(F.lit("eo"))
     built = F.concat(F.lit(ORDER_PATH), year.cast("string"), F.lit("/"), series, F.lit("-"), number, F.lit(".pdf"))
     at = F.when(F.coalesce(source, F.lit("")) != "", path).when(F.coalesce(number, F.lit("")) != "", built)
-    name = F.lower(F.element_at(F.split(F.regexp_replace(at, "/+$", ""), "/"), -1))
-    legacy = F.concat(F.lit(ORIGIN + LEGACY_PATH), year.cast("string"), F.lit("/"), name)
-    return F.when(at.isNull(), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit(ORIGIN), at), legacy))
+
+    def both(at: Column) -> Column:
+        name = F.lower(F.substring_index(F.regexp_replace(at, "/+$", ""), "/", -1))
+        legacy = F.concat(F.lit(ORIGIN + LEGACY_PATH), year.cast("string"), F.lit("/"), name)
+        return F.when(at.isNull(), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit(ORIGIN), at), legacy))
+
+    return let(at, both)
 
 
 def title_kind(title: Column) -> Column:
@@ -162,24 +180,24 @@ def url_key(url: Column) -> Column:
     """Key under which an archive files an address: host labels from the last on, ``)``, path, sorted query; all lower case, without
     scheme, user, default port, ``www`` host, fragment and closing slashes. So addresses of one page share a key, and a
     site's or folder's are neighbours (``key_range``)."""
-    let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)  # noqa: E731 - each part is worked out once
 
-    def of_parts(bare: Column) -> Column:
-        name = F.lower(F.regexp_extract(bare, r"^[^/?]*", 0))
-        name = F.when(name.contains("@"), F.regexp_replace(name, r"^.*@", "")).otherwise(name)
-        name = F.regexp_replace(name, r"\.*(?::(?:80|443)?)?\z", "")
-        name = F.regexp_replace(name, r"^www\d*\.", "")
-        labels = let(name, lambda host: F.when(host.rlike(r"^[\d.]+\z"), host).otherwise(F.array_join(F.reverse(F.split(host, r"\.")), ",")))
-        return F.concat(labels, F.lit(")"), let(F.lower(F.regexp_replace(bare, r"^[^/?]*", "")), of_rest))
+    def of_name(name: Column) -> Column:
+        name = let(name, lambda n: F.when(n.contains("@"), F.regexp_replace(n, r"^.*@", "")).otherwise(n))
+        name = let(name, lambda n: F.when(n.endswith(".") | n.contains(":"), F.regexp_replace(n, r"\.*(?::(?:80|443)?)?\z", "")).otherwise(n))
+        name = let(name, lambda n: F.when(n.startswith("www"), F.regexp_replace(n, r"^www\d*\.", "")).otherwise(n))
+        return let(name, lambda n: F.when(only(n, "0123456789."), n).otherwise(F.array_join(F.reverse(F.split(n, r"\.")), ",")))
 
     def of_rest(rest: Column) -> Column:
-        path = let(F.regexp_replace(F.substring_index(rest, "?", 1), r"/+\z", ""), lambda p: F.when(p == "", "/").otherwise(p))
+        path = let(F.rtrim(F.substring_index(rest, "?", 1), F.lit("/")), lambda p: F.when(p == "", "/").otherwise(p))
         args = F.filter(F.split(F.regexp_extract(rest, r"^[^?]*\?([\s\S]*)\z", 1), "&"), lambda a: a != "")
         query = let(args, lambda q: F.when(F.size(q) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(q), "&"))).otherwise(""))
         return F.concat(path, F.when(rest.contains("?"), query).otherwise(""))
 
-    bare = F.regexp_replace(strip(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://", "")
-    return let(let(bare, lambda b: F.when(b.contains("#"), F.regexp_replace(b, r"#[\s\S]*\z", "")).otherwise(b)), of_parts)
+    def of_parts(bare: Column, host: Column) -> Column:
+        return F.concat(of_name(F.lower(host)), F.lit(")"), let(F.lower(F.substring(bare, F.length(host) + 1, F.length(bare))), of_rest))
+
+    bare = F.substring_index(F.regexp_replace(strip(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://", ""), "#", 1)
+    return let(bare, lambda b: let(F.substring_index(F.substring_index(b, "/", 1), "?", 1), lambda host: of_parts(b, host)))
 
 
 def key_range(prefix: str) -> tuple[str, str]:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ident import strip
+from .ident import let, strip
 
 # Anchors, starters, months and limits of the cleaning rules.
 ANCHORS = (("executive-order", "EXECUTIVE ORDER"), ("office-of-the-mayor", "OFFICE OF THE MAYOR"), ("city-of-new-york", "THE CITY OF NEW YORK"))
@@ -206,11 +206,6 @@ def title_line(line: Column, words: Column, anchored: Column) -> Column:
     )
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def title_candidate(lines: Column) -> Column:
     """All-caps subject from an array of struct(line, anchor); null if none.
 

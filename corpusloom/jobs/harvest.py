@@ -294,15 +294,18 @@ def recover(index: DataFrame, rows: DataFrame, present: DataFrame, make: Callabl
 
 def apply_outcomes(index: DataFrame, outcomes: DataFrame) -> DataFrame:
     """``index`` with the path and source of what was recovered or is cached; an address is filled only where there was none. A row
-    has the outcome of its id and address, and rows stay as many as they are."""
-    done = outcomes.filter(F.col("status").isin("recovered", "cached")).groupBy(F.col("eo_id").alias("_e"), F.col("source_pdf_url").alias("_u"))
+    has the outcome of its id and address, and rows stay as many as they are. Ids and addresses begin alike, so a hash goes before them
+    in the sorts."""
+    row = F.xxhash64("eo_id", "source_pdf_url")
+    done = outcomes.filter(F.col("status").isin("recovered", "cached")).groupBy(row.alias("_x"), F.col("eo_id").alias("_e"), F.col("source_pdf_url").alias("_u"))
     done = done.agg(F.min("pdf_path").alias("_p"), F.min("wayback_url").alias("_w")).withColumn("_hit", F.lit(True))
-    rows = index.join(done, F.col("eo_id").eqNullSafe(F.col("_e")) & F.col("source_pdf_url").eqNullSafe(F.col("_u")), "left")
+    same = (F.col("_y") == F.col("_x")) & F.col("eo_id").eqNullSafe(F.col("_e")) & F.col("source_pdf_url").eqNullSafe(F.col("_u"))
+    rows = index.withColumn("_y", row).join(done, same, "left")
     hit = F.coalesce("_hit", F.lit(False))
     url = F.when(hit & (F.coalesce("source_pdf_url", F.lit("")) == ""), F.coalesce("_w", "source_pdf_url")).otherwise(F.col("source_pdf_url"))
     return rows.withColumns({
         "pdf_path": F.when(hit, F.col("_p")).otherwise(F.col("pdf_path")), "source": F.when(hit, ident.ARCHIVE_GAP).otherwise(F.col("source")), "source_pdf_url": url,
-    }).drop("_e", "_u", "_p", "_w", "_hit")
+    }).drop("_y", "_x", "_e", "_u", "_p", "_w", "_hit")
 
 
 def recovery_counts(outcomes: DataFrame) -> DataFrame:

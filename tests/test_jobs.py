@@ -430,3 +430,39 @@ def test_steps():
     assert steps.allowed(True, False) == 2 and steps.allowed(False, False) == 0 and steps.allowed(True, True, ["no_such_module"]) == 2
     with pytest.raises(ValueError):
         steps.unchanged(1, 2)
+
+
+def test_outcomes_are_found_behind_a_hash(spark):
+    """Ids and addresses begin alike, so no sort of the update compares them first; null ids and addresses are found too, and rows stay as many as they are."""
+    rows = [("2022-EO-001", "u1"), ("2022-EO-001", "u1"), ("2022-EO-001", "u2"), ("2022-EO-001", None), ("2022-EO-002", None), (None, "u1"), (None, None), ("", "u3")]
+    index = spark.createDataFrame([(i, u, "", "live") for i, u in rows], "eo_id string, source_pdf_url string, pdf_path string, source string")
+    done = [("2022-EO-001", "u1", "recovered", "p1"), ("2022-EO-001", "u1", "cached", "p0"), ("2022-EO-001", None, "recovered", "p2"), (None, None, "cached", "p3"), ("2022-EO-002", "u1", "recovered", "p4"), ("2022-EO-001", "u2", "error", "p5"), (None, "u3", "recovered", "p6")]
+    outcomes = spark.createDataFrame([(*x, f"w-{x[3]}") for x in done], "eo_id string, source_pdf_url string, status string, pdf_path string, wayback_url string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = harvest.apply_outcomes(index, outcomes)
+        sorts = [x.split("Sort [")[1] for x in after._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in x]
+        assert len(sorts) > 2 and all(x.startswith(("_x#", "_y#", "_groupingexpression#")) for x in sorts)
+        got = [tuple(r) for r in after.select("eo_id", "source_pdf_url", "pdf_path", "source").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert after.columns == index.columns and sorted(got, key=str) == sorted([
+        ("2022-EO-001", "u1", "p0", "wayback-gap"), ("2022-EO-001", "u1", "p0", "wayback-gap"), ("2022-EO-001", "u2", "", "live"), ("2022-EO-001", "w-p2", "p2", "wayback-gap"),
+        ("2022-EO-002", None, "", "live"), (None, "u1", "", "live"), (None, "w-p3", "p3", "wayback-gap"), ("", "u3", "", "live"),
+    ], key=str)
+
+
+def test_candidates_and_keys_are_worked_out_once(spark):
+    """An address is matched once for its path, wherever the path is used; keys keep odd hosts, ports, users and white space as they were."""
+    columns = [F.col(c) for c in ("u", "y", "n", "e")]
+    d = spark.createDataFrame([("https://h/A/B.PDF//?q#f", 2001, "7", False), ("h/x", 2001, "7", False), ("", 2001, "7", True), (None, 2001, "", False)], "u string, y int, n string, e boolean")
+    got = d.select("u", ident.candidate_urls(*columns).alias("c"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1 and plan.count("regexp_replace(") == 1
+    folder = ident.ORIGIN + ident.LEGACY_PATH + "2001/"
+    built = ident.ORDER_PATH + "2001/eeo-7.pdf"
+    assert [r.c for r in got.collect()] == [[ident.ORIGIN + "/A/B.PDF//", folder + "b.pdf"], [ident.ORIGIN, folder], [ident.ORIGIN + built, folder + "eeo-7.pdf"], []]
+    cases = {"　http://u@v@WWW2.A.b.:80/\x1c": "b,a)/", "1.2.3.4:8080?b&a#?c": "4:8080,3,2,1)/?a&b", "12.": "12)/", "wwwx.a": "a,wwwx)/", "#a": ")/"}
+    keys = spark.createDataFrame([(u,) for u in cases], "u string").select("u", ident.url_key(F.col("u")).alias("k"))
+    assert {r.u: r.k for r in keys.collect()} == cases
