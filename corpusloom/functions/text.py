@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ident import let, strip
+from .ident import SPACES, let, strip
 
 # Anchors, starters, months and limits of the cleaning rules.
 ANCHORS = (("executive-order", "EXECUTIVE ORDER"), ("office-of-the-mayor", "OFFICE OF THE MAYOR"), ("city-of-new-york", "THE CITY OF NEW YORK"))
@@ -25,9 +26,12 @@ MAX_HEADER, MARK_LENGTH, DATE_LINES = 900, 8, 12
 JUNK = r"""[\p{L}\p{N} \t\n.,;:'"()\-&/$%§#’“”]"""
 
 
+_BLANKS = SPACES.replace("\n", "")
+
+
 def normalize_ws(c: Column) -> Column:
-    c = F.regexp_replace(c, r"[ \t]+", " ")
-    c = F.regexp_replace(c, r"(?U)[\s\x1c-\x1f&&[^\n]]+(?=\n|\z)", "")
+    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
+    c = F.array_join(F.transform(F.split(c, "\n", -1), lambda line: F.rtrim(line, F.lit(_BLANKS))), "\n")
     return strip(F.regexp_replace(c, r"\n[ \t]*\n[ \t]*(?:\n[ \t]*)+", "\n\n"))
 
 
@@ -36,28 +40,35 @@ def clean_text(c: Column) -> Column:
     return normalize_ws(F.regexp_replace(c, r"(?U)(\w)-\n([a-z])", "$1$2"))
 
 
-# One pattern each, so that no lambda runs for a word: ASCII runs of letters of two or more; those that are English-like.
-_RUN = r"(?<![A-Za-z])[A-Za-z]{2,}"
-_LIKE = r"(?<![A-Za-z])(?=[A-Za-z]{2,20}(?![A-Za-z]))(?=[B-DF-HJ-NP-TV-Zb-df-hj-np-tv-z]{0,19}[AEIOUaeiou])(?![A-Za-z]*[B-DF-HJ-NP-TV-Zb-df-hj-np-tv-z]{5})[A-Za-z]+"
+# One pattern each, so that no lambda runs for a word: ASCII runs of letters of two or more; those that are English-like. \p{Alpha} and
+# classes of listed letters are looked up in a table, ranges are tried one by one.
+_RUN = r"\p{Alpha}{2,}"
+_CONSONANT = "[BCDFGHJKLMNPQRSTVWXYZbcdfghjklmnpqrstvwxyz]"
+_LIKE = rf"(?=\p{{Alpha}}{{2,20}}+(?!\p{{Alpha}}))(?<!\p{{Alpha}}){_CONSONANT}{{0,4}}+(?:[AEIOUaeiou]++{_CONSONANT}{{0,4}}+)++(?!\p{{Alpha}})"
 
 
 def word_ratio(c: Column) -> Column:
     """Share of English-like words among those of two letters or more; 1.0 if none. English-like: at most 20 letters, a
     vowel, and no five consonants in a row."""
-    every = F.regexp_count(c, F.lit(_RUN))
-    return F.when(every == 0, F.lit(1.0)).otherwise(F.regexp_count(c, F.lit(_LIKE)) / every)
+    return let(F.regexp_count(c, F.lit(_RUN)), lambda every: F.when(every == 0, F.lit(1.0)).otherwise(F.regexp_count(c, F.lit(_LIKE)) / every))
 
 
 def junk_ratio(c: Column) -> Column:
-    return F.when(F.length(c) == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(c, JUNK, "")) / F.length(c))
+    return F.when(F.length(c) == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(c, JUNK + "++", "")) / F.length(c))
 
 
 def tier(born_digital: Column, anchored: Column, noise: Column, words: Column, junk: Column, review: Column) -> Column:
-    return (
-        F.when(review | ~(anchored | born_digital) | (words < 0.70) | (junk > 0.15), F.lit("needs-review"))
-        .when((noise <= 20) & (words >= 0.90) & (junk <= 0.05), F.lit("clean"))
-        .otherwise(F.lit("minor-noise"))
-    )
+    """The quality tier; the ratios are found only where the rest leaves it open."""
+
+    def rated(r: Column) -> Column:
+        low = (r["words"] < 0.70) | (r["junk"] > 0.15)
+        return F.when(low, "needs-review").when((noise <= 20) & (r["words"] >= 0.90) & (r["junk"] <= 0.05), "clean").otherwise("minor-noise")
+
+    return F.when(review | ~(anchored | born_digital), "needs-review").otherwise(let(F.struct(words.alias("words"), junk.alias("junk")), rated))
+
+
+# Marks and dates have a digit, which few lines do: looked for first.
+_DIGIT = r"\p{Nd}"
 
 
 def is_file_mark(line: Column) -> Column:
@@ -66,7 +77,7 @@ def is_file_mark(line: Column) -> Column:
         shape = s.rlike(r"^\d{1,3}-\d{1,3}$") | s.rlike(r"(?iU)^[a-z]{1,3}[ \-]\d{1,3}[ \-]?[&\w]{0,2}$")
         return (s != "") & (F.length(s) <= MARK_LENGTH) & s.rlike(r"(?U)\d") & ~listed & shape
 
-    return let(strip(F.regexp_replace(strip(line), r"^[\[\]()]+|[\[\]()]+$", "")), mark)
+    return line.rlike(_DIGIT) & let(strip(F.regexp_replace(strip(line), r"^[\[\]()]+|[\[\]()]+$", "")), mark)
 
 
 def strip_file_marks(body: Column) -> Column:
@@ -85,7 +96,7 @@ def strip_file_marks(body: Column) -> Column:
 # Date patterns.
 _SEP = r"""[ .,;'"“”‘’]+"""
 MONTH_DATE = rf"(?iU)\b(september|february|november|december|january|october|august|march|april|june|july|sept|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\b{_SEP}(\d{{1,2}}){_SEP}(\d{{4}})\b"
-NUMERIC_DATE = r"(?U)\b(\d{1,2})[/\-](\d{1,2})[/\-](\d{2,4})\b"
+NUMERIC_DATE = r"(?U)(?=\d)\b(\d{1,2})[/\-](\d{1,2})[/\-](\d{2,4})\b"
 
 
 def _iso(year: Column, month: Column, day: Column, wanted: Column) -> Column:
@@ -104,9 +115,9 @@ def extract_date(lines: Column, year: Column) -> Column:
         y = part(NUMERIC_DATE, 3)
         full = F.when(F.length(y) == 4, y.try_cast("int")).otherwise(F.floor(year / 100).cast("int") * 100 + y.try_cast("int"))
         short = F.when(line.rlike(NUMERIC_DATE), _iso(full, part(NUMERIC_DATE, 1).try_cast("int"), part(NUMERIC_DATE, 2).try_cast("int"), year))
-        return F.coalesce(named, short)
+        return F.when(line.rlike(_DIGIT), F.coalesce(named, short))
 
-    return F.try_element_at(F.filter(F.transform(F.slice(lines, 1, DATE_LINES), of), lambda d: d.isNotNull()), F.lit(1))
+    return F.aggregate(F.slice(lines, 1, DATE_LINES), F.lit(None).cast("string"), lambda date, line: F.coalesce(date, of(line)))
 
 
 def tokens(line: Column) -> Column:
@@ -169,59 +180,77 @@ def label_lines(lines: DataFrame, column: str = "line") -> DataFrame:
 
 
 def anchors_of(words: Column) -> Column:
-    """map<words, anchor> of those in an array of lines' words that have an anchor; null without one."""
+    """map<words, anchor> of those in an array of lines' words that have an anchor; empty without one."""
 
-    def found(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in rows:
-            seen = {x: _label(x) for x in {w for own in s.dropna() for w in own if w}}
-            # the words that have one are few; None and an empty list have none
-            yield s.map(lambda own: {w: seen[w] for w in own if w and seen[w]} or None, na_action="ignore")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import numpy as np
+        import pyarrow.compute as pc
 
-    return F.pandas_udf(found, "map<string,string>").asNondeterministic()(words)
+        for own in batches:
+            lines = own.flatten().dictionary_encode()  # each different line is looked at once
+            labels = [_label(x) if x else None for x in lines.dictionary.to_pylist()]
+            code = lines.indices.fill_null(len(labels)).to_numpy()
+            hit = np.array([x is not None for x in labels] + [False])[code]
+            upto = np.cumsum(np.bincount(pc.list_parent_indices(own).to_numpy()[hit], minlength=len(own)))
+            at = pa.array(code[hit])
+            yield pa.MapArray.from_arrays(pa.array([0, *upto], pa.int32()), lines.dictionary.take(at), pa.array(labels, pa.string()).take(at))
+
+    return F.arrow_udf(found, "map<string,string>").asNondeterministic()(words)
 
 
 # Fixed value: address lines of the letterhead.
-ADDRESS = r"(?iU)\b\d{5}\b|N\.?\s*Y\.?"
+ZIP, STATE = r"(?U)(?=\d{5})\b\d{5}\b", r"(?U)[Nn]\.?\s*[Yy]"
 
 
 def token_text(line: Column) -> Column:
     """Upper-cased words of a line, joined by one space: all that its anchor and its kind of letterhead depend on."""
-    return F.trim(F.upper(F.regexp_replace(line, "[^A-Za-z]+", " ")))
+    return F.trim(F.upper(F.regexp_replace(line, r"\P{Alpha}(?:\P{Alpha}+|(?<! ))", " ")))
 
 
 _STARTS = "^(?:" + "|".join(STARTERS) + ")(?: |$)"
 _NUMBERS = f"^(?:{'|'.join(NUMBER_TOKENS)})(?: (?:{'|'.join(NUMBER_TOKENS)}))*$"
-_MONTH_WORDS = f"(?:^| )(?:{'|'.join(m.upper() for m in MONTHS)})(?: |$)"
+_MONTH_WORDS = f"(?=[{''.join(sorted({m[0].upper() for m in MONTHS}))}])(?<![^ ])(?:{'|'.join(m.upper() for m in MONTHS)})(?![^ ])"
 
 
 def title_line(line: Column, words: Column, anchored: Column) -> Column:
     """What a stripped line, of which ``words`` is the ``token_text``, is to the search for a title: s where the body starts, p if
     it is passed by, c for capitals, t for other text."""
     few = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) < 6
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
-    upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
+    letters = F.length(F.regexp_replace(line, r"\P{L}++", ""))
+    upper = F.length(line) - F.length(F.regexp_replace(line, r"\p{Lu}++", ""))
     return (
         F.when(line == "", "p").when(words.rlike(_STARTS), "s").when(words.rlike(_NUMBERS) | (few & (words != "") & anchored) | words.rlike(_MONTH_WORDS), "p")
-        .when(line.rlike(ADDRESS), "p").when(line.rlike(NUMERIC_DATE), "p").when(letters < 4, "p").when(upper >= 0.8 * letters, "c").otherwise("t")
+        .when(line.rlike(STATE) | (line.rlike(_DIGIT) & (line.rlike(ZIP) | line.rlike(NUMERIC_DATE))), "p")
+        .otherwise(let(letters, lambda n: F.when(n < 4, "p").when(upper >= 0.8 * n, "c").otherwise("t")))
     )
 
 
 def title_candidate(lines: Column) -> Column:
-    """All-caps subject from an array of struct(line, anchor); null if none.
+    """All-caps subject from an array of struct(line, anchor); null if none."""
+    return title_among(lines, lambda x: x["line"], lambda x, words: x["anchor"].isNotNull())
+
+
+def title_among(lines: Column, text: Callable[[Column], Column], anchored: Callable[[Column, Column], Column]) -> Column:
+    """All-caps subject from an array of lines; null if none. ``text`` gives a line's text, ``anchored`` whether it has an anchor, from it and its words.
 
     Lines that are passed by end a started title. So the title is the first run of capitals, if nothing but passed lines stands
-    before it: the kinds of lines, one letter each, tell where.
+    before it. Lines after its end aren't looked at.
     """
-    marked = F.transform(lines, lambda x: F.struct(strip(x["line"]).alias("s"), token_text(x["line"]).alias("w"), x["anchor"].isNotNull().alias("a")))
+    state = lambda passed, many, done: F.struct(passed.alias("passed"), many.alias("many"), done.alias("done"))
 
-    def title(v: Column) -> Column:
-        def joined(kinds: Column) -> Column:
-            first, many = F.length(F.regexp_extract(kinds, "^(p*)(c+)", 1)), F.length(F.regexp_extract(kinds, "^(p*)(c+)", 2))
-            return F.array_join(F.transform(F.slice(v, first + 1, many), lambda x: x["s"]), " ")
+    def step(at: Column, x: Column) -> Column:
+        def after(kind: Column) -> Column:
+            more = F.when(kind == "c", state(at["passed"], at["many"] + 1, F.lit(False)))
+            return more.when((kind == "p") & (at["many"] == 0), state(at["passed"] + 1, at["many"], F.lit(False))).otherwise(state(at["passed"], at["many"], F.lit(True)))
+
+        own = F.struct(strip(text(x)).alias("s"), token_text(text(x)).alias("w"))
+        return F.when(at["done"], at).otherwise(let(let(own, lambda v: title_line(v["s"], v["w"], anchored(x, v["w"]))), after))
 
-        return let(F.array_join(F.transform(v, lambda x: title_line(x["s"], x["w"], x["a"])), ""), joined)
+    def title(v: Column) -> Column:
+        run = F.aggregate(v, state(F.lit(0), F.lit(0), F.lit(False)), step)
+        return let(run, lambda r: F.array_join(F.transform(F.slice(v, r["passed"] + 1, r["many"]), lambda x: strip(text(x))), " "))
 
-    bare = F.regexp_replace(let(marked, title), "^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "")
+    bare = F.regexp_replace(let(lines, title), "^[^0-9A-Za-z]+|[^0-9A-Za-z]+$", "")
     return let(bare, lambda t: F.nullif(t, F.lit("")))
 
 

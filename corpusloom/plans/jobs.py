@@ -268,10 +268,10 @@ _HEADS = """CASE o_orderkey % 8 WHEN 0 THEN 'x7' || chr(10) || 'RXECUTIVE ORDER
   WHEN 5 THEN 'EXECUTIVE ORDER' || chr(10) || 'STORM WATER PERMITS' || chr(10) || 'PURSUANT to' WHEN 6 THEN '' ELSE 'EXECUTIVE ORDER' || chr(10) || 'kept as it is  ' END"""
 
 
-def _cleaned(spark, sf_dir):
+def _cleaned(spark, sf_dir, *fields):
     d = _orders(spark, sf_dir, "CAST(o_orderkey AS STRING) AS eo_id", f"{_HEADS} AS body", "1974 AS year", "CASE WHEN o_orderkey % 8 = 5 AND o_custkey % 2 = 0 THEN 'Kept' END AS title", "CAST(NULL AS STRING) AS date_signed",
                 "CASE WHEN o_orderkey % 8 = 7 THEN 'born-digital' ELSE 'ocr' END AS text_source")
-    return cleaning.clean_records(d, lexicon.words(spark))
+    return cleaning.clean_records(d, lexicon.words(spark), fields=fields)
 
 
 _CLEAN_SQL = """c AS (SELECT o_orderkey, o_custkey, (o_orderkey % 8)::INT AS k FROM orders), e AS (SELECT o_orderkey::VARCHAR AS eo_id, k,
@@ -286,14 +286,15 @@ _CLEAN_SQL = """c AS (SELECT o_orderkey, o_custkey, (o_orderkey % 8)::INT AS k F
 def clean_record(spark, sf_dir):
     c = F.col("clean")
     first = F.regexp_replace(F.coalesce(F.try_element_at(c["flags"], F.lit(1)), F.lit("")), ":.*", "")
-    return _cleaned(spark, sf_dir).select("eo_id", c["dropped_header"].alias("dropped_header"), F.array_join(c["dropped_marks"], ",").alias("dropped_marks"), c["title"].alias("title"), c["date_signed"].alias("date_signed"),
-                                          c["anchor_label"].alias("anchor_label"), c["text_quality"].alias("text_quality"), first.alias("first_flag"))
+    d = _cleaned(spark, sf_dir, "dropped_header", "dropped_marks", "title", "date_signed", "anchor_label", "text_quality", "flags")
+    return d.select("eo_id", c["dropped_header"].alias("dropped_header"), F.array_join(c["dropped_marks"], ",").alias("dropped_marks"), c["title"].alias("title"), c["date_signed"].alias("date_signed"),
+                    c["anchor_label"].alias("anchor_label"), c["text_quality"].alias("text_quality"), first.alias("first_flag"))
 
 
 @query("clean_counts", """SELECT count(*)::BIGINT AS records, count(*) FILTER (k IN (0, 5, 7))::BIGINT AS clean, 0::BIGINT AS minor_noise, count(*) FILTER (k NOT IN (0, 5, 7))::BIGINT AS needs_review,
   count(*) FILTER (k = 0 OR k = 5 AND o_custkey % 2 = 1)::BIGINT AS titles, count(*) FILTER (k IN (0, 3))::BIGINT AS dates, count(*) FILTER (k = 4)::BIGINT AS titles_held FROM (SELECT *, (o_orderkey % 8)::INT AS k FROM orders)""")
 def clean_counts(spark, sf_dir):
-    return reports.clean_counts(_cleaned(spark, sf_dir))
+    return reports.clean_counts(_cleaned(spark, sf_dir, "text_quality", "title_extracted", "date_extracted", "flags"))
 
 
 _WORDS_SQL = "(VALUES " + ", ".join(f"('{w}')" for w in sorted({*lexicon.DOMAIN, *lexicon.ABBREVIATIONS, *lexicon.FALLBACK})) + ") AS w(word)"
@@ -514,7 +515,7 @@ def entities_found(spark, sf_dir):
   t AS (SELECT eo_id FROM z WHERE NOT (k = 5 AND o_custkey % 2 = 0) ORDER BY eo_id COLLATE C LIMIT 10), l AS (SELECT eo_id, 0 AS r, 'heavy-noise' AS label FROM a UNION ALL SELECT eo_id, 1, 'ambiguous' FROM b UNION ALL SELECT eo_id, 2, 'era-1974-2001' FROM e UNION ALL SELECT eo_id, 3, 'empty-title' FROM t)
   SELECT eo_id, min_by(label, r) AS label FROM l GROUP BY 1 UNION ALL (SELECT eo_id, 'extra-control' FROM c WHERE k = 7 ORDER BY eo_id COLLATE C LIMIT 1)""")
 def sample_strata(spark, sf_dir):
-    return reports.sample(_cleaned(spark, sf_dir))
+    return reports.sample(_cleaned(spark, sf_dir, "dropped_header", "flags"))
 
 
 @query("probe_report", """SELECT count(*) FILTER (doc_id % 3 = 0)::BIGINT AS text, count(*) FILTER (doc_id % 3 > 0)::BIGINT AS scanned, 0::BIGINT AS error FROM documents""")

@@ -204,3 +204,34 @@ def test_cleaning_joins_no_lines(spark, records):
     """Anchors come with the record: but for the titles' gate nothing is joined, and lines aren't exploded."""
     plan = clean_records(records, lexicon.words(spark))._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
     assert plan.count("Join ") <= 2 and "explode(split(" not in plan and "collect_set" not in plan
+
+
+def test_only_named_fields_are_worked_out(spark, records):
+    """Ratios of words and junk aren't found where no tier is asked for."""
+    d = clean_records(records, lexicon.words(spark), fields=["flags", "dropped_header"])
+    assert d.schema["clean"].dataType.names == ["flags", "dropped_header"]
+    plan = d.select(F.size("clean.flags"), F.length("clean.dropped_header"))._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    assert "Alpha}{2,}" not in plan and "{L}\\p{N}" not in plan
+
+
+def test_texts_equal_plain_rules(spark):
+    """White space, ratios, marks, words and titles' letters of random texts against plain versions."""
+    import random
+
+    r = random.Random(5)
+    bits = ["a", "E", "xyz", "strngths", "rhythm ", "ab1", "  ", "\t", "\n", "\n \n\t\n", "\x1c", "\xa0", "  ", "é", "ß9", "§", "*", "37-12", "[nl-8]", "٤-5", "ab " * 9, "bcdfa", "queueing", "x" * 21]
+    texts = sorted({"".join(r.choices(bits, k=r.randint(0, 14))) for _ in range(1500)})
+    d = spark.createDataFrame([(x,) for x in texts], "x string")
+    c = F.col("x")
+    got = d.select(c, text.normalize_ws(c).alias("ws"), text.word_ratio(c).alias("wr"), text.junk_ratio(c).alias("jr"), text.token_text(c).alias("t"), text.strip_file_marks(c)["dropped"].alias("m")).collect()
+    vowel, five = re.compile("[aeiouAEIOU]"), re.compile("[^aeiouAEIOU]{5}")
+    for row in got:
+        x = row.x
+        ws = "\n".join(re.sub("[ \t]+", " ", y).rstrip() for y in x.split("\n"))
+        assert row.ws == re.sub(r"\n[ \t]*\n[ \t]*(?:\n[ \t]*)+", "\n\n", ws).strip(), repr(x)
+        words = [w for w in re.findall("[A-Za-z]+", x) if len(w) > 1]
+        like = [w for w in words if len(w) <= 20 and vowel.search(w) and not five.search(w)]
+        assert row.wr == (len(like) / len(words) if words else 1.0), repr(x)
+        junk = [y for y in x if not (y.isalpha() or y.isnumeric() or y in " \t\n.,;:'\"()-&/$%§#’“”")]
+        assert row.jr == (len(junk) / len(x) if x else 0.0) and row.t == " ".join(re.sub("[^A-Za-z]", " ", x).upper().split()), repr(x)
+    assert {m for row in got for m in row.m} >= {"37-12", "[nl-8]"}
