@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import spans
-from ..functions.ident import fold, mint_id, norm_entity
+from ..functions.ident import fold, let, mint_id, norm_entity
 
-# Months, verbs, limits and patterns of the citation rules.
+# Months, verbs, limits and patterns of the citation rules. Each begins with the letters that it may begin with, as most places of a text fail there.
 MONTH = "January|February|March|April|May|June|July|August|September|October|November|December"
 CITE = (
-    r"(?iU)(Emergency\s+)?Executive\s+Order\s+(?:No\.?|Nos\.?|Number)?\s*(\d{1,4})"
+    r"(?iU)(?=[Ee])(Emergency\s+)?Executive\s+Order\s+(?:No\.?|Nos\.?|Number)?\s*(\d{1,4})"
     rf"(?:\s*,?\s*dated\s+(?:{MONTH})\.?\s+\d{{1,2}}(?:st|nd|rd|th)?\s*,?\s*(\d{{4}})|\s+of\s+(\d{{4}}))?"
 )
-VERB = r"(?iU)\b(?:is|are|hereby\s+is|hereby\s+are)\s+(?:hereby\s+)?(amended|extended|repealed|replaced|rescinded|revoked|superseded)\b"
-BOUNDARY = r"(?U)§|(?<![A-Za-z])Section\s"
+VERB = r"(?iU)(?=[AHIahi\u0130\u0131])\b(?:is|are|hereby\s+is|hereby\s+are)\s+(?:hereby\s+)?(amended|extended|repealed|replaced|rescinded|revoked|superseded)\b"
+BOUNDARY = r"(?U)§|(?=S)(?<![A-Za-z])Section\s"
 SCOPE = r"(?iU)\b(?:section|sections|paragraph|subdivision|§)\b[^.;§\n]{0,60}\bof\s*$"
+# What a citation's match holds: its number, and a year after it.
+NUMBER, YEAR = r"(?U)\d{1,4}", r"(?Us)\d.*\D(\d{4})$"
+SCOPE_END = r"(?U)[Oo][Ff]\s*$"
 XREF = r"""(?iU)XREF\s*:?\s*(REVOKED|RESCINDED|SUPERSEDED|REPEALED|AMENDED|REPLACED)\s+BY\s+['"‘’“”]?\s*(?:E\.?E\.?O|EO)\s*(\d{1,4})[)\s,]+(\d{4})"""
 LOOKBACK, SCOPE_BACK = 400, 60
 REVOKES = ("revoked", "rescinded", "superseded", "repealed", "replaced")
@@ -31,49 +36,57 @@ def governed(docs: DataFrame) -> DataFrame:
 
     A verb governs the citations that start after the last clause boundary of the ``LOOKBACK`` characters before it. Matches of
     the three patterns are rows, so their offsets are running sums, a verb's boundary is a running maximum and its citations are
-    those of a frame of ``LOOKBACK`` characters: linear in a text's matches. Only matches are shuffled, once, by their text.
+    those of a frame of ``LOOKBACK`` characters: linear in a text's matches. Only matches are shuffled, once, by their text, without its
+    words: whether a citation is of a part is told before, from the matches beside it.
     Texts that repeat under one id are resolved once and counted.
     """
     text = F.coalesce("full_text", F.lit(""))
-    none = F.lit(None).cast("string")
-
-    def events(kind: str, pattern: str, groups: dict[str, int]) -> Column:
-        # of the match, not of the text: a pass over all of it for each group costs more than all else
-        own = lambda x, k: F.regexp_extract(x["match"], pattern, groups[k]) if k in groups else none
-        found = F.filter(spans.matches(text, pattern), lambda x: x["match"].isNotNull())
-        return F.transform(found, lambda x: F.struct(
-            F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("size"),
-            F.right(x["gap"], F.lit(SCOPE_BACK)).alias("tail"), x["match"].alias("match"), *(own(x, k).alias(k) for k in ("verb", "emg", "num", "dated", "of")),
-        ))
-
-    every = F.concat(events("cite", CITE, {"emg": 1, "num": 2, "dated": 3, "of": 4}), events("bound", BOUNDARY, {}), events("verb", VERB, {"verb": 1}))
+    kinds = {"verb": "string", "emergency": "boolean", "number": "string", "year": "int", "partial": "boolean"}
+
+    def events(kind: str, pattern: str, own: Callable[[Column, Column, Column], dict[str, Column]]) -> Column:
+        def one(found: Column) -> Column:
+            def event(x: Column, i: Column) -> Column:
+                told = own(found, x, i)
+                rest = [told.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()]
+                return F.struct(F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("size"), *rest)
+
+            return F.transform(found, event)
+
+        return let(F.filter(spans.matches(text, pattern), lambda x: x["match"].isNotNull()), one)
+
+    def cited(found: Column, x: Column, i: Column) -> dict[str, Column]:
+        tail = lambda y: F.right(y["gap"], F.lit(SCOPE_BACK))
+        # the text before a citation, from its gap and, if that is short, earlier citations and theirs, which are 16 characters long at least
+        before = lambda y: F.coalesce(F.concat(tail(y), y["match"]), F.lit(""))
+        earlier = [before(F.get(found, i - k)) for k in range(SCOPE_BACK // 16 + 1, 0, -1)]
+        near = F.when(F.length(x["gap"]) >= SCOPE_BACK, tail(x)).otherwise(F.right(F.concat(*earlier, tail(x)), F.lit(SCOPE_BACK)))
+        # the gap alone tells whether it ends so, as matches end with a digit
+        partial = tail(x).rlike(SCOPE_END) & let(near, lambda s: s.rlike(SCOPE))
+        # from the match, not from the text: a pass over all of it for each group costs more than all else
+        number, year = F.regexp_extract(x["match"], NUMBER, 0), F.regexp_extract(x["match"], YEAR, 1).try_cast("int")
+        return {"emergency": F.substring(x["match"], 2, 1).isin("m", "M"), "number": number, "year": year, "partial": partial}
+
+    verb = lambda found, x, i: {"verb": F.regexp_extract(x["match"], VERB, 1)}
+    every = F.concat(events("cite", CITE, cited), events("bound", BOUNDARY, lambda found, x, i: {}), events("verb", VERB, verb))
     # the digest first: in the select of the explosion the text would go along with each match
-    rows = docs.select(F.col("eo_id").alias("actor"), F.sha2(text, 256).alias("text"), every.alias("every"))
+    rows = docs.select(F.col("eo_id").alias("actor"), F.unhex(F.sha2(text, 256)).alias("text"), every.alias("every"))
     # not the bare column, for which Spark adds a filter on its size that finds every match once more
-    rows = rows.select("actor", "text", F.posexplode(F.filter("every", lambda e: e["match"].isNotNull())).alias("at", "e"))
+    rows = rows.select("actor", "text", F.posexplode(F.filter("every", lambda e: e["gap"].isNotNull())).alias("at", "e"))
     key = ["actor", "text"]
     rows = rows.select(*key, "at", "e.*").repartition(*key)
     rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))  # a text's repeats are one, in the same partition
     rows = rows.withColumn("start", spans.start_of([*key, "kind"], "at", F.col("gap"), F.col("size")))
-    # the text before a citation, from its gap and earlier citations and theirs, which are 16 characters long at least
-    same = Window.partitionBy(*key, "kind").orderBy("at")
-    earlier = [F.coalesce(F.lag(F.concat("tail", "match"), i).over(same), F.lit("")) for i in range(SCOPE_BACK // 16 + 1, 0, -1)]
-    near = F.right(F.concat(*earlier, "tail"), F.lit(SCOPE_BACK))
     end = F.col("start") + F.col("size")
-    rows = rows.withColumn("near", near).withColumn("place", F.when(F.col("kind") == "bound", end).otherwise(F.col("start")))
+    rows = rows.withColumn("place", F.when(F.col("kind") == "bound", end).otherwise(F.col("start")))
     along = Window.partitionBy(*key).orderBy("place")
     bound = F.max(F.when(F.col("kind") == "bound", F.struct(end.alias("end"), "start"))).over(along.rangeBetween(Window.unboundedPreceding, 0))
-    cite = F.when(F.col("kind") == "cite", F.struct("start", "emg", "num", "dated", "of", "near"))
+    cite = F.when(F.col("kind") == "cite", F.struct("start", "emergency", "number", "year", "partial"))
     verbs = rows.withColumn("bound", bound).withColumn("cites", F.collect_list(cite).over(along.rangeBetween(-LOOKBACK, -1))).filter("kind = 'verb'")
     low = F.greatest(F.col("start") - LOOKBACK, F.lit(0))
     floor = F.when(F.col("bound.start") >= low, F.col("bound.end")).otherwise(low)
     found = verbs.select("actor", "verb", "copies", floor.alias("floor"), F.explode("cites").alias("c")).filter("c.start >= floor")
     found = found.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    year = F.coalesce(F.nullif("c.dated", F.lit("")), F.nullif("c.of", F.lit(""))).try_cast("int")
-    return found.select(
-        "actor", F.lower("verb").alias("verb"), (F.col("c.emg") != "").alias("emergency"), F.col("c.num").alias("number"), year.alias("year"),
-        F.col("c.near").rlike(SCOPE).alias("partial"),
-    )
+    return found.select("actor", F.lower("verb").alias("verb"), *(F.col(f"c.{k}").alias(k) for k in ("emergency", "number", "year", "partial")))
 
 
 def body_citations(docs: DataFrame, corpus: DataFrame | None = None) -> DataFrame:

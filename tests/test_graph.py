@@ -121,3 +121,28 @@ def test_texts_are_matched_once(spark):
     lines = plan.splitlines()
     assert not [x for x in lines if "Filter" in x and ("split(" in x or "regexp" in x)]
     assert max(x.count("regexp_extract_all(") for x in lines) == 3
+
+
+def test_matches_are_shuffled_without_their_text(spark):
+    """Whether a citation is of a part is told beside its text: no window looks back over words, which would be shuffled and sorted along."""
+    d = spark.createDataFrame([("1", "Section 5 of Executive Order 5 of 1990 is revoked.")], "eo_id string, full_text string")
+    plan = graph.governed(d)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" not in plan and not {"tail", "match", "near"} & {x.split("#")[0] for x in plan.split("Repartition")[0].replace(",", " ").replace(".", " ").split()}
+
+
+def test_number_and_year_equal_the_groups(spark):
+    """What is read from a match is what the pattern's groups hold."""
+    import random
+    import re
+
+    r = random.Random(2)
+    mid = lambda *x: r.choice(x)
+    texts = {
+        mid("Emergency ", "EMERGENCY\n", "", "") + mid("Executive Order ", "executive\norder ", "EXECUTIVE  ORDER\t") + mid("", "No. ", "Nos ", "Number ", "No.") + str(r.choice([1, 31, 1990, 12345]))
+        + mid("", " of 1990", "\nof 2007", ", dated March 7, 2018", " dated May. 31st 1474", " of 19901", " of 99", ", dated 1990")
+        for _ in range(600)
+    }
+    rx = re.compile(graph.CITE.replace("(?iU)", ""), re.I)
+    rows = [(str(i), t + " is revoked") for i, t in enumerate(sorted(texts))]
+    got = {(x.actor, x.emergency, x.number, x.year) for x in graph.governed(spark.createDataFrame(rows, "eo_id string, full_text string")).collect()}
+    assert got == {(i, bool(m[1]), m[2], int(m[3] or m[4]) if m[3] or m[4] else None) for i, t in rows if (m := rx.search(t))} and len(got) == len(rows)
